@@ -76,7 +76,7 @@ def records(items: DataFrame, item: str, kind: str) -> tuple[DataFrame, DataFram
 
     rules = {
         "keys": closed_keys(doc, RECORD_KEYS[kind]),
-        "schema version or kind": _is_kind(doc, kind),
+        "schema version or kind": _is_kind(doc, "native_record" if kind == "native" else kind),
         "extensions": F.forall(F.map_keys(at("$.extensions", "map<string,variant>")), valid_namespace),
     }
     if kind == "native":

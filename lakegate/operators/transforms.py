@@ -38,7 +38,7 @@ def _unique(names: Sequence[str]) -> None:
 class Filter:
     """Keep rows whose predicate is true; a NULL predicate drops the row."""
 
-    predicate: Column
+    predicate: Column | str
 
     def __call__(self, df: DataFrame) -> DataFrame:
         return df.where(self.predicate)
