@@ -1 +1,98 @@
-"""Plans."""
+"""Streaming plans: each runs a stream to completion over the tables and returns what it wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakegate.operators.transforms import SelectColumns, compose
+from lakegate.plans.governance import _SQL_METRICS, _SQL_RUNS, metric_events
+from lakegate.plans.registry import query, table
+from lakegate.plans.texts import _SQL_PROPS
+from lakegate.session import scratch_path
+from lakegate.streaming import jobs
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return jobs.file_stream(spark, folder, table(spark, folder, "events").schema, "events.parquet")
+
+
+@query(
+    "sync_stream",
+    "SELECT o_orderstatus, count(*) AS row_count, count(DISTINCT o_orderkey) AS keys, sum(o_orderkey)::BIGINT AS key_sum FROM orders GROUP BY 1",
+)
+def sync_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Four files arrive in two runs of the same stream; every row is published exactly once."""
+    base = scratch_path(spark, "sync")
+    orders = table(spark, folder, "orders")
+    steps = compose([SelectColumns(["o_orderkey", "o_orderstatus", "o_custkey"])])
+    for run, half in enumerate(("o_orderkey % 2 = 0", "o_orderkey % 2 = 1")):
+        orders.where(half).repartition(2).write.mode("append").parquet(f"{base}/in")
+        stream = jobs.file_stream(spark, f"{base}/in", orders.schema, files_per_batch=1)
+        jobs.sync_stream(stream, f"{base}/staged", f"{base}/checkpoint", steps).awaitTermination()
+    published = jobs.publish_staged(spark, f"{base}/staged", f"{base}/out", "orders", f"{base}/in", f"{base}/manifest")
+    return spark.read.parquet(published.uri).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_orderkey").alias("keys"), F.sum("o_orderkey").alias("key_sum")
+    )
+
+
+@query(
+    "event_metrics_stream",
+    f"""WITH {_SQL_METRICS}, w AS (SELECT max(ts) - INTERVAL '10 minutes' AS mark FROM events)
+        SELECT epoch_us(date_trunc('hour', ts)) AS window_start, operation_id, platform, outcome,
+          coalesce(sum(retry_count) FILTER (retry_count > 0), 0)::BIGINT AS retries,
+          count(*) FILTER (outcome = 'breaker_state_change') AS breaker_changes, count(*) FILTER (budget_usage >= 0) AS budget_samples,
+          count(*) FILTER (budget_usage >= 0 AND budget_usage <= 5) AS budget_bucket_0, count(*) FILTER (budget_usage > 5) AS budget_bucket_1
+        FROM m, w WHERE date_trunc('hour', ts) + INTERVAL '1 hour' <= mark GROUP BY ALL""",
+)
+def event_metrics_stream(spark: SparkSession, folder: str) -> DataFrame:
+    base = scratch_path(spark, "metrics")
+    events = metric_events(_event_stream(spark, folder).withColumn("ts", F.col("ts").cast("timestamp")))
+    jobs.event_metrics_stream(events, f"{base}/out", f"{base}/checkpoint", bounds=[5.0]).awaitTermination()
+    return spark.read.parquet(f"{base}/out").withColumn("window_start", F.unix_micros("window_start"))
+
+
+@query(
+    "health_stream",
+    f"WITH {_SQL_RUNS} SELECT event_id, run::BIGINT AS run, failure_count::BIGINT AS failure_count, failure_count >= 3 AS open FROM c",
+)
+def health_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Events arrive in two runs, the earlier half first; the result equals the batch operator's."""
+    base = scratch_path(spark, "health")
+    events = table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type")
+    middle = events.agg(F.percentile_approx("event_id", 0.5)).scalar()
+    cut = events.where(F.col("event_id") == middle).select(F.max("ts")).scalar()
+    for early in (True, False):
+        half = events.where(F.col("ts") < cut) if early else events.where(F.col("ts") >= cut)
+        half.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        jobs.health_stream(
+            jobs.file_stream(spark, f"{base}/in", events.schema),
+            f"{base}/out",
+            f"{base}/state",
+            f"{base}/checkpoint",
+            ["user_id"],
+            ["ts", "event_id"],
+            lambda: F.col("event_type") == "error",
+            lambda: F.col("event_type").isin("signup", "purchase"),
+        ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("event_id", "run", "failure_count", "open")
+
+
+@query(
+    "redact_stream",
+    f"""SELECT event_id, 'k=' || k || ',' || CASE WHEN event_id % 2 = 0 THEN 'X-Auth-Token=***'
+            WHEN event_id % 3 = 0 THEN 'note=basic ***' ELSE 'note=' || v END AS shown FROM ({_SQL_PROPS})""",
+)
+def redact_stream(spark: SparkSession, folder: str) -> DataFrame:
+    base = scratch_path(spark, "redacted")
+    key = F.col("event_id").cast("string")
+    extra = F.create_map(
+        F.when(F.col("event_id") % 2 == 0, F.lit("X-Auth-Token")).otherwise(F.lit("note")),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("basic abcdefgh"), key)).otherwise(key),
+    )
+    events = _event_stream(spark, folder).select(
+        "event_id", F.map_concat(F.from_json("props", "map<string,string>"), extra).alias("props")
+    )
+    jobs.redact_stream(events, "props", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    shown = F.array_join(F.transform(F.map_entries("props"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return spark.read.parquet(f"{base}/out").select("event_id", shown.alias("shown"))
