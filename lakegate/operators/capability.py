@@ -12,6 +12,7 @@ from lakegate.functions.base import ColumnOrName, case, col, lookup
 from lakegate.functions.rules import parse_operation_id
 from lakegate.functions.urls import split_url, url_origin
 from lakegate.operators.violations import violations
+from lakegate.sources.files import file_digests, list_files
 
 # Fixed values.
 REMEDIES = {
@@ -59,7 +60,11 @@ PROFILE_SCHEMA = T.StructType(
 def load_profiles(spark: SparkSession, path: str) -> DataFrame:
     """Profile documents to one row per declared operation, with the id taken apart."""
     documents = spark.read.schema(PROFILE_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    rows = documents.select("*", F.explode("operations").alias("op")).drop("operations")
+    return operation_rows(documents.select("*", F.explode("operations").alias("op")))
+
+
+def operation_rows(rows: DataFrame) -> DataFrame:
+    """Declared operations with their id taken apart; ``op`` holds one operation entry of a profile."""
     name = parse_operation_id("op.id")
     return rows.select(
         "platform",
@@ -78,6 +83,67 @@ def load_profiles(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+CASES_SCHEMA = T.StructType(
+    [
+        T.StructField("schema_version", T.StringType()),
+        T.StructField("platform", T.StringType()),
+        T.StructField("profile_version", T.StringType()),
+        T.StructField(
+            "cases",
+            T.ArrayType(
+                T.StructType([T.StructField(n, T.StringType()) for n in ("operation", "outcome", "credential_class")])
+            ),
+        ),
+    ]
+)
+CASE_OUTCOMES = (
+    "core",
+    "optional",
+    "authenticated-success",
+    "missing-credentials",
+    "invalid-credentials",
+    "forbidden",
+    "deployment-disabled",
+    "unavailable",
+    "async-pending",
+    "rate-limited",
+)
+
+
+def fixture_violations(spark: SparkSession, path: str, operations: DataFrame) -> DataFrame:
+    """Case files against the profiles they are pinned to: fingerprint, versions, declared operations, outcomes.
+
+    ``operations`` is the output of :func:`load_profiles`. One row per finding: platform, rule, detail.
+    """
+    source = spark.read.schema(CASES_SCHEMA).option("multiLine", True).json(path)
+    documents = source.select("*", F.col("_metadata.file_path").alias("path"))
+    hashed = file_digests(list_files(spark, path)).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "sha256")
+    pinned = operations.select(
+        "platform", F.col("profile_version").alias("pinned_version"), "fixture_fingerprint"
+    ).distinct()
+    joined = documents.join(hashed, "path", "left").join(pinned, "platform", "left")
+    headers = violations(
+        joined,
+        {
+            "schema version": F.col("schema_version") == "1.0",
+            "profile": F.col("pinned_version").isNotNull(),
+            "profile version": F.col("profile_version") == F.col("pinned_version"),
+            "fingerprint": F.col("sha256") == F.col("fixture_fingerprint"),
+            "cases": F.size("cases") > 0,
+        },
+        ["platform", "path"],
+    ).select("platform", "rule", F.col("path").alias("detail"))
+    cases = documents.select("platform", F.explode("cases").alias("c")).select("platform", "c.operation", "c.outcome")
+    declared = operations.select("platform", F.col("operation_id").alias("operation"))
+    undeclared = cases.join(declared, ["platform", "operation"], "left_anti").select(
+        "platform", F.lit("undeclared operation").alias("rule"), F.col("operation").alias("detail")
+    )
+    outcomes = cases.where(~F.coalesce(F.col("outcome").isin(*CASE_OUTCOMES), F.lit(False))).select(
+        "platform", F.lit("undeclared outcome").alias("rule"), F.col("outcome").alias("detail")
+    )
+    return headers.unionAll(undeclared).unionAll(outcomes)
+
+
 def profile_summary(operations: DataFrame) -> DataFrame:
     return operations.groupBy("platform", "profile_version", "platform_api_version").agg(
         F.count(F.lit(1)).alias("operations")

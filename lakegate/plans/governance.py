@@ -10,6 +10,7 @@ from lakegate.functions.base import case
 from lakegate.functions.urls import url_origin
 from lakegate.operators import bulk, capability, catalog, health, reports
 from lakegate.plans.registry import query, table
+from lakegate.session import scratch_path
 
 # --- capability: parts stand for operations, orders for probes -------------------------------------------------------
 
@@ -65,6 +66,52 @@ def declared_states(spark: SparkSession, folder: str) -> DataFrame:
     return profile.select("operation_id", "state")
 
 
+def _profile_documents(spark: SparkSession, folder: str) -> str:
+    """One profile document per brand, its parts as operations."""
+    path = scratch_path(spark, "profiles")
+    operation = F.struct(
+        F.concat(F.lit("ckan/"), F.when(F.col("p_partkey") % 2 == 0, F.lit("part.")).otherwise(F.lit("")), F.col("p_partkey")).alias("id"),
+        _pick(_CLASSES, F.col("p_partkey") % 4).alias("capability"),
+        F.when(F.col("p_partkey") % 3 == 0, F.lit("application-token-or-authenticated")).otherwise(F.lit("public")).alias("authentication"),
+        F.lit("read").alias("mutation"),
+        F.lit("anonymous-read").alias("evidence_requirement"),
+    )
+    documents = table(spark, folder, "part").groupBy("p_brand", F.expr("p_partkey div 1000").alias("block")).agg(
+        F.collect_list(operation).alias("operations")
+    )
+    document = F.struct(
+        F.lit("1.0").alias("schema_version"),
+        F.concat_ws("-", "p_brand", "block").alias("profile_version"),
+        F.lit("ckan").alias("platform"),
+        F.lit("v3").alias("platform_api_version"),
+        F.md5("p_brand").alias("fixture_fingerprint"),
+        "operations",
+    )
+    rows = documents.select(F.concat_ws("-", "p_brand", "block").alias("bucket"), F.to_json(document).alias("doc"))
+    rows.write.partitionBy("bucket").text(path)
+    return path
+
+
+@query(
+    "load_profiles",
+    f"""SELECT 'ckan/' || CASE WHEN p_partkey % 2 = 0 THEN 'part.' ELSE '' END || p_partkey AS operation_id, p_brand || '-' || p_partkey // 1000 AS profile_version,
+          CASE WHEN p_partkey % 2 = 0 THEN 'part' ELSE 'profile' END AS service, CAST(p_partkey AS VARCHAR) AS method,
+          {_sql_pick(_CLASSES, 'p_partkey % 4')} AS capability_class, CASE WHEN p_partkey % 3 = 0 THEN 'authenticated' ELSE 'public' END AS auth_class FROM part""",
+)
+def load_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    return capability.load_profiles(spark, _profile_documents(spark, folder)).select(
+        "operation_id", "profile_version", "service", "method", "capability_class", "auth_class"
+    )
+
+
+@query(
+    "profile_summary",
+    "SELECT 'ckan' AS platform, p_brand || '-' || p_partkey // 1000 AS profile_version, 'v3' AS platform_api_version, count(*) AS operations FROM part GROUP BY ALL",
+)
+def profile_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return capability.profile_summary(capability.load_profiles(spark, _profile_documents(spark, folder)))
+
+
 @query(
     "evidence_errors",
     """WITH e AS (SELECT 'ckan/part.' || CASE WHEN l_partkey % 30 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END AS operation_id,
