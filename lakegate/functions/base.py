@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,3 +41,12 @@ def contains_any(value: Column, parts: Iterable[str]) -> Column:
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times in ``body``.
+
+    Repeating a costly expression (a parse, a set of patterns) inside conditions defeats common-subexpression
+    elimination, and filters on derived columns inline it again; a bound lambda variable cannot be duplicated.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakegate.functions.base import ColumnOrName, case, col, contains_any, lookup
+from lakegate.functions.base import ColumnOrName, case, col, contains_any, let, lookup
 
 # Fixed values.
 MASK = "***"
@@ -61,6 +62,8 @@ _GENERIC = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?(
 
 
 class UrlParts(NamedTuple):
+    """Parts of a URL; missing ones are empty strings, a missing or invalid port is NULL."""
+
     scheme: Column
     netloc: Column
     path: Column
@@ -73,34 +76,55 @@ class UrlParts(NamedTuple):
     malformed: Column
 
 
-def split_url(url: ColumnOrName) -> UrlParts:
-    """Take a URL apart; missing parts are empty strings, a missing or invalid port is NULL."""
-    raw = F.translate(F.regexp_replace(col(url), r"^[\x00-\x20]+", ""), "\t\r\n", "")
-    netloc = F.regexp_extract(raw, _GENERIC, 2)
-    hostinfo = F.regexp_replace(netloc, "^.*@", "")
-    bracketed = hostinfo.contains("[")
-    host = F.lower(
-        F.when(bracketed, F.regexp_extract(hostinfo, r"\[([^\]]*)", 1)).otherwise(
-            F.regexp_extract(hostinfo, "^([^:]*)", 1)
+def url_struct(url: ColumnOrName) -> Column:
+    """The parts of a URL as one STRUCT, every pattern applied once (NULL for a NULL URL)."""
+
+    def generic(raw: Column) -> Column:
+        names = ("scheme", "netloc", "path", "query", "fragment")
+        return F.struct(*[F.regexp_extract(raw, _GENERIC, i + 1).alias(n) for i, n in enumerate(names)])
+
+    def with_host(u: Column) -> Column:
+        hostinfo = F.regexp_replace(u["netloc"], "^.*@", "")
+        bracketed = hostinfo.contains("[")
+        return F.struct(
+            u.alias("u"),
+            F.when(bracketed, F.regexp_extract(hostinfo, r"\[([^\]]*)", 1))
+            .otherwise(F.regexp_extract(hostinfo, "^([^:]*)", 1))
+            .alias("host"),
+            F.when(bracketed, F.regexp_extract(hostinfo, r"\][^:]*:(.*)$", 1))
+            .otherwise(F.regexp_extract(hostinfo, "^[^:]*:(.*)$", 1))
+            .alias("port_text"),
         )
-    )
-    port_text = F.when(bracketed, F.regexp_extract(hostinfo, r"\][^:]*:(.*)$", 1)).otherwise(
-        F.regexp_extract(hostinfo, "^[^:]*:(.*)$", 1)
-    )
-    port_number = F.when(port_text.rlike("^[0-9]{1,9}$"), port_text.try_cast("int"))
-    port = F.when(port_number <= 65535, port_number)
-    return UrlParts(
-        scheme=F.lower(F.regexp_extract(raw, _GENERIC, 1)),
-        netloc=netloc,
-        path=F.regexp_extract(raw, _GENERIC, 3),
-        query=F.regexp_extract(raw, _GENERIC, 4),
-        fragment=F.regexp_extract(raw, _GENERIC, 5),
-        userinfo=F.regexp_extract(netloc, "^(.*)@", 1),
-        host=host,
-        port=port,
-        bad_port=(port_text != "") & port.isNull(),
-        malformed=netloc.contains("[") != netloc.contains("]"),
-    )
+
+    def complete(r: Column) -> Column:
+        u, port_text = r["u"], r["port_text"]
+        number = F.when(port_text.rlike("^[0-9]{1,9}$"), port_text.try_cast("int"))
+        port = F.when(number <= 65535, number)
+        netloc = u["netloc"]
+        return F.struct(
+            F.lower(u["scheme"]).alias("scheme"),
+            netloc.alias("netloc"),
+            u["path"].alias("path"),
+            u["query"].alias("query"),
+            u["fragment"].alias("fragment"),
+            F.regexp_extract(netloc, "^(.*)@", 1).alias("userinfo"),
+            F.lower(r["host"]).alias("host"),
+            port.alias("port"),
+            ((port_text != "") & port.isNull()).alias("bad_port"),
+            (netloc.contains("[") != netloc.contains("]")).alias("malformed"),
+        )
+
+    raw = F.translate(F.regexp_replace(col(url), r"^[\x00-\x20]+", ""), "\t\r\n", "")
+    return let(raw, lambda r: let(generic(r), lambda u: let(with_host(u), complete)))
+
+
+def parts_of(struct: Column) -> UrlParts:
+    return UrlParts(*[struct[name] for name in UrlParts._fields])
+
+
+def with_parts(url: ColumnOrName, body: Callable[[UrlParts], Column]) -> Column:
+    """Take a URL apart once and build ``body`` from the parts."""
+    return let(url_struct(url), lambda u: body(parts_of(u)))
 
 
 def _percent_decoded(value: Column, plus_is_space: bool) -> Column:
@@ -154,33 +178,39 @@ def _host_and_port(p: UrlParts) -> Column:
 def sanitize_uri(url: ColumnOrName) -> Column:
     """URL fit for display: no user or password, secret query values masked, host in lower case."""
     url = col(url)
-    p = split_url(url)
-    netloc = F.when(p.host == "", F.regexp_replace(p.netloc, "^.*@", "")).otherwise(_host_and_port(p))
-    pairs = F.transform(
-        _query_pairs(p.query),
-        lambda kv: F.concat(
-            _form_encoded(kv["name"], True),
-            F.lit("="),
-            F.when(F.lower(kv["name"]).isin(*MASKED_QUERY_KEYS), F.lit(MASK)).otherwise(
-                _form_encoded(kv["value"], True)
+
+    def masked(p: UrlParts) -> Column:
+        netloc = F.when(p.host == "", F.regexp_replace(p.netloc, "^.*@", "")).otherwise(_host_and_port(p))
+        pairs = F.transform(
+            _query_pairs(p.query),
+            lambda kv: F.concat(
+                _form_encoded(kv["name"], True),
+                F.lit("="),
+                F.when(F.lower(kv["name"]).isin(*MASKED_QUERY_KEYS), F.lit(MASK)).otherwise(
+                    _form_encoded(kv["value"], True)
+                ),
             ),
-        ),
-    )
-    query = F.when(p.query == "", F.lit("")).otherwise(F.array_join(pairs, "&"))
-    clean = _joined(p.scheme, netloc, p.path, query, p.fragment)
-    return F.when((p.scheme == "") | p.malformed, url).otherwise(clean)
+        )
+        query = F.when(p.query == "", F.lit("")).otherwise(F.array_join(pairs, "&"))
+        clean = _joined(p.scheme, netloc, p.path, query, p.fragment)
+        return F.when((p.scheme == "") | p.malformed, url).otherwise(clean)
+
+    return with_parts(url, masked)
 
 
 def strip_query_credentials(url: ColumnOrName) -> Column:
     """URL without credential-like query pairs and without its fragment."""
-    p = split_url(url)
-    kept = F.filter(_query_pairs(p.query), lambda kv: ~contains_any(F.lower(kv["name"]), DROPPED_QUERY_PARTS))
-    pairs = F.transform(
-        kept, lambda kv: F.concat(_form_encoded(kv["name"], False), F.lit("="), _form_encoded(kv["value"], False))
-    )
-    query = F.when(p.query == "", F.lit("")).otherwise(F.array_join(pairs, "&"))
-    clean = _joined(p.scheme, p.netloc, p.path, query, F.lit(""))
-    return F.when(p.malformed, F.lit("<unparseable-redirect-target>")).otherwise(clean)
+
+    def stripped(p: UrlParts) -> Column:
+        kept = F.filter(_query_pairs(p.query), lambda kv: ~contains_any(F.lower(kv["name"]), DROPPED_QUERY_PARTS))
+        pairs = F.transform(
+            kept, lambda kv: F.concat(_form_encoded(kv["name"], False), F.lit("="), _form_encoded(kv["value"], False))
+        )
+        query = F.when(p.query == "", F.lit("")).otherwise(F.array_join(pairs, "&"))
+        clean = _joined(p.scheme, p.netloc, p.path, query, F.lit(""))
+        return F.when(p.malformed, F.lit("<unparseable-redirect-target>")).otherwise(clean)
+
+    return with_parts(url, stripped)
 
 
 def url_origin(url: ColumnOrName) -> Column:
@@ -190,36 +220,36 @@ def url_origin(url: ColumnOrName) -> Column:
     """
     url = col(url)
     has_scheme = url.startswith("http://") | url.startswith("https://")
-    p = split_url(F.when(has_scheme, url).otherwise(F.concat(F.lit("https://"), url)))
-    usable = (
-        (p.scheme == "https")
-        & (p.host != "")
-        & p.userinfo.rlike("^:?$")
-        & ~p.bad_port
-        & ~p.malformed
-    )
-    shown = F.when(p.port.isNull() | p.port.isin(80, 443), F.lit("")).otherwise(
-        F.concat(F.lit(":"), p.port.cast("string"))
-    )
-    return F.when(usable, F.concat(F.lit("https://"), p.host, shown))
+
+    def origin(p: UrlParts) -> Column:
+        usable = (p.scheme == "https") & (p.host != "") & p.userinfo.rlike("^:?$") & ~p.bad_port & ~p.malformed
+        shown = F.when(p.port.isNull() | p.port.isin(80, 443), F.lit("")).otherwise(
+            F.concat(F.lit(":"), p.port.cast("string"))
+        )
+        return F.when(usable, F.concat(F.lit("https://"), p.host, shown))
+
+    return with_parts(F.when(has_scheme, url).otherwise(F.concat(F.lit("https://"), url)), origin)
 
 
 def identity_scope(url: ColumnOrName, locator: ColumnOrName) -> Column:
     """Namespace of a resource id: authority of its URL, else its locator, else its path."""
     url, locator = col(url), col(locator)
-    p = split_url(url)
     has_url = F.coalesce(url != "", F.lit(False))
     has_locator = F.coalesce(locator != "", F.lit(False))
-    authority = F.lower(F.regexp_replace(p.netloc, "^.*@", ""))
-    return case(
-        [
-            (has_url & (p.scheme != "") & (p.netloc != ""), F.concat(p.scheme, F.lit("://"), authority)),
-            (has_locator, F.concat(F.lit("local:"), locator)),
-            (has_url & (p.scheme != "") & (p.path != ""), F.concat(p.scheme, F.lit(":"), p.path)),
-            (has_url & (p.path != ""), F.concat(F.lit("path:"), p.path)),
-        ],
-        F.lit("local"),
-    )
+
+    def scope(p: UrlParts) -> Column:
+        authority = F.lower(F.regexp_replace(p.netloc, "^.*@", ""))
+        return case(
+            [
+                (has_url & (p.scheme != "") & (p.netloc != ""), F.concat(p.scheme, F.lit("://"), authority)),
+                (has_locator, F.concat(F.lit("local:"), locator)),
+                (has_url & (p.scheme != "") & (p.path != ""), F.concat(p.scheme, F.lit(":"), p.path)),
+                (has_url & (p.path != ""), F.concat(F.lit("path:"), p.path)),
+            ],
+            F.lit("local"),
+        )
+
+    return with_parts(url, scope)
 
 
 def canonical_identity(resource_id: ColumnOrName, url: ColumnOrName, locator: ColumnOrName) -> Column:
@@ -229,25 +259,21 @@ def canonical_identity(resource_id: ColumnOrName, url: ColumnOrName, locator: Co
 def destination_identity(uri: ColumnOrName) -> Column:
     """Digest of a destination without credentials, query, fragment or trailing slash."""
     uri = col(uri)
-    p = split_url(uri)
-    authority = F.when(p.host == "", F.lower(F.regexp_replace(p.netloc, "^.*@", ""))).otherwise(
-        F.when(p.port.isNull(), p.host).otherwise(F.concat(p.host, F.lit(":"), p.port.cast("string")))
-    )
-    path = F.regexp_replace(p.path, "/+$", "")
-    bare = F.regexp_replace(F.regexp_replace(uri, "(?s)[?#].*$", ""), "/+$", "")
-    scope = case(
-        [
-            (p.scheme != "", F.concat(p.scheme, F.lit("://"), authority, path)),
-            (path != "", path),
-        ],
-        bare,
-    )
-    return F.sha2(scope, 256)
 
+    def scope(p: UrlParts) -> Column:
+        authority = F.when(p.host == "", F.lower(F.regexp_replace(p.netloc, "^.*@", ""))).otherwise(
+            F.when(p.port.isNull(), p.host).otherwise(F.concat(p.host, F.lit(":"), p.port.cast("string")))
+        )
+        path = F.regexp_replace(p.path, "/+$", "")
+        bare = F.regexp_replace(F.regexp_replace(uri, "(?s)[?#].*$", ""), "/+$", "")
+        return case(
+            [(p.scheme != "", F.concat(p.scheme, F.lit("://"), authority, path)), (path != "", path)], bare
+        )
 
-def route_access(url: ColumnOrName) -> Column:
-    """How the bytes behind a locator are reached."""
-    scheme = split_url(url).scheme
+    return F.sha2(with_parts(uri, scope), 256)
+
+
+def _access_kind(scheme: Column) -> Column:
     return case(
         [
             (scheme.isNull(), F.lit(None).cast("string")),
@@ -258,19 +284,37 @@ def route_access(url: ColumnOrName) -> Column:
     )
 
 
+def route_access(url: ColumnOrName) -> Column:
+    """How the bytes behind a locator are reached."""
+    return with_parts(url, lambda p: _access_kind(p.scheme))
+
+
 def file_name(url: ColumnOrName) -> Column:
     """Last path segment, percent-decoded; NULL when there is none."""
     url = col(url)
-    p = split_url(url)
-    path = unquote(F.when(p.path == "", url).otherwise(p.path))
-    trimmed = F.regexp_replace(path, r"(?s)(?:/\.?)+$", "")
-    return F.nullif(F.regexp_extract(trimmed, "(?s)([^/]*)$", 1), F.lit(""))
+
+    def name(p: UrlParts) -> Column:
+        path = unquote(F.when(p.path == "", url).otherwise(p.path))
+        trimmed = F.regexp_replace(path, r"(?s)(?:/\.?)+$", "")
+        return F.nullif(F.regexp_extract(trimmed, "(?s)([^/]*)$", 1), F.lit(""))
+
+    return with_parts(url, name)
 
 
 def format_from_url(url: ColumnOrName) -> Column:
     """Upper-case extension of the URL path; NULL when it has none."""
-    name = F.regexp_extract(F.regexp_replace(split_url(url).path, "/+$", ""), "(?s)([^/]*)$", 1)
-    return F.nullif(F.upper(F.regexp_extract(name, r"(?s)[^.].*?\.([^.]+)$", 1)), F.lit(""))
+
+    def extension(p: UrlParts) -> Column:
+        name = F.regexp_extract(F.regexp_replace(p.path, "/+$", ""), "(?s)([^/]*)$", 1)
+        return F.nullif(F.upper(F.regexp_extract(name, r"(?s)[^.].*?\.([^.]+)$", 1)), F.lit(""))
+
+    return with_parts(url, extension)
+
+
+def local_path(url: ColumnOrName) -> Column:
+    """Decoded path of a ``file:`` URL, any other URL as it is."""
+    url = col(url)
+    return with_parts(url, lambda p: F.when(p.scheme == "file", unquote(p.path)).otherwise(url))
 
 
 def normalize_format(raw: ColumnOrName) -> Column:
@@ -295,37 +339,39 @@ def has_parent_segment(path: ColumnOrName) -> Column:
 def is_safe_destination(uri: ColumnOrName) -> Column:
     """Short, printable, and free of user data, query and fragment."""
     uri = col(uri)
-    p = split_url(uri)
+    clean = with_parts(
+        uri,
+        lambda p: ~p.netloc.contains("@") & (p.query == "") & (p.fragment == "") & ~p.malformed,
+    )
     return F.coalesce(
-        (uri != "")
-        & (F.length(uri) <= 4096)
-        & ~uri.rlike(r"[\x00-\x1f]")
-        & ~p.netloc.contains("@")
-        & (p.query == "")
-        & (p.fragment == "")
-        & ~p.malformed,
-        F.lit(False),
+        (uri != "") & (F.length(uri) <= 4096) & ~uri.rlike(r"[\x00-\x1f]") & clean, F.lit(False)
     )
 
 
-def url_decision(url: ColumnOrName) -> tuple[Column, Column]:
-    """Access kind and reject reason of a catalog resource URL (stricter than :func:`route_access`)."""
+def url_decision(url: ColumnOrName) -> Column:
+    """STRUCT of access kind, locator and reject reason of a catalog resource URL (stricter than :func:`route_access`)."""
     url = col(url)
-    p = split_url(url)
-    local = p.scheme.isin("", "file")
-    kind = case(
-        [
-            (p.scheme.isin("http", "https"), F.lit("http_download")),
-            (p.scheme.isin(*OBJECT_STORE_SCHEMES), F.lit("object_storage")),
-            (local & p.netloc.isin("", "localhost"), F.lit("local_file")),
-        ]
-    )
-    reason = case(
-        [
-            (url.isNull(), F.lit("missing url")),
-            (kind.isNotNull(), F.lit(None).cast("string")),
-            (local, F.lit("unsupported host")),
-        ],
-        F.lit("unsupported scheme"),
-    )
-    return kind, reason
+
+    def decide(p: UrlParts) -> Column:
+        local = p.scheme.isin("", "file")
+        kind = case(
+            [
+                (p.scheme.isin("http", "https"), F.lit("http_download")),
+                (p.scheme.isin(*OBJECT_STORE_SCHEMES), F.lit("object_storage")),
+                (local & p.netloc.isin("", "localhost"), F.lit("local_file")),
+            ]
+        )
+        reason = case(
+            [
+                (url.isNull(), F.lit("missing url")),
+                (kind.isNotNull(), F.lit(None).cast("string")),
+                (local, F.lit("unsupported host")),
+            ],
+            F.lit("unsupported scheme"),
+        )
+        locator = F.when(local, unquote(p.path)).otherwise(url)
+        return F.struct(
+            kind.alias("access_kind"), F.when(kind.isNotNull(), locator).alias("locator"), reason.alias("reject_reason")
+        )
+
+    return with_parts(url, decide)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lakegate.functions.base import ColumnOrName, case, col, lookup
 from lakegate.functions.rules import parse_operation_id
-from lakegate.functions.urls import split_url, url_origin
+from lakegate.functions.urls import parts_of, url_origin, url_struct, with_parts
 from lakegate.operators.violations import violations
 from lakegate.sources.files import file_digests, list_files
 
@@ -236,16 +236,16 @@ def spec_violations(operations: DataFrame) -> DataFrame:
 
 def evidence_violations(evidence: DataFrame, url: str, target: str, keys: Sequence[str]) -> DataFrame:
     """Evidence must come from a clean HTTPS URL on the origin it claims to describe."""
-    p = split_url(url)
+    p = parts_of(F.col("_u"))
     return violations(
-        evidence,
+        evidence.select(*keys, url_struct(url).alias("_u"), url_origin(url).alias("_o"), url_origin(target).alias("_t")),
         {
             "https": p.scheme == "https",
             "host": p.netloc != "",
             "no user data": ~p.netloc.contains("@"),
             "no query": p.query == "",
             "no fragment": p.fragment == "",
-            "same origin": url_origin(url) == url_origin(target),
+            "same origin": F.col("_o") == F.col("_t"),
         },
         keys,
     )
@@ -253,21 +253,23 @@ def evidence_violations(evidence: DataFrame, url: str, target: str, keys: Sequen
 
 def fingerprint_pages(pages: DataFrame, url: str, html: str) -> DataFrame:
     """One row per page and matching signature, from an inline table of nine signatures."""
-    path = split_url(url).path
-    signs = [
-        F.when(path.contains(s), F.struct(F.lit("path").alias("kind"), F.lit(s).alias("sign"), F.lit(p).alias("platform")))
-        for s, p in PATH_SIGNATURES.items()
-    ] + [
-        F.when(
-            F.col(html).contains(s),
-            F.struct(F.lit("page").alias("kind"), F.lit(s).alias("sign"), F.lit(p).alias("platform")),
+
+    def signs(path: Column) -> Column:
+        found = [(path, "path", PATH_SIGNATURES), (F.col(html), "page", PAGE_SIGNATURES)]
+        return F.array(
+            *[
+                F.when(
+                    text.contains(sign),
+                    F.struct(F.lit(kind).alias("kind"), F.lit(sign).alias("sign"), F.lit(platform).alias("platform")),
+                )
+                for text, kind, table in found
+                for sign, platform in table.items()
+            ]
         )
-        for s, p in PAGE_SIGNATURES.items()
-    ]
+
     others = [c for c in pages.columns if c != html]
-    return pages.select(*others, F.explode(F.filter(F.array(*signs), lambda s: s.isNotNull())).alias("s")).select(
-        *others, "s.*"
-    )
+    matches = F.filter(with_parts(url, lambda p: signs(p.path)), lambda s: s.isNotNull())
+    return pages.select(*others, F.inline(matches))
 
 
 def detection_rollup(evidence: DataFrame, origin: str = "origin") -> DataFrame:

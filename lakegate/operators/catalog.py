@@ -11,8 +11,16 @@ from pyspark.sql import types as T
 from lakegate.errors import TransformFailure
 from lakegate.functions.base import case, col, quoted
 from lakegate.functions.rules import sanitize_table_name, valid_namespace
-from lakegate.functions.urls import canonical_identity, file_name, format_from_url, route_access, sanitize_uri, split_url, unquote, url_decision
-from lakegate.operators.violations import split_valid
+from lakegate.operators.violations import checked_documents, exactly
+from lakegate.functions.urls import (
+    canonical_identity,
+    file_name,
+    format_from_url,
+    local_path,
+    route_access,
+    sanitize_uri,
+    url_decision,
+)
 
 # Fixed values.
 ENVELOPE_KEYS = ("schema_version", "kind", "items", "page", "warnings", "platform")
@@ -26,41 +34,26 @@ RECORD_KEYS = {
 RESERVED_TABLE = "resources"
 
 
-def closed_keys(document: Column, keys: Sequence[str]) -> Column:
-    """Exactly these keys at the top of a JSON object."""
-    found = F.json_object_keys(document)
-    wanted = F.array(*[F.lit(k) for k in keys])
-    return (F.size(found) == len(keys)) & (F.size(F.array_except(found, wanted)) == 0)
+def decode_envelopes(pages: DataFrame, document: str) -> tuple[DataFrame, DataFrame]:
+    """Page documents to one row per item, and the pages that break the contract."""
 
+    def build(d: Column, keys: Column):
+        return {"items": d["items"]}, [
+            ("keys", exactly(keys, ENVELOPE_KEYS)),
+            ("schema version or kind", (d["schema_version"] == 1) & (d["kind"] == "result_envelope")),
+            ("items", d["items"].isNotNull()),
+            ("warnings", d["warnings"].isNotNull()),
+        ]
 
-def _is_kind(document: Column, kind: str) -> Column:
-    node = F.try_parse_json(document)
-    version = F.try_variant_get(node, "$.schema_version", "variant")
-    return (
-        (F.schema_of_variant(version) == "BIGINT")
-        & (F.try_variant_get(node, "$.schema_version", "bigint") == 1)
-        & (F.try_variant_get(node, "$.kind", "string") == kind)
-    )
+    schema = "schema_version bigint, kind string, items array<variant>, warnings array<variant>"
+    good, bad = checked_documents(pages, document, schema, build)
+    others = [c for c in good.columns if c != "items"]
+    return good.select(*others, F.posexplode("items").alias("item_index", "_item")).select(
+        *others, "item_index", F.to_json("_item").alias("item")
+    ), bad
 
 
-def decode_envelopes(pages: DataFrame, document: str) -> tuple[DataFrame, DataFrame]:
-    """Page documents to one row per item, and the pages that break the contract."""
-    doc = F.col(document)
-    node = F.try_parse_json(doc)
-    good, bad = split_valid(
-        pages,
-        {
-            "keys": closed_keys(doc, ENVELOPE_KEYS),
-            "schema version or kind": _is_kind(doc, "result_envelope"),
-            "items": F.schema_of_variant(F.try_variant_get(node, "$.items", "variant")).startswith("ARRAY"),
-            "warnings": F.schema_of_variant(F.try_variant_get(node, "$.warnings", "variant")).startswith("ARRAY"),
-        },
-    )
-    others = [c for c in pages.columns if c != document]
-    items = F.try_variant_get(F.try_parse_json(doc), "$.items", "array<variant>")
-    return good.select(*others, F.posexplode(items).alias("item_index", "item")).withColumn(
-        "item", F.to_json("item")
-    ), bad
+_ID = "struct<platform:string,resource_kind:string,value:string>"
 
 
 def records(items: DataFrame, item: str, kind: str) -> tuple[DataFrame, DataFrame]:
@@ -68,39 +61,39 @@ def records(items: DataFrame, item: str, kind: str) -> tuple[DataFrame, DataFram
 
     The payload and extensions stay VARIANT, so nothing of them is lost.
     """
-    doc = F.col(item)
-    node = F.try_parse_json(doc)
-
-    def at(path: str, kind_: str = "string") -> Column:
-        return F.try_variant_get(node, path, kind_)
-
-    rules = {
-        "keys": closed_keys(doc, RECORD_KEYS[kind]),
-        "schema version or kind": _is_kind(doc, "native_record" if kind == "native" else kind),
-        "extensions": F.forall(F.map_keys(at("$.extensions", "map<string,variant>")), valid_namespace),
-    }
-    if kind == "native":
-        rules["id"] = (at("$.id.platform") == at("$.platform")) & (at("$.id.resource_kind") == at("$.resource_kind"))
-    else:
-        rules["id"] = at("$.id.resource_kind") == kind
-    if kind in ("dataset", "resource", "organization"):
-        rules["name"] = F.coalesce(at("$.name"), F.lit("")) != ""
-    if kind == "user":
-        rules["name"] = F.coalesce(at("$.username"), F.lit("")) != ""
-    if kind == "resource":
-        rules["dataset"] = at("$.dataset_id.resource_kind") == "dataset"
-        rules["same platform"] = at("$.dataset_id.platform") == at("$.id.platform")
-    good, bad = split_valid(items, rules)
-    others = [c for c in items.columns if c != item]
-    columns = {"platform": at("$.id.platform"), "id": at("$.id.value")}
-    for key in RECORD_KEYS[kind]:
-        if key in ("name", "description", "url", "username", "display_name", "resource_kind"):
-            columns[key] = at(f"$.{key}")
-        if key in ("extensions", "payload"):
-            columns[key] = at(f"$.{key}", "variant")
-        if key == "dataset_id":
-            columns[key] = at("$.dataset_id.value")
-    return good.select(*others, *[c.alias(n) for n, c in columns.items()]), bad
+    keys = RECORD_KEYS[kind]
+    types = {"schema_version": "bigint", "id": _ID, "dataset_id": _ID, "extensions": "map<string,variant>", "payload": "variant"}
+    schema = ", ".join(f"{k} {types.get(k, 'string')}" for k in keys)
+    envelope = "native_record" if kind == "native" else kind
+
+    def build(d: Column, found: Column):
+        rules = [
+            ("keys", exactly(found, keys)),
+            ("schema version or kind", (d["schema_version"] == 1) & (d["kind"] == envelope)),
+            ("extensions", F.forall(F.map_keys(d["extensions"]), valid_namespace)),
+        ]
+        if kind == "native":
+            rules.append(
+                ("id", (d["id"]["platform"] == d["platform"]) & (d["id"]["resource_kind"] == d["resource_kind"]))
+            )
+        else:
+            rules.append(("id", d["id"]["resource_kind"] == kind))
+        if kind in ("dataset", "resource", "organization"):
+            rules.append(("name", F.coalesce(d["name"], F.lit("")) != ""))
+        if kind == "user":
+            rules.append(("name", F.coalesce(d["username"], F.lit("")) != ""))
+        if kind == "resource":
+            rules.append(("dataset", d["dataset_id"]["resource_kind"] == "dataset"))
+            rules.append(("same platform", d["dataset_id"]["platform"] == d["id"]["platform"]))
+        columns = {"platform": d["id"]["platform"], "id": d["id"]["value"]}
+        for key in keys:
+            if key == "dataset_id":
+                columns[key] = d[key]["value"]
+            elif key not in ("schema_version", "kind", "id", "platform"):
+                columns[key] = d[key]
+        return columns, rules
+
+    return checked_documents(items, item, schema, build)
 
 
 def bad_extension_keys(df: DataFrame, extensions: str, keys: Sequence[str]) -> DataFrame:
@@ -131,34 +124,29 @@ def page_chain(pages: DataFrame) -> DataFrame:
 
 def resolve_locators(locators: DataFrame, uri: str) -> DataFrame:
     """Locators to resource rows: id, name, URL for display, format, access kind and where the bytes are."""
-    shown = sanitize_uri(uri)
-    kind = route_access(uri)
-    scheme = split_url(uri).scheme
-    locator = F.when(scheme == "file", unquote(split_url(uri).path)).otherwise(F.col(uri))
     return locators.select(
         *locators.columns,
-        F.sha2(shown, 256).alias("resource_id"),
+        F.sha2(sanitize_uri(uri), 256).alias("resource_id"),
         file_name(uri).alias("name"),
         F.coalesce(format_from_url(uri), F.lit("CSV")).alias("format"),
-        kind.alias("access_kind"),
-        locator.alias("locator"),
+        route_access(uri).alias("access_kind"),
+        local_path(uri).alias("locator"),
     )
 
 
 def records_to_resources(df: DataFrame, record_id: str, url: str) -> DataFrame:
     """Catalog resource records to data resources; unusable URLs carry a reject reason."""
-    kind, reason = url_decision(url)
-    local = kind == "local_file"
-    locator = F.when(local, unquote(split_url(url).path)).otherwise(F.col(url))
-    return df.select(
+    decided = df.select("*", url_decision(url).alias("_d")).select(*df.columns, "_d.*")
+    remote = F.col("access_kind") != "http_download"
+    return decided.select(
         *df.columns,
-        kind.alias("access_kind"),
-        F.when(kind.isNotNull(), locator).alias("locator"),
+        "access_kind",
+        "locator",
         F.when(
-            kind.isNotNull(),
-            canonical_identity(F.col(record_id).cast("string"), url, F.when(kind != "http_download", locator)),
+            F.col("access_kind").isNotNull(),
+            canonical_identity(F.col(record_id).cast("string"), url, F.when(remote, F.col("locator"))),
         ).alias("identity"),
-        reason.alias("reject_reason"),
+        "reject_reason",
     )
 
 

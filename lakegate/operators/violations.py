@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# (parsed document, its top-level keys) -> output columns and ordered rules
+Build = Callable[[Column, Column], tuple[dict[str, Column], list[tuple[str, Column]]]]
+
+
 def violations(df: DataFrame, rules: Mapping[str, Column], keys: Sequence[str]) -> DataFrame:
     """One row per broken rule: the key columns and the rule's name.
 
@@ -20,8 +24,30 @@ def violations(df: DataFrame, rules: Mapping[str, Column], keys: Sequence[str])
     return df.select(*keys, F.explode(broken).alias("rule"))
 
 
-def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep every rule, and the others with a ``reject_reason``."""
-    reason = F.coalesce(*[F.when(~F.coalesce(p, F.lit(False)), F.lit(n)) for n, p in rules.items()])
-    tagged = df.withColumn("reject_reason", reason)
-    return tagged.where("reject_reason IS NULL").drop("reject_reason"), tagged.where("reject_reason IS NOT NULL")
+def checked_documents(df: DataFrame, document: str, schema: str, build: Build) -> tuple[DataFrame, DataFrame]:
+    """Parse every document once and split the rows into good ones and rejects.
+
+    ``build(parsed, keys)`` returns the output columns and the rules in order. Rows are kept or dropped by a generator
+    over the one parsed value, so no filter can inline the parse a second time. Typed parsing is strict: a number of
+    the wrong kind, or a text where a number belongs, reads as NULL and breaks its rule.
+    """
+    others = [c for c in df.columns if c != document]
+    parsed = F.struct(
+        F.from_json(document, schema, {"mode": "PERMISSIVE"}).alias("d"), F.json_object_keys(document).alias("k")
+    )
+
+    def row(r: Column) -> Column:
+        columns, rules = build(r["d"], r["k"])
+        reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules])
+        return F.struct(*[c.alias(n) for n, c in columns.items()], reason.alias("reject_reason"))
+
+    rows = F.transform(F.array(parsed), row)
+    good = df.select(*others, F.inline(F.filter(rows, lambda r: r["reject_reason"].isNull()))).drop("reject_reason")
+    rejects = F.transform(F.filter(rows, lambda r: r["reject_reason"].isNotNull()), lambda r: r["reject_reason"])
+    return good, df.select("*", F.explode(rejects).alias("reject_reason"))
+
+
+def exactly(keys: Column, wanted: Sequence[str]) -> Column:
+    return (F.size(keys) == len(wanted)) & (
+        F.size(F.array_except(keys, F.array(*[F.lit(k) for k in wanted]))) == 0
+    )

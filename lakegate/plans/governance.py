@@ -67,7 +67,7 @@ def declared_states(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _profile_documents(spark: SparkSession, folder: str) -> str:
-    """One profile document per brand, its parts as operations."""
+    """One profile document per block of parts, the parts as operations."""
     path = scratch_path(spark, "profiles")
     operation = F.struct(
         F.concat(F.lit("ckan/"), F.when(F.col("p_partkey") % 2 == 0, F.lit("part.")).otherwise(F.lit("")), F.col("p_partkey")).alias("id"),
@@ -76,25 +76,25 @@ def _profile_documents(spark: SparkSession, folder: str) -> str:
         F.lit("read").alias("mutation"),
         F.lit("anonymous-read").alias("evidence_requirement"),
     )
-    documents = table(spark, folder, "part").groupBy("p_brand", F.expr("p_partkey div 1000").alias("block")).agg(
+    documents = table(spark, folder, "part").groupBy(F.expr("p_partkey div 4000").alias("block")).agg(
         F.collect_list(operation).alias("operations")
     )
     document = F.struct(
         F.lit("1.0").alias("schema_version"),
-        F.concat_ws("-", "p_brand", "block").alias("profile_version"),
+        F.concat(F.lit("v"), F.col("block")).alias("profile_version"),
         F.lit("ckan").alias("platform"),
         F.lit("v3").alias("platform_api_version"),
-        F.md5("p_brand").alias("fixture_fingerprint"),
+        F.md5(F.col("block").cast("string")).alias("fixture_fingerprint"),
         "operations",
     )
-    rows = documents.select(F.concat_ws("-", "p_brand", "block").alias("bucket"), F.to_json(document).alias("doc"))
+    rows = documents.select(F.col("block").alias("bucket"), F.to_json(document).alias("doc"))
     rows.write.partitionBy("bucket").text(path)
     return path
 
 
 @query(
     "load_profiles",
-    f"""SELECT 'ckan/' || CASE WHEN p_partkey % 2 = 0 THEN 'part.' ELSE '' END || p_partkey AS operation_id, p_brand || '-' || p_partkey // 1000 AS profile_version,
+    f"""SELECT 'ckan/' || CASE WHEN p_partkey % 2 = 0 THEN 'part.' ELSE '' END || p_partkey AS operation_id, 'v' || p_partkey // 4000 AS profile_version,
           CASE WHEN p_partkey % 2 = 0 THEN 'part' ELSE 'profile' END AS service, CAST(p_partkey AS VARCHAR) AS method,
           {_sql_pick(_CLASSES, 'p_partkey % 4')} AS capability_class, CASE WHEN p_partkey % 3 = 0 THEN 'authenticated' ELSE 'public' END AS auth_class FROM part""",
 )
@@ -106,7 +106,7 @@ def load_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "profile_summary",
-    "SELECT 'ckan' AS platform, p_brand || '-' || p_partkey // 1000 AS profile_version, 'v3' AS platform_api_version, count(*) AS operations FROM part GROUP BY ALL",
+    "SELECT 'ckan' AS platform, 'v' || p_partkey // 4000 AS profile_version, 'v3' AS platform_api_version, count(*) AS operations FROM part GROUP BY ALL",
 )
 def profile_summary(spark: SparkSession, folder: str) -> DataFrame:
     return capability.profile_summary(capability.load_profiles(spark, _profile_documents(spark, folder)))
@@ -258,7 +258,7 @@ def page_platforms(spark: SparkSession, folder: str) -> DataFrame:
     found = capability.fingerprint_pages(_signed_pages(spark, folder), "url", "html").select(
         url_origin("url").alias("origin"), "platform", F.lit(True).alias("matched")
     )
-    return capability.detection_rollup(found.where("origin IS NOT NULL")).select("origin", "platform", "matches")
+    return capability.detection_rollup(found).where("origin IS NOT NULL").select("origin", "platform", "matches")
 
 
 @query(

@@ -556,8 +556,8 @@ def artifact_manifest(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("parquet").alias("mode"),
         F.array(F.lit("Filter")).alias("transforms"),
     )
-    decoded = sinks.decode_manifest(sinks.encode_manifest(rows), "document")
-    return decoded.where("reject_reason IS NULL").select("uri", "size", "mode", "content_digest")
+    decoded, _ = sinks.decode_manifest(sinks.encode_manifest(rows).select("document"), "document")
+    return decoded.select("uri", "size", "mode", "content_digest")
 
 
 @query(

@@ -151,8 +151,7 @@ def destination_identity(spark: SparkSession, folder: str) -> DataFrame:
 )
 def resolve_locators(spark: SparkSession, folder: str) -> DataFrame:
     plain = dressed_urls(spark, folder)
-    p = urls.split_url("url")
-    clean = plain.where(p.netloc == F.lower(F.regexp_replace(p.netloc, "^.*@", "")))
+    clean = plain.where(urls.with_parts("url", lambda p: p.netloc == F.lower(F.regexp_replace(p.netloc, "^.*@", ""))))
     return resolve(clean, "url").select("page_id", "name", "format", "access_kind", "locator")
 
 
@@ -557,9 +556,9 @@ def parse_operation_id(spark: SparkSession, folder: str) -> DataFrame:
     UNION ALL SELECT page_id, 'no fragment' FROM h WHERE fragment <> ''""",
 )
 def url_rules(spark: SparkSession, folder: str) -> DataFrame:
-    p = urls.split_url("url")
+    p = urls.parts_of(F.col("_u"))
     return violations(
-        dressed_urls(spark, folder),
+        dressed_urls(spark, folder).select("page_id", urls.url_struct("url").alias("_u")),
         {
             "web scheme": p.scheme.isin("http", "https"),
             "no user data": ~p.netloc.contains("@"),

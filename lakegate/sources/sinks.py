@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakegate.errors import IntakeError
 from lakegate.functions.rules import valid_identifier
 from lakegate.functions.urls import destination_identity, sanitize_uri
-from lakegate.operators.catalog import closed_keys
+from lakegate.operators.violations import checked_documents, exactly
 from lakegate.operators.digest import fingerprint_of
 from lakegate.operators.transforms import Steps
 from lakegate.sources.files import file_digests, list_files
@@ -153,37 +153,39 @@ def load_replace(tables: Mapping[str, DataFrame], database: str | None = None) -
     return written
 
 
-def decode_manifest(rows: DataFrame, document: str) -> DataFrame:
-    """Artifact envelopes (JSON) to manifest rows; a broken one carries a reject reason."""
-    node = F.try_parse_json(document)
-
-    def at(path: str, kind: str = "string") -> Column:
-        return F.try_variant_get(node, path, kind)
-
-    rules: Sequence[tuple[str, Column]] = (
-        ("keys", closed_keys(F.col(document), ARTIFACT_KEYS)),
-        ("schema version", F.schema_of_variant(at("$.schema_version", "variant")) == "BIGINT"),
-        ("schema version", at("$.schema_version", "int") == 1),
-        ("kind", at("$.kind") == "artifact"),
-        ("uri", at("$.uri") != ""),
-        ("media type", at("$.media_type") != ""),
-        ("size", (F.schema_of_variant(at("$.size", "variant")) == "BIGINT") & (at("$.size", "bigint") >= 0)),
-        ("digest", at("$.content_digest.value").isNotNull() & at("$.blob_digest.value").isNotNull()),
-    )
-    reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules])
-    return rows.select(
-        at("$.uri").alias("uri"),
-        at("$.media_type").alias("media_type"),
-        at("$.size", "bigint").alias("size"),
-        at("$.content_digest.value").alias("content_digest"),
-        at("$.blob_digest.value").alias("blob_digest"),
-        at("$.provenance.resource_identity").alias("resource_identity"),
-        F.try_to_timestamp(at("$.provenance.created_at")).alias("created_at"),
-        at("$.provenance.materialization_mode").alias("mode"),
-        at("$.provenance.transforms", "array<string>").alias("transforms"),
-        reason.alias("reject_reason"),
+def decode_manifest(rows: DataFrame, document: str) -> tuple[DataFrame, DataFrame]:
+    """Artifact envelopes (JSON) to manifest rows, and the rejected documents with the first broken rule."""
+    schema = (
+        "schema_version bigint, kind string, uri string, media_type string, size bigint,"
+        " content_digest struct<algorithm:string,value:string>, blob_digest struct<algorithm:string,value:string>,"
+        " provenance struct<resource_identity:string,created_at:string,materialization_mode:string,transforms:array<string>>"
     )
 
+    def build(d: Column, keys: Column):
+        p = d["provenance"]
+        columns = {
+            "uri": d["uri"],
+            "media_type": d["media_type"],
+            "size": d["size"],
+            "content_digest": d["content_digest"]["value"],
+            "blob_digest": d["blob_digest"]["value"],
+            "resource_identity": p["resource_identity"],
+            "created_at": F.try_to_timestamp(p["created_at"]),
+            "mode": p["materialization_mode"],
+            "transforms": p["transforms"],
+        }
+        return columns, [
+            ("keys", exactly(keys, ARTIFACT_KEYS)),
+            ("schema version", d["schema_version"] == 1),
+            ("kind", d["kind"] == "artifact"),
+            ("uri", d["uri"] != ""),
+            ("media type", d["media_type"] != ""),
+            ("size", d["size"] >= 0),
+            ("digest", d["content_digest"]["value"].isNotNull() & d["blob_digest"]["value"].isNotNull()),
+        ]
+
+    return checked_documents(rows, document, schema, build)
+
 
 def encode_manifest(artifacts: DataFrame) -> DataFrame:
     """Manifest rows to artifact envelopes."""
