@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from lakegate.operators.ordering import with_row_number
 
 LANES = (1, 16, 31, 46)
 LANE_DIGITS = 15
+LIMBS, LIMB_BITS = 3, 20
 FAN_IN = 4096
 
 
@@ -53,12 +55,32 @@ def row_digest(schema: T.StructType) -> Column:
     return F.sha2(F.concat(*[encode_value(F.col(quoted(f.name)), f.dataType) for f in schema.fields]), 256)
 
 
-def _lane_sums(digest: Column) -> list[Column]:
-    """Sums of four parts of the row digests: commutative and mergeable, so partial aggregation does the work."""
-    lanes = [
-        F.conv(F.substring(digest, start, LANE_DIGITS), 16, 10).cast("decimal(38,0)") for start in LANES
-    ]
-    return [F.coalesce(F.sum(lane), F.lit(0).cast("decimal(38,0)")).cast("string") for lane in lanes]
+def lane_sums(digest: Column) -> dict[str, Column]:
+    """Sums of four 60-bit parts of hex digests: commutative and mergeable, so partial aggregation does the work.
+
+    Each part is added up as three 20-bit limbs in plain 64-bit integers, which cannot overflow below 2**43 rows and
+    is much faster than decimal sums. :func:`lane_totals` puts the limbs together again.
+    """
+    sums = {}
+    for lane, start in enumerate(LANES):
+        part = F.conv(F.substring(digest, start, LANE_DIGITS), 16, 10).cast("bigint")
+        for limb in range(LIMBS):
+            bits = F.shiftright(part, LIMB_BITS * limb).bitwiseAND((1 << LIMB_BITS) - 1)
+            sums[f"_l{lane}_{limb}"] = F.coalesce(F.sum(bits), F.lit(0))
+    return sums
+
+
+def lane_totals() -> list[Column]:
+    """The lane sums as decimal texts."""
+
+    def total(lane: int) -> Column:
+        limbs = [
+            F.col(f"_l{lane}_{limb}").cast("decimal(20,0)") * F.lit(1 << (LIMB_BITS * limb)).cast("decimal(14,0)")
+            for limb in range(LIMBS)
+        ]
+        return reduce(lambda a, b: a + b, limbs).cast("decimal(38,0)").cast("string")
+
+    return [total(lane) for lane in range(len(LANES))]
 
 
 def table_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -70,22 +92,13 @@ def table_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     described = schema_fingerprint(df.schema)
     body = T.StructType([f for f in df.schema.fields if f.name not in by])
     hashed = df.select(*[F.col(quoted(c)) for c in by], row_digest(body).alias("_h"))
-    lanes = _lane_sums(F.col("_h"))
-    return (
-        hashed.groupBy(*[F.col(quoted(c)) for c in by])
-        .agg(F.count(F.lit(1)).alias("row_count"), *[lane.alias(f"_l{i}") for i, lane in enumerate(lanes)])
-        .select(
-            *by,
-            "row_count",
-            F.sha2(
-                F.concat_ws(
-                    "|", F.lit(described), F.col("row_count").cast("string"), *[f"_l{i}" for i in range(len(LANES))]
-                ),
-                256,
-            ).alias("content_digest"),
-            *[F.col(f"_l{i}").alias(f"lane_{i}") for i in range(len(LANES))],
-        )
+    summed = hashed.groupBy(*[F.col(quoted(c)) for c in by]).agg(
+        F.count(F.lit(1)).alias("row_count"), *[c.alias(n) for n, c in lane_sums(F.col("_h")).items()]
     )
+    lanes = [f"lane_{i}" for i in range(len(LANES))]
+    totals = summed.select(*by, "row_count", *[t.alias(n) for n, t in zip(lanes, lane_totals(), strict=True)])
+    digest = F.sha2(F.concat_ws("|", F.lit(described), F.col("row_count").cast("string"), *lanes), 256)
+    return totals.select(*by, "row_count", digest.alias("content_digest"), *lanes)
 
 
 def fingerprint_of(df: DataFrame) -> tuple[int, str]:

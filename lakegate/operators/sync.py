@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 from lakegate.functions.base import case
 from lakegate.functions.rules import is_sha256, valid_watermark
 from lakegate.functions.urls import is_safe_destination
-from lakegate.operators.violations import violations
+from lakegate.operators.violations import checked_documents, exactly, violations
 
 # Fixed values.
 UNSUPPORTED_ACCESS = ("query", "stream")
 CHECKPOINTED_ACCESS = ("local_file", "object_storage")
 
+CHECKPOINT_KEYS = {
+    1: ("version", "status", "next_batch_index", "position"),
+    2: ("version", "status", "next_batch_index", "position", "source_version"),
+    3: ("version", "status", "next_batch_index", "position", "source_version", "destination_identity"),
+}
+ARTIFACT_BY_IDENTITY = ("destination_identity", "destination_size", "destination_checksum")
+ARTIFACT_BY_URI = ("destination_uri", "destination_size", "destination_checksum")
+
 STATE_COLUMNS = (
     "key",
     "watermark",
@@ -212,90 +220,73 @@ def state_violations(state: DataFrame) -> DataFrame:
     )
 
 
-_CHECKPOINT_KEYS = {
-    1: {"version", "status", "next_batch_index", "position"},
-    2: {"version", "status", "next_batch_index", "position", "source_version"},
-    3: {"version", "status", "next_batch_index", "position", "source_version", "destination_identity"},
-}
-
-
-def _same_keys(document: Column, keys: set[str]) -> Column:
-    found = F.json_object_keys(document)
-    return (F.size(F.array_except(found, F.array(*[F.lit(k) for k in sorted(keys)]))) == 0) & (F.size(found) == len(keys))
-
-
-def _whole_number(document: Column, path: str) -> Column:
-    """A JSON integer, not a float or a text that looks like one."""
-    node = F.try_parse_json(document)
-    is_integer = F.schema_of_variant(F.try_variant_get(node, path, "variant")) == "BIGINT"
-    return F.when(is_integer, F.try_variant_get(node, path, "bigint"))
-
-
-def upgrade_state(old: DataFrame, checkpoint_key: str, artifact_key: str, destination: Column) -> tuple[DataFrame, DataFrame]:
+def upgrade_state(
+    old: DataFrame, checkpoint_key: str, artifact_key: str, destination: str
+) -> tuple[DataFrame, DataFrame]:
     """Old JSON state rows in the table layout, and the rows that cannot be read.
 
-    ``old``: key, cursor (JSON object), extra (JSON object), last_synced_at. Checkpoint versions 1 (no source version,
+    ``old``: key, document (JSON object of cursor, extra and last_synced_at). Checkpoint versions 1 (no source version,
     batch index equal to the row group), 2 (no destination) and 3 are read alike; missing fields become NULL. Completed
-    artifacts come by destination identity or by destination URI.
+    artifacts come by destination identity or by destination URI; ``destination`` stands for the latter.
     """
-    box = F.coalesce(F.get_json_object("extra", f"$.{checkpoint_key}"), F.lit("{}"))
-    has_checkpoint = F.array_contains(F.json_object_keys("extra"), checkpoint_key)
-    has_artifact = F.array_contains(F.json_object_keys("extra"), artifact_key)
-    artifact = F.get_json_object("extra", f"$.{artifact_key}")
-    version = _whole_number(box, "$.version")
-    batch, group = _whole_number(box, "$.next_batch_index"), _whole_number(box, "$.position.row_group_index")
-    source = F.get_json_object(box, "$.source_version")
-    target = F.get_json_object(box, "$.destination_identity")
-    position = F.get_json_object(box, "$.position")
-    shape = case([((version == v), _same_keys(box, keys)) for v, keys in _CHECKPOINT_KEYS.items()], F.lit(False))
-    good_checkpoint = F.coalesce(
-        shape
-        & _same_keys(position, {"kind", "row_group_index"})
-        & (F.get_json_object(position, "$.kind") == "parquet_row_group")
-        & (F.get_json_object(box, "$.status") == "in_progress")
-        & (batch >= 0)
-        & (group >= 0)
-        & ((version != 1) | (batch == group))
-        & (source.isNull() | is_sha256(source))
-        & ((version != 3) | is_sha256(target)),
-        F.lit(False),
+    box = (
+        "struct<version:bigint,status:string,next_batch_index:bigint,position:struct<kind:string,row_group_index:bigint>,"
+        "source_version:string,destination_identity:string>"
     )
-    by_identity = _same_keys(artifact, {"destination_identity", "destination_size", "destination_checksum"})
-    by_uri = _same_keys(artifact, {"destination_uri", "destination_size", "destination_checksum"})
-    size = _whole_number(artifact, "$.destination_size")
-    checksum = F.get_json_object(artifact, "$.destination_checksum")
-    good_artifact = F.coalesce(
-        (
-            (by_identity & is_sha256(F.get_json_object(artifact, "$.destination_identity")))
-            | (by_uri & is_safe_destination(F.get_json_object(artifact, "$.destination_uri")))
-        )
-        & (size >= 0)
-        & is_sha256(checksum),
-        F.lit(False),
+    record = (
+        "struct<destination_identity:string,destination_uri:string,destination_size:bigint,destination_checksum:string>"
     )
-    watermark = F.get_json_object("cursor", "$.watermark")
-    rules = case(
-        [
-            (has_checkpoint & ~good_checkpoint, F.lit("checkpoint")),
-            (has_artifact & ~good_artifact, F.lit("artifact")),
-            (~has_checkpoint & ~F.coalesce(valid_watermark(watermark), F.lit(False)), F.lit("watermark")),
-        ]
-    )
-    read = old.select(
-        "key",
-        F.when(~has_checkpoint, watermark).alias("watermark"),
-        F.when(has_checkpoint, F.lit("in_progress")).otherwise(F.lit("completed")).alias("status"),
-        F.when(has_checkpoint, source).otherwise(F.lit(None)).alias("source_version"),
-        F.when(has_checkpoint, target)
-        .otherwise(F.coalesce(F.get_json_object(artifact, "$.destination_identity"), F.when(by_uri, destination)))
-        .alias("destination_identity"),
-        batch.alias("next_batch_index"),
-        group.alias("row_group_index"),
-        F.try_to_timestamp("last_synced_at").alias("last_synced_at"),
-        F.sha2(F.concat_ws("|", "key", "cursor", "extra"), 256).alias("version"),
-        rules.alias("reject_reason"),
+    schema = (
+        "cursor struct<schema:string,watermark:string>, last_synced_at string,"
+        f" extra struct<`{checkpoint_key}`:{box},`{artifact_key}`:{record}>"
     )
-    return read.where("reject_reason IS NULL").drop("reject_reason"), read.where("reject_reason IS NOT NULL")
+
+    def nested_keys(name: str) -> Column:
+        return F.json_object_keys(F.get_json_object("document", f"$.extra.{name}"))
+
+    def build(d: Column, _: Column):
+        checkpoint, artifact = d["extra"][checkpoint_key], d["extra"][artifact_key]
+        position, source, target = checkpoint["position"], checkpoint["source_version"], checkpoint["destination_identity"]
+        is_open, found = checkpoint.isNotNull(), artifact.isNotNull()
+        shape = case(
+            [(checkpoint["version"] == v, exactly(nested_keys(checkpoint_key), keys)) for v, keys in CHECKPOINT_KEYS.items()],
+            F.lit(False),
+        )
+        good_checkpoint = (
+            shape
+            & (position["kind"] == "parquet_row_group")
+            & (checkpoint["status"] == "in_progress")
+            & (checkpoint["next_batch_index"] >= 0)
+            & (position["row_group_index"] >= 0)
+            & ((checkpoint["version"] != 1) | (checkpoint["next_batch_index"] == position["row_group_index"]))
+            & (source.isNull() | is_sha256(source))
+            & ((checkpoint["version"] != 3) | is_sha256(target))
+        )
+        keys = nested_keys(artifact_key)
+        good_artifact = (
+            (exactly(keys, ARTIFACT_BY_IDENTITY) & is_sha256(artifact["destination_identity"]))
+            | (exactly(keys, ARTIFACT_BY_URI) & is_safe_destination(artifact["destination_uri"]))
+        ) & (artifact["destination_size"] >= 0) & is_sha256(artifact["destination_checksum"])
+        named = F.coalesce(
+            artifact["destination_identity"], F.when(artifact["destination_uri"].isNotNull(), F.lit(destination))
+        )
+        columns = {
+            "watermark": F.when(~is_open, d["cursor"]["watermark"]),
+            "status": F.when(is_open, F.lit("in_progress")).otherwise(F.lit("completed")),
+            "source_version": source,
+            "destination_identity": F.when(is_open, target).otherwise(named),
+            "next_batch_index": checkpoint["next_batch_index"],
+            "row_group_index": position["row_group_index"],
+            "last_synced_at": F.try_to_timestamp(d["last_synced_at"]),
+            "version": F.sha2(F.col("document"), 256),
+        }
+        return columns, [
+            ("checkpoint", ~is_open | F.coalesce(good_checkpoint, F.lit(False))),
+            ("artifact", ~found | F.coalesce(good_artifact, F.lit(False))),
+            ("watermark", is_open | valid_watermark(d["cursor"]["watermark"])),
+        ]
+
+    return checked_documents(old, "document", schema, build)
 
 
 def unsafe_destinations(destinations: DataFrame, uri: str) -> DataFrame:

@@ -507,13 +507,15 @@ def upgrade_state(spark: SparkSession, folder: str) -> DataFrame:
             ).alias("artifact")
         ),
     ]
+    cursor = F.struct(F.lit("w1").alias("schema"), F.sha2(k, 256).alias("watermark")).alias("cursor")
+    synced = F.lit("2024-01-01T00:00:00Z").alias("last_synced_at")
     old = table(spark, folder, "customer").select(
         k.alias("key"),
-        F.to_json(F.struct(F.lit("w1").alias("schema"), F.sha2(k, 256).alias("watermark"))).alias("cursor"),
-        case([(kind == i, F.to_json(d)) for i, d in enumerate(documents)]).alias("extra"),
-        F.lit("2024-01-01T00:00:00Z").alias("last_synced_at"),
+        case(
+            [(kind == i, F.to_json(F.struct(cursor, d.alias("extra"), synced))) for i, d in enumerate(documents)]
+        ).alias("document"),
     )
-    good, _ = sync.upgrade_state(old, "checkpoint", "artifact", F.sha2(F.lit("dest"), 256))
+    good, _ = sync.upgrade_state(old, "checkpoint", "artifact", "dest")
     return good.select("key", "status", "source_version", "destination_identity", "next_batch_index")
 
 

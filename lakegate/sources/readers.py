@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegate.errors import DecodeError
+from lakegate.functions.base import let
 from lakegate.functions.rules import geometry_wkt
 from lakegate.operators.unify import unify
 from lakegate.sources.files import list_files, sniff_json
@@ -75,12 +76,15 @@ def typed_variant(df: DataFrame, column: str, extra: dict[str, Column] | None =
 def read_json_array(spark: SparkSession, path: Paths) -> DataFrame:
     """One JSON array per file; elements that are not objects are left out."""
     documents = _documents(spark, path)
-    node = F.try_parse_json("doc")
-    checked = F.when(
-        F.coalesce(F.schema_of_variant(node).startswith("ARRAY"), F.lit(False)), node.cast("array<variant>")
-    ).otherwise(F.raise_error(F.lit("not a JSON array")).cast("array<variant>"))
-    elements = documents.select(F.explode(checked).alias("e"))
-    return typed_variant(elements.where(F.schema_of_variant("e").startswith("OBJECT")), "e")
+
+    def elements(node: Column) -> Column:
+        is_array = F.coalesce(F.schema_of_variant(node).startswith("ARRAY"), F.lit(False))
+        listed = F.when(is_array, node.cast("array<variant>")).otherwise(
+            F.raise_error(F.lit("not a JSON array")).cast("array<variant>")
+        )
+        return F.filter(listed, lambda e: F.schema_of_variant(e).startswith("OBJECT"))
+
+    return typed_variant(documents.select(F.explode(let(F.try_parse_json("doc"), elements)).alias("e")), "e")
 
 
 def read_json(spark: SparkSession, path: Paths) -> DataFrame:
@@ -123,14 +127,16 @@ def pending_files(listing: DataFrame, completed: DataFrame) -> DataFrame:
 
 def read_geojson(spark: SparkSession, path: Paths) -> DataFrame:
     """One row per feature: its properties as columns, and its geometry as WKT."""
-    node = F.try_parse_json("doc")
-    kind = F.try_variant_get(node, "$.type", "string")
-    features = (
-        F.when(kind == "FeatureCollection", F.try_variant_get(node, "$.features", "array<variant>"))
-        .when(kind == "Feature", F.array(node))
-        .otherwise(F.raise_error(F.lit("not a GeoJSON Feature or FeatureCollection")).cast("array<variant>"))
-    )
-    rows = _documents(spark, path).select(F.explode(features).alias("f"))
+
+    def features(node: Column) -> Column:
+        kind = F.try_variant_get(node, "$.type", "string")
+        return (
+            F.when(kind == "FeatureCollection", F.try_variant_get(node, "$.features", "array<variant>"))
+            .when(kind == "Feature", F.array(node))
+            .otherwise(F.raise_error(F.lit("not a GeoJSON Feature or FeatureCollection")).cast("array<variant>"))
+        )
+
+    rows = _documents(spark, path).select(F.explode(let(F.try_parse_json("doc"), features)).alias("f"))
     parts = rows.select(
         F.try_variant_get("f", "$.properties", "variant").alias("p"),
         geometry_wkt(F.try_variant_get("f", "$.geometry", "variant")).alias("geometry_wkt"),

@@ -13,7 +13,7 @@ from lakegate.errors import IntakeError
 from lakegate.functions.rules import valid_identifier
 from lakegate.functions.urls import destination_identity, sanitize_uri
 from lakegate.operators.violations import checked_documents, exactly
-from lakegate.operators.digest import fingerprint_of
+from lakegate.operators.digest import fingerprint_of, lane_sums, lane_totals
 from lakegate.operators.transforms import Steps
 from lakegate.sources.files import file_digests, list_files
 
@@ -51,20 +51,12 @@ def blob_state(spark: SparkSession, uri: str) -> tuple[int, str]:
     Files are hashed in tasks; per-file digests are folded order-free, as file names are generated.
     """
     digests = file_digests(list_files(spark, uri, "*.parquet"))
-    row = digests.agg(
+    summed = digests.agg(
         F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
-        F.sha2(
-            F.concat_ws(
-                "|",
-                F.count(F.lit(1)).cast("string"),
-                *[
-                    F.sum(F.conv(F.substring("sha256", s, 15), 16, 10).cast("decimal(38,0)")).cast("string")
-                    for s in (1, 16, 31, 46)
-                ],
-            ),
-            256,
-        ).alias("digest"),
-    ).first()
+        F.count(F.lit(1)).cast("string").alias("files"),
+        *[c.alias(n) for n, c in lane_sums(F.col("sha256")).items()],
+    )
+    row = summed.select("size", F.sha2(F.concat_ws("|", "files", *lane_totals()), 256).alias("digest")).first()
     return row["size"], row["digest"]
 
 
