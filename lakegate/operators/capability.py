@@ -110,14 +110,19 @@ CASE_OUTCOMES = (
 )
 
 
+def _plain_path(column: str) -> Column:
+    """One spelling for local paths; other file systems print theirs alike everywhere."""
+    return F.regexp_replace(column, "^file:/+", "/").alias("path")
+
+
 def fixture_violations(spark: SparkSession, path: str, operations: DataFrame) -> DataFrame:
     """Case files against the profiles they are pinned to: fingerprint, versions, declared operations, outcomes.
 
     ``operations`` is the output of :func:`load_profiles`. One row per finding: platform, rule, detail.
     """
     source = spark.read.schema(CASES_SCHEMA).option("multiLine", True).json(path)
-    documents = source.select("*", F.col("_metadata.file_path").alias("path"))
-    hashed = file_digests(list_files(spark, path)).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "sha256")
+    documents = source.select("*", _plain_path("_metadata.file_path"))
+    hashed = file_digests(list_files(spark, path)).select(_plain_path("path"), "sha256")
     pinned = operations.select(
         "platform", F.col("profile_version").alias("pinned_version"), "fixture_fingerprint"
     ).distinct()

@@ -83,13 +83,15 @@ def lane_totals() -> list[Column]:
     return [total(lane) for lane in range(len(LANES))]
 
 
-def table_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def table_fingerprint(df: DataFrame, by: Sequence[str] = (), as_stored: bool = False) -> DataFrame:
     """Row count and order-free content digest of a frame, or of every group of it.
 
     Duplicates count, order does not, and any changed cell changes the digest. The schema takes part through its
-    own digest. One pass, no collected rows, no shuffle beyond one short row per task and group.
+    own digest; ``as_stored`` describes it as Parquet gives it back, with every column nullable. One pass, no
+    collected rows, no shuffle beyond one short row per task and group.
     """
-    described = schema_fingerprint(df.schema)
+    seen = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]) if as_stored else df.schema
+    described = schema_fingerprint(seen)
     body = T.StructType([f for f in df.schema.fields if f.name not in by])
     hashed = df.select(*[F.col(quoted(c)) for c in by], row_digest(body).alias("_h"))
     summed = hashed.groupBy(*[F.col(quoted(c)) for c in by]).agg(
@@ -101,9 +103,9 @@ def table_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return totals.select(*by, "row_count", digest.alias("content_digest"), *lanes)
 
 
-def fingerprint_of(df: DataFrame) -> tuple[int, str]:
+def fingerprint_of(df: DataFrame, as_stored: bool = False) -> tuple[int, str]:
     """Count and digest of a frame as plain values (one aggregated row comes to the driver)."""
-    row = table_fingerprint(df).select("row_count", "content_digest").first()
+    row = table_fingerprint(df, as_stored=as_stored).select("row_count", "content_digest").first()
     assert row is not None
     return row["row_count"], row["content_digest"]
 

@@ -87,7 +87,7 @@ def materialize(
     spark = df.sparkSession
     shaped = steps(df) if steps else df
     if stored is not None:
-        count, digest = fingerprint_of(shaped)
+        count, digest = fingerprint_of(shaped, as_stored=True)
         if digest == stored.content_digest and is_healthy(spark, stored.uri, digest):
             return Published(stored.uri, count, digest, False)
     uri = f"{destination.rstrip('/')}/{identity}/v={uuid.uuid4().hex}"
