@@ -28,19 +28,27 @@ def receipt_mismatch(
 def bulk_summary(plan: DataFrame, receipts: DataFrame) -> DataFrame:
     """Totals per plan in one conditional aggregation over plan and receipts together.
 
+    ``receipts`` may carry a ``budget_exhausted`` flag; a plan with such a receipt ended for that reason, one with
+    items left otherwise was cancelled.
+
     No join: both sides are reduced to counters first, so a plan with a third of all items stays cheap.
     """
     none = F.lit(None).cast("string")
-    rows = plan.select("plan_id", F.lit(1).alias("planned"), none.alias("outcome"), F.lit(0).alias("settled")).unionAll(
-        receipts.select("plan_id", F.lit(0), "outcome", F.lit(1))
-    )
+    flag = F.col("budget_exhausted") if "budget_exhausted" in receipts.columns else F.lit(False)
+    rows = plan.select(
+        "plan_id", F.lit(1).alias("planned"), none.alias("outcome"), F.lit(0).alias("settled"), F.lit(False).alias("spent")
+    ).unionAll(receipts.select("plan_id", F.lit(0), "outcome", F.lit(1), flag))
     counted = rows.groupBy("plan_id").agg(
         F.sum("planned").alias("total"),
         *[F.count_if(F.col("outcome") == o).alias(o) for o in ("succeeded", "failed", "skipped")],
         F.sum("settled").alias("settled"),
+        F.coalesce(F.bool_or("spent"), F.lit(False)).alias("spent"),
     )
-    return counted.withColumn("outstanding", F.col("total") - F.col("settled")).withColumn(
-        "state", case([(F.col("outstanding") > 0, F.lit("cancelled"))], F.lit("completed"))
+    state = case(
+        [(F.col("spent"), F.lit("budget_exhausted")), (F.col("outstanding") > 0, F.lit("cancelled"))], F.lit("completed")
+    )
+    return (
+        counted.withColumn("outstanding", F.col("total") - F.col("settled")).withColumn("state", state).drop("spent")
     )
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from lakegate.session import materialised
+from lakegate.session import materialised, partitions_for
 
 BLOCK = "_block"
 POSITION = "_position"
@@ -26,7 +26,7 @@ def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = Non
     executors are lost. Block and position come with the sorted partition: no second shuffle is needed for them.
     """
     keys = [F.col(c) for c in order]
-    ranged = df.repartitionByRange(blocks, *keys) if blocks else df.repartitionByRange(*keys)
+    ranged = df.repartitionByRange(blocks or partitions_for(df), *keys)
     numbered = ranged.sortWithinPartitions(*keys).withColumn("_row", F.monotonically_increasing_id())
     return materialised(
         numbered.select(

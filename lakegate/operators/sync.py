@@ -143,28 +143,29 @@ def conditional_merge(current: DataFrame, proposals: DataFrame) -> tuple[DataFra
     """Compare-and-swap: a proposal is committed only if the version it expects is still the current one.
 
     ``proposals``: the columns of ``current`` plus ``expected`` (NULL: the key must be absent), ``order`` and
-    ``deleted``. Of several proposals for one key the first in order wins and the others conflict. The winner is
-    found with ``min_by``, which reduces on the map side, so a contested key is never collected.
+    ``deleted``. Of several proposals for one key the first in order wins and the others conflict. Proposals are first
+    reduced per (key, expected version), on the map side, and what is left meets the state on both columns: a key with
+    most of the proposals is never gathered in one task.
     Returns the new state and the outcome of every proposal.
     """
     body = [c for c in current.columns if c != "key"]
-    versions = current.select("key", F.col("version").alias("current_version"))
-    judged = proposals.join(versions, "key", "left").withColumn(
-        "_match", F.col("expected").eqNullSafe(F.col("current_version"))
+    candidates = proposals.groupBy("key", "expected").agg(
+        F.min("order").alias("order"), F.min_by(F.struct(*body, "deleted"), F.col("order")).alias("w")
     )
-    winners = (
-        judged.where("_match")
-        .groupBy("key")
-        .agg(F.min("order").alias("order"), F.min_by(F.struct(*body, "deleted"), F.col("order")).alias("w"))
+    stored = current.select("key", F.col("version").alias("expected"))
+    replacing = candidates.join(stored, ["key", "expected"], "left_semi")
+    creating = candidates.where("expected IS NULL").join(current.select("key"), "key", "left_anti")
+    winners = replacing.unionByName(creating)
+    marks = winners.select(
+        F.col("key").alias("_key"), F.col("order").alias("_order"), F.col("expected").alias("_expected"), F.lit(True).alias("_won")
     )
-    outcomes = judged.join(
-        winners.select("key", F.col("order").alias("winning_order")), "key", "left"
-    ).select(
-        "key",
-        "order",
-        F.when(F.col("_match") & (F.col("order") == F.col("winning_order")), F.lit("committed"))
-        .otherwise(F.lit("conflict"))
-        .alias("outcome"),
+    same = (
+        (F.col("key") == F.col("_key"))
+        & (F.col("order") == F.col("_order"))
+        & F.col("expected").eqNullSafe(F.col("_expected"))
+    )
+    outcomes = proposals.join(marks, same, "left").select(
+        "key", "order", F.when(F.col("_won"), F.lit("committed")).otherwise(F.lit("conflict")).alias("outcome")
     )
     kept = current.join(winners.select("key"), "key", "left_anti").select("key", *body)
     written = winners.where("NOT w.deleted").select("key", *[F.col(f"w.{c}").alias(c) for c in body])

@@ -349,7 +349,7 @@ def _write_binary(rows: DataFrame, path: str) -> None:
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["name"], batch["content"], strict=True):
-                files._publish(f"{path}/{name}", lambda sink, content=content: sink.write(content))
+                files.publish_file(f"{path}/{name}", lambda sink, content=content: sink.write(content))
             yield batch[["name"]]
 
     rows.select("name", "content").mapInPandas(write, "name string").count()
@@ -413,7 +413,7 @@ def resume_splits(spark: SparkSession, folder: str) -> DataFrame:
     done = (
         spark.read.parquet(path)
         .where("o_orderstatus = 'F'")
-        .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start"))
+        .select(*readers.split_of_row())
         .distinct()
     )
     return readers.read_pending_splits(spark, path, done).agg(

@@ -49,3 +49,17 @@ def materialised(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def partitions_for(df: DataFrame, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Partitions for a full sort of ``df``: the session's shuffle setting, or more where the estimated size asks for it.
+
+    The estimate is the optimizer's own; a frame too large for the configured number of partitions still gets
+    partitions that fit into memory.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        estimated = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # no estimate on this kind of session
+        return configured
+    return configured if estimated > 1 << 60 else max(configured, -(-estimated // target_bytes))

@@ -54,7 +54,7 @@ def compression_of(magic: ColumnOrName, encoding: ColumnOrName | None = None) ->
     )
 
 
-def _opened(path: str) -> tuple[pafs.FileSystem, str]:
+def opened(path: str) -> tuple[pafs.FileSystem, str]:
     """Filesystem and inner path of a URI as Hadoop prints it (``file:/a`` or ``file:///a``)."""
     if "://" not in path and ":/" in path:
         path = path.replace(":/", ":///", 1)
@@ -84,7 +84,7 @@ def file_heads(files: DataFrame, length: int = 64) -> DataFrame:
     """The first bytes of every file."""
 
     def head(path: str) -> dict[str, object]:
-        fs, inner = _opened(path)
+        fs, inner = opened(path)
         with fs.open_input_stream(inner, compression=None) as source:
             return {"head": source.read(length)}
 
@@ -116,7 +116,7 @@ def file_digests(files: DataFrame) -> DataFrame:
     """Size, SHA-256 and MD5 of every file, streamed."""
 
     def digest(path: str) -> dict[str, object]:
-        fs, inner = _opened(path)
+        fs, inner = opened(path)
         sha, md5, size = hashlib.sha256(), hashlib.md5(usedforsecurity=False), 0
         with fs.open_input_stream(inner, compression=None) as source:
             while chunk := source.read(CHUNK):
@@ -136,9 +136,9 @@ def source_version(files: DataFrame) -> DataFrame:
     return file_digests(files).select("path", F.col("sha256").alias("source_version"))
 
 
-def _publish(target: str, write: Callable[[io.IOBase], None]) -> None:
+def publish_file(target: str, write: Callable[[io.IOBase], None]) -> None:
     """Write beside the target, then move: a repeated task attempt ends in the same file."""
-    fs, inner = _opened(target)
+    fs, inner = opened(target)
     fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
     part = f"{inner}.{uuid.uuid4().hex}.part"
     try:
@@ -164,7 +164,7 @@ def copy_files(files: DataFrame, destination: str, suffix: str = ".bin") -> Data
             names = dict(zip(batch["path"], batch["name"], strict=True))
 
             def copy(path: str) -> dict[str, object]:
-                fs, inner = _opened(path)
+                fs, inner = opened(path)
                 sha, size, target = hashlib.sha256(), 0, f"{root}/{names[path]}"
 
                 def write(sink: io.IOBase) -> None:
@@ -175,7 +175,7 @@ def copy_files(files: DataFrame, destination: str, suffix: str = ".bin") -> Data
                             size += len(chunk)
                             sink.write(chunk)
 
-                _publish(target, write)
+                publish_file(target, write)
                 return {"target": target, "size": size, "sha256": sha.hexdigest()}
 
             yield from _per_file(copy, ["path", "target", "size", "sha256", "error"])(iter([batch]))
@@ -246,7 +246,7 @@ def decompress_files(files: DataFrame, stage: str, extension: str) -> DataFrame:
     root = stage.rstrip("/")
 
     def decode(path: str) -> dict[str, object]:
-        fs, inner = _opened(path)
+        fs, inner = opened(path)
         with fs.open_input_stream(inner, compression=None) as probe:
             head = probe.read(4).hex().upper()
         kind = next((k for k, magic in MAGIC.items() if head.startswith(magic)), "none")
@@ -260,7 +260,7 @@ def decompress_files(files: DataFrame, stage: str, extension: str) -> DataFrame:
                     size += len(chunk)
                     sink.write(chunk)
 
-        _publish(target, write)
+        publish_file(target, write)
         return {"compression": kind, "target": target, "size": size}
 
     return files.select("path").mapInPandas(

@@ -62,10 +62,18 @@ def _variant_types(described: str) -> str:
     return out
 
 
-def typed_variant(df: DataFrame, column: str, extra: dict[str, Column] | None = None) -> DataFrame:
-    """Objects held as VARIANT to typed columns: the union of keys over all rows, in one aggregation."""
-    row = df.agg(F.schema_of_variant_agg(column).alias("s")).first()
-    described = row["s"] if row else None
+def typed_variant(
+    df: DataFrame, column: str, extra: dict[str, Column] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """Objects held as VARIANT to typed columns: the union of keys over all rows, in one aggregation.
+
+    A given schema saves that pass.
+    """
+    if schema is None:
+        row = df.agg(F.schema_of_variant_agg(column).alias("s")).first()
+        described = row["s"] if row else None
+    else:
+        described = schema.simpleString().replace("struct<", "OBJECT<", 1)
     extras = [c.alias(n) for n, c in (extra or {}).items()]
     if described is None or not described.startswith("OBJECT<") or described == "OBJECT<>":
         return df.select(*extras) if extras else df.select().limit(0)
@@ -73,7 +81,7 @@ def typed_variant(df: DataFrame, column: str, extra: dict[str, Column] | None =
     return df.select(as_struct.alias("_s"), *extras).select("_s.*", *(extra or {}))
 
 
-def read_json_array(spark: SparkSession, path: Paths) -> DataFrame:
+def read_json_array(spark: SparkSession, path: Paths, schema: T.StructType | None = None) -> DataFrame:
     """One JSON array per file; elements that are not objects are left out."""
     documents = _documents(spark, path)
 
@@ -84,40 +92,62 @@ def read_json_array(spark: SparkSession, path: Paths) -> DataFrame:
         )
         return F.filter(listed, lambda e: F.schema_of_variant(e).startswith("OBJECT"))
 
-    return typed_variant(documents.select(F.explode(let(F.try_parse_json("doc"), elements)).alias("e")), "e")
+    return typed_variant(documents.select(F.explode(let(F.try_parse_json("doc"), elements)).alias("e")), "e", schema=schema)
 
 
 def read_json(spark: SparkSession, path: Paths) -> DataFrame:
     """Arrays or lines, told apart by the first character of every file."""
-    kinds: dict[str, list[str]] = {}
-    for row in sniff_json(list_files(spark, path)).collect():  # one short row per file, like the file listing itself
-        kinds.setdefault(row["json_kind"] or "other", []).append(row["path"])
-    if "other" in kinds:
-        raise DecodeError(f"neither a JSON array nor JSON lines: {kinds['other'][:3]!r}")
-    frames = []
-    if "array" in kinds:
-        frames.append(read_json_array(spark, kinds["array"]))
-    if "lines" in kinds:
-        frames.append(read_jsonl(spark, kinds["lines"]))
-    return unify(frames) if frames else spark.createDataFrame([], T.StructType([]))
+    sniffed = sniff_json(list_files(spark, path)).select("path", F.coalesce("json_kind", F.lit("other")).alias("kind"))
+    found = {r["kind"]: r["path"] for r in sniffed.groupBy("kind").agg(F.min("path").alias("path")).collect()}
+    if "other" in found:
+        raise DecodeError(f"neither a JSON array nor JSON lines: {found['other']!r}")
+    kinds = [k for k in ("array", "lines") if k in found]
+    if not kinds:
+        return spark.createDataFrame([], T.StructType([]))
+    reader = {"array": read_json_array, "lines": read_jsonl}
+    if len(kinds) == 1:
+        return reader[kinds[0]](spark, path)
+
+    def paths(kind: str) -> list[str]:  # mixed folders only: as many short strings as the scan itself keeps
+        return [r["path"] for r in sniffed.where(F.col("kind") == kind).select("path").collect()]
+
+    return unify([reader[k](spark, paths(k)) for k in kinds])
 
 
 def read_parquet(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
-def read_pending_splits(spark: SparkSession, path: Paths, completed: DataFrame) -> DataFrame:
-    """Rows of the Parquet splits that are not in ``completed (file_path, block_start)``.
-
-    Files all of whose splits are done are not opened: only files with something left go into the scan.
-    """
-    source = read_parquet(spark, path)
-    meta = source.select(
-        "*",
+def split_of_row() -> list[Column]:
+    """The split a row was read from, to be recorded when its work is done."""
+    return [
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-    )
-    return meta.join(completed.select("file_path", "block_start").distinct(), ["file_path", "block_start"], "left_anti")
+        F.col("_metadata.file_block_length").alias("block_length"),
+    ]
+
+
+def _spelled(column: str) -> Column:
+    return F.regexp_replace(column, "^file:/+", "file:///")
+
+
+def read_pending_splits(spark: SparkSession, path: str, completed: DataFrame) -> DataFrame:
+    """Rows of the Parquet splits that are not in ``completed (file_path, block_start, block_length)``.
+
+    Files whose finished splits add up to the file size are not opened at all. Of the other files only rows of open
+    splits come through; the split is constant per scan task, so this costs a lookup and no shuffle of the data.
+    """
+    done = completed.select(_spelled("file_path").alias("file_path"), "block_start", "block_length").distinct()
+    finished = done.groupBy("file_path").agg(F.sum("block_length").alias("bytes"))
+    listed = list_files(spark, path, "*.parquet").select(_spelled("path").alias("file_path"), "size")
+    pending = listed.join(finished, "file_path", "left").where("bytes IS NULL OR bytes < size")
+    paths = [r["file_path"] for r in pending.select("file_path").collect()]  # as the scan's own file list
+    whole = spark.read.option("basePath", path).parquet(path)
+    if not paths:
+        return whole.limit(0)
+    source = spark.read.option("basePath", path).schema(whole.schema).parquet(*paths).select("*", *split_of_row())
+    spelled = source.withColumn("file_path", _spelled("file_path"))
+    return spelled.join(done, ["file_path", "block_start"], "left_anti").select(*whole.columns)
 
 
 def pending_files(listing: DataFrame, completed: DataFrame) -> DataFrame:
@@ -125,8 +155,8 @@ def pending_files(listing: DataFrame, completed: DataFrame) -> DataFrame:
     return listing.join(completed.select("path").distinct(), "path", "left_anti")
 
 
-def read_geojson(spark: SparkSession, path: Paths) -> DataFrame:
-    """One row per feature: its properties as columns, and its geometry as WKT."""
+def read_geojson(spark: SparkSession, path: Paths, schema: T.StructType | None = None) -> DataFrame:
+    """One row per feature: its properties as columns (``schema`` names them), and its geometry as WKT."""
 
     def features(node: Column) -> Column:
         kind = F.try_variant_get(node, "$.type", "string")
@@ -141,7 +171,7 @@ def read_geojson(spark: SparkSession, path: Paths) -> DataFrame:
         F.try_variant_get("f", "$.properties", "variant").alias("p"),
         geometry_wkt(F.try_variant_get("f", "$.geometry", "variant")).alias("geometry_wkt"),
     )
-    return typed_variant(parts, "p", {"geometry_wkt": F.col("geometry_wkt")})
+    return typed_variant(parts, "p", {"geometry_wkt": F.col("geometry_wkt")}, schema)
 
 
 READERS: dict[str, Callable[[SparkSession, Paths], DataFrame]] = {

@@ -6,11 +6,12 @@ columns of all workbooks are agreed on by one aggregation over headers and cell
 
 from __future__ import annotations
 
-import io
 import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
+from typing import BinaryIO
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.functions.base import quoted
+from lakegate.sources.files import list_files, opened
 
 # Fixed values.
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -101,9 +103,9 @@ def _cell(cell: ElementTree.Element, shared: list[str], dates: set[int]) -> tupl
     return "double", repr(number)
 
 
-def workbook_rows(content: bytes) -> Iterator[tuple[int, dict[str, dict[str, str]]]]:
+def workbook_rows(file: BinaryIO) -> Iterator[tuple[int, dict[str, dict[str, str]]]]:
     """Data rows of the active sheet; the first row names the columns, rows in between keep their place."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
+    with zipfile.ZipFile(file) as book:
         strings = _part(book, "xl/sharedStrings.xml")
         shared = (
             ["".join(t.text or "" for t in item.iter(f"{_MAIN}t")) for item in strings.iter(f"{_MAIN}si")]
@@ -137,22 +139,21 @@ def workbook_rows(content: bytes) -> Iterator[tuple[int, dict[str, dict[str, str
 
 
 def xlsx_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every data row of every workbook as a map of typed cells."""
+    """Every data row of every workbook as a map of typed cells.
+
+    Tasks get paths and open the files themselves, one at a time: contents never travel in batches.
+    """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                rows = []
-                for number, cells in workbook_rows(content):
-                    rows.append((name, number, cells))
-                    if len(rows) == 4096:
-                        yield pd.DataFrame(rows, columns=["path", "row_no", "cells"])
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["path", "row_no", "cells"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(parse, CELLS)
+            for name in batch["path"]:
+                fs, inner = opened(name)
+                with fs.open_input_file(inner) as file:
+                    rows = ((name, number, cells) for number, cells in workbook_rows(file))
+                    while chunk := list(islice(rows, 4096)):
+                        yield pd.DataFrame(chunk, columns=["path", "row_no", "cells"])
+
+    return list_files(spark, path).select("path").mapInPandas(parse, CELLS)
 
 
 def _common_kind(kinds: list[str]) -> str:

@@ -194,14 +194,30 @@ def test_formats(spark, tmp_path):
 def test_completed_splits_are_skipped(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(100).selectExpr("id", "id % 4 AS g").repartition(4, "g").write.partitionBy("g").parquet(path)
-    everything = spark.read.parquet(path).select(
-        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start"), "g"
-    ).distinct()
-    left = readers.read_pending_splits(spark, path, everything.where("g < 3"))
-    assert left.count() == 25
+    everything = spark.read.parquet(path).select("g", *readers.split_of_row()).distinct()
+    recorded = spark.createDataFrame(everything.where("g < 3").collect(), everything.schema)
+    left = readers.read_pending_splits(spark, path, recorded)
+    assert left.count() == 25 and len(left.inputFiles()) == 1 and left.columns == ["id", "g"]
     assert readers.read_pending_splits(spark, path, everything).count() == 0
 
 
+def test_half_done_file_gives_its_open_splits(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.range(200_000).coalesce(1).write.option("parquet.block.size", 64 * 1024).parquet(path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 128 * 1024)
+        splits = spark.read.parquet(path).select("id", *readers.split_of_row())
+        starts = sorted(r.block_start for r in splits.select("block_start").distinct().collect())
+        assert len(starts) > 2
+        done = splits.where(F.col("block_start").isin(*starts[:2]))
+        left = readers.read_pending_splits(spark, path, done.drop("id").distinct())
+        assert left.count() == 200_000 - done.count()
+        assert left.join(done, "id", "left_semi").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_materialize_notices_damage(spark, tmp_path):
     df = spark.range(1000).withColumn("v", F.col("id") * 2)
     where = (str(tmp_path / "out"), "r1", "file:///x", str(tmp_path / "manifest"))
