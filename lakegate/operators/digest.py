@@ -28,26 +28,31 @@ def schema_fingerprint(schema: T.StructType) -> str:
 
 
 def encode_value(value: Column, kind: T.DataType) -> Column:
-    """Text that tells values and types apart: NULL is ``N``, anything else carries its length."""
-    if isinstance(kind, T.BinaryType):
-        body = F.concat(F.lit("b"), F.lower(F.hex(value)))
+    """Text that tells values and types apart: NULL is ``N``, anything else starts with ``V``.
+
+    Texts carry their length, and numbers, dates and the like end with a ``;`` they cannot contain, so no two rows
+    with different values read the same.
+    """
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        tagged = F.concat(F.lit("V"), value.cast("string"), F.lit(";"))
     elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        body = F.concat(F.lit("t"), value.cast("string"))
+        tagged = F.concat(F.lit("Vt"), value.cast("string"), F.lit(";"))
+    elif isinstance(kind, T.BinaryType):
+        tagged = F.concat(F.lit("Vb"), F.lower(F.hex(value)), F.lit(";"))
     elif isinstance(kind, T.ArrayType):
         items = F.transform(value, lambda v: encode_value(v, kind.elementType))
-        body = F.concat(F.lit("["), F.array_join(items, ""), F.lit("]"))
+        tagged = F.concat(F.lit("V["), F.array_join(items, ""), F.lit("]"))
     elif isinstance(kind, T.StructType):
-        parts = [encode_value(value.getField(f.name), f.dataType) for f in kind.fields]
-        body = F.concat(F.lit("{"), *parts, F.lit("}"))
+        members = [encode_value(value.getField(f.name), f.dataType) for f in kind.fields]
+        tagged = F.when(value.isNotNull(), F.concat(F.lit("V{"), *members, F.lit("}")))
     elif isinstance(kind, T.MapType):
         entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
         pairs = F.transform(F.map_entries(value), lambda e: encode_value(e, entry))
-        body = F.concat(F.lit("m"), F.array_join(F.array_sort(pairs), ""))
+        tagged = F.concat(F.lit("Vm"), F.array_join(F.array_sort(pairs), ""), F.lit("]"))
     else:
         body = value.cast("string")
-    return F.when(value.isNull(), F.lit("N")).otherwise(
-        F.concat(F.lit("V"), F.length(body).cast("string"), F.lit(":"), body)
-    )
+        tagged = F.concat(F.lit("V"), F.length(body).cast("string"), F.lit(":"), body)
+    return F.coalesce(tagged, F.lit("N"))
 
 
 def row_digest(schema: T.StructType) -> Column:

@@ -22,8 +22,10 @@ from lakegate.sources import files, sinks
 
 
 def _sql_value(column: str) -> str:
-    text = f"CAST({column} AS VARCHAR)"
-    return f"CASE WHEN {column} IS NULL THEN 'N' ELSE 'V' || length({text}) || ':' || {text} END"
+    """``name`` is a number, ``name:text`` a text."""
+    name, _, kind = column.partition(":")
+    value = f"length({name}) || ':' || {name}" if kind == "text" else f"{name} || ';'"
+    return f"CASE WHEN {name} IS NULL THEN 'N' ELSE 'V' || {value} END"
 
 
 def _sql_row_digest(columns: list[str]) -> str:
@@ -40,7 +42,7 @@ def _sql_lanes(digest: str) -> str:
 @query(
     "table_fingerprint",
     f"""SELECT o_orderstatus, count(*) AS row_count, {_sql_lanes("h")} FROM
-        (SELECT o_orderstatus, {_sql_row_digest(["o_orderkey", "o_custkey", "priority"])} AS h FROM
+        (SELECT o_orderstatus, {_sql_row_digest(["o_orderkey", "o_custkey", "priority:text"])} AS h FROM
          (SELECT *, nullif(o_orderpriority, '5-LOW') AS priority FROM orders)) GROUP BY o_orderstatus""",
 )
 def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +84,7 @@ def fingerprint_detects(spark: SparkSession, folder: str) -> DataFrame:
 
 _FAN_IN = 512
 _SQL_ORDERED = f"""WITH h AS (SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS i,
-        sha256('V' || length(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ) + 1 || ':t' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+        sha256('Vt' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ';'
                || {_sql_value('o_orderkey')} || {_sql_value('o_custkey')}) AS d FROM orders),
     l1 AS (SELECT i // {_FAN_IN} AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM h GROUP BY 1),
     l2 AS (SELECT i // {_FAN_IN} AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM l1 GROUP BY 1)
@@ -573,7 +575,7 @@ def report_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint(outcomes, ["event_type"]).drop("content_digest")
 
 
-@query("row_digest", f"SELECT o_orderkey, {_sql_row_digest(['o_orderkey', 'priority'])} AS digest FROM (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority FROM orders)")
+@query("row_digest", f"SELECT o_orderkey, {_sql_row_digest(['o_orderkey', 'priority:text'])} AS digest FROM (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority FROM orders)")
 def row_digests(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").select(
         "o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority")

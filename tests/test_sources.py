@@ -251,6 +251,25 @@ def test_fingerprint_separates_what_looks_alike(spark):
     assert len({fingerprint_of(f)[1] for f in frames}) == len(frames)
 
 
+def test_fingerprint_of_nested_values(spark):
+    ddl = "s struct<a:string,b:int>, l array<string>, m map<string,int>"
+    rows = [
+        (None, ["a", "b"], {"x": 1}),
+        ((None, None), ["a", "b"], {"x": 1}),
+        (("", None), ["a", "b"], {"x": 1}),
+        (None, ["ab"], {"x": 1}),
+        (None, None, {"x": 1}),
+        (None, [], {"x": 1}),
+        (None, [None], {"x": 1}),
+        (None, ["a", "b"], {"x": 2}),
+        (None, ["a", "b"], None),
+    ]
+    digests = [fingerprint_of(spark.createDataFrame([r], ddl))[1] for r in rows]
+    assert len(set(digests)) == len(rows)
+    a, b = (spark.createDataFrame([(None, [], m)], ddl) for m in ({"x": 1, "y": 2}, {"y": 2, "x": 1}))
+    assert fingerprint_of(a) == fingerprint_of(b)
+
+
 def test_views_need_valid_names(spark):
     sinks.register_view(spark.range(3), "three_rows")
     assert spark.sql("SELECT count(*) FROM three_rows").first()[0] == 3
