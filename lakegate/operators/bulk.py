@@ -65,10 +65,10 @@ def duplicate_plan_items(plan: DataFrame) -> DataFrame:
 def contiguous_prefix(receipts: DataFrame) -> DataFrame:
     """Receipts that may be released: indices 0, 1, 2, ... up to the first hole, per plan.
 
-    The hole is the smallest index whose predecessor-free successor is missing, found by an anti join on unique keys
-    and a ``min``; no window runs over a plan.
+    The prefix ends at the smallest index whose successor is missing, found by an anti join on (plan, index) and a
+    ``min``; no window runs over a plan.
     """
-    present = receipts.select("plan_id", "item_index").distinct()
+    present = receipts.select("plan_id", "item_index")
     successors = present.select("plan_id", (F.col("item_index") - 1).alias("item_index"))
     ends = present.join(successors, ["plan_id", "item_index"], "left_anti").where("item_index >= 0")
     prefix = ends.unionAll(

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegate.errors import IntakeError
 from lakegate.functions.base import quoted
 from lakegate.operators.ordering import with_row_number
 
@@ -115,21 +114,39 @@ def fingerprint_of(df: DataFrame, as_stored: bool = False) -> tuple[int, str]:
     return row["row_count"], row["content_digest"]
 
 
-def digest_tree(numbered: DataFrame, index: str, digest: str, fan_in: int = FAN_IN) -> DataFrame:
+def digest_tree(
+    numbered: DataFrame, index: str, digest: str, fan_in: int = FAN_IN, unique: Sequence[str] = ()
+) -> DataFrame:
     """Fold ordered digests level by level, ``fan_in`` neighbours at a time, until one is left.
 
-    No task ever holds more than ``fan_in`` digests, whatever the size of the table.
+    No task ever holds more than ``fan_in`` digests, whatever the size of the table. Equal ``unique`` keys are
+    neighbours in the order; every node carries its first and last key, so they are noticed on the way up, without a
+    pass of their own.
     """
     total = numbered.count()
-    level = numbered.select(F.col(index).alias("i"), F.col(digest).alias("h"))
+    key = F.struct(*[F.col(quoted(c)) for c in unique]) if unique else F.lit(None).cast("string")
+    level = numbered.select(
+        F.col(index).alias("i"), F.col(digest).alias("h"), key.alias("first"), key.alias("last")
+    )
+    members, place = F.col("members"), lambda j: F.get(F.col("members"), j)
+    repeated = F.exists(
+        F.when(F.size(members) > 1, F.sequence(F.lit(1), F.size(members) - 1)),
+        lambda j: place(j)["first"] == place(j - 1)["last"],
+    )
+    folded = F.sha2(F.array_join(F.transform(members, lambda m: m["h"]), ""), 256)
+    if unique:
+        refused = F.raise_error(F.lit(f"{list(unique)!r} are not unique, so the row order is undefined"))
+        folded = F.when(F.coalesce(repeated, F.lit(False)), refused.cast("string")).otherwise(folded)
     remaining = total
     while remaining > 1:
         level = (
             level.groupBy(F.expr(f"i div {fan_in}").alias("g"))
-            .agg(F.array_sort(F.collect_list(F.struct("i", "h"))).alias("members"))
+            .agg(F.array_sort(F.collect_list(F.struct("i", "h", "first", "last"))).alias("members"))
             .select(
                 F.col("g").alias("i"),
-                F.sha2(F.array_join(F.transform("members", lambda m: m["h"]), ""), 256).alias("h"),
+                folded.alias("h"),
+                place(F.lit(0))["first"].alias("first"),
+                F.element_at("members", -1)["last"].alias("last"),
             )
         )
         remaining = -(-remaining // fan_in)
@@ -137,11 +154,9 @@ def digest_tree(numbered: DataFrame, index: str, digest: str, fan_in: int = FAN_
 
 
 def ordered_digest(df: DataFrame, keys: Sequence[str], fan_in: int = FAN_IN) -> DataFrame:
-    """Digest that depends on row order along unique ``keys``."""
-    if df.groupBy(*keys).count().where("count > 1").limit(1).count():
-        raise IntakeError(f"{list(keys)!r} are not unique, so the row order is undefined")
+    """Digest that depends on row order along ``keys``; the result raises if they are not unique."""
     hashed = df.select(*keys, row_digest(df.schema).alias("_h"))
-    return digest_tree(with_row_number(hashed, keys), "row_index", "_h", fan_in)
+    return digest_tree(with_row_number(hashed, keys), "row_index", "_h", fan_in, keys)
 
 
 def text_digests(value: Column) -> dict[str, Column]:

@@ -74,6 +74,27 @@ def health_log(
     )
 
 
+def _run_counts(
+    events: DataFrame, keys: Sequence[str], order: Sequence[str], failure: Column, reset: Column
+) -> DataFrame:
+    """Failures per run, also of runs without any.
+
+    Events are only numbered inside their block; what is carried and joined between blocks are run counters.
+    """
+    marked = events.select(*keys, *order, failure.cast("long").alias("_f"), reset.cast("long").alias("_r"))
+    blocks = ordered_blocks(marked, [*keys, *order])
+    local = blocks.withColumn("_lr", F.sum("_r").over(within_block(keys)))
+    pieces = local.groupBy(BLOCK, *keys, "_lr").agg(F.sum("_f").alias("_failures"))
+    resets = pieces.groupBy(BLOCK, *keys).agg(F.max("_lr").alias("resets"))
+    before = carry(resets, keys, {"runs_before": F.sum("resets")})
+    run = F.coalesce("runs_before", F.lit(0)) + F.col("_lr")
+    return (
+        pieces.join(before, [BLOCK, *keys])
+        .groupBy(*keys, run.alias("run"))
+        .agg(F.sum("_failures").alias("failures"))
+    )
+
+
 def health_runs(
     events: DataFrame,
     keys: Sequence[str],
@@ -83,20 +104,22 @@ def health_runs(
     threshold: int = FAILURE_THRESHOLD,
 ) -> DataFrame:
     """One row per run of failures between resets: its length and whether it opened the circuit."""
-    log = health_log(events, keys, order, failure, reset, threshold)
-    return (
-        log.groupBy(*keys, "run")
-        .agg(F.max("failure_count").alias("failures"), F.max("open").alias("opened"))
-        .where("failures > 0")
-    )
+    counts = _run_counts(events, keys, order, failure, reset).where("failures > 0")
+    return counts.withColumn("opened", F.col("failures") >= threshold)
 
 
-def health_state(events: DataFrame, keys: Sequence[str], order: Sequence[str], failure: Column, reset: Column,
-                 threshold: int = FAILURE_THRESHOLD) -> DataFrame:
-    """The last known state per key."""
-    log = health_log(events, keys, order, failure, reset, threshold)
-    last = F.max_by(F.struct("failure_count", "open"), F.struct(*order))
-    return log.groupBy(*keys).agg(last.alias("s")).select(*keys, "s.*")
+def health_state(
+    events: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    failure: Column,
+    reset: Column,
+    threshold: int = FAILURE_THRESHOLD,
+) -> DataFrame:
+    """The last known state per key: the failures of its last run."""
+    counts = _run_counts(events, keys, order, failure, reset)
+    last = counts.groupBy(*keys).agg(F.max_by("failures", "run").alias("failure_count"))
+    return last.withColumn("open", F.col("failure_count") >= threshold)
 
 
 def retry_metrics(

@@ -22,7 +22,7 @@ _PARTITION_BITS = 33  # monotonically_increasing_id: partition number above, row
 def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """``df`` with a block number that grows along ``order`` and the position of each row inside its block.
 
-    The range bounds and the numbers are frozen by the checkpoint, so all later passes agree on them even when
+    The range bounds and the numbers are frozen by the written table, so all later passes agree on them even when
     executors are lost. Block and position come with the sorted partition: no second shuffle is needed for them.
     """
     keys = [F.col(c) for c in order]

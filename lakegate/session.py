@@ -42,13 +42,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in reliable storage, so later reads see one fixed result even after lost executors."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def materialised(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Lineage ends there: later reads see one fixed result even after lost executors, and each reads only its columns.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def partitions_for(df: DataFrame, target_bytes: int = 256 * 1024 * 1024) -> int:

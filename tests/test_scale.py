@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lakegate.errors import IntakeError
 from lakegate.operators import bulk, health
 from lakegate.operators.digest import digest_tree, ordered_digest, table_fingerprint
 from lakegate.operators.ordering import ordered_blocks, with_row_number
@@ -80,8 +79,12 @@ def test_order_matters_only_to_the_ordered_digest(spark):
     one, two = (table_fingerprint(f).first().content_digest for f in (a, swapped))
     assert one == two
     assert ordered_digest(a, ["id"]).first().ordered_digest != ordered_digest(b, ["id"]).first().ordered_digest
-    with pytest.raises(IntakeError):
-        ordered_digest(a.unionAll(a), ["id"])
+    with pytest.raises(Exception, match="not unique"):
+        ordered_digest(a.unionAll(a), ["id"]).collect()
+    many = spark.range(100).selectExpr("id - CASE WHEN id = 64 THEN 1 ELSE 0 END AS id")
+    for fan_in in (4, 64, 200):  # the equal pair sits inside a node, or on the border of two
+        with pytest.raises(Exception, match="not unique"):
+            ordered_digest(many, ["id"], fan_in).collect()
 
 
 @pytest.mark.parametrize("indices", [[0, 1, 2, 4], [1, 2], [0], [3], [0, 1, 2, 3], [0, 2, 3, 5]])
