@@ -152,9 +152,11 @@ def conditional_merge(current: DataFrame, proposals: DataFrame) -> tuple[DataFra
     candidates = proposals.groupBy("key", "expected").agg(
         F.min("order").alias("order"), F.min_by(F.struct(*body, "deleted"), F.col("order")).alias("w")
     )
+    # An inner and an outer join, as semi and anti joins would be moved below the reduction again.
     stored = current.select("key", F.col("version").alias("expected"))
-    replacing = candidates.join(stored, ["key", "expected"], "left_semi")
-    creating = candidates.where("expected IS NULL").join(current.select("key"), "key", "left_anti")
+    replacing = candidates.join(stored, ["key", "expected"])
+    taken = current.select("key", F.lit(True).alias("_taken"))
+    creating = candidates.where("expected IS NULL").join(taken, "key", "left").where("_taken IS NULL").drop("_taken")
     winners = replacing.unionByName(creating)
     marks = winners.select(
         F.col("key").alias("_key"), F.col("order").alias("_order"), F.col("expected").alias("_expected"), F.lit(True).alias("_won")

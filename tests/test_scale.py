@@ -107,6 +107,20 @@ def test_fingerprint_is_one_partial_aggregation(spark):
     assert "partial_sum" in plan and "Sort" not in plan
 
 
+def test_proposals_are_reduced_before_they_meet_the_state(spark):
+    from lakegate.operators.sync import conditional_merge
+
+    state = spark.range(10).selectExpr("cast(id AS string) AS key", "'v' AS version", "id AS x")
+    proposals = spark.range(100).selectExpr(
+        "'1' AS key", "'w' AS version", "id AS x", "'v' AS expected", "id AS `order`", "false AS deleted"
+    )
+    merged, outcomes = conditional_merge(state, proposals)
+    plan = plan_of(merged)
+    assert "LeftSemi" not in plan and plan.count("partial_min_by") >= 1
+    assert merged.where("key = '1' AND version = 'w' AND x = 0").count() == 1 and merged.count() == 10
+    assert outcomes.where("outcome = 'committed'").count() == 1
+
+
 NARROW = ["t_filter", "t_cast", "t_normalize_ts", "t_flatten", "unify", "sanitize_uri", "redact_text", "url_rules",
           "spec_violations", "case_outcomes", "fingerprint_pages", "mutation_policy", "dataset_records"]
 
