@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from lakegate.operators.ordering import BLOCK, carry, ordered_blocks, within_block
+from lakegate.operators.ordering import BLOCK, HOT_ROWS, carry, ordered_blocks, same_block, split_hot, within_block
 
 # Fixed values.
 FAILURE_THRESHOLD = 3
@@ -18,6 +18,46 @@ def status_effect(status: Column) -> tuple[Column, Column]:
     return status.isNull() | (status >= 500), status.between(200, 399)
 
 
+def _running(events: DataFrame, window: WindowSpec) -> DataFrame:
+    """Resets so far, failures so far, and the failures at the last reset, within a window."""
+    counted = events.withColumn("_lr", F.sum("_r").over(window)).withColumn("_lf", F.sum("_f").over(window))
+    return counted.withColumn("_base", F.max(F.when(F.col("_r") == 1, F.col("_lf"))).over(window))
+
+
+def _marked(columns: Sequence[Column | str], events: DataFrame, failure: Column, reset: Column) -> DataFrame:
+    return events.select(*columns, failure.cast("long").alias("_f"), reset.cast("long").alias("_r"))
+
+
+def _whole_key(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _blockwise_log(marked: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Run and failure count of every event, block by block."""
+    local = _running(ordered_blocks(marked, [*keys, *order]), within_block(keys))
+    summary = (
+        local.groupBy(BLOCK, *keys)
+        .agg(F.sum("_r").alias("resets"), F.sum("_f").alias("failures"), F.max("_base").alias("at_reset"))
+        .withColumn("after_reset", F.col("failures") - F.coalesce("at_reset", F.lit(0)))
+    )
+    # Failures that had happened before a block, and before the last reset ahead of it: one row per block and key.
+    upto = Window.partitionBy(*keys).orderBy(BLOCK)
+    total = F.sum("failures").over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    floors = summary.withColumn("_floor", F.when(F.col("resets") > 0, total - F.col("after_reset")))
+    carried = carry(
+        floors,
+        keys,
+        {"runs_before": F.sum("resets"), "fails_before": F.sum("failures"), "base_before": F.max("_floor")},
+    )
+    before = F.coalesce("fails_before", F.lit(0))
+    start = F.coalesce(before + F.col("_base"), F.col("base_before"), F.lit(0))
+    return local.join(carried, same_block(keys), "left").select(
+        *marked.columns,
+        (F.coalesce("runs_before", F.lit(0)) + F.col("_lr")).alias("run"),
+        (before + F.col("_lf") - start).alias("failure_count"),
+    )
+
+
 def health_log(
     events: DataFrame,
     keys: Sequence[str],
@@ -25,74 +65,45 @@ def health_log(
     failure: Column,
     reset: Column,
     threshold: int = FAILURE_THRESHOLD,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every event with the run it belongs to, the failures so far in that run, and whether the circuit is open.
 
-    Works block by block (see :mod:`lakegate.operators.ordering`): a key with most of the events spans many blocks, and
-    only one short row per block and key is carried from block to block.
+    Ordinary keys need one shuffle and one window. Keys with more than ``hot_rows`` events go block by block (see
+    :mod:`lakegate.operators.ordering`): they span many blocks, and one short row per block is carried on.
     """
-    marked = events.withColumn("_f", failure.cast("long")).withColumn("_r", reset.cast("long"))
-    blocks = ordered_blocks(marked, [*keys, *order])
-    window = within_block(keys)
-    local = blocks.withColumn("_lr", F.sum("_r").over(window)).withColumn("_lf", F.sum("_f").over(window))
-    last_reset = F.max(F.when(F.col("_r") == 1, F.col("_lf"))).over(window)
-    local = local.withColumn("_base", last_reset)
-
-    summary = (
-        local.groupBy(BLOCK, *keys)
-        .agg(F.sum("_r").alias("resets"), F.sum("_f").alias("failures"), F.max("_base").alias("at_reset"))
-        .withColumn("after_reset", F.col("failures") - F.coalesce("at_reset", F.lit(0)))
-    )
-    seen = carry(
-        summary,
-        keys,
-        {
-            "runs_before": F.sum("resets"),
-            "fails_before": F.sum("failures"),
-        },
-    )
-    # Failures at the start of a block that belong to a run begun earlier: everything after the last block with a reset.
-    upto = Window.partitionBy(*keys).orderBy(BLOCK)
-    cumulative = summary.withColumn("_all", F.sum("failures").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    floor = cumulative.withColumn("_floor", F.when(F.col("resets") > 0, F.col("_all") - F.col("after_reset")))
-    base = floor.select(
-        BLOCK,
-        *keys,
-        F.max("_floor").over(upto.rowsBetween(Window.unboundedPreceding, -1)).alias("base_before"),
-    )
-    carried = seen.join(base, [BLOCK, *keys])
-    joined = local.join(carried, [BLOCK, *keys])
-    run_start = F.when(
-        F.col("_base").isNotNull(), F.coalesce("fails_before", F.lit(0)) + F.col("_base")
-    ).otherwise(F.coalesce("base_before", F.lit(0)))
-    count = F.coalesce("fails_before", F.lit(0)) + F.col("_lf") - run_start
-    return joined.select(
+    cold, hot = split_hot(_marked(events.columns, events, failure, reset), keys, hot_rows)
+    running = _running(cold, _whole_key(keys, order))
+    log = running.select(
         *events.columns,
-        (F.coalesce("runs_before", F.lit(0)) + F.col("_lr")).alias("run"),
-        count.alias("failure_count"),
-        (count >= threshold).alias("open"),
+        F.col("_lr").alias("run"),
+        (F.col("_lf") - F.coalesce("_base", F.lit(0))).alias("failure_count"),
     )
+    if hot is not None:
+        log = log.unionAll(_blockwise_log(hot, keys, order).drop("_f", "_r"))
+    return log.withColumn("open", F.col("failure_count") >= threshold)
 
 
 def _run_counts(
-    events: DataFrame, keys: Sequence[str], order: Sequence[str], failure: Column, reset: Column
+    events: DataFrame, keys: Sequence[str], order: Sequence[str], failure: Column, reset: Column, hot_rows: int
 ) -> DataFrame:
     """Failures per run, also of runs without any.
 
-    Events are only numbered inside their block; what is carried and joined between blocks are run counters.
+    For hot keys events are only numbered inside their block; what is carried and joined are run counters.
     """
-    marked = events.select(*keys, *order, failure.cast("long").alias("_f"), reset.cast("long").alias("_r"))
-    blocks = ordered_blocks(marked, [*keys, *order])
+    cold, hot = split_hot(_marked([*keys, *order], events, failure, reset), keys, hot_rows)
+    runs = cold.withColumn("run", F.sum("_r").over(_whole_key(keys, order)))
+    counts = runs.groupBy(*keys, "run").agg(F.sum("_f").alias("failures"))
+    if hot is None:
+        return counts
+    blocks = ordered_blocks(hot, [*keys, *order])
     local = blocks.withColumn("_lr", F.sum("_r").over(within_block(keys)))
     pieces = local.groupBy(BLOCK, *keys, "_lr").agg(F.sum("_f").alias("_failures"))
     resets = pieces.groupBy(BLOCK, *keys).agg(F.max("_lr").alias("resets"))
     before = carry(resets, keys, {"runs_before": F.sum("resets")})
     run = F.coalesce("runs_before", F.lit(0)) + F.col("_lr")
-    return (
-        pieces.join(before, [BLOCK, *keys])
-        .groupBy(*keys, run.alias("run"))
-        .agg(F.sum("_failures").alias("failures"))
-    )
+    joined = pieces.join(before, same_block(keys)).select(*keys, run.alias("run"), "_failures")
+    return counts.unionAll(joined.groupBy(*keys, "run").agg(F.sum("_failures")))
 
 
 def health_runs(
@@ -102,9 +113,10 @@ def health_runs(
     failure: Column,
     reset: Column,
     threshold: int = FAILURE_THRESHOLD,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per run of failures between resets: its length and whether it opened the circuit."""
-    counts = _run_counts(events, keys, order, failure, reset).where("failures > 0")
+    counts = _run_counts(events, keys, order, failure, reset, hot_rows).where("failures > 0")
     return counts.withColumn("opened", F.col("failures") >= threshold)
 
 
@@ -115,9 +127,10 @@ def health_state(
     failure: Column,
     reset: Column,
     threshold: int = FAILURE_THRESHOLD,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The last known state per key: the failures of its last run."""
-    counts = _run_counts(events, keys, order, failure, reset)
+    counts = _run_counts(events, keys, order, failure, reset, hot_rows)
     last = counts.groupBy(*keys).agg(F.max_by("failures", "run").alias("failure_count"))
     return last.withColumn("open", F.col("failure_count") >= threshold)
 

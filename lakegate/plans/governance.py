@@ -611,9 +611,10 @@ def health_state(spark: SparkSession, folder: str) -> DataFrame:
        SELECT run::BIGINT AS run, count(*) FILTER (event_type = 'error') AS failures FROM i GROUP BY run HAVING count(*) FILTER (event_type = 'error') > 0""",
 )
 def health_one_key(spark: SparkSession, folder: str) -> DataFrame:
-    """All events under one key: the worst skew there is."""
+    """All events under one key, taken as hot: the worst skew there is."""
     events, keys, order, failure, reset = _health_events(spark, folder)
-    return health.health_runs(events.withColumn("user_id", F.lit(0)), keys, order, failure, reset).select("run", "failures")
+    one = events.withColumn("user_id", F.lit(0))
+    return health.health_runs(one, keys, order, failure, reset, hot_rows=100).select("run", "failures")
 
 
 _SQL_METRICS = """m AS (SELECT event_id, ts, event_type AS operation_id, CASE WHEN user_id % 2 = 0 THEN 'ckan' ELSE 'udata' END AS platform,
@@ -643,6 +644,16 @@ def retry_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return health.retry_metrics(metric_events(table(spark, folder, "events")), bounds=[5.0, 20.0])
 
 
+@query(
+    "health_hot_keys",
+    f"WITH {_SQL_RUNS} SELECT event_id, run::BIGINT AS run, failure_count::BIGINT AS failure_count, failure_count >= 3 AS open FROM c",
+)
+def health_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The log again, with every user of more than twenty events taken as hot."""
+    log = health.health_log(*_health_events(spark, folder), hot_rows=20)
+    return log.select("event_id", "run", "failure_count", "open")
+
+
 @query("last_n_events", "SELECT event_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000")
 def last_n_events(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("ts", "event_id", "event_type")

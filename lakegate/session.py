@@ -38,8 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Return a fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """Return a fresh path below the shared folder, inside one folder per application that can be removed after it."""
+    return f"{shared_dir(spark)}/lakegate-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialised(df: DataFrame, label: str = "table") -> DataFrame:

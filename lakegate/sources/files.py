@@ -144,7 +144,11 @@ def publish_file(target: str, write: Callable[[io.IOBase], None]) -> None:
     try:
         with fs.open_output_stream(part, compression=None) as sink:
             write(sink)
-        fs.move(part, inner)
+        try:
+            fs.move(part, inner)
+        except OSError:  # some file systems do not replace: an earlier attempt got this far already
+            fs.delete_file(inner)
+            fs.move(part, inner)
     except Exception:
         if fs.get_file_info(part).type != pafs.FileType.NotFound:
             fs.delete_file(part)
