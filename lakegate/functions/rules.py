@@ -27,6 +27,7 @@ SECRET_IN_WATERMARK = (
 ETAG = r'^(?:W/)?"[\x21\x23-\x7e\x80-\xff]*"$'
 HTTP_DATE = r"^(?:[A-Za-z]{3}, *)?[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]{2}:[0-9]{2}(?::[0-9]{2})? (?:GMT|UTC|[+-][0-9]{4})$"
 EXTENSION_NAMESPACE = r"^[A-Za-z0-9][A-Za-z0-9.-]*[.][A-Za-z0-9][A-Za-z0-9.-]*$"
+OPERATION_PART = r"^[a-z][a-z0-9_-]*\z"
 RETRYABLE_STATUS = (408, 425, 429, 500, 502, 503, 504)
 
 
@@ -198,6 +199,12 @@ def parse_operation_id(value: ColumnOrName) -> OperationName:
     )
 
 
+def valid_operation_id(value: ColumnOrName) -> Column:
+    """Platform, service and method in lower-case vendor spelling."""
+    op = parse_operation_id(value)
+    return op.platform.rlike(OPERATION_PART) & op.service.rlike(OPERATION_PART) & op.method.rlike(OPERATION_PART)
+
+
 def coordinate_text(value: ColumnOrName) -> Column:
     """A coordinate without a trailing ``.0``."""
     value = col(value)

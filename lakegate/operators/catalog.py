@@ -20,6 +20,7 @@ from lakegate.functions.urls import (
     route_access,
     sanitize_uri,
     url_decision,
+    with_parts,
 )
 
 # Fixed values.
@@ -31,6 +32,7 @@ RECORD_KEYS = {
     "user": ("schema_version", "kind", "id", "username", "display_name", "extensions"),
     "native": ("schema_version", "kind", "platform", "resource_kind", "id", "payload", "extensions"),
 }
+LOCATOR_KEYS = ("schema_version", "kind", "uri", "format", "media_type", "extensions")
 RESERVED_TABLE = "resources"
 
 
@@ -96,6 +98,37 @@ def records(items: DataFrame, item: str, kind: str) -> tuple[DataFrame, DataFram
     return checked_documents(items, item, schema, build)
 
 
+def decode_locators(rows: DataFrame, document: str) -> tuple[DataFrame, DataFrame]:
+    """Stored resource locators as rows, and the ones that break the contract: no credentials may be stored in them."""
+
+    def build(d: Column, keys: Column):
+        columns = {n: d[n] for n in ("uri", "format", "media_type", "extensions")}
+        return columns, [
+            ("keys", exactly(keys, LOCATOR_KEYS)),
+            ("schema version or kind", (d["schema_version"] == 1) & (d["kind"] == "direct")),
+            ("uri", d["uri"] != ""),
+            ("credentials", with_parts(d["uri"], lambda p: ~p.netloc.contains("@") & ~p.malformed)),
+            ("extensions", F.forall(F.map_keys(d["extensions"]), valid_namespace)),
+        ]
+
+    schema = "schema_version bigint, kind string, uri string, format string, media_type string, extensions map<string,variant>"
+    return checked_documents(rows, document, schema, build)
+
+
+def encode_locators(locators: DataFrame) -> DataFrame:
+    """Locator rows as documents, with the URL in its display form: secrets never reach a stored locator."""
+    document = F.struct(
+        F.lit(1).alias("schema_version"),
+        F.lit("direct").alias("kind"),
+        sanitize_uri("uri").alias("uri"),
+        "format",
+        "media_type",
+        F.create_map().cast("map<string,string>").alias("extensions"),
+    )
+    others = [c for c in locators.columns if c not in ("uri", "format", "media_type")]
+    return locators.select(*others, F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))
+
+
 def bad_extension_keys(df: DataFrame, extensions: str, keys: Sequence[str]) -> DataFrame:
     """Extension names without a dotted namespace."""
     return df.select(*keys, F.explode(F.map_keys(extensions)).alias("extension")).where(~valid_namespace("extension"))

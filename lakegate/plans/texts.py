@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakegate.functions import redact, rules, urls
 from lakegate.functions.base import case
+from lakegate.operators import catalog
 from lakegate.operators.catalog import records_to_resources
 from lakegate.operators.catalog import resolve_locators as resolve
 from lakegate.operators.sync import unsafe_destinations as unsafe
@@ -155,6 +156,50 @@ def resolve_locators(spark: SparkSession, folder: str) -> DataFrame:
     return resolve(clean, "url").select("page_id", "name", "format", "access_kind", "locator")
 
 
+@query(
+    "decode_locators",
+    f"""WITH {_SQL_PARTS} SELECT page_id, url AS uri, CASE WHEN page_id % 5 = 1 THEN 'CSV' END AS format, NULL::VARCHAR AS reject_reason FROM h
+        WHERE NOT contains(netloc, '@') AND page_id % 5 <> 0
+        UNION ALL SELECT page_id, NULL, NULL, CASE WHEN page_id % 5 = 0 THEN 'schema version or kind' ELSE 'credentials' END FROM h
+        WHERE contains(netloc, '@') OR page_id % 5 = 0""",
+)
+def decode_locators(spark: SparkSession, folder: str) -> DataFrame:
+    document = F.to_json(
+        F.struct(
+            F.when(F.col("page_id") % 5 == 0, F.lit(2)).otherwise(F.lit(1)).alias("schema_version"),
+            F.lit("direct").alias("kind"),
+            F.col("url").alias("uri"),
+            F.when(F.col("page_id") % 5 == 1, F.lit("CSV")).alias("format"),
+            F.lit(None).cast("string").alias("media_type"),
+            F.create_map(F.lit("org.example"), F.lit(1)).alias("extensions"),
+        ),
+        {"ignoreNullFields": "false"},
+    )
+    stored = dressed_urls(spark, folder).select("page_id", document.alias("document"))
+    good, bad = catalog.decode_locators(stored, "document")
+    nothing = F.lit(None).cast("string")
+    return good.select("page_id", "uri", "format", nothing.alias("reject_reason")).unionAll(
+        bad.select("page_id", nothing, nothing, "reject_reason")
+    )
+
+
+@query(
+    "locator_round_trip",
+    f"""WITH {_SQL_PARTS} SELECT count(*) AS locators, 0::BIGINT AS rejected, 0::BIGINT AS with_secrets FROM h""",
+)
+def locator_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Locators written and read again: nothing is rejected, as no credential was stored."""
+    plain = dressed_urls(spark, folder).select(
+        "page_id", F.col("url").alias("uri"), F.lit("CSV").alias("format"), F.lit(None).cast("string").alias("media_type")
+    )
+    good, bad = catalog.decode_locators(catalog.encode_locators(plain), "document")
+    return good.agg(
+        F.count(F.lit(1)).alias("locators"),
+        bad.agg(F.count(F.lit(1))).scalar().alias("rejected"),
+        F.count_if(redact.has_credential("uri") & ~F.col("uri").contains("***")).alias("with_secrets"),
+    )
+
+
 @query(
     "record_to_resource",
     f"""WITH {_SQL_PARTS}
@@ -548,6 +593,16 @@ def parse_operation_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "valid_operation_id",
+    """SELECT p_partkey, p_partkey % 3 = 0 OR regexp_matches(p_type, '^[a-z][a-z0-9_-]*$') AS valid FROM part""",
+)
+def valid_operation_id(spark: SparkSession, folder: str) -> DataFrame:
+    method = F.when(F.col("p_partkey") % 3 == 0, F.lower("p_type")).otherwise(F.col("p_type"))
+    raw = F.concat(F.lit("ckan/part."), method)
+    return table(spark, folder, "part").select("p_partkey", rules.valid_operation_id(raw).alias("valid"))
+
+
 @query(
     "url_rules",
     f"""WITH {_SQL_PARTS}

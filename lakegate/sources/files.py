@@ -9,10 +9,12 @@ from __future__ import annotations
 import bz2
 import hashlib
 import io
+import re
 import uuid
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -55,12 +57,14 @@ def compression_of(magic: ColumnOrName, encoding: ColumnOrName | None = None) ->
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
-    """Filesystem and inner path of a URI as Hadoop prints it (``file:/a`` or ``file:///a``)."""
-    if "://" not in path and ":/" in path:
-        path = path.replace(":/", ":///", 1)
-    if "://" not in path:
+    """Filesystem and inner path of a path as Spark prints it (``/a``, ``file:/a b``, ``s3a://bucket/key``)."""
+    located = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(/.*)$", path, re.DOTALL)
+    if located is None:
         return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path)
+    scheme, rest = located.groups()
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{quote(rest, safe='/@:')}")
 
 
 def _per_file(work: Callable[[str], dict[str, object]], columns: list[str]):

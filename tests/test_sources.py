@@ -281,3 +281,24 @@ def test_manifest_rejects(spark):
     docs = ['{"schema_version":1}', "x", '{"schema_version":true}']
     good, bad = sinks.decode_manifest(spark.createDataFrame([(d,) for d in docs], "document string"), "document")
     assert good.count() == 0 and {r.reject_reason for r in bad.collect()} == {"keys"}
+
+
+def test_tables_are_replaced(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE loads LOCATION '{tmp_path}/loads'")
+    try:
+        assert sinks.load_replace({"_1a": spark.range(3)}, "loads") == ["loads._1a"]
+        sinks.load_replace({"_1a": spark.range(2)}, "loads")
+        assert spark.table("loads._1a").count() == 2
+    finally:
+        spark.sql("DROP DATABASE loads CASCADE")
+
+
+def test_downloads_keep_safe_names(spark, tmp_path):
+    from lakegate.functions import rules, urls
+
+    source = put(tmp_path, "da:ta 1.csv", b"a\n1\n")
+    listed = spark.createDataFrame([(f"file:{source}",)], "path string")
+    status = files.copy_files(
+        listed.withColumn("name", rules.safe_filename(urls.file_name("path"))), str(tmp_path / "out")
+    ).first()
+    assert status.target.endswith("/data 1.csv") and status.error is None
