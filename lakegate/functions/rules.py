@@ -242,8 +242,11 @@ def _is_array(node: Column) -> Column:
     return F.coalesce(F.schema_of_variant(node).startswith("ARRAY"), F.lit(False))
 
 
-def geometry_wkt(geometry: ColumnOrName) -> Column:
-    """WKT of a GeoJSON geometry held as VARIANT; other kinds keep their compact JSON text, NULL gives ``''``."""
+def geometry_wkt(geometry: ColumnOrName, raw: Column | None = None) -> Column:
+    """WKT of a GeoJSON geometry held as VARIANT; other kinds keep their compact JSON text, NULL gives ``''``.
+
+    ``raw`` is that text where it is at hand, as a VARIANT does not keep the order of keys.
+    """
     geometry = col(geometry)
     absent = geometry.isNull() | F.is_variant_null(geometry)
     kind = F.try_variant_get(geometry, "$.type", "string")
@@ -263,7 +266,7 @@ def geometry_wkt(geometry: ColumnOrName) -> Column:
             ((kind == "LineString") & listed, F.concat(F.lit("LINESTRING ("), _path_text(coords), F.lit(")"))),
             ((kind == "Polygon") & listed, F.concat(F.lit("POLYGON ("), F.array_join(rings, ", "), F.lit(")"))),
         ],
-        F.to_json(geometry),
+        F.to_json(geometry) if raw is None else raw,
     )
 
 

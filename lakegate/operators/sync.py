@@ -299,7 +299,8 @@ def unsafe_destinations(destinations: DataFrame, uri: str) -> DataFrame:
 def cache_sweep(entries: DataFrame, files: DataFrame, now: float | Column, ttl: float, stale_writing: float) -> DataFrame:
     """What a cache clean-up would remove, and why.
 
-    ``entries``: digest, fetched_at (epoch seconds), status. ``files``: digest. Orphans are files without an entry.
+    ``entries``: digest, fetched_at (epoch seconds), status. ``files``: digest. Orphans are content files, named by a
+    digest, without an entry; files with other names are left alone.
     """
     at = F.lit(now) if isinstance(now, (int, float)) else now
     reason = case(
@@ -309,7 +310,8 @@ def cache_sweep(entries: DataFrame, files: DataFrame, now: float | Column, ttl:
         ]
     )
     due = entries.select("digest", reason.alias("reason")).where("reason IS NOT NULL")
-    return due.unionAll(orphan_files(files, entries).select("digest", F.lit("orphan").alias("reason")))
+    content = files.where(F.col("digest").rlike("^[0-9a-f]{64}$"))
+    return due.unionAll(orphan_files(content, entries).select("digest", F.lit("orphan").alias("reason")))
 
 
 def orphan_files(files: DataFrame, index: DataFrame, key: str = "digest") -> DataFrame:

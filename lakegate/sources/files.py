@@ -282,3 +282,33 @@ def largest_member(members: DataFrame, archive: str = "archive") -> DataFrame:
     return members.groupBy(archive).agg(
         F.max_by("member", F.struct("size", "member")).alias("member"), F.max("size").alias("size")
     )
+
+
+def unsupported_parquet(files: DataFrame) -> DataFrame:
+    """Parquet columns Spark cannot read (time of day, nanosecond timestamps), from the footers alone, one row each.
+
+    An unreadable footer is a finding as well, so a folder can be cleared of what would fail the whole scan.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                try:
+                    fs, inner = opened(path)
+                    with fs.open_input_file(inner) as source:
+                        schema = pq.read_schema(source)
+                except Exception as problem:  # one bad file becomes one finding
+                    found.append((path, None, f"{type(problem).__name__}: {problem}"[:500]))
+                    continue
+                for field in schema:
+                    if pa.types.is_time(field.type):
+                        found.append((path, field.name, "time of day"))
+                    elif pa.types.is_timestamp(field.type) and field.type.unit == "ns":
+                        found.append((path, field.name, "nanosecond timestamp"))
+            yield pd.DataFrame(found, columns=["path", "column_name", "problem"])
+
+    return files.select("path").mapInPandas(run, "path string, column_name string, problem string")

@@ -13,10 +13,12 @@ from lakegate.errors import DecodeError
 from lakegate.functions.base import let
 from lakegate.functions.rules import geometry_wkt
 from lakegate.operators.unify import unify
-from lakegate.sources.files import list_files, sniff_json
+from lakegate.session import materialised
+from lakegate.sources.files import list_files, sniff_json, unsupported_parquet
 from lakegate.sources.xlsx import read_xlsx
 
 Paths = str | list[str]
+_FEATURES = "array<struct<properties:variant,geometry:string>>"
 
 
 def widen_integers(schema: T.StructType) -> T.StructType:
@@ -118,6 +120,17 @@ def read_parquet(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
+def read_readable_parquet(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The files Spark can read, and one row per finding for the others (by their footers)."""
+    listed = list_files(spark, path, "*.parquet")
+    findings = materialised(unsupported_parquet(listed), "parquet-findings")
+    readable = listed.join(findings.select("path").distinct(), "path", "left_anti")
+    paths = [r["path"] for r in readable.select("path").collect()]  # as the scan's own file list
+    if not paths:
+        raise DecodeError(f"no readable Parquet file below {path}")
+    return spark.read.option("basePath", path).parquet(*paths), findings
+
+
 def split_of_row() -> list[Column]:
     """The split a row was read from, to be recorded when its work is done."""
     return [
@@ -158,19 +171,21 @@ def pending_files(listing: DataFrame, completed: DataFrame) -> DataFrame:
 def read_geojson(spark: SparkSession, path: Paths, schema: T.StructType | None = None) -> DataFrame:
     """One row per feature: its properties as columns (``schema`` names them), and its geometry as WKT."""
 
-    def features(node: Column) -> Column:
-        kind = F.try_variant_get(node, "$.type", "string")
+    layout = (
+        "type string, features array<struct<properties:variant,geometry:string>>, properties variant, geometry string"
+    )
+
+    def features(d: Column) -> Column:
+        single = F.array(F.struct(d["properties"].alias("properties"), d["geometry"].alias("geometry")))
         return (
-            F.when(kind == "FeatureCollection", F.try_variant_get(node, "$.features", "array<variant>"))
-            .when(kind == "Feature", F.array(node))
-            .otherwise(F.raise_error(F.lit("not a GeoJSON Feature or FeatureCollection")).cast("array<variant>"))
+            F.when(d["type"] == "FeatureCollection", d["features"])
+            .when(d["type"] == "Feature", single)
+            .otherwise(F.raise_error(F.lit("not a GeoJSON Feature or FeatureCollection")).cast(_FEATURES))
         )
 
-    rows = _documents(spark, path).select(F.explode(let(F.try_parse_json("doc"), features)).alias("f"))
-    parts = rows.select(
-        F.try_variant_get("f", "$.properties", "variant").alias("p"),
-        geometry_wkt(F.try_variant_get("f", "$.geometry", "variant")).alias("geometry_wkt"),
-    )
+    rows = _documents(spark, path).select(F.inline(let(F.from_json("doc", layout), features)))
+    shape = let(F.try_parse_json("geometry"), lambda g: geometry_wkt(g, F.col("geometry")))
+    parts = rows.select(F.col("properties").alias("p"), shape.alias("geometry_wkt"))
     return typed_variant(parts, "p", {"geometry_wkt": F.col("geometry_wkt")}, schema)
 
 
