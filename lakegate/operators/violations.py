@@ -32,16 +32,16 @@ def checked_documents(df: DataFrame, document: str, schema: str, build: Build) -
     the wrong kind, or a text where a number belongs, reads as NULL and breaks its rule.
     """
     others = [c for c in df.columns if c != document]
-    parsed = F.struct(
-        F.from_json(document, schema, {"mode": "PERMISSIVE"}).alias("d"), F.json_object_keys(document).alias("k")
-    )
+
+    def parse(text: Column) -> Column:
+        return F.struct(F.from_json(text, schema).alias("d"), F.json_object_keys(text).alias("k"))
 
     def row(r: Column) -> Column:
         columns, rules = build(r["d"], r["k"])
         reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules])
         return F.struct(*[c.alias(n) for n, c in columns.items()], reason.alias("reject_reason"))
 
-    rows = F.transform(F.array(parsed), row)
+    rows = F.transform(F.transform(F.array(F.col(document)), parse), row)
     good = df.select(*others, F.inline(F.filter(rows, lambda r: r["reject_reason"].isNull()))).drop("reject_reason")
     rejects = F.transform(F.filter(rows, lambda r: r["reject_reason"].isNotNull()), lambda r: r["reject_reason"])
     return good, df.select("*", F.explode(rejects).alias("reject_reason"))
