@@ -15,7 +15,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert name in entry.oracle_sql(), "every query has an SQL counterpart"
     assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], FOLDER) == ""
