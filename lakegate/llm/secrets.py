@@ -1,0 +1,158 @@
+"""Secret scans: fixed signatures, and random strings found by how badly a token vocabulary compresses them."""
+
+from __future__ import annotations
+
+import base64
+import re
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lakegate.llm.common import arrow_rows, per_process, text_column
+
+# Fixed values.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+ASSIGN = r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
+DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)  # hexadecimal digits of the common digests
+KINDS = ("assign", "access", "hex", "random")
+
+_ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
+_ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a run of 18 characters at least; shorter runs hold no longer match
+_HEX = re.compile(r"[0-9a-f]{16,}")
+_RUN = re.compile(r"[0-9A-Za-z+/_=-]{16,}")  # holds every hexadecimal match and every random candidate
+_UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_TAGGED = re.compile(r"(?:md5|sha1|sha224|sha256|sha384|sha512)[-_=:]", re.IGNORECASE)
+_SEGMENT = re.compile(r"[+/_=-]+")
+_IDENTIFIER = re.compile(r"[A-Z]?[a-z]+\d{0,4}|[A-Z]+\d{0,4}|\d+|v\d+[a-z]?|(?:[A-Z]?[a-z]+){2,}\d{0,4}")
+
+
+def _encoder(ranks: bytes):
+    import tiktoken
+
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
+    return tiktoken.Encoding("secrets", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
+
+
+def is_known(candidate: str) -> bool:
+    """Digests, UUIDs, numbers and identifiers put together from plain segments: long, but no secrets."""
+    if _UUID.fullmatch(candidate) or _TAGGED.match(candidate):
+        return True
+    if _ALL_HEX.fullmatch(candidate):
+        return len(candidate) in DIGEST_LENGTHS or candidate.isdigit()
+    return all(_IDENTIFIER.fullmatch(s) for s in _SEGMENT.split(candidate) if s)
+
+
+def _base(text: str, raw: bytes) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """Base spans as (start, kind, end), and the long runs of the text."""
+    spans = []
+    low = raw.lower()
+    if any(w in low for w in ASSIGN_WORDS):
+        spans += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m.group(2)) >= 12]
+    if b"AKIA" in raw:
+        spans += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
+    runs = [m.span() for m in _RUN.finditer(text)]
+    for a, b in runs:
+        spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text, a, b)]
+    return sorted(spans), runs
+
+
+def _random(text: str, runs, base, encoder, min_chars: int, ratio: float) -> list[tuple[int, int, int]]:
+    """Runs outside base spans with letters and digits, not known, of few characters a token."""
+    found, i = [], 0
+    for a, b in runs:
+        if b - a < min_chars:
+            continue
+        while i < len(base) and base[i][2] <= a:
+            i += 1
+        if any(s < b and e > a for s, _, e in base[i : i + 64]):
+            continue
+        run = text[a:b]
+        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)) or is_known(run):
+            continue
+        # Long runs are encoded in slices, which bounds the encoder's time; slices cost a token more at most.
+        tokens = sum(len(encoder.encode_ordinary(run[k : k + 512])) for k in range(0, len(run), 512))
+        if len(run) < ratio * tokens:
+            found.append((a, 3, b))
+    return found
+
+
+def scan(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    vocabulary: str = VOCABULARY,
+    min_chars: int = 20,
+    max_chars_per_token: float = 2.2,
+) -> DataFrame:
+    """One row per row of ``docs``: its secrets as spans (kind, start, end) in code points, ends exclusive.
+
+    A run of ``min_chars`` or more of ``[0-9A-Za-z+/_=-]`` with letters and digits is random when the vocabulary gets
+    fewer than ``max_chars_per_token`` characters into a token, unless it is a digest, a UUID, a number, an identifier
+    of plain segments, or meets a base span. Everything happens inside one row: no shuffle, any skew is harmless.
+
+    Null ids pass through; null texts count as empty and give no span; repeated rows give repeated rows; an empty table
+    gives an empty one; other columns are not read. Result: the id, ``spans`` array of structs ordered by start, then
+    kind as listed in ``KINDS``.
+    """
+    ranks = docs.sparkSession.sparkContext.broadcast(open(vocabulary, "rb").read())  # a vocabulary file: about 1 MB
+
+    def rows(columns: list[list]) -> Iterable[tuple]:
+        encoder = None
+        for key, text in zip(*columns, strict=True):
+            spans, runs = _base(text, text.encode())
+            if any(b - a >= min_chars for a, b in runs):
+                encoder = encoder or per_process("encoder", lambda: _encoder(ranks.value))
+                spans = sorted(spans + _random(text, runs, spans, encoder, min_chars, max_chars_per_token))
+            yield key, [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans]
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>"
+    return arrow_rows(docs, [F.col(id_col), text_column(text_col)], rows, schema)
+
+
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
+    """``docs`` with every found span (overlapping ones united) replaced by ``mark``; all rows and columns stay.
+
+    Texts without a span, null ones too, stay as they are. Columns pass through whatever their names.
+    """
+    ranks = docs.sparkSession.sparkContext.broadcast(open(options.get("vocabulary", VOCABULARY), "rb").read())
+    least, ratio = options.get("min_chars", 20), options.get("max_chars_per_token", 2.2)
+
+    @F.pandas_udf("string")
+    def cleaned(texts):
+        def clean(text):
+            if text is None:
+                return None
+            spans, runs = _base(text, text.encode())
+            if any(b - a >= least for a, b in runs):
+                encoder = per_process("encoder", lambda: _encoder(ranks.value))
+                spans = sorted(spans + _random(text, runs, spans, encoder, least, ratio))
+            out, at = [], 0
+            for a, _, b in spans:
+                if a >= at:
+                    out += [text[at:a], mark]
+                at = max(at, b)
+            return text if not spans else "".join([*out, text[at:]])
+
+        return texts.map(clean, na_action="ignore")
+
+    return docs.withColumn(text_col, cleaned(F.col(text_col)))
+
+
+def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The contract's columns of :func:`scan`'s result."""
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        id_col,
+        *[count(k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
