@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakegate.llm import secrets
+from lakegate.llm import secret_scan
 from lakegate.session import materialised
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakegate.llm import secrets
+from lakegate.llm import quality, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,4 +23,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @_query
 def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.digest(secrets.scan(_table(spark, folder, "documents")))
+    return secret_scan.digest(secret_scan.scan(_table(spark, folder, "documents")))
+
+
+@_query
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents"), shingle=3, max_bits=2)
