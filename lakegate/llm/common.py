@@ -12,9 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.session import materialised
-
-__all__ = ["arrow_rows", "materialised", "per_process", "pieces_of_bytes", "text_column", "words_of"]
+from lakegate.session import materialised  # noqa: F401
 
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
@@ -24,6 +22,17 @@ def text_column(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``df`` has no such columns."""
+    used = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in used:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def per_process(key: str, make: Callable[[], Any]) -> Any:
     """What ``make`` returns, made once in each Python worker (tasks of one worker share its modules)."""
     store = sys.modules.setdefault("_lakegate_llm_cache", types.ModuleType("_lakegate_llm_cache"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import quality, secret_scan, simhash, topk
+from lakegate.llm import line_dedup, packing, quality, secret_scan, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,20 @@ WITH vectors AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@_query
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(_table(spark, folder, "documents"))
+    return packed.withColumn("tokens_sha256", F.sha2("tokens", 256)).drop("tokens")
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("before"))
+    return line_dedup.dedup(docs, max_edits=1, min_chars=20).select(
+        "doc_id",
+        F.size(F.split("before", "\n")).alias("n_lines_before"),
+        F.length("text").alias("n_chars_kept"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )

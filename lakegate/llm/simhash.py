@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import arrow_rows, materialised, text_column, words_of
+from lakegate.llm.common import arrow_rows, free_names, materialised, text_column, words_of
 from lakegate.llm.graph import components
 
 SEED = 42
@@ -135,5 +135,6 @@ def first_of_each(
 ) -> DataFrame:
     """``docs`` without the rows whose component has a smaller id. Rows without an id stay if their component has none."""
     found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, shingle, max_bits)
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    (name,) = free_names(docs, "gone")
+    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(name)).distinct()
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
