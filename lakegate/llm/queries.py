@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import line_dedup, packing, quality, secret_scan, simhash, topk
+from lakegate.llm import license_scan, line_dedup, packing, quality, quotes, secret_scan, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +74,13 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.length("text").alias("n_chars_kept"),
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@_query
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(_table(spark, folder, "documents")))
+
+
+@_query
+def op4_chat_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.conversations(_table(spark, folder, "conversations"))
