@@ -29,7 +29,7 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"), max_trusted=20_000)
 
 
 @_query
