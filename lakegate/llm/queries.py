@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import license_scan, line_dedup, packing, quality, quotes, secret_scan, simhash, topk
+from lakegate.llm import license_scan, line_dedup, packing, quality, quotes, secret_scan, sentencepieces, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,15 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op4_chat_quotes(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(_table(spark, folder, "conversations"))
+
+
+@_query
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = sentencepieces.decode(sentencepieces.encode(docs))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
