@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import license_scan, line_dedup, packing, quality, quotes, secret_scan, sentencepieces, simhash, topk
+from lakegate.llm import license_scan, line_dedup, packing, quality, quotes, secret_scan, sentencepieces, simhash, substrings, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,9 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.dedup(_table(spark, folder, "documents"), min_bytes=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
