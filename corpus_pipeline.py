@@ -9,23 +9,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakegate.llm import secret_scan
+from lakegate.llm import line_dedup, packing, quality, secret_scan, simhash
 from lakegate.session import materialised
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _recounted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the texts as they are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that fail the rules or look unlike trusted text go; the labels say what is trusted."""
+    return quality.keep(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Lines equal to or one edit away from an earlier one leave the texts; every document stays."""
+    return _recounted(line_dedup.dedup(docs))
+
+
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group stays: 3-word shingles, two bits at most."""
+    return simhash.first_of_each(docs, shingle=3, max_bits=2)
+
+
 def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    return secret_scan.redact(docs)
+    return _recounted(secret_scan.redact(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The texts as sequences of tokens, packed into bins of several permitted lengths."""
+    return packing.pack(docs).withColumn("doc_ids", F.transform("pieces", lambda p: p["doc_id"]))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("line dedup", without_repeated_lines),
+    ("simhash near-dedup", one_of_near_duplicates),
     ("secret scans", without_secrets),
+    ("best-fit packing", packed),
 ]
 
-#: No stage but the first has an SQL form; the tests hold the stages against brute force.
+#: Hashed n-grams, edit distances, fingerprints, token ratios and packing have no SQL form; the tests use brute force.
 ORACLE_SQL = None
 
 

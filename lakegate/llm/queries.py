@@ -62,7 +62,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @_query
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(_table(spark, folder, "documents"))
-    return packed.withColumn("tokens_sha256", F.sha2("tokens", 256)).drop("tokens")
+    ids = F.transform("pieces", lambda p: p["doc_id"])
+    return packed.withColumn("doc_ids", ids).withColumn("tokens_sha256", F.sha2("tokens", 256)).drop("tokens")
 
 
 @_query
