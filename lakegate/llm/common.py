@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lakegate.session import materialised  # noqa: F401
 
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
+SMALL_ROWS = 500_000  # rows of at most 64 bytes that may be broadcast
 
 
 def text_column(name: str) -> Column:
@@ -66,6 +67,12 @@ def arrow_rows(
     return source.mapInArrow(run, target)
 
 
+def sized(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` written, and marked for broadcast if it was counted to have few (and short) rows; else joins shuffle it."""
+    written = materialised(df, "side")
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def pieces_of_bytes(raw: bytes, size: int = 1 << 20) -> Iterator[bytes]:
     """Cut bytes at ASCII white space into pieces of about ``size``; a longer word stays whole."""
     start = 0

@@ -8,9 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import arrow_rows, free_names, materialised, text_column
+from lakegate.llm.common import arrow_rows, free_names, materialised, sized, text_column
 
-SMALL_ROWS = 500_000  # rows of at most 64 bytes that may be broadcast; beyond, the join shuffles
 BASE = 0x9E3779B97F4A7C15
 LINE = ("id", "no", "h1")  # names a line: its document, its number there, the hash of its form
 
@@ -106,12 +105,6 @@ def _fetched(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
     return found.join(sized(grouped), F.col("d").eqNullSafe(F.col("id"))).drop("d")
 
 
-def sized(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` written, and marked for broadcast if it was counted to have few rows."""
-    written = materialised(df, "side")
-    return F.broadcast(written) if written.count() <= rows else written
-
-
 def _variants(found: DataFrame, min_chars: int, id_type: str) -> DataFrame:
     """(v, p, id, no, h1): hashes of the wanted lines without character p; p = -1 is the whole line."""
 

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import arrow_rows, free_names, materialised, text_column, words_of
+from lakegate.llm.common import arrow_rows, free_names, materialised, sized, text_column, words_of
 from lakegate.llm.graph import components
 
 SEED = 42
@@ -84,7 +84,7 @@ def links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
         sizes = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
         sizes = materialised(sizes.where("n > 1"), "buckets")
         found.append(sizes.where("n = 2").where(near).select("a", "b"))
-        more = sizes.where("n > 2").select("key", "n")
+        more = sized(sizes.where("n > 2").select("key", "n"))
         if more.isEmpty():
             break
         shared = materialised(variants.join(more, "key"), "members")
@@ -133,8 +133,19 @@ def near_duplicates(
 def first_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
 ) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id. Rows without an id stay if their component has none."""
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, shingle, max_bits)
-    (name,) = free_names(docs, "gone")
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(name)).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
+    """``docs`` with one row of each component: that of the smallest id; null ids come last, ties go by content.
+
+    Of repeated rows one stays. All columns stay.
+    """
+    name, other = free_names(docs, "row_key", "gone_key")
+    key = F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    keyed = docs.withColumn(name, key)
+    found = near_duplicates(keyed.select(name, text_col), name, text_col, shingle, max_bits)
+    found = materialised(found.groupBy(name).agg(F.min("component_id").alias("least"), F.count(F.lit(1)).alias("n")), "keys")
+    gone = found.where(~F.col(name).eqNullSafe(F.col("least"))).select(F.col(name).alias(other))
+    kept = keyed.join(gone, F.col(name).eqNullSafe(F.col(other)), "left_anti")
+    twice = found.where((F.col("n") > 1) & F.col(name).eqNullSafe(F.col("least"))).select(F.col(name).alias(other))
+    if not twice.isEmpty():
+        same = F.col(name).eqNullSafe(F.col(other))
+        kept = kept.join(twice, same, "left_anti").union(kept.join(twice, same, "left_semi").dropDuplicates([name]))
+    return kept.select(*docs.columns)
