@@ -165,18 +165,24 @@ def effective_profile(operations: DataFrame, evidence: DataFrame, baseline: str
     """Every declared operation with its effective state.
 
     ``baseline`` is the state without evidence: ``unavailable``, or ``declared`` for the optimistic reading.
-    Evidence is reduced to one row per operation before it meets the operations, so a hot operation costs nothing;
-    contradicting duplicates are listed by :func:`evidence_errors`.
+    Evidence is reduced to one row per operation before it meets the operations, so a hot operation costs nothing.
+    Evidence that contradicts itself settles nothing: the state is ``conflict``, the response class NULL;
+    :func:`evidence_errors` lists all duplicates.
     """
     observed = evidence.groupBy("operation_id").agg(
-        F.min("response_class").alias("response_class"), F.count(F.lit(1)).alias("evidence_count")
+        F.min("response_class").alias("response_class"),
+        (F.min("response_class") != F.max("response_class")).alias("contradicts"),
+        F.count(F.lit(1)).alias("evidence_count"),
     )
+    settled = F.when(~F.coalesce("contradicts", F.lit(False)), F.col("response_class"))
     fallback = F.col("capability_class") if baseline == "declared" else F.lit(baseline)
     return operations.join(observed, "operation_id", "left").select(
         *operations.columns,
-        "response_class",
+        settled.alias("response_class"),
         F.coalesce("evidence_count", F.lit(0)).alias("evidence_count"),
-        effective_state("response_class", "capability_class", fallback).alias("state"),
+        F.when(F.col("contradicts"), F.lit("conflict"))
+        .otherwise(effective_state(settled, "capability_class", fallback))
+        .alias("state"),
     )
 
 
@@ -212,9 +218,18 @@ def guard_decisions(requests: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
+def fresh_or_declared(operations: DataFrame, fresh: DataFrame, keys: Sequence[str], declared: str) -> DataFrame:
+    """Every declared operation with its fresh evidence; without any, ``declared`` and ``source`` = ``declared`` stand in."""
+    both = operations.join(fresh.withColumn("_fresh", F.lit(True)), list(keys), "left")
+    source = F.when(F.col("_fresh"), F.lit("observed")).otherwise(F.lit("declared"))
+    return both.select(*keys, *[c for c in fresh.columns if c not in keys], declared, source.alias("source"))
+
+
 def latest_fresh(evidence: DataFrame, now: Column, ttl_seconds: float, keys: Sequence[str], ts: str, tie: str) -> DataFrame:
     """Newest evidence per operation that is younger than its time to live.
 
+    Operations whose evidence is older are left out; :func:`fresh_or_declared` puts their declared state in its place.
+
     ``max_by`` keeps one candidate per task and key, so no window sorts a hot key.
     """
     others = [c for c in evidence.columns if c not in keys]

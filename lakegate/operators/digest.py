@@ -34,7 +34,9 @@ def encode_value(value: Column, kind: T.DataType) -> Column:
     """
     if isinstance(kind, (T.NumericType, T.BooleanType)):
         tagged = F.concat(F.lit("V"), value.cast("string"), F.lit(";"))
-    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    elif isinstance(kind, T.TimestampType):  # an instant reads differently in every session zone
+        tagged = F.concat(F.lit("Vi"), F.unix_micros(value).cast("string"), F.lit(";"))
+    elif isinstance(kind, (T.DateType, T.TimestampNTZType)):
         tagged = F.concat(F.lit("Vt"), value.cast("string"), F.lit(";"))
     elif isinstance(kind, T.BinaryType):
         tagged = F.concat(F.lit("Vb"), F.lower(F.hex(value)), F.lit(";"))

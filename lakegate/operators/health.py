@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from lakegate.operators.ordering import BLOCK, HOT_ROWS, carry, ordered_blocks, same_block, split_hot, within_block
+from lakegate.operators.ordering import BLOCK, carry, ordered_blocks, same_block, within_block
 
 # Fixed values.
 FAILURE_THRESHOLD = 3
@@ -28,10 +28,6 @@ def _marked(columns: Sequence[Column | str], events: DataFrame, failure: Column,
     return events.select(*columns, failure.cast("long").alias("_f"), reset.cast("long").alias("_r"))
 
 
-def _whole_key(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-
-
 def _blockwise_log(marked: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Run and failure count of every event, block by block."""
     local = _running(ordered_blocks(marked, [*keys, *order]), within_block(keys))
@@ -65,45 +61,31 @@ def health_log(
     failure: Column,
     reset: Column,
     threshold: int = FAILURE_THRESHOLD,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every event with the run it belongs to, the failures so far in that run, and whether the circuit is open.
 
-    Ordinary keys need one shuffle and one window. Keys with more than ``hot_rows`` events go block by block (see
-    :mod:`lakegate.operators.ordering`): they span many blocks, and one short row per block is carried on.
+    Events go block by block (see :mod:`lakegate.operators.ordering`) whatever their number: a key with most of them spans
+    many blocks, and one short row per block is carried on.
     """
-    cold, hot = split_hot(_marked(events.columns, events, failure, reset), keys, hot_rows)
-    running = _running(cold, _whole_key(keys, order))
-    log = running.select(
-        *events.columns,
-        F.col("_lr").alias("run"),
-        (F.col("_lf") - F.coalesce("_base", F.lit(0))).alias("failure_count"),
-    )
-    if hot is not None:
-        log = log.unionAll(_blockwise_log(hot, keys, order).drop("_f", "_r"))
+    log = _blockwise_log(_marked(events.columns, events, failure, reset), keys, order).drop("_f", "_r")
     return log.withColumn("open", F.col("failure_count") >= threshold)
 
 
 def _run_counts(
-    events: DataFrame, keys: Sequence[str], order: Sequence[str], failure: Column, reset: Column, hot_rows: int
+    events: DataFrame, keys: Sequence[str], order: Sequence[str], failure: Column, reset: Column
 ) -> DataFrame:
     """Failures per run, also of runs without any.
 
-    For hot keys events are only numbered inside their block; what is carried and joined are run counters.
+    Events are only numbered inside their block; what is carried and joined are run counters.
     """
-    cold, hot = split_hot(_marked([*keys, *order], events, failure, reset), keys, hot_rows)
-    runs = cold.withColumn("run", F.sum("_r").over(_whole_key(keys, order)))
-    counts = runs.groupBy(*keys, "run").agg(F.sum("_f").alias("failures"))
-    if hot is None:
-        return counts
-    blocks = ordered_blocks(hot, [*keys, *order])
+    blocks = ordered_blocks(_marked([*keys, *order], events, failure, reset), [*keys, *order])
     local = blocks.withColumn("_lr", F.sum("_r").over(within_block(keys)))
     pieces = local.groupBy(BLOCK, *keys, "_lr").agg(F.sum("_f").alias("_failures"))
     resets = pieces.groupBy(BLOCK, *keys).agg(F.max("_lr").alias("resets"))
     before = carry(resets, keys, {"runs_before": F.sum("resets")})
     run = F.coalesce("runs_before", F.lit(0)) + F.col("_lr")
     joined = pieces.join(before, same_block(keys)).select(*keys, run.alias("run"), "_failures")
-    return counts.unionAll(joined.groupBy(*keys, "run").agg(F.sum("_failures")))
+    return joined.groupBy(*keys, "run").agg(F.sum("_failures").alias("failures"))
 
 
 def health_runs(
@@ -113,10 +95,9 @@ def health_runs(
     failure: Column,
     reset: Column,
     threshold: int = FAILURE_THRESHOLD,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per run of failures between resets: its length and whether it opened the circuit."""
-    counts = _run_counts(events, keys, order, failure, reset, hot_rows).where("failures > 0")
+    counts = _run_counts(events, keys, order, failure, reset).where("failures > 0")
     return counts.withColumn("opened", F.col("failures") >= threshold)
 
 
@@ -127,10 +108,9 @@ def health_state(
     failure: Column,
     reset: Column,
     threshold: int = FAILURE_THRESHOLD,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The last known state per key: the failures of its last run."""
-    counts = _run_counts(events, keys, order, failure, reset, hot_rows)
+    counts = _run_counts(events, keys, order, failure, reset)
     last = counts.groupBy(*keys).agg(F.max_by("failures", "run").alias("failure_count"))
     return last.withColumn("open", F.col("failure_count") >= threshold)
 

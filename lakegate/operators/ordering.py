@@ -17,7 +17,6 @@ from lakegate.session import materialised, partitions_for
 
 BLOCK = "_block"
 POSITION = "_position"
-HOT_ROWS = 5_000_000  # rows of one key that a single task may sort
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition number above, row in partition below
 
 
@@ -67,17 +66,3 @@ def with_row_number(df: DataFrame, order: Sequence[str], name: str = "row_index"
     before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(BLOCK, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     return blocks.join(offsets, BLOCK).withColumn(name, F.col("offset") + F.col(POSITION)).select(*df.columns, name)
-
-
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of keys too large for one task (None if there are no such keys).
-
-    Keys are counted first, which reduces on the map side and reads the key columns only. The list of hot keys cannot be
-    longer than rows / ``hot_rows``; it is written as a table, so both halves agree on it.
-    """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = materialised(counted.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-keys")
-    if hot.isEmpty():
-        return df, None
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")

@@ -143,12 +143,14 @@ def conditional_merge(current: DataFrame, proposals: DataFrame) -> tuple[DataFra
     """Compare-and-swap: a proposal is committed only if the version it expects is still the current one.
 
     ``proposals``: the columns of ``current`` plus ``expected`` (NULL: the key must be absent), ``order`` and
-    ``deleted``. Of several proposals for one key the first in order wins and the others conflict. Proposals are first
+    ``deleted``. Of several proposals for one key the first in order wins and the others conflict; two with the same key
+    and order have no first one, so they raise. Proposals are first
     reduced per (key, expected version), on the map side, and what is left meets the state on both columns: a key with
     most of the proposals is never gathered in one task.
     Returns the new state and the outcome of every proposal.
     """
     body = [c for c in current.columns if c != "key"]
+    proposals = _with_unique_order(proposals)
     candidates = proposals.groupBy("key", "expected").agg(
         F.min("order").alias("order"), F.min_by(F.struct(*body, "deleted"), F.col("order")).alias("w")
     )
@@ -174,12 +176,27 @@ def conditional_merge(current: DataFrame, proposals: DataFrame) -> tuple[DataFra
     return kept.unionByName(written), outcomes
 
 
+def _with_unique_order(proposals: DataFrame) -> DataFrame:
+    """``proposals``, raising where two of them share key and order (counted per key and order, so no key is hot)."""
+    counted = proposals.groupBy(F.col("key").alias("_k"), F.col("order").alias("_o")).agg(F.count(F.lit(1)).alias("_n"))
+    message = F.concat(F.lit("proposals without an order of their own for key "), F.coalesce("_k", F.lit("NULL")))
+    checked = F.when(F.col("_n") == 1, F.col("order")).otherwise(F.raise_error(message).cast(proposals.schema["order"].dataType))
+    same = F.col("key").eqNullSafe(F.col("_k")) & F.col("order").eqNullSafe(F.col("_o"))
+    joined = proposals.join(counted, same).withColumn("order", checked)
+    return joined.select(*proposals.columns)
+
+
 def mirror_proposals(committed: DataFrame, current: DataFrame, synced_at: Column) -> DataFrame:
-    """Committed (identity, watermark) pairs as proposals for :func:`conditional_merge`; blank ones are left out."""
+    """Committed (identity, watermark) pairs as proposals for :func:`conditional_merge`; blank ones are left out.
+
+    Pairs of one identity are proposals of their own, in the order of their watermarks; equal pairs are one.
+    """
     versions = current.select("key", F.col("version").alias("expected"))
-    pairs = committed.where(
-        (F.coalesce("identity", F.lit("")) != "") & (F.coalesce("watermark", F.lit("")) != "")
-    ).select(F.col("identity").alias("key"), "watermark")
+    pairs = (
+        committed.where((F.coalesce("identity", F.lit("")) != "") & (F.coalesce("watermark", F.lit("")) != ""))
+        .select(F.col("identity").alias("key"), "watermark")
+        .distinct()
+    )
     filled = {
         "status": F.lit("completed"),
         "last_synced_at": synced_at,
@@ -196,15 +213,24 @@ def mirror_proposals(committed: DataFrame, current: DataFrame, synced_at: Column
             if c != "key"
         ],
         "expected",
-        F.lit(0).alias("order"),
+        F.col("watermark").alias("order"),
         F.lit(False).alias("deleted"),
     )
 
 
 def state_violations(state: DataFrame) -> DataFrame:
-    """Broken rules of stored state rows."""
+    """Broken rules of stored state rows.
+
+    Rows may carry more than the table's columns: a ``partitions`` text must be empty JSON, and a ``last_synced_at`` text
+    must be a time with a zone.
+    """
     open_checkpoint = F.col("status") == "in_progress"
     optional_digest = F.col("source_version").isNull() | is_sha256("source_version")
+    extra = {}
+    if dict(state.dtypes).get("last_synced_at") == "string":
+        extra["last synced"] = F.col("last_synced_at").isNull() | zoned_time(F.col("last_synced_at"))
+    if "partitions" in state.columns:
+        extra["partitions"] = F.coalesce("partitions", F.lit("null")).isin("null", "[]", "{}")
     return violations(
         state,
         {
@@ -213,6 +239,7 @@ def state_violations(state: DataFrame) -> DataFrame:
             "completed needs a watermark": open_checkpoint | F.col("watermark").isNotNull(),
             "source version": optional_digest,
             "destination identity": F.col("destination_identity").isNull() | is_sha256("destination_identity"),
+            **extra,
             "checkpoint position": ~open_checkpoint
             | (
                 F.coalesce(F.col("next_batch_index") >= 0, F.lit(False))
@@ -240,7 +267,7 @@ def upgrade_state(
         "struct<destination_identity:string,destination_uri:string,destination_size:bigint,destination_checksum:string>"
     )
     schema = (
-        "cursor struct<schema:string,watermark:string>, last_synced_at string,"
+        "cursor struct<schema:string,watermark:string>, last_synced_at string, partitions variant,"
         f" extra struct<`{checkpoint_key}`:{box},`{artifact_key}`:{record}>"
     )
 
@@ -287,11 +314,19 @@ def upgrade_state(
             ("checkpoint", ~is_open | F.coalesce(good_checkpoint, F.lit(False))),
             ("artifact", ~found | F.coalesce(good_artifact, F.lit(False))),
             ("watermark", is_open | valid_watermark(d["cursor"]["watermark"])),
+            ("last synced", d["last_synced_at"].isNull() | zoned_time(d["last_synced_at"])),
+            ("partitions", F.coalesce(F.to_json(d["partitions"]), F.lit("null")).isin("null", "[]", "{}")),
         ]
 
     return checked_documents(old, "document", schema, build)
 
 
+def zoned_time(text: Column) -> Column:
+    """Whether a text is a point in time: a date and a time of day that exist, with a zone or an offset."""
+    shaped = text.rlike(r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d(?::\d\d(?:\.\d{1,9})?)?(?:Z|[+-]\d\d:?\d\d)$")
+    return F.coalesce(shaped & F.try_to_timestamp(text).isNotNull(), F.lit(False))
+
+
 def unsafe_destinations(destinations: DataFrame, uri: str) -> DataFrame:
     return destinations.where(~is_safe_destination(uri))
 

@@ -84,6 +84,25 @@ def safe_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
     name = target.simpleString()
     if source == target:
         return value
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return F.transform(value, lambda v: safe_cast(v, source.elementType, target.elementType))
+    if isinstance(source, T.MapType) and isinstance(target, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(
+                safe_cast(e["key"], source.keyType, target.keyType).alias("key"),
+                safe_cast(e["value"], source.valueType, target.valueType).alias("value"),
+            ),
+        )
+        return F.map_from_entries(entries)
+    if isinstance(source, T.StructType) and isinstance(target, T.StructType):
+        if len(source.fields) != len(target.fields):
+            raise TransformFailure(f"cannot cast {source.simpleString()} to {name}: other number of fields")
+        members = [  # by position, as Spark casts structs
+            safe_cast(value.getField(a.name), a.dataType, b.dataType).alias(b.name)
+            for a, b in zip(source.fields, target.fields, strict=True)
+        ]
+        return F.when(value.isNotNull(), F.struct(*members))
     plain = value.cast(target)
     tried = value.try_cast(target)
     if isinstance(source, T.IntegralType) and isinstance(target, T.FractionalType) and name in _EXACT_INTEGERS:
@@ -100,6 +119,11 @@ def safe_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
             if isinstance(target, T.IntegralType):
                 kept = kept & ~F.isnan(value.cast("double"))
         return F.when(value.isNull(), F.lit(None).cast(target)).when(kept, tried).otherwise(_fails(value, name, "loss"))
+    if isinstance(source, T.NumericType) and isinstance(target, T.BooleanType):
+        return F.when(value.isNull() | value.isin(0, 1), plain).otherwise(_fails(value, name, "loss"))
+    if isinstance(source, T.TimestampType) and isinstance(target, T.NumericType):
+        seconds = plain.cast(T.TimestampType()).eqNullSafe(value)
+        return F.when(value.isNull() | seconds, plain).otherwise(_fails(value, name, "fraction of a second"))
     if isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(target, T.DateType):
         midnight = plain.cast(source).eqNullSafe(value)
         return F.when(midnight, plain).otherwise(_fails(value, name, "time of day"))
@@ -123,6 +147,9 @@ class CastSchema:
         )
 
 
+_UNITS = {"us": 1, "ms": 1_000, "s": 1_000_000}  # microseconds
+
+
 @lru_cache(maxsize=64)
 def zone_irregularities(zone: str, first_year: int, last_year: int) -> tuple[tuple[datetime, datetime], ...]:
     """Local intervals of a zone that do not exist or happen twice (one pair per clock change)."""
@@ -165,29 +192,41 @@ def _irregular(value: Column, zone: str, first_year: int, last_year: int) -> Col
         ]
     ]
     of_year = F.get(F.array(*by_year), F.year(value) - first_year)
-    return F.coalesce(F.exists(of_year, lambda g: (value >= g["lo"]) & (value < g["hi"])), F.lit(False))
+    inside = F.coalesce(F.exists(of_year, lambda g: (value >= g["lo"]) & (value < g["hi"])), F.lit(False))
+    return inside | ~F.coalesce(F.year(value).between(first_year, last_year), F.lit(True))
 
 
 @dataclass(frozen=True)
 class NormalizeTimestamps:
-    """Bring every timestamp column to UTC instants.
+    """Bring every timestamp column to instants.
 
-    Naive columns are read in ``assume_naive_tz``; a local time that does not exist or happens twice there raises.
-    ``years`` bounds the clock changes that are checked.
+    Naive columns are read in ``assume_naive_tz``; a local time that does not exist or happens twice there raises, and
+    so does one outside ``years``, for which clock changes are known. Instants carry no zone in Spark, so a
+    ``target_tz`` other than UTC is the wall clock there, in naive columns. ``target_unit`` is ``us``, ``ms`` or ``s``; a
+    value with a finer part raises.
     """
 
     assume_naive_tz: str = "UTC"
-    years: tuple[int, int] = (1900, 2100)
+    target_tz: str = "UTC"
+    target_unit: str = "us"
+    years: tuple[int, int] = (1900, 2200)
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
-        if not naive:
-            return df
-        return df.select(
-            *[
-                self._instant(F.col(quoted(c)), c).alias(c) if c in naive else F.col(quoted(c))
-                for c in df.columns
-            ]
+        if self.target_unit not in _UNITS:
+            raise TransformFailure(f"unit {self.target_unit!r} is not one of {', '.join(_UNITS)}")
+        return df.select(*[self._normal(F.col(quoted(f.name)), f).alias(f.name) for f in df.schema.fields])
+
+    def _normal(self, value: Column, field: T.StructField) -> Column:
+        if not isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return value
+        if isinstance(field.dataType, T.TimestampNTZType):
+            value = self._instant(value, field.name)
+        if (size := _UNITS[self.target_unit]) > 1:
+            message = F.concat(F.lit(f"{field.name}: finer than {self.target_unit}: "), value.cast("string"))
+            whole = value.isNull() | (F.unix_micros(value) % size == 0)
+            value = F.when(whole, value).otherwise(F.raise_error(message).cast("timestamp"))
+        return value if self.target_tz == "UTC" else F.convert_timezone(
+            F.lit("UTC"), F.lit(self.target_tz), F.convert_timezone(None, F.lit("UTC"), value.cast("timestamp_ntz"))
         )
 
     def _instant(self, value: Column, name: str) -> Column:

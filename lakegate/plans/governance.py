@@ -40,12 +40,34 @@ def _operations(spark: SparkSession, folder: str) -> DataFrame:
 def _evidence(spark: SparkSession, folder: str) -> DataFrame:
     """One probe per third part, and some probes of operations nobody declares."""
     key = F.col("p_partkey")
-    return table(spark, folder, "part").where("p_partkey % 3 = 0").select(
+    parts = table(spark, folder, "part").where("p_partkey % 3 = 0")
+    return parts.select(
         F.concat(F.lit("ckan/part."), key + F.when(key % 30 == 0, 10**9).otherwise(0)).alias("operation_id"),
         _pick(_RESPONSES, F.floor(key / 3) % 6).alias("response_class"),
     )
 
 
+def _contradicted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same probes, every second one repeated, some of the repetitions with another outcome."""
+    again = _evidence(spark, folder).withColumn("n", F.xxhash64("operation_id") % 2).drop("n")
+    key = F.regexp_extract("operation_id", r"([0-9]+)$", 1).cast("long")
+    other = F.when(key % 4 == 0, F.lit("success")).otherwise(F.col("response_class"))
+    return again.union(again.where(key % 2 == 0).select("operation_id", other))
+
+
+@query(
+    "effective_conflicts",
+    f"""WITH o AS (SELECT p_partkey AS k, {_sql_pick(_CLASSES, 'p_partkey % 4')} AS class,
+            CASE WHEN p_partkey % 3 = 0 AND p_partkey % 30 <> 0 THEN {_sql_pick(_RESPONSES, '(p_partkey // 3) % 6')} END AS r FROM part)
+        SELECT 'ckan/part.' || k AS operation_id,
+          CASE WHEN r IS NULL THEN 'unavailable' WHEN k % 4 = 0 AND r <> 'success' THEN 'conflict' WHEN r = 'success' THEN class ELSE r END AS state,
+          CASE WHEN r IS NULL THEN 0 WHEN k % 2 = 0 THEN 2 ELSE 1 END AS evidence_count FROM o""",
+)
+def effective_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    profile = capability.effective_profile(_operations(spark, folder), _contradicted(spark, folder))
+    return profile.select("operation_id", "state", "evidence_count")
+
+
 _SQL_STATES = f"""o AS (SELECT 'ckan/part.' || p_partkey AS operation_id, {_sql_pick(_CLASSES, 'p_partkey % 4')} AS capability_class,
         CASE WHEN p_partkey % 3 = 0 AND p_partkey % 30 <> 0 THEN {_sql_pick(_RESPONSES, '(p_partkey // 3) % 6')} END AS response FROM part),
     s AS (SELECT *, CASE WHEN response IS NULL THEN 'unavailable' WHEN response = 'success' THEN capability_class ELSE response END AS state FROM o)"""
@@ -191,6 +213,22 @@ def latest_fresh(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "latest_or_declared",
+    """WITH n AS (SELECT max(ts) AS now FROM events), l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events),
+       f AS (SELECT user_id, event_id FROM l, n WHERE r = 1 AND now - ts < INTERVAL '6 hours')
+       SELECT DISTINCT e.user_id, f.event_id, 'class-' || e.user_id % 3 AS declared, CASE WHEN f.user_id IS NULL THEN 'declared' ELSE 'observed' END AS source
+       FROM events e LEFT JOIN f USING (user_id)""",
+)
+def latest_or_declared(spark: SparkSession, folder: str) -> DataFrame:
+    """Every user, with fresh evidence or else the declared state."""
+    events = table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type")
+    now = events.agg(F.max("ts")).scalar()
+    fresh = capability.latest_fresh(events, now, 6 * 3600, ["user_id"], "ts", "event_id").select("user_id", "event_id")
+    users = events.select("user_id", F.concat(F.lit("class-"), F.col("user_id") % 3).alias("declared")).distinct()
+    return capability.fresh_or_declared(users, fresh, ["user_id"], "declared")
+
+
 def _signed_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages with platform signatures put into some URLs and documents."""
     kind = F.col("page_id") % 6
@@ -572,6 +610,9 @@ _SQL_RUNS = """i AS (SELECT *, sum(CASE WHEN event_type IN ('signup', 'purchase'
     c AS (SELECT *, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, run ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS failure_count FROM i)"""
 
 
+_SQL_NULL_USERS = "FROM (SELECT * REPLACE (CASE WHEN user_id % 3 <> 0 THEN user_id END AS user_id) FROM events)"
+
+
 def _health_events(spark: SparkSession, folder: str):
     events = table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type")
     kind = F.col("event_type")
@@ -611,10 +652,10 @@ def health_state(spark: SparkSession, folder: str) -> DataFrame:
        SELECT run::BIGINT AS run, count(*) FILTER (event_type = 'error') AS failures FROM i GROUP BY run HAVING count(*) FILTER (event_type = 'error') > 0""",
 )
 def health_one_key(spark: SparkSession, folder: str) -> DataFrame:
-    """All events under one key, taken as hot: the worst skew there is."""
+    """All events under one key: the worst skew there is."""
     events, keys, order, failure, reset = _health_events(spark, folder)
     one = events.withColumn("user_id", F.col("event_id") % 1)
-    return health.health_runs(one, keys, order, failure, reset, hot_rows=100).select("run", "failures")
+    return health.health_runs(one, keys, order, failure, reset).select("run", "failures")
 
 
 _SQL_METRICS = """m AS (SELECT event_id, ts, event_type AS operation_id, CASE WHEN user_id % 2 = 0 THEN 'ckan' ELSE 'udata' END AS platform,
@@ -646,11 +687,13 @@ def retry_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "health_hot_keys",
-    f"WITH {_SQL_RUNS} SELECT event_id, run::BIGINT AS run, failure_count::BIGINT AS failure_count, failure_count >= 3 AS open FROM c",
+    f"WITH {_SQL_RUNS.replace('FROM events', _SQL_NULL_USERS)} SELECT event_id, run::BIGINT AS run, failure_count::BIGINT AS failure_count, failure_count >= 3 AS open FROM c",
 )
 def health_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """The log again, with every user of more than twenty events taken as hot."""
-    log = health.health_log(*_health_events(spark, folder), hot_rows=20)
+    """The log again, with a third of all events under one key that is NULL."""
+    events, keys, *rest = _health_events(spark, folder)
+    hot = F.when(F.col("user_id") % 3 != 0, F.col("user_id")).alias("user_id")
+    log = health.health_log(events.select(hot, *[c for c in events.columns if c != "user_id"]), keys, *rest)
     return log.select("event_id", "run", "failure_count", "open")
 
 

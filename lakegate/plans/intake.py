@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -26,8 +27,8 @@ from lakegate.operators.transforms import (
 )
 from lakegate.operators.unify import concat_shards, unify
 from lakegate.plans.registry import query, table
-from lakegate.session import scratch_path
-from lakegate.sources import files, readers
+from lakegate.session import materialised, scratch_path
+from lakegate.sources import files, readers, xlsx
 
 
 @query(
@@ -83,6 +84,46 @@ def t_normalize_ts(spark: SparkSession, folder: str) -> DataFrame:
     return steps(table(spark, folder, "events")).select("event_id", F.unix_micros("ts").alias("epoch_micros"))
 
 
+@query(
+    "t_cast_nested",
+    """SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS first, CAST(l_linenumber AS VARCHAR) AS second, l_suppkey AS inner, CAST(l_partkey AS INTEGER) AS entry FROM lineitem""",
+)
+def t_cast_nested(spark: SparkSession, folder: str) -> DataFrame:
+    """Lists, structs and maps, cast inside."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        F.array("l_quantity", F.lit(None).cast("double")).alias("list"),
+        F.struct(F.col("l_linenumber").alias("n"), F.struct(F.col("l_suppkey").cast("string").alias("k")).alias("in")).alias("box"),
+        F.create_map(F.lit("part"), F.col("l_partkey")).alias("map"),
+    )
+    target = T.StructType.fromDDL("l_orderkey bigint, list array<bigint>, box struct<n:string,in:struct<k:bigint>>, map map<string,int>")
+    return CastSchema(target)(lines).select(
+        "l_orderkey",
+        F.get("list", F.lit(0)).alias("first"),
+        F.col("box.n").alias("second"),
+        F.col("box.in.k").alias("inner"),
+        F.col("map")["part"].alias("entry"),
+    )
+
+
+@query(
+    "t_normalize_ts_zone",
+    """SELECT event_id, epoch_us(timezone('America/New_York', ts)) AS epoch_micros,
+              strftime(timezone('Asia/Tokyo', timezone('America/New_York', ts)), '%Y-%m-%d %H:%M:%S') AS there
+       FROM (SELECT event_id, date_trunc('second', ts) + INTERVAL 1 MONTH * (event_id % 24) AS ts FROM events)
+       WHERE NOT (month(ts) IN (3, 11) AND hour(ts) IN (1, 2))""",
+)
+def t_normalize_ts_zone(spark: SparkSession, folder: str) -> DataFrame:
+    """Local times over two years in a zone with clock changes, without the hours of the changes, and another zone's clock."""
+    moved = F.expr("date_trunc('second', ts) + make_ym_interval(0, CAST(event_id % 24 AS INT))").cast("timestamp_ntz")
+    events = table(spark, folder, "events").select("event_id", moved.alias("ts"))
+    events = events.where("NOT (month(ts) IN (3, 11) AND hour(ts) IN (1, 2))")
+    instants = NormalizeTimestamps("America/New_York", target_unit="s")(events)
+    there = NormalizeTimestamps(target_tz="Asia/Tokyo")(instants.withColumn("there", F.col("ts")).select("event_id", "there"))
+    joined = instants.select("event_id", F.unix_micros("ts").alias("epoch_micros")).join(there, "event_id")
+    return joined.select("event_id", "epoch_micros", F.date_format("there", "yyyy-MM-dd HH:mm:ss").alias("there"))
+
+
 @query(
     "t_flatten",
     """SELECT o_orderkey, o_totalprice AS "order.price", o_orderstatus AS "order.state.code",
@@ -320,7 +361,7 @@ def _sheet(rows: list[list[object]]) -> bytes:
     lines = []
     for number, row in enumerate(rows, 1):
         cells = "".join(
-            f"<c t=\"inlineStr\"><is><t>{escape(v)}</t></is></c>" if isinstance(v, str) else f"<c><v>{v}</v></c>"
+            f"<c t=\"inlineStr\"><is><t>{escape(v)}</t></is></c>" if isinstance(v, str) else "<c/>" if v is None else f"<c><v>{v}</v></c>"
             for v in row
         )
         lines.append(f'<row r="{number}">{cells}</row>')
@@ -382,6 +423,99 @@ def src_xlsx(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "src_xlsx_columns",
+    """SELECT p_partkey AS zkey, p_brand AS "a", p_brand || '2' AS "a_3", p_brand || '1' AS "a_2", NULL::VARCHAR AS blank, p_size AS size FROM part""",
+)
+def src_xlsx_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Sheet order, a column without cells, headers that clash, and a file that is no workbook."""
+    path = scratch_path(spark, "xlsx")
+
+    def books(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for bucket, rows in zip(batch["bucket"], batch["rows"], strict=True):
+                sheet = [["zkey", "a", "a", "a_2", "blank", "size"]] + [
+                    [int(r["p_partkey"]), r["p_brand"], f"{r['p_brand']}2", f"{r['p_brand']}1", None, int(r["p_size"])] for r in rows
+                ]
+                content = b"no workbook" if bucket == -1 else _sheet(sheet)
+                yield pd.DataFrame([(f"b{bucket}.xlsx", content)], columns=["name", "content"])
+
+    parts = table(spark, folder, "part")
+    workbooks = parts.groupBy(F.expr("p_partkey div 250").alias("bucket")).agg(
+        F.collect_list(F.struct("p_partkey", "p_brand", "p_size")).alias("rows")
+    )
+    broken = workbooks.where("bucket = 0").withColumn("bucket", F.col("bucket") - 1)
+    _write_binary(workbooks.union(broken).mapInPandas(books, "name string, content binary"), path)
+    rows, bad = xlsx.read_workbooks(spark, path)
+    if rows.columns != ["zkey", "a", "a_3", "a_2", "blank", "size"] or bad.count() != 1:
+        raise RuntimeError(f"columns {rows.columns}")
+    return rows
+
+
+@query(
+    "src_json_odd_keys",
+    """SELECT c_custkey AS "VOID", c_name AS "VARIANT", CAST(c_nationkey + 0.5 AS DOUBLE) AS "OBJECT", c_mktsegment AS "a, VOID>" FROM customer""",
+)
+def src_json_odd_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys that read like types, behind more blanks than any prefix would hold."""
+    path = scratch_path(spark, "odd")
+    element = F.to_json(
+        F.struct(
+            F.col("c_custkey").alias("VOID"),
+            F.col("c_name").alias("VARIANT"),
+            (F.col("c_nationkey") + 0.5).alias("OBJECT"),
+            F.col("c_mktsegment").alias("a, VOID>"),
+        )
+    )
+    arrays = (
+        table(spark, folder, "customer")
+        .groupBy(F.expr("c_custkey div 200").alias("bucket"))
+        .agg(F.concat(F.repeat(F.lit(" \n"), 40_000), F.lit("["), F.array_join(F.collect_list(element), ","), F.lit("]")).alias("doc"))
+    )
+    _write_documents(arrays, "bucket", path)
+    return readers.read_any(spark, path, "json").select("VOID", "VARIANT", "OBJECT", "`a, VOID>`")
+
+
+@query(
+    "src_packed",
+    """SELECT k.kind, c.c_mktsegment, count(*) AS row_count, sum(c_custkey)::BIGINT AS key_sum
+       FROM customer c, (VALUES ('gzip'), ('bzip2'), ('zstd'), ('zip')) k(kind) GROUP BY ALL""",
+)
+def src_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows in four codecs, in files without a telling name, read without a hint."""
+    base = scratch_path(spark, "packed")
+    lines = table(spark, folder, "customer").select(
+        (F.col("c_custkey") % 4).alias("bucket"), F.concat_ws(",", "c_custkey", "c_mktsegment").alias("line")
+    )
+    texts = lines.groupBy("bucket").agg(F.collect_list("line").alias("lines"))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import bz2
+        import gzip
+
+        import zstandard
+
+        for batch in batches:
+            for bucket, rows in zip(batch["bucket"], batch["lines"], strict=True):
+                body = ("c_custkey,c_mktsegment\n" + "\n".join(rows) + "\n").encode()
+                archive = io.BytesIO()
+                with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as book:
+                    book.writestr("rows.csv", body)
+                packed = {
+                    "gzip": gzip.compress(body), "bzip2": bz2.compress(body),
+                    "zstd": zstandard.compress(body), "zip": archive.getvalue(),
+                }
+                yield pd.DataFrame([(f"{k}/part{bucket}", v) for k, v in packed.items()], columns=["name", "content"])
+
+    _write_binary(texts.mapInPandas(pack, "name string, content binary"), base)
+    read = [
+        readers.read_any(spark, f"{base}/{kind}").withColumn("kind", F.lit(kind)) for kind in ("gzip", "bzip2", "zstd", "zip")
+    ]
+    return reduce(DataFrame.unionByName, read).groupBy("kind", "c_mktsegment").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("c_custkey").alias("key_sum")
+    )
+
+
 @query("src_compressed", _ORDER_TOTALS)
 def src_compressed(spark: SparkSession, folder: str) -> DataFrame:
     """Gzip files without a telling name: recognised by their leading bytes, decoded to a staging folder, then read."""
@@ -402,21 +536,41 @@ def sniff_compression(spark: SparkSession, folder: str) -> DataFrame:
     return sniffed.groupBy("compression").agg((F.count(F.lit(1)) > 0).alias("found"))
 
 
+@query("resume_row_groups", "SELECT count(*) AS row_count, sum(l_orderkey)::BIGINT AS key_sum, count(DISTINCT (l_orderkey, l_linenumber)) AS keys FROM lineitem")
+def resume_row_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """A run stops inside files; two more with other split sizes read the rest: every row once."""
+    path, name = scratch_path(spark, "groups"), "spark.sql.files.maxPartitionBytes"
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    lines.repartition(2).write.option("parquet.block.size", 64 * 1024).parquet(path)
+    usual, read = spark.conf.get(name), []
+    done = spark.createDataFrame([], "file_path string, row_group int")
+    try:
+        for number, split in enumerate(("1m", "16k", usual)):
+            spark.conf.set(name, split)
+            pending = readers.read_pending_row_groups(spark, path, done, ["l_orderkey", "l_linenumber"])
+            part = pending.where(F.xxhash64("file_path", "row_group") % 3 == 0) if number < 2 else pending
+            read.append(materialised(part, "part"))
+            done = done.union(read[-1].select("file_path", "row_group").distinct())
+    finally:
+        spark.conf.set(name, usual)
+    whole = read[0].union(read[1]).union(read[2])
+    return whole.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum("l_orderkey").alias("key_sum"),
+        F.count_distinct("l_orderkey", "l_linenumber").alias("keys"),
+    )
+
+
 @query(
     "resume_splits",
     "SELECT count(*) AS row_count, sum(o_orderkey)::BIGINT AS key_sum FROM orders WHERE o_orderstatus <> 'F'",
 )
 def resume_splits(spark: SparkSession, folder: str) -> DataFrame:
-    """Read what an interrupted run left: the splits of the already finished files are skipped."""
+    """Read what an interrupted run left: the row groups of the already finished files are skipped."""
     path = scratch_path(spark, "splits")
     _plain_orders(spark, folder).write.partitionBy("o_orderstatus").parquet(path)
-    done = (
-        spark.read.parquet(path)
-        .where("o_orderstatus = 'F'")
-        .select(*readers.split_of_row())
-        .distinct()
-    )
-    return readers.read_pending_splits(spark, path, done).agg(
+    done = readers.row_groups(spark, path).where(F.col("file_path").contains("o_orderstatus=F"))
+    return readers.read_pending_row_groups(spark, path, done, ["o_orderkey"]).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum")
     )
 
@@ -440,9 +594,10 @@ def sink_jsonl(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT count(*) AS row_count, sum(o_orderkey)::BIGINT AS key_sum, true AS same_bytes, 0::BIGINT AS failures FROM orders",
 )
 def copy_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Copy a file byte by byte; the copy must hold the same rows and the same digest."""
-    target = scratch_path(spark, "raw")
-    listed = files.list_files(spark, f"{folder}/orders.parquet")
+    """Copy a folder of files byte by byte; the copies must hold the same rows and the same digests."""
+    target, source = scratch_path(spark, "raw"), scratch_path(spark, "raw-source")
+    table(spark, folder, "orders").repartition(6).write.parquet(source)
+    listed = files.list_files(spark, source, "*.parquet")
     copied = files.copy_files(listed, target)
     copied.write.parquet(f"{target}-status")
     status = spark.read.parquet(f"{target}-status")

@@ -42,7 +42,7 @@ def _sql_lanes(digest: str) -> str:
 @query(
     "table_fingerprint",
     f"""SELECT o_orderstatus, count(*) AS row_count, {_sql_lanes("h")} FROM
-        (SELECT o_orderstatus, {_sql_row_digest(["o_orderkey", "o_custkey", "priority:text"])} AS h FROM
+        (SELECT o_orderstatus, {_sql_row_digest(["o_orderkey", "o_custkey", "priority:text"])[:-1]} || 'Vi' || epoch_us(o_orderdate) || ';') AS h FROM
          (SELECT *, nullif(o_orderpriority, '5-LOW') AS priority FROM orders)) GROUP BY o_orderstatus""",
 )
 def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,6 +52,7 @@ def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderkey",
         "o_custkey",
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"),
+        F.col("o_orderdate").cast("timestamp").alias("ordered"),
     )
     return fingerprint(orders, ["o_orderstatus"]).drop("content_digest")
 
@@ -105,8 +106,8 @@ def document_digests(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("file_digests", "SELECT count(*) AS row_count, true AS digest_matches, true AS version_matches FROM orders")
 def file_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """Streamed file digests against Spark's own over the same bytes."""
-    path = f"{folder}/orders.parquet"
+    """Streamed digests of all tables' files against Spark's own over the same bytes."""
+    path = folder
     listed = files.list_files(spark, path)
     streamed = files.file_digests(listed).select("path", "sha256", "md5")
     direct = spark.read.format("binaryFile").load(path).select(
@@ -441,17 +442,20 @@ def merge_outcomes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "mirror_state",
-    """SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_custkey % 4 = 0 THEN CASE WHEN c_custkey % 5 <> 0 THEN sha256('c' || c_custkey) END
+    """SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_custkey % 4 = 0 AND c_custkey % 7 = 1 THEN 'zzz'
+              WHEN c_custkey % 4 = 0 THEN CASE WHEN c_custkey % 5 <> 0 THEN sha256('c' || c_custkey) END
               ELSE '"etag-' || c_custkey || '"' END AS watermark
-       FROM customer WHERE c_custkey % 4 <> 0 OR c_custkey % 3 <> 0""",
+       FROM customer WHERE c_custkey % 4 <> 0 OR c_custkey % 3 <> 0 OR c_custkey % 7 = 1""",
 )
 def mirror_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Committed watermarks copied into the state; blank ones leave it as it is."""
+    """Committed watermarks copied into the state; blank ones leave it as it is, of two for one key the first counts."""
     state, k = _state(spark, folder), F.col("c_custkey").cast("string")
     etag = F.concat(F.lit('"etag-'), k, F.lit('"'))
     committed = table(spark, folder, "customer").select(
         k.alias("identity"), F.when(F.col("c_custkey") % 4 == 0, F.lit("")).otherwise(etag).alias("watermark")
     )
+    later = committed.where("CAST(identity AS BIGINT) % 7 = 1").select("identity", F.lit("zzz").alias("watermark"))
+    committed = committed.union(later).union(committed.where("CAST(identity AS BIGINT) % 2 = 1"))
     proposals = sync.mirror_proposals(committed, state, F.lit("2024-03-01 00:00:00").cast("timestamp"))
     merged, _ = sync.conditional_merge(state, proposals)
     return merged.select("key", "watermark")
@@ -521,6 +525,29 @@ def upgrade_state(spark: SparkSession, folder: str) -> DataFrame:
     return good.select("key", "status", "source_version", "destination_identity", "next_batch_index")
 
 
+@query(
+    "upgrade_state_rejects",
+    """SELECT CAST(c_custkey AS VARCHAR) AS key, CASE c_custkey % 5 WHEN 1 THEN 'last synced' WHEN 2 THEN 'last synced' WHEN 3 THEN 'partitions'
+              ELSE 'watermark' END AS reject_reason FROM customer WHERE c_custkey % 5 <> 0""",
+)
+def upgrade_state_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Completed rows with an unreadable time, a time without zone, partitions, or no watermark."""
+    kind, k = F.col("c_custkey") % 5, F.col("c_custkey").cast("string")
+    synced = case(
+        [(kind == 1, F.lit("not a time")), (kind == 2, F.lit("2024-01-01T00:00:00"))], F.lit("2024-01-01T00:00:00+02:00")
+    )
+    document = F.to_json(
+        F.struct(
+            F.struct(F.lit("w1").alias("schema"), F.when(kind != 4, F.sha2(k, 256)).alias("watermark")).alias("cursor"),
+            synced.alias("last_synced_at"),
+            F.when(kind == 3, F.array(k)).otherwise(F.array().cast("array<string>")).alias("partitions"),
+        )
+    )
+    old = table(spark, folder, "customer").select(k.alias("key"), document.alias("document"))
+    _, bad = sync.upgrade_state(old, "checkpoint", "artifact", "dest")
+    return bad.select("key", "reject_reason")
+
+
 @query(
     "cache_sweep",
     """WITH e AS (SELECT sha256(CAST(event_id AS VARCHAR)) AS digest, event_id, epoch_us(ts) / 1e6 AS fetched,
@@ -543,10 +570,14 @@ def cache_sweep(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "artifact_manifest",
-    """SELECT 's3://out/' || o_orderkey AS uri, o_custkey AS size, 'parquet' AS mode, md5(CAST(o_orderkey AS VARCHAR)) AS content_digest FROM orders""",
+    """SELECT 's3://out/' || o_orderkey AS uri, 'application/x-parquet' AS media_type, o_custkey AS size, md5(CAST(o_orderkey AS VARCHAR)) AS content_digest,
+              sha1(CAST(o_orderkey AS VARCHAR)) AS blob_digest, 'file:///orders' || o_custkey AS source_locator, CAST(o_orderkey AS VARCHAR) AS resource_identity,
+              epoch_us(o_orderdate) AS created_micros, 'parquet' AS mode, 'Filter>' || o_orderstatus AS transforms,
+              'owner=' || o_custkey AS metadata, CASE WHEN o_orderkey % 2 = 0 THEN 'x=' || o_orderstatus ELSE '' END AS extensions
+       FROM orders WHERE o_orderkey % 9 <> 4""",
 )
 def artifact_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Manifest rows to envelopes and back."""
+    """Manifest rows to envelopes and back, every column; envelopes without a source locator are rejected."""
     k = F.col("o_orderkey").cast("string")
     rows = table(spark, folder, "orders").select(
         F.concat(F.lit("s3://out/"), k).alias("uri"),
@@ -554,14 +585,55 @@ def artifact_manifest(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("size"),
         F.md5(k).alias("content_digest"),
         F.sha1(k).alias("blob_digest"),
-        F.lit("file:///orders").alias("source_locator"),
+        F.when(F.col("o_orderkey") % 9 != 4, F.concat(F.lit("file:///orders"), "o_custkey")).alias("source_locator"),
         k.alias("resource_identity"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"),
         F.lit("parquet").alias("mode"),
-        F.array(F.lit("Filter")).alias("transforms"),
+        F.array(F.lit("Filter"), F.col("o_orderstatus")).alias("transforms"),
+        F.create_map(F.lit("owner"), F.col("o_custkey").cast("string")).alias("metadata"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.create_map(F.lit("x"), F.col("o_orderstatus"))).alias("extensions"),
     )
     decoded, _ = sinks.decode_manifest(sinks.encode_manifest(rows).select("document"), "document")
-    return decoded.select("uri", "size", "mode", "content_digest")
+
+    def shown(entries: str):
+        return F.array_join(F.transform(F.map_entries(entries), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+
+    return decoded.select(
+        *["uri", "media_type", "size", "content_digest", "blob_digest", "source_locator", "resource_identity", "mode"],
+        F.unix_micros("created_at").alias("created_micros"),
+        F.array_join("transforms", ">").alias("transforms"),
+        shown("metadata").alias("metadata"),
+        shown("extensions").alias("extensions"),
+    )
+
+
+@query(
+    "manifest_rejects",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS key, CASE o_orderkey % 6 WHEN 1 THEN 'source locator' WHEN 2 THEN 'resource identity' WHEN 3 THEN 'created at'
+              WHEN 4 THEN 'size' ELSE 'keys' END AS reject_reason FROM orders WHERE o_orderkey % 6 <> 0""",
+)
+def manifest_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Envelopes broken in one place each."""
+    k, kind = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 6
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.concat(F.lit("s3://out/"), k).alias("uri"),
+        F.lit("application/x-parquet").alias("media_type"),
+        F.when(kind == 4, -1).otherwise(F.col("o_custkey")).alias("size"),
+        F.md5(k).alias("content_digest"),
+        F.sha1(k).alias("blob_digest"),
+        F.when(kind != 1, F.lit("file:///orders")).alias("source_locator"),
+        F.when(kind == 2, F.lit("")).otherwise(k).alias("resource_identity"),
+        F.when(kind != 3, F.col("o_orderdate").cast("timestamp")).alias("created_at"),
+        F.lit("parquet").alias("mode"),
+        F.array(F.lit("Filter")).alias("transforms"),
+    )
+    documents = sinks.encode_manifest(rows).select(
+        F.regexp_extract("uri", "([0-9]+)$", 1).alias("key"),
+        F.when(F.regexp_extract("uri", "([0-9]+)$", 1).cast("long") % 6 == 5, F.lit('{"kind":"artifact"}')).otherwise(F.col("document")).alias("document"),
+    )
+    _, bad = sinks.decode_manifest(documents, "document")
+    return bad.select("key", "reject_reason")
 
 
 @query(

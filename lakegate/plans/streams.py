@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.operators.transforms import SelectColumns, compose
-from lakegate.plans.governance import _SQL_METRICS, _SQL_RUNS, metric_events
+from lakegate.plans.governance import _SQL_METRICS, _SQL_NULL_USERS, _SQL_RUNS, metric_events
 from lakegate.plans.registry import query, table
 from lakegate.plans.texts import _SQL_PROPS
-from lakegate.session import scratch_path
+from lakegate.errors import IntakeError
+from lakegate.session import remove_path, scratch_path
 from lakegate.streaming import jobs
 
 
@@ -30,12 +31,48 @@ def sync_stream(spark: SparkSession, folder: str) -> DataFrame:
         orders.where(half).repartition(2).write.mode("append").parquet(f"{base}/in")
         stream = jobs.file_stream(spark, f"{base}/in", orders.schema, files_per_batch=1)
         jobs.sync_stream(stream, f"{base}/staged", f"{base}/checkpoint", steps).awaitTermination()
-    published = jobs.publish_staged(spark, f"{base}/staged", f"{base}/out", "orders", f"{base}/in", f"{base}/manifest")
+    published = jobs.publish_staged(
+        spark, f"{base}/staged", f"{base}/checkpoint", f"{base}/out", "orders", f"{base}/in", f"{base}/manifest"
+    )
     return spark.read.parquet(published.uri).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_orderkey").alias("keys"), F.sum("o_orderkey").alias("key_sum")
     )
 
 
+@query(
+    "sync_stream_broken",
+    """SELECT 'lost batch' AS kind, count(*) AS row_count, 'refused' AS outcome FROM orders
+       UNION ALL SELECT 'no files', 0, 'o_orderkey bigint, batch_id int' FROM (SELECT 1)""",
+)
+def sync_stream_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """A staged batch gets lost: nothing is published, and staging again gives every row. No files: an empty table."""
+    base = scratch_path(spark, "sync")
+    orders = table(spark, folder, "orders").selectExpr("o_orderkey", "CAST(o_orderkey % 5 AS INT) AS batch_id")
+    orders.repartition(3).write.parquet(f"{base}/in")
+    where = (f"{base}/out", "orders", f"{base}/in", f"{base}/manifest")
+
+    def staged(name: str) -> tuple[str, str]:
+        stream = jobs.file_stream(spark, f"{base}/in", orders.schema, files_per_batch=1)
+        jobs.sync_stream(stream, f"{base}/{name}", f"{base}/{name}-checkpoint").awaitTermination()
+        return f"{base}/{name}", f"{base}/{name}-checkpoint"
+
+    folders = staged("first")
+    remove_path(spark, f"{folders[0]}/{jobs.STAGED}=1")
+    try:
+        jobs.publish_staged(spark, *folders, *where)
+        outcome = "published"
+    except IntakeError:
+        outcome = "refused"
+    whole = spark.read.parquet(jobs.publish_staged(spark, *staged("second"), *where).uri)
+    none = jobs.publish_staged(spark, f"{base}/none", f"{base}/none-checkpoint", *where, schema=orders.schema)
+    empty = spark.read.parquet(none.uri)
+    described = ", ".join(f"{c} {t}" for c, t in empty.dtypes)
+    counted = F.count(F.lit(1)).alias("row_count")
+    return whole.agg(F.lit("lost batch").alias("kind"), counted, F.lit(outcome).alias("outcome")).union(
+        empty.agg(F.lit("no files").alias("kind"), counted, F.lit(described).alias("outcome"))
+    )
+
+
 @query(
     "event_metrics_stream",
     f"""WITH {_SQL_METRICS}, w AS (SELECT max(ts) - INTERVAL '10 minutes' AS mark FROM events)
@@ -54,17 +91,18 @@ def event_metrics_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "health_stream",
-    f"WITH {_SQL_RUNS} SELECT event_id, run::BIGINT AS run, failure_count::BIGINT AS failure_count, failure_count >= 3 AS open FROM c",
+    f"WITH {_SQL_RUNS.replace('FROM events', _SQL_NULL_USERS)} SELECT event_id, run::BIGINT AS run, failure_count::BIGINT AS failure_count, failure_count >= 3 AS open FROM c",
 )
 def health_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Events arrive in two runs, the earlier half first; the result equals the batch operator's."""
+    """Events arrive in three runs, the earliest first, a third of them without a user; as the batch operator has it."""
     base = scratch_path(spark, "health")
-    events = table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type")
-    middle = events.agg(F.percentile_approx("event_id", 0.5)).scalar()
-    cut = events.where(F.col("event_id") == middle).select(F.max("ts")).scalar()
-    for early in (True, False):
-        half = events.where(F.col("ts") < cut) if early else events.where(F.col("ts") >= cut)
-        half.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    user = F.when(F.col("user_id") % 3 != 0, F.col("user_id")).alias("user_id")
+    events = table(spark, folder, "events").select(user, "ts", "event_id", "event_type")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [first + (last - first) * third / 3 for third in (1, 2)]
+    run = F.when(F.col("ts") < cuts[0], 0).when(F.col("ts") < cuts[1], 1).otherwise(2)
+    for number in range(3):
+        events.where(run == number).write.mode("append").parquet(f"{base}/in")
         jobs.health_stream(
             jobs.file_stream(spark, f"{base}/in", events.schema),
             f"{base}/out",

@@ -383,16 +383,37 @@ def redact_map(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "redact_json",
-    """SELECT event_id, '{"k":' || (props->>'k') || ',"inner":[{"password":"***","note":"basic ***"}]}' AS shown FROM events""",
+    f"""SELECT event_id, '{{"k":' || (props->>'k') || ',"inner":[{{"password":"***","note":"basic ***"}}],"deep":{"[" * 12}"basic ***"{"]" * 12}'
+        || ',"many":[' || (SELECT string_agg(i, ',' ORDER BY i) FROM range(40) r(i)) || '],"long":"' || repeat('x', 300) || '"}}' AS shown
+        FROM events""",
 )
 def redact_json(spark: SparkSession, folder: str) -> DataFrame:
-    document = F.concat(
+    """Deeper than eight levels, wider than 32 entries, longer than 256 characters: everything is masked and kept."""
+    return table(spark, folder, "events").select("event_id", redact.redact_json(_json_documents()).alias("shown"))
+
+
+def _json_documents() -> Column:
+    return F.concat(
         F.regexp_replace("props", r"\}$", ""),
         F.lit(',"inner":[{"password":"p'),
         F.col("event_id"),
-        F.lit('","note":"basic abcdefgh"}]}'),
+        F.lit('","note":"basic abcdefgh"}],"deep":' + "[" * 12 + '"basic abcdefgh"' + "]" * 12),
+        F.lit(',"many":[' + ",".join(map(str, range(40))) + '],"long":"'),
+        F.repeat(F.lit("x"), 300),
+        F.lit('"}'),
     )
-    return table(spark, folder, "events").select("event_id", redact.redact_json(document).alias("shown"))
+
+
+@query(
+    "redact_json_bounded",
+    f"""SELECT event_id, '{{"k":' || (props->>'k') || ',"inner":[{{"password":"***","note":"basic ***"}}],"deep":{"[" * 7}"[TRUNCATED]"{"]" * 7}'
+        || ',"many":[' || (SELECT string_agg(i, ',' ORDER BY i) FROM range(31) r(i)) || ',"[TRUNCATED]"],"long":"' || repeat('x', 256) || '"}}' AS shown
+        FROM events""",
+)
+def redact_json_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """The same documents with the bounds for display."""
+    shown = redact.redact_json(_json_documents(), redact.MAX_DEPTH, redact.MAX_ENTRIES, redact.MAX_TEXT)
+    return table(spark, folder, "events").select("event_id", shown.alias("shown"))
 
 
 @query(

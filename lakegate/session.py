@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,9 +39,35 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """Return a fresh path below the shared folder, inside one folder per application that can be removed after it."""
-    return f"{shared_dir(spark)}/lakegate-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/lakegate-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of a job's own, if it is there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch paths asked for inside are removed at the end: for work that comes again and again, and keeps nothing."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            remove_path(spark, path)
 
 
 def materialised(df: DataFrame, label: str = "table") -> DataFrame:
@@ -61,6 +89,6 @@ def partitions_for(df: DataFrame, target_bytes: int = 256 * 1024 * 1024) -> int:
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
         estimated = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # no estimate on this kind of session
+    except AttributeError:  # a session without plans of its own (Spark Connect)
         return configured
     return configured if estimated > 1 << 60 else max(configured, -(-estimated // target_bytes))

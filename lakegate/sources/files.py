@@ -25,7 +25,6 @@ from lakegate.functions.base import ColumnOrName, case, col
 
 # Fixed values.
 CHUNK = 1 << 20
-ZIP_CAP = 512 * 1024 * 1024
 MAGIC = {"gzip": "1F8B", "bzip2": "425A68", "zstd": "28B52FFD", "zip": "504B0304"}
 ENCODINGS = {
     "gzip": ("gzip", "x-gzip"),
@@ -77,7 +76,7 @@ def _per_file(work: Callable[[str], dict[str, object]], columns: list[str]):
                 try:
                     row.update(work(path))
                 except Exception as problem:  # one bad file becomes one status row
-                    row["error"] = f"{type(problem).__name__}: {problem}"[:500]
+                    row["error"] = f"{type(problem).__name__}: {problem}"
                 rows.append(row)
             yield pd.DataFrame(rows, columns=columns)
 
@@ -103,8 +102,11 @@ def sniff_compression(files: DataFrame) -> DataFrame:
 
 
 def sniff_json(files: DataFrame) -> DataFrame:
-    """``array``, ``lines``, ``empty`` or ``other`` by the first character that is not blank (after a byte order mark)."""
-    start = F.regexp_replace(F.decode("head", "ISO-8859-1"), "^(?:ï»¿)?\\s*", "")
+    """``array``, ``lines``, ``empty`` or ``other`` by the first character that is not blank (after a byte order mark).
+
+    However many blanks there are, files are read up to that character.
+    """
+    start = F.decode("head", "ISO-8859-1")
     kind = case(
         [
             (start.startswith("["), F.lit("array")),
@@ -113,7 +115,19 @@ def sniff_json(files: DataFrame) -> DataFrame:
         ],
         F.lit("other"),
     )
-    return file_heads(files, 4096).select("path", kind.alias("json_kind"), "error")
+
+    def first(path: str) -> dict[str, object]:
+        fs, inner = opened(path)
+        with fs.open_input_stream(inner, compression=None) as source:
+            chunk = source.read(CHUNK).removeprefix(b"\xef\xbb\xbf")
+            while chunk and not chunk.strip():
+                chunk = source.read(CHUNK)
+            return {"head": chunk.lstrip()[:1]}
+
+    heads = files.select("path").mapInPandas(
+        _per_file(first, ["path", "head", "error"]), "path string, head binary, error string"
+    )
+    return heads.select("path", kind.alias("json_kind"), "error")
 
 
 def file_digests(files: DataFrame) -> DataFrame:
@@ -162,16 +176,23 @@ def publish_file(target: str, write: Callable[[io.IOBase], None]) -> None:
 def copy_files(files: DataFrame, destination: str, suffix: str = ".bin") -> DataFrame:
     """Copy every file byte by byte, one status row each; a failure does not stop the others.
 
-    The target name is the digest of the source path, or the column ``name`` when ``files`` has one.
+    The target name is the digest of the source path, or the column ``name`` when ``files`` has one. Sources that share a
+    name are not copied at all: each gets an error, as they would overwrite each other.
     """
     root = destination.rstrip("/")
     name = F.col("name") if "name" in files.columns else F.concat(F.sha2("path", 256), F.lit(suffix))
+    named = files.select("path", name.alias("name")).distinct()
+    claims = named.groupBy(F.col("name").alias("_name")).agg(F.count(F.lit(1)).alias("claims"))
+    named = named.join(claims, F.col("name").eqNullSafe(F.col("_name"))).select("path", "name", "claims")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             names = dict(zip(batch["path"], batch["name"], strict=True))
+            claims = dict(zip(batch["path"], batch["claims"], strict=True))
 
             def copy(path: str) -> dict[str, object]:
+                if names[path] is None or claims[path] > 1:
+                    raise ValueError(f"{claims[path]} sources share the target name {names[path]!r}")
                 fs, inner = opened(path)
                 sha, size, target = hashlib.sha256(), 0, f"{root}/{names[path]}"
 
@@ -188,7 +209,7 @@ def copy_files(files: DataFrame, destination: str, suffix: str = ".bin") -> Data
 
             yield from _per_file(copy, ["path", "target", "size", "sha256", "error"])(iter([batch]))
 
-    return files.select("path", name.alias("name")).mapInPandas(
+    return named.mapInPandas(
         run, "path string, target string, size bigint, sha256 string, error string"
     )
 
@@ -196,10 +217,7 @@ def copy_files(files: DataFrame, destination: str, suffix: str = ".bin") -> Data
 def _chunks(kind: str, source: io.IOBase) -> Iterator[bytes]:
     """Decoded bytes of a compressed stream; truncated input raises."""
     if kind == "zip":
-        body = source.read(ZIP_CAP + 1)
-        if len(body) > ZIP_CAP:
-            raise ValueError(f"archive is larger than {ZIP_CAP} bytes")
-        with zipfile.ZipFile(io.BytesIO(body)) as archive:
+        with zipfile.ZipFile(source) as archive:  # seeks in the source, holds no archive in memory
             members = [m for m in archive.infolist() if not m.is_dir()]
             if not members:
                 raise ValueError("archive holds no files")
@@ -302,7 +320,7 @@ def unsupported_parquet(files: DataFrame) -> DataFrame:
                     with fs.open_input_file(inner) as source:
                         schema = pq.read_schema(source)
                 except Exception as problem:  # one bad file becomes one finding
-                    found.append((path, None, f"{type(problem).__name__}: {problem}"[:500]))
+                    found.append((path, None, f"{type(problem).__name__}: {problem}"))
                     continue
                 for field in schema:
                     if pa.types.is_time(field.type):

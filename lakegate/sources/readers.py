@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lakegate.errors import DecodeError
 from lakegate.functions.base import let
 from lakegate.functions.rules import geometry_wkt
 from lakegate.operators.unify import unify
-from lakegate.session import materialised
-from lakegate.sources.files import list_files, sniff_json, unsupported_parquet
+from lakegate.session import materialised, scratch_path
+from lakegate.sources.files import (
+    decompress_files,
+    list_files,
+    opened,
+    sniff_compression,
+    sniff_json,
+    unsupported_parquet,
+)
 from lakegate.sources.xlsx import read_xlsx
 
 Paths = str | list[str]
@@ -56,12 +66,20 @@ def _documents(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(text.alias("doc")).where(F.trim("doc") != "")
 
 
+# Quoted names are taken whole, so nothing inside them is read as a type; a bare name is followed by a colon.
+_TYPES = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bDECIMAL\([0-9]+, ?[1-9][0-9]*\)|\b(?:VOID|VARIANT)\b(?=[,>]|$)")
+
+
 def _variant_types(described: str) -> str:
     """Column types for a described VARIANT schema; mixed kinds become text."""
-    out = re.sub(r"\bOBJECT<", "STRUCT<", described)
-    out = re.sub(r"\bDECIMAL\([0-9]+, ?[1-9][0-9]*\)", "DOUBLE", out)
-    out = re.sub(r"\b(?:VOID|VARIANT)\b", "STRING", out)
-    return out
+
+    def typed(found: re.Match[str]) -> str:
+        part = found.group()
+        if part.startswith("`"):
+            return part
+        return {"O": "STRUCT<", "D": "DOUBLE"}.get(part[0], "STRING")
+
+    return _TYPES.sub(typed, described)
 
 
 def typed_variant(
@@ -131,36 +149,64 @@ def read_readable_parquet(spark: SparkSession, path: str) -> tuple[DataFrame, Da
     return spark.read.option("basePath", path).parquet(*paths), findings
 
 
-def split_of_row() -> list[Column]:
-    """The split a row was read from, to be recorded when its work is done."""
-    return [
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.col("_metadata.file_block_length").alias("block_length"),
-    ]
+def row_groups(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, row_group, n_rows) of every row group below ``path``, from the footers alone."""
+
+    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
 
+        for batch in batches:
+            for name in batch["path"]:
+                fs, inner = opened(name)
+                with fs.open_input_file(inner) as source:
+                    meta = pq.read_metadata(source)
+                groups = [(name, i, meta.row_group(i).num_rows) for i in range(meta.num_row_groups)]
+                yield pd.DataFrame(groups, columns=["file_path", "row_group", "n_rows"])
 
-def _spelled(column: str) -> Column:
-    return F.regexp_replace(column, "^file:/+", "file:///")
+    listed = list_files(spark, path, "*.parquet").select("path")
+    return listed.mapInPandas(footers, "file_path string, row_group int, n_rows long")
 
 
-def read_pending_splits(spark: SparkSession, path: str, completed: DataFrame) -> DataFrame:
-    """Rows of the Parquet splits that are not in ``completed (file_path, block_start, block_length)``.
+def read_pending_row_groups(
+    spark: SparkSession, path: str, completed: DataFrame, columns: list[str] | None = None
+) -> DataFrame:
+    """Rows of the Parquet row groups that are not in ``completed (file_path, row_group)``, with these two columns.
 
-    Files whose finished splits add up to the file size are not opened at all. Of the other files only rows of open
-    splits come through; the split is constant per scan task, so this costs a lookup and no shuffle of the data.
+    Row groups are fixed by the file, whatever the session's split size, so a run stopped inside a file goes on exactly
+    there. Only short rows, one per row group, are joined and dealt out; each task then reads its row groups itself, the
+    wanted columns of them, so no data is shuffled and finished row groups are not read. Partition columns in folder
+    names are part of ``file_path`` alone. Record a row group as completed with the rows written from it.
     """
-    done = completed.select(_spelled("file_path").alias("file_path"), "block_start", "block_length").distinct()
-    finished = done.groupBy("file_path").agg(F.sum("block_length").alias("bytes"))
-    listed = list_files(spark, path, "*.parquet").select(_spelled("path").alias("file_path"), "size")
-    pending = listed.join(finished, "file_path", "left").where("bytes IS NULL OR bytes < size")
-    paths = [r["file_path"] for r in pending.select("file_path").collect()]  # as the scan's own file list
-    whole = spark.read.option("basePath", path).parquet(path)
-    if not paths:
-        return whole.limit(0)
-    source = spark.read.option("basePath", path).schema(whole.schema).parquet(*paths).select("*", *split_of_row())
-    spelled = source.withColumn("file_path", _spelled("file_path"))
-    return spelled.join(done, ["file_path", "block_start"], "left_anti").select(*whole.columns)
+    schema = spark.read.parquet(*_some_file(spark, path)).schema
+    if columns is not None:
+        schema = T.StructType([schema[c] for c in columns])
+    names = schema.names
+    target = T.StructType([*schema.fields, T.StructField("file_path", T.StringType()), T.StructField("row_group", T.IntegerType())])
+    done = completed.select("file_path", "row_group").distinct()
+    pending = row_groups(spark, path).join(done, ["file_path", "row_group"], "left_anti")
+    arrow = to_arrow_schema(target)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for name, group in zip(*[c.to_pylist() for c in batch.columns[:2]], strict=True):
+                fs, inner = opened(name)
+                with fs.open_input_file(inner) as source:
+                    for part in pq.ParquetFile(source).iter_batches(row_groups=[group], columns=names):
+                        own = [pa.array([name] * part.num_rows), pa.array([group] * part.num_rows, pa.int32())]
+                        cells = [part.column(c).cast(arrow.field(c).type) for c in names]
+                        yield pa.RecordBatch.from_arrays([*cells, *own], schema=arrow)
+
+    return pending.repartition("file_path", "row_group").mapInArrow(read, target)
+
+
+def _some_file(spark: SparkSession, path: str) -> list[str]:
+    """One file that says what the columns are."""
+    first = list_files(spark, path, "*.parquet").agg(F.min("path")).first()[0]
+    if first is None:
+        raise DecodeError(f"no Parquet file below {path}")
+    return [first]
 
 
 def pending_files(listing: DataFrame, completed: DataFrame) -> DataFrame:
@@ -201,15 +247,42 @@ READERS: dict[str, Callable[[SparkSession, Paths], DataFrame]] = {
 }
 
 
-def read_any(spark: SparkSession, path: Paths, fmt: str | None = None) -> DataFrame:
-    """Read by format name in any case; without one the extension decides, and CSV is the fallback."""
-    if fmt is None:
-        first = path if isinstance(path, str) else path[0]
-        found = re.search(r"[^/.][^/]*\.([^./]+)/*$", first)
-        fmt = found.group(1) if found and found.group(1).upper() in READERS else "CSV"
-    reader = READERS.get(fmt.upper())
-    if reader is None:
-        raise ValueError(f"unknown format {fmt!r}; known: {', '.join(sorted(READERS))}")
-    return reader(spark, path)
+_PACKED = {"GZ", "GZIP", "BZ2", "ZST", "ZSTD", "ZIP"}
+_TEXT_FORMATS = {"CSV", "JSON", "JSONL", "NDJSON", "GEOJSON"}
+
 
+def format_of(path: str) -> str:
+    """Format by the extension, that of a compressed file by the one before it; a name without one is CSV."""
+    name = [p for p in path.split("/") if p][-1:]
+    parts = name[0].lstrip(".").split(".") if name else []
+    while len(parts) > 1 and parts[-1].upper() in _PACKED:
+        parts.pop()
+    return parts[-1].upper() if len(parts) > 1 else "CSV"
 
+
+def unpacked(spark: SparkSession, path: Paths, extension: str) -> Paths:
+    """``path``, or, if files there are compressed, a folder of their decoded contents.
+
+    Compression is recognised by leading bytes, whatever the names. A file that cannot be decoded is an error.
+    """
+    listed = list_files(spark, path)
+    if sniff_compression(listed).where("compression <> 'none'").isEmpty():
+        return path
+    stage = scratch_path(spark, "unpacked")
+    status = materialised(decompress_files(listed, stage, extension.lower()), "unpacked-status")
+    bad = status.where("error IS NOT NULL").orderBy("path").first()
+    if bad is not None:
+        raise DecodeError(f"cannot decode {bad['path']!r}: {bad['error']}")
+    return stage
+
+
+def read_any(spark: SparkSession, path: Paths, fmt: str | None = None) -> DataFrame:
+    """Read by format name in any case; without one the extension decides, and a name without extension is CSV.
+
+    Text formats may be compressed with gzip, bzip2, zstd or zip. An unknown format or extension is an error.
+    """
+    wanted = (fmt or format_of(path if isinstance(path, str) else path[0])).upper()
+    reader = READERS.get(wanted)
+    if reader is None:
+        raise ValueError(f"unknown format {wanted!r}; known: {', '.join(sorted(READERS))}")
+    return reader(spark, unpacked(spark, path, wanted) if wanted in _TEXT_FORMATS else path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakegate.errors import IntakeError
 from lakegate.functions.rules import valid_identifier
-from lakegate.functions.urls import destination_identity, sanitize_uri
+from lakegate.functions.urls import sanitize_uri
 from lakegate.operators.violations import checked_documents, exactly
 from lakegate.operators.digest import fingerprint_of, lane_sums, lane_totals
 from lakegate.operators.transforms import Steps
@@ -35,6 +36,13 @@ ARTIFACT_KEYS = (
 )
 
 
+# What readers say of artifacts that are missing, empty or no Parquet.
+_DAMAGE = (
+    "PATH_NOT_FOUND|UNABLE_TO_INFER_SCHEMA|FAILED_READ_FILE|CANNOT_READ_FILE_FOOTER|FileNotFound|is not a Parquet file"
+    "|Could not read footer|expected magic number|CANNOT_MERGE_SCHEMAS|does not exist"
+)
+
+
 @dataclass(frozen=True)
 class Published:
     """What a publication left behind; ``written`` is false when the stored artifact was still right."""
@@ -66,7 +74,9 @@ def is_healthy(spark: SparkSession, uri: str, content_digest: str, size: int | N
         if size is not None and blob_state(spark, uri)[0] != size:
             return False
         return fingerprint_of(spark.read.parquet(uri))[1] == content_digest
-    except Exception:  # anything unreadable is unhealthy
+    except Exception as problem:
+        if not re.search(_DAMAGE, str(problem)):  # a passing fault says nothing about the artifact
+            raise
         return False
 
 
@@ -119,10 +129,6 @@ def latest_artifacts(spark: SparkSession, manifest: str) -> DataFrame:
     ).select("resource_identity", "a.*")
 
 
-def destination_key(uri: str) -> Column:
-    return destination_identity(F.lit(uri))
-
-
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.option("ignoreNullFields", "false").json(path)
 
@@ -150,7 +156,8 @@ def decode_manifest(rows: DataFrame, document: str) -> tuple[DataFrame, DataFram
     schema = (
         "schema_version bigint, kind string, uri string, media_type string, size bigint,"
         " content_digest struct<algorithm:string,value:string>, blob_digest struct<algorithm:string,value:string>,"
-        " provenance struct<resource_identity:string,created_at:string,materialization_mode:string,transforms:array<string>>"
+        " provenance struct<source_locator:string,resource_identity:string,created_at:string,materialization_mode:string,"
+        "transforms:array<string>>, metadata map<string,string>, extensions map<string,string>"
     )
 
     def build(d: Column, keys: Column):
@@ -161,10 +168,13 @@ def decode_manifest(rows: DataFrame, document: str) -> tuple[DataFrame, DataFram
             "size": d["size"],
             "content_digest": d["content_digest"]["value"],
             "blob_digest": d["blob_digest"]["value"],
+            "source_locator": p["source_locator"],
             "resource_identity": p["resource_identity"],
             "created_at": F.try_to_timestamp(p["created_at"]),
             "mode": p["materialization_mode"],
             "transforms": p["transforms"],
+            "metadata": d["metadata"],
+            "extensions": d["extensions"],
         }
         return columns, [
             ("keys", exactly(keys, ARTIFACT_KEYS)),
@@ -174,13 +184,20 @@ def decode_manifest(rows: DataFrame, document: str) -> tuple[DataFrame, DataFram
             ("media type", d["media_type"] != ""),
             ("size", d["size"] >= 0),
             ("digest", d["content_digest"]["value"].isNotNull() & d["blob_digest"]["value"].isNotNull()),
+            ("source locator", p["source_locator"] != ""),
+            ("resource identity", p["resource_identity"] != ""),
+            ("created at", F.try_to_timestamp(p["created_at"]).isNotNull()),
         ]
 
     return checked_documents(rows, document, schema, build)
 
 
 def encode_manifest(artifacts: DataFrame) -> DataFrame:
-    """Manifest rows to artifact envelopes."""
+    """Manifest rows to artifact envelopes; ``metadata`` and ``extensions`` are maps of texts, empty where absent."""
+    nothing = F.create_map().cast("map<string,string>")
+    notes = {
+        c: F.coalesce(F.col(c), nothing) if c in artifacts.columns else nothing for c in ("metadata", "extensions")
+    }
     digest = {
         name: F.struct(F.lit("sha256").alias("algorithm"), F.col(name).alias("value"))
         for name in ("content_digest", "blob_digest")
@@ -200,7 +217,7 @@ def encode_manifest(artifacts: DataFrame) -> DataFrame:
             F.col("mode").alias("materialization_mode"),
             "transforms",
         ).alias("provenance"),
-        F.create_map().cast("map<string,string>").alias("metadata"),
-        F.create_map().cast("map<string,string>").alias("extensions"),
+        notes["metadata"].alias("metadata"),
+        notes["extensions"].alias("extensions"),
     )
     return artifacts.select("uri", F.to_json(envelope, {"ignoreNullFields": "false"}).alias("document"))

@@ -1,6 +1,6 @@
 """Workbooks: a directory of them is one job, a workbook is one row of it.
 
-Cells are read inside the tasks with the standard library and come out as (path, row, header -> typed text). The
+Cells are read inside the tasks with the standard library, once, into a table of (path, row, header -> typed text). The
 columns of all workbooks are agreed on by one aggregation over headers and cell kinds.
 """
 
@@ -15,10 +15,13 @@ from typing import BinaryIO
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakegate.errors import DecodeError
 from lakegate.functions.base import quoted
+from lakegate.session import materialised
 from lakegate.sources.files import list_files, opened
 
 # Fixed values.
@@ -28,17 +31,26 @@ _PACKAGE_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 _DATE_FORMATS = {*range(14, 23), *range(45, 48)}
 _EPOCH = datetime(1899, 12, 30)
 
-CELLS = "path string, row_no bigint, cells map<string,struct<kind:string,value:string>>"
+CELLS = (
+    "path string, row_no bigint, headers array<string>, cells map<string,struct<kind:string,value:string>>, error string"
+)
 
 
-def dedupe_headers(headers: list[object]) -> list[str]:
-    """Blank headers become ``""``; repeats get ``_2``, ``_3`` and so on."""
-    seen: dict[str, int] = {}
-    out = []
-    for header in headers:
-        name = "" if header is None else str(header)
-        seen[name] = seen.get(name, 0) + 1
-        out.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+def unique_headers(headers: list[object]) -> list[str]:
+    """Names for the columns of a sheet: a blank header is ``""``; a repeated one gets the first free ``_2``, ``_3``, ...
+
+    A number is free if no header of the sheet spells that name itself, so every column keeps a name of its own.
+    """
+    names = ["" if h is None else str(h) for h in headers]
+    taken, out = set(names), []
+    for place, name in enumerate(names):
+        if name in names[:place]:
+            number = 2
+            while f"{name}_{number}" in taken:
+                number += 1
+            name = f"{name}_{number}"
+            taken.add(name)
+        out.append(name)
     return out
 
 
@@ -103,8 +115,8 @@ def _cell(cell: ElementTree.Element, shared: list[str], dates: set[int]) -> tupl
     return "double", repr(number)
 
 
-def workbook_rows(file: BinaryIO) -> Iterator[tuple[int, dict[str, dict[str, str]]]]:
-    """Data rows of the active sheet; the first row names the columns, rows in between keep their place."""
+def workbook_rows(file: BinaryIO) -> Iterator[tuple[int, list[str] | None, dict[str, dict[str, str]] | None]]:
+    """The headers of the active sheet, then its data rows; rows in between keep their place."""
     with zipfile.ZipFile(file) as book:
         strings = _part(book, "xl/sharedStrings.xml")
         shared = (
@@ -127,31 +139,38 @@ def workbook_rows(file: BinaryIO) -> Iterator[tuple[int, dict[str, dict[str, str
                 row.clear()
                 if headers is None:
                     width = max(found, default=-1) + 1
-                    headers = dedupe_headers([(found.get(i) or (None, None))[1] for i in range(width)])
+                    headers = unique_headers([(found.get(i) or (None, None))[1] for i in range(width)])
+                    yield number, headers, None
                 else:
                     for blank in range(last + 1, number):
-                        yield blank, {}
+                        yield blank, None, {}
                     yield (
                         number,
+                        None,
                         {h: {"kind": c[0], "value": c[1]} for i, h in enumerate(headers) if (c := found.get(i))},
                     )
                 last = number
 
 
 def xlsx_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every data row of every workbook as a map of typed cells.
+    """Headers and data rows of every workbook, cells as a map; a workbook that cannot be read is a row with an error.
 
     Tasks get paths and open the files themselves, one at a time: contents never travel in batches.
     """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["path", "row_no", "headers", "cells", "error"]
         for batch in batches:
             for name in batch["path"]:
-                fs, inner = opened(name)
-                with fs.open_input_file(inner) as file:
-                    rows = ((name, number, cells) for number, cells in workbook_rows(file))
-                    while chunk := list(islice(rows, 4096)):
-                        yield pd.DataFrame(chunk, columns=["path", "row_no", "cells"])
+                try:
+                    fs, inner = opened(name)
+                    with fs.open_input_file(inner) as file:
+                        rows = ((name, number, headers, cells, None) for number, headers, cells in workbook_rows(file))
+                        while chunk := list(islice(rows, 4096)):
+                            yield pd.DataFrame(chunk, columns=columns)
+                except Exception as problem:  # one bad workbook becomes one row
+                    why = f"{type(problem).__name__}: {problem}"
+                    yield pd.DataFrame([(name, None, None, None, why)], columns=columns)
 
     return list_files(spark, path).select("path").mapInPandas(parse, CELLS)
 
@@ -163,19 +182,44 @@ def _common_kind(kinds: list[str]) -> str:
     return "double" if found == {"bigint", "double"} else "string"
 
 
-def read_xlsx(spark: SparkSession, path: str | list[str], origin: bool = False) -> DataFrame:
-    """Workbooks as typed columns; a column with mixed kinds is text. ``origin`` keeps path and row number."""
-    cells = xlsx_cells(spark, path)
-    kinds = (
-        cells.select("row_no", F.explode("cells").alias("header", "cell"))
-        .groupBy("header")
-        .agg(F.collect_set("cell.kind").alias("kinds"))
-        .orderBy("header")
-        .collect()
-    )  # one row per column name
+def _typed(rows: DataFrame, columns: list[tuple[str, str]], origin: bool) -> DataFrame:
+    kept = ["path", "row_no"] if origin else []
+    return rows.select(
+        *[F.col(quoted(k)) for k in kept],
+        *[F.col("cells")[F.lit(header)]["value"].cast(kind).alias(header) for header, kind in columns],
+    )
+
 
-    def typed(header: str, found: list[str]) -> Column:
-        return F.col("cells")[F.lit(header)]["value"].cast(_common_kind(found)).alias(header)
+def read_workbooks(
+    spark: SparkSession, path: str | list[str], origin: bool = False, schema: T.StructType | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of all readable workbooks, and (path, error) of the others.
 
-    kept = ["path", "row_no"] if origin else []
-    return cells.select(*[F.col(quoted(k)) for k in kept], *[typed(r["header"], r["kinds"]) for r in kinds])
+    Columns come in sheet order (by their first place in any workbook, then by name), blank ones as text; a column with
+    mixed kinds is text. Every workbook is parsed once, into a table of cells. ``schema`` names columns and types and
+    saves the pass over the table. ``origin`` keeps path and row number. Rows of a workbook that breaks off count as
+    unreadable with it.
+    """
+    cells = materialised(xlsx_cells(spark, path), "cells")
+    bad = cells.where("error IS NOT NULL").select("path", "error")
+    rows = cells.where("cells IS NOT NULL").join(bad.select("path"), "path", "left_anti")
+    if schema is not None:
+        return _typed(rows, [(f.name, f.dataType.simpleString()) for f in schema.fields], origin), bad
+    headers = cells.where("headers IS NOT NULL").join(bad.select("path"), "path", "left_anti")
+    places = headers.select(F.posexplode("headers").alias("place", "header"))
+    places = places.groupBy("header").agg(F.min("place").alias("place"))
+    kinds = rows.select(F.explode("cells").alias("header", "cell")).groupBy("header")
+    kinds = kinds.agg(F.sort_array(F.collect_set("cell.kind")).alias("kinds"))
+    found = places.join(kinds, "header", "left").orderBy("place", "header").collect()  # one row per column
+    return _typed(rows, [(r["header"], _common_kind(r["kinds"] or ["string"])) for r in found], origin), bad
+
+
+def read_xlsx(
+    spark: SparkSession, path: str | list[str], origin: bool = False, schema: T.StructType | None = None
+) -> DataFrame:
+    """Workbooks as typed columns, see :func:`read_workbooks`; a workbook that cannot be read is an error."""
+    rows, bad = read_workbooks(spark, path, origin, schema)
+    first = bad.orderBy("path").first()
+    if first is not None:
+        raise DecodeError(f"not a readable workbook: {first['path']!r} ({first['error']})")
+    return rows

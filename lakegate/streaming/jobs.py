@@ -7,17 +7,24 @@ its own folder and nothing else.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from lakegate.errors import IntakeError
 from lakegate.functions.redact import redact_map
 from lakegate.operators.health import FAILURE_THRESHOLD, health_log, retry_metrics
 from lakegate.operators.transforms import Steps
+from lakegate.session import remove_path, scratch_scope
+from lakegate.sources.files import list_files
 from lakegate.sources.sinks import Published, materialize
 
+STAGED = "__staged_batch"  # partition of the staging folder
+
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, files_per_batch: int | None = None
@@ -41,17 +48,53 @@ def sync_stream(stream: DataFrame, staging: str, checkpoint: str, steps: Steps |
 
     def stage(batch: DataFrame, batch_id: int) -> None:
         shaped = steps(batch) if steps else batch
-        shaped.write.mode("overwrite").parquet(f"{staging}/batch_id={batch_id}")
+        if STAGED in shaped.columns:
+            raise IntakeError(f"a column cannot be named {STAGED!r}")
+        shaped.write.mode("overwrite").parquet(f"{staging}/{STAGED}={batch_id}")
 
     return _start(stream.writeStream.foreachBatch(stage), checkpoint)
 
 
+def _numbers(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """Batch numbers in the names of the files below ``folder``; none if it is not there."""
+    try:
+        listed = list_files(spark, folder).select(F.regexp_extract("path", pattern, 1).alias("n"))
+        return listed.where("n <> ''").select(F.col("n").cast("long").alias("batch")).distinct()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "batch long")
+
+
 def publish_staged(
-    spark: SparkSession, staging: str, destination: str, identity: str, source_locator: str, manifest: str
+    spark: SparkSession,
+    staging: str,
+    checkpoint: str,
+    destination: str,
+    identity: str,
+    source_locator: str,
+    manifest: str,
+    schema: T.StructType | None = None,
 ) -> Published:
-    """Publish everything staged as one artifact, with its manifest row."""
-    staged = spark.read.parquet(staging).drop("batch_id")
-    return materialize(staged, destination, identity, source_locator, manifest)
+    """Publish everything staged as one artifact, with its manifest row, then remove the staged batches.
+
+    The batches that the stream's checkpoint has committed must all be there and no others; else nothing is published. A
+    stream that saw no files is published as a table without rows, with the columns of ``schema``.
+    """
+    committed = _numbers(spark, f"{checkpoint}/commits", r"/commits/(\d+)$")
+    staged = _numbers(spark, staging, rf"/{STAGED}=(\d+)/")
+    both = committed.withColumn("committed", F.lit(True)).join(staged.withColumn("staged", F.lit(True)), "batch", "full")
+    wrong = both.where("committed IS NULL OR staged IS NULL").orderBy("batch").first()
+    if wrong is not None:
+        state = "lost from the staging folder" if wrong["committed"] else "staged without being committed"
+        raise IntakeError(f"batch {wrong['batch']} is {state}")
+    if staged.isEmpty():
+        if schema is None:
+            raise IntakeError("nothing was staged, and no schema says what an empty table looks like")
+        return materialize(spark.createDataFrame([], schema), destination, identity, source_locator, manifest)
+    published = materialize(spark.read.parquet(staging).drop(STAGED), destination, identity, source_locator, manifest)
+    remove_path(spark, staging)
+    return published
 
 
 def event_metrics_stream(
@@ -87,7 +130,8 @@ def health_stream(
 
     Inside a batch the same block-wise pass as in the batch operator runs, so a key with most of the events does not
     end up in one task. Between batches only (run, failures) per key is kept, in one folder per batch: batch n reads
-    the state of batch n - 1 and writes its own, so a replay repeats the same result.
+    the state of batch n - 1 and writes its own, so a replay repeats the same result. Once batch n has begun, batch
+    n - 1 is committed, so older states go; so do the scratch tables of the pass. NULL is a key like any other.
     """
     key_types = {f.name: f.dataType for f in events.schema.fields if f.name in keys}
     state_schema = T.StructType(
@@ -95,7 +139,16 @@ def health_stream(
         + [T.StructField("run", T.LongType()), T.StructField("failure_count", T.LongType())]
     )
 
+    def same(prefix: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
     def advance(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            _advance(batch, batch_id)
+        if batch_id > 1:
+            remove_path(batch.sparkSession, f"{state}/v={batch_id - 2}")
+
+    def _advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = (
             spark.read.schema(state_schema).parquet(f"{state}/v={batch_id - 1}")
@@ -103,8 +156,10 @@ def health_stream(
             else spark.createDataFrame([], state_schema)
         )
         log = health_log(batch, keys, order, failure(), reset(), threshold)
-        carried = before.select(*keys, F.col("run").alias("_run"), F.col("failure_count").alias("_failures"))
-        joined = log.join(carried, list(keys), "left")
+        carried = before.select(
+            *[F.col(k).alias(f"_c_{k}") for k in keys], F.col("run").alias("_run"), F.col("failure_count").alias("_failures")
+        )
+        joined = log.join(carried, same("_c_"), "left")
         count = F.col("failure_count") + F.when(F.col("run") == 0, F.coalesce("_failures", F.lit(0))).otherwise(0)
         full = joined.select(
             *batch.columns,
@@ -116,7 +171,7 @@ def health_stream(
         written = spark.read.schema(full.schema).parquet(f"{output}/batch_id={batch_id}")
         last = F.max_by(F.struct("run", "failure_count"), F.struct(*order))
         latest = written.groupBy(*keys).agg(last.alias("s")).select(*keys, "s.run", "s.failure_count")
-        kept = before.join(latest.select(*keys), list(keys), "left_anti")
+        kept = before.join(latest.select(*[F.col(k).alias(f"_n_{k}") for k in keys]), same("_n_"), "left_anti")
         latest.unionByName(kept).write.mode("overwrite").parquet(f"{state}/v={batch_id}")
 
     return _start(events.writeStream.foreachBatch(advance), checkpoint)

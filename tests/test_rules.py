@@ -93,7 +93,10 @@ def test_json_redaction(spark):
         json.dumps(deep),
         "not json",
     ]
-    wide, nested, broken = values(spark, texts, redact.redact_json)
+    bounds = (redact.MAX_DEPTH, redact.MAX_ENTRIES, redact.MAX_TEXT)
+    whole = [json.loads(t) for t in values(spark, texts[:2], redact.redact_json)]
+    assert len(whole[0]["list"]) == 40 and whole[1] == deep
+    wide, nested, broken = values(spark, texts, lambda c: redact.redact_json(c, *bounds))
     wide = json.loads(wide)
     assert wide["Cookie"] == "***" and wide["u"] == "http://a:***@c"
     assert len(wide["list"]) == 32 and wide["list"][-1] == redact.TRUNCATED
@@ -235,3 +238,37 @@ def test_contested_key_commits_once(spark):
 def test_byte_bound_is_checked(limit):
     with pytest.raises(ValueError):
         rules.bound_bytes(F.lit("x") if False else "x", limit)
+
+
+def test_contradicting_evidence_and_equal_orders(spark):
+    operations = spark.createDataFrame([("a", "read"), ("b", "read"), ("c", "read")], "operation_id string, capability_class string")
+    evidence = spark.createDataFrame(
+        [("a", "success"), ("a", "forbidden"), ("b", "success"), ("b", "success")], "operation_id string, response_class string"
+    )
+    states = {r.operation_id: (r.state, r.response_class) for r in capability.effective_profile(operations, evidence).collect()}
+    assert states == {"a": ("conflict", None), "b": ("read", "success"), "c": ("unavailable", None)}
+    state = spark.createDataFrame([("k", "w", "v")], "key string, watermark string, version string")
+    twice = spark.createDataFrame(
+        [("k", "x", "1", "v", 1, False), ("k", "y", "2", "v", 1, False)],
+        "key string, watermark string, version string, expected string, `order` int, deleted boolean",
+    )
+    with pytest.raises(Exception, match="order of their own"):
+        sync.conditional_merge(state, twice)[0].collect()
+
+
+def test_times_of_old_state_need_a_zone(spark):
+    texts = ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00+02:00", "2024-01-01T00:00:00", "not a time", "2024-02-30T00:00:00Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(sync.zoned_time(F.col("t"))).collect()] == [True, True, False, False, False]
+
+
+def test_digest_of_instants_does_not_follow_the_session_zone(spark):
+    from lakegate.operators.digest import fingerprint_of
+
+    df = spark.sql("SELECT TIMESTAMP'2024-01-01 00:00:00Z' AS t")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        there = fingerprint_of(df)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert fingerprint_of(df) == there

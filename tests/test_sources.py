@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakegate.errors import DecodeError, IntakeError
 from lakegate.operators.digest import fingerprint_of
 from lakegate.sources import files, readers, sinks
-from lakegate.sources.xlsx import dedupe_headers
+from lakegate.sources.xlsx import read_workbooks, unique_headers
 
 
 def put(folder, name, content):
@@ -78,7 +78,8 @@ def test_geojson(spark, tmp_path):
 
 
 def test_headers_are_made_unique():
-    assert dedupe_headers(["col", "col", None, None, "col"]) == ["col", "col_2", "", "_2", "col_3"]
+    assert unique_headers(["col", "col", None, None, "col"]) == ["col", "col_2", "", "_2", "col_3"]
+    assert unique_headers(["a", "a", "a_2"]) == ["a", "a_3", "a_2"]
 
 
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -116,8 +117,14 @@ def test_xlsx_active_sheet_types_and_gaps(spark, tmp_path):
     put(tmp_path, "b.xlsx", workbook([header]))
     df = readers.read_xlsx(spark, str(tmp_path), origin=True)
     assert dict(df.dtypes) == {
-        "path": "string", "row_no": "bigint", "id": "double", "ok": "boolean", "when": "timestamp_ntz"
+        "path": "string", "row_no": "bigint", "id": "double", "when": "timestamp_ntz", "ok": "boolean"
     }
+    assert df.columns == ["path", "row_no", "id", "when", "ok"]
+    put(tmp_path, "c.xlsx", b"no workbook")
+    with pytest.raises(DecodeError, match="c.xlsx"):
+        readers.read_xlsx(spark, str(tmp_path))
+    df, bad = read_workbooks(spark, str(tmp_path), origin=True)
+    assert [r.path.rsplit("/", 1)[1] for r in bad.collect()] == ["c.xlsx"]
     got = {r.row_no: (r.id, str(r.when), r.ok) for r in df.collect()}
     assert got == {2: (1.0, "2024-01-01 00:00:00", True), 3: (None, "None", None), 4: (2.5, "None", None)}
 
@@ -191,33 +198,55 @@ def test_formats(spark, tmp_path):
     assert readers.read_any(spark, put(tmp_path, "noformat", "a\n1\n")).columns == ["a"]
 
 
-def test_completed_splits_are_skipped(spark, tmp_path):
+@pytest.mark.parametrize("split", ["4k", "256k", "128m"])
+def test_finished_row_groups_are_not_read_again(spark, tmp_path, split):
+    """A run stopped inside a file goes on there, whatever the split size of the next run."""
     path = str(tmp_path / "p")
-    spark.range(100).selectExpr("id", "id % 4 AS g").repartition(4, "g").write.partitionBy("g").parquet(path)
-    everything = spark.read.parquet(path).select("g", *readers.split_of_row()).distinct()
-    recorded = spark.createDataFrame(everything.where("g < 3").collect(), everything.schema)
-    left = readers.read_pending_splits(spark, path, recorded)
-    assert left.count() == 25 and len(left.inputFiles()) == 1 and left.columns == ["id", "g"]
-    assert readers.read_pending_splits(spark, path, everything).count() == 0
-
-
-def test_half_done_file_gives_its_open_splits(spark, tmp_path):
-    path = str(tmp_path / "p")
-    spark.range(200_000).coalesce(1).write.option("parquet.block.size", 64 * 1024).parquet(path)
+    spark.range(200_000).repartition(2).write.option("parquet.block.size", 64 * 1024).parquet(path)
+    groups = readers.row_groups(spark, path).orderBy("file_path", "row_group").collect()
+    assert len(groups) > 6 and sum(g.n_rows for g in groups) == 200_000
+    everything = readers.read_pending_row_groups(spark, path, spark.createDataFrame([], "file_path string, row_group int"))
+    done = spark.createDataFrame([(g.file_path, g.row_group) for g in groups[::2]], "file_path string, row_group int")
     size = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", 128 * 1024)
-        splits = spark.read.parquet(path).select("id", *readers.split_of_row())
-        starts = sorted(r.block_start for r in splits.select("block_start").distinct().collect())
-        assert len(starts) > 2
-        done = splits.where(F.col("block_start").isin(*starts[:2]))
-        left = readers.read_pending_splits(spark, path, done.drop("id").distinct())
-        assert left.count() == 200_000 - done.count()
-        assert left.join(done, "id", "left_semi").count() == 0
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        left = readers.read_pending_row_groups(spark, path, done)
+        assert left.count() == sum(g.n_rows for g in groups[1::2])
+        read = everything.join(done, ["file_path", "row_group"]).select("id").union(left.select("id"))
+        assert read.distinct().count() == read.count() == 200_000
+        assert readers.read_pending_row_groups(spark, path, everything).isEmpty()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
+def test_blanks_and_odd_keys(spark, tmp_path):
+    array = readers.read_any(spark, put(tmp_path, "a.json", " " * 3_000_000 + '\n[{"VOID":1,"VARIANT":"x","k":null,"a, VOID>":2.5}]'))
+    assert dict(array.dtypes) == {"VOID": "bigint", "VARIANT": "string", "k": "string", "a, VOID>": "double"}
+    assert rows(array.select("VOID", "VARIANT", "k", "`a, VOID>`")) == [(1, "x", None, 2.5)]
+
+
+@pytest.mark.parametrize("name", ["r.csv.gz", "plain", "x.csv"])
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lambda b: zstandard.compress(b), lambda b: zipped({"r.csv": b})])
+def test_compressed_input_is_decoded(spark, tmp_path, name, pack):
+    assert rows(readers.read_any(spark, put(tmp_path, name, pack(b"id,v\n1,a\n2,b\n")))) == [(1, "a"), (2, "b")]
+
+
+def test_unknown_extensions_and_broken_archives(spark, tmp_path):
+    for name in ("r.pdf", "r.pdf.gz", "folder.docx"):
+        with pytest.raises(ValueError, match="unknown format"):
+            readers.read_any(spark, str(tmp_path / name))
+    with pytest.raises(DecodeError, match="r.json.gz"):
+        readers.read_any(spark, put(tmp_path, "r.json.gz", gzip.compress(b'{"a":1}' * 9000)[:-30]))
+
+
+def test_one_target_for_two_sources(spark, tmp_path):
+    paths = [put(tmp_path, n, n.encode()) for n in ("a", "b", "c")]
+    listed = spark.createDataFrame([(f"file:{p}", "same" if p[-1] < "c" else "own") for p in paths], "path string, name string")
+    status = {r.path[-1]: r for r in files.copy_files(listed, str(tmp_path / "out")).collect()}
+    assert status["c"].error is None and all("2 sources share" in status[k].error for k in "ab")
+    assert not (tmp_path / "out" / "same").exists()
+
+
 def test_materialize_notices_damage(spark, tmp_path):
     df = spark.range(1000).withColumn("v", F.col("id") * 2)
     where = (str(tmp_path / "out"), "r1", "file:///x", str(tmp_path / "manifest"))

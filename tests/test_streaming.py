@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from lakegate.errors import IntakeError
 from lakegate.operators.health import health_log, retry_metrics
 from lakegate.operators.transforms import SelectColumns, compose
 from lakegate.streaming import jobs
@@ -32,8 +35,15 @@ def test_interrupted_sync_publishes_every_row_once(spark, tmp_path):
     partial = spark.read.parquet(f"{base}/staged").count()
     assert 0 < partial < 400
     run(SelectColumns(["id"])).awaitTermination()
-    published = jobs.publish_staged(spark, f"{base}/staged", f"{base}/out", "r", base, f"{base}/manifest")
+    where = (f"{base}/out", "r", base, f"{base}/manifest")
+    number = max(os.listdir(f"{base}/staged"))
+    os.rename(f"{base}/staged/{number}", f"{base}/lost")
+    with pytest.raises(IntakeError, match="lost"):
+        jobs.publish_staged(spark, f"{base}/staged", f"{base}/checkpoint", *where)
+    os.rename(f"{base}/lost", f"{base}/staged/{number}")
+    published = jobs.publish_staged(spark, f"{base}/staged", f"{base}/checkpoint", *where)
     out = spark.read.parquet(published.uri)
+    assert not os.path.exists(f"{base}/staged")
     assert out.columns == ["id"] and out.count() == 400 and out.distinct().count() == 400
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from datetime import datetime
 
 import pytest
@@ -198,3 +200,27 @@ def test_unify_refuses_mixed_meanings(spark, left, right):
 def test_shards_need_one_schema(spark):
     with pytest.raises(UnificationError):
         concat_shards([frame(spark, "a int"), frame(spark, "a bigint")])
+
+
+def test_nested_casts_lose_nothing(spark):
+    df = spark.sql("SELECT array(1.0D, 2.0D) AS a, named_struct('x', 3.0D) AS s, map('k', 4L) AS m, TIMESTAMP'2024-01-01 00:00:01Z' AS t")
+    good = T.StructType.fromDDL("a array<int>, s struct<y:int>, m map<string,int>, t bigint")
+    assert CastSchema(good)(df).first().asDict(True) == {"a": [1, 2], "s": {"y": 3}, "m": {"k": 4}, "t": 1704067201}
+    nothing = df.selectExpr("nullif(a, a) AS a", "nullif(s, s) AS s", "m", "t")
+    assert CastSchema(good)(nothing).first()[:2] == (None, None)
+    for bad in ("array(1.5D) AS a, s, m, t", "a, named_struct('x', 2.7D) AS s, m, t", "a, s, map('k', 99999999999L) AS m, t",
+                "a, s, m, TIMESTAMP'2024-01-01 00:00:00.75Z' AS t"):
+        with pytest.raises(Exception, match="unsafe cast"):
+            CastSchema(good)(df.selectExpr(*[b.strip() for b in re.split(r", (?=a\b|s\b|m\b|t\b|array|named|map|TIME)", bad)])).collect()
+
+
+def test_target_zone_and_unit(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-07-01 12:00:00.5' AS n, TIMESTAMP'2024-01-01 00:00:00Z' AS i")
+    there = NormalizeTimestamps("Europe/Berlin", target_tz="America/New_York", target_unit="ms")(df)
+    assert [t for _, t in there.dtypes] == ["timestamp_ntz"] * 2
+    assert [str(v) for v in there.first()] == ["2024-07-01 06:00:00.500000", "2023-12-31 19:00:00"]
+    with pytest.raises(Exception, match="finer than s"):
+        NormalizeTimestamps(target_unit="s")(df).collect()
+    late = spark.sql("SELECT TIMESTAMP_NTZ'2250-11-01 01:30:00' AS n")
+    with pytest.raises(Exception, match="ambiguous or missing"):
+        NormalizeTimestamps("America/New_York")(late).collect()
