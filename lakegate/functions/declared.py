@@ -116,11 +116,17 @@ socrata/catalog-discovery-and-view-metadata unavailable
 socrata/soda-v3-soql-query-types-and-format-negotiation core
 """
 
+
 def profiles(spark: SparkSession) -> DataFrame:
     names = "platform profile_version platform_api_version official_source_uri source_accessed_at fixture_fingerprint"
     return spark.createDataFrame(list(PROFILES), ", ".join(f"{n} string" for n in names.split()))
 
 
+def listed() -> list[tuple[str, str]]:
+    """Operation and capability class, in the order declared."""
+    return [(line.split()[0], line.split()[1]) for line in OPERATIONS.strip().splitlines()]
+
+
 def operations(spark: SparkSession) -> DataFrame:
     """Declared operations in the layout of :func:`lakegate.operators.capability.load_profiles`."""
     from lakegate.operators.capability import operation_rows

@@ -33,6 +33,7 @@ RECORD_KEYS = {
     "native": ("schema_version", "kind", "platform", "resource_kind", "id", "payload", "extensions"),
 }
 LOCATOR_KEYS = ("schema_version", "kind", "uri", "format", "media_type", "extensions")
+PAGE_KEYS = ("schema_version", "kind", "cursor", "next_cursor", "total_items")
 RESERVED_TABLE = "resources"
 
 
@@ -55,6 +56,42 @@ def decode_envelopes(pages: DataFrame, document: str) -> tuple[DataFrame, DataFr
     ), bad
 
 
+def envelope_pages(pages: DataFrame, document: str, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Page documents to one row per page, ready for :func:`page_chain`, and those whose page information is broken.
+
+    Besides the other columns: platform, item_count, warnings (as JSON), cursor, next_cursor and total_items; a page
+    without page information has NULLs there. ``order`` names the columns that must be known to place a page.
+    """
+    page = "struct<schema_version:bigint,kind:string,cursor:string,next_cursor:string,total_items:bigint>"
+    schema = f"schema_version bigint, kind string, items array<variant>, warnings array<variant>, platform string, page {page}"
+
+    def build(d: Column, keys: Column):
+        p = d["page"]
+        raw = F.get_json_object(F.col(document), "$.page")
+        info = F.json_object_keys(raw)
+        known = (p["schema_version"] == 1) & (p["kind"] == "page_info") & exactly(info, PAGE_KEYS)
+        total_given = F.get_json_object(F.col(document), "$.page.total_items").isNotNull()
+        total = (p["total_items"] >= 0) | ~total_given
+        columns = {
+            "platform": d["platform"],
+            "item_count": F.size(d["items"]).cast("long"),
+            "warnings": F.transform(d["warnings"], lambda w: F.to_json(w)),
+            "cursor": p["cursor"],
+            "next_cursor": p["next_cursor"],
+            "total_items": p["total_items"],
+        }
+        return columns, [
+            ("keys", exactly(keys, ENVELOPE_KEYS)),
+            ("schema version or kind", (d["schema_version"] == 1) & (d["kind"] == "result_envelope")),
+            ("items", d["items"].isNotNull()),
+            ("warnings", d["warnings"].isNotNull()),
+            ("page", raw.isNull() | F.coalesce(known & total, F.lit(False))),
+            *[(f"no {name}", F.col(name).isNotNull()) for name in order],
+        ]
+
+    return checked_documents(pages, document, schema, build)
+
+
 _ID = "struct<platform:string,resource_kind:string,value:string>"
 
 
@@ -245,7 +282,8 @@ def search_catalog(
     equals: Mapping[str, str] | None = None,
     any_of: Mapping[str, Sequence[str]] | None = None,
     sort: Sequence[Column] = (),
-    limit: int = 100,
+    *,
+    limit: int,
     offset: int = 0,
 ) -> DataFrame:
     """One page of matches, each row with the total, the page number and whether more pages follow.

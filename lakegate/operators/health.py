@@ -138,6 +138,6 @@ def retry_metrics(
     )
 
 
-def last_n_events(events: DataFrame, order: Sequence[str], n: int = 1000) -> DataFrame:
+def last_n_events(events: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The newest ``n`` events, oldest first (a distributed top-n, not a global sort)."""
     return events.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)

@@ -7,22 +7,18 @@ from pyspark.sql import functions as F
 
 from lakegate.functions.base import quoted
 
-# Fixed values.
+# Fixed value: rows of a bounded look.
 SCAN_ROWS = 1000
-SAMPLE_ROWS = 20
 
 
-def scan_bound(df: DataFrame, full: bool = False) -> DataFrame:
-    """The rows a profile looks at: all of them, or exactly the first thousand of a bounded look."""
-    return df if full else df.limit(SCAN_ROWS)
-
-
-def column_profile(df: DataFrame, full: bool = False) -> DataFrame:
+def column_profile(df: DataFrame, rows: int | None = None) -> DataFrame:
     """One row per column: position, name, type, rows seen, nulls, and whether the look was bounded.
 
+    The whole frame is profiled, or exactly the first ``rows`` rows of it.
+
     All null counts are computed in a single partial aggregation, then turned into rows.
     """
-    scanned = scan_bound(df, full)
+    scanned = df if rows is None else df.limit(rows)
     counts = scanned.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(quoted(c)).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)],
@@ -38,9 +34,9 @@ def column_profile(df: DataFrame, full: bool = False) -> DataFrame:
             for i, f in enumerate(df.schema.fields)
         ]
     )
-    bounded = F.lit(False) if full else F.col("rows") >= SCAN_ROWS
+    bounded = F.lit(False) if rows is None else F.col("rows") >= rows
     return counts.select("rows", bounded.alias("bounded"), F.inline(entries))
 
 
-def sample_rows(df: DataFrame) -> DataFrame:
-    return df.limit(SAMPLE_ROWS)
+def sample_rows(df: DataFrame, rows: int) -> DataFrame:
+    return df.limit(rows)

@@ -322,7 +322,7 @@ def advisory_schema(columns: Iterable[Mapping[str, object]]) -> T.StructType:
     )
 
 
-def preview(df: DataFrame, order_by: Sequence[str] = (), rows: int = 20) -> DataFrame:
+def preview(df: DataFrame, rows: int, order_by: Sequence[str | Column] = ()) -> DataFrame:
     """The first rows, in a stated order when one is given."""
     return (df.orderBy(*order_by) if order_by else df).limit(rows)
 

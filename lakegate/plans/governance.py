@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakegate.functions import declared
 from lakegate.functions.base import case
 from lakegate.functions.urls import url_origin
 from lakegate.operators import bulk, capability, catalog, health, reports
@@ -700,7 +701,7 @@ def health_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
 @query("last_n_events", "SELECT event_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000")
 def last_n_events(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("ts", "event_id", "event_type")
-    return health.last_n_events(events, ["ts", "event_id"]).select("event_id", "event_type")
+    return health.last_n_events(events, ["ts", "event_id"], 1000).select("event_id", "event_type")
 
 
 # --- catalog ---------------------------------------------------------------------------------------------------------
@@ -745,6 +746,57 @@ def decode_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     return good.unionAll(rejects.select("page_no", F.lit(0).cast("bigint"), F.lit(True)))
 
 
+@query(
+    "envelope_pages",
+    """WITH p AS (SELECT doc_id // 16 AS page_no, count(*) AS n, string_agg(DISTINCT source, ',' ORDER BY source) AS s FROM documents GROUP BY 1)
+       SELECT page_no, 'ckan' AS platform, n AS item_count, 1 AS warnings, CASE WHEN page_no > 0 THEN 'c' || page_no END AS cursor, 'c' || (page_no + 1) AS next_cursor,
+              CASE WHEN page_no % 3 <> 0 THEN (SELECT count(*) FROM documents) END AS total_items, NULL AS reject_reason FROM p WHERE page_no % 7 NOT IN (2, 3)
+       UNION ALL SELECT page_no, NULL, NULL, NULL, NULL, NULL, NULL, 'page' FROM p WHERE page_no % 7 IN (2, 3)""",
+)
+def envelope_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Page information of listings, good and broken (a negative total, another kind)."""
+    documents = table(spark, folder, "documents")
+    number, total = F.col("page_no"), documents.agg(F.count(F.lit(1))).scalar()
+    pages = documents.groupBy(F.expr("doc_id div 16").alias("page_no")).agg(F.collect_list("source").alias("items"))
+    info = F.struct(
+        F.lit(1).alias("schema_version"),
+        F.when(number % 7 == 2, F.lit("page")).otherwise(F.lit("page_info")).alias("kind"),
+        F.when(number > 0, F.concat(F.lit("c"), number)).alias("cursor"),
+        F.concat(F.lit("c"), number + 1).alias("next_cursor"),
+        F.when(number % 7 == 3, F.lit(-1)).when(number % 3 != 0, total).alias("total_items"),
+    )
+    envelope = F.struct(
+        F.lit(1).alias("schema_version"),
+        F.lit("result_envelope").alias("kind"),
+        "items",
+        info.alias("page"),
+        F.array(F.struct(F.lit("slow").alias("code"))).alias("warnings"),
+        F.lit("ckan").alias("platform"),
+    )
+    shaped = pages.select("page_no", F.to_json(envelope, {"ignoreNullFields": "false"}).alias("document"))
+    good, bad = catalog.envelope_pages(shaped, "document", ["page_no"])
+    return good.withColumn("warnings", F.size("warnings")).unionByName(
+        bad.select("page_no", "reject_reason"), allowMissingColumns=True
+    )
+
+
+@query(
+    "declared_operations",
+    f"""WITH d(n, operation_id, capability_class) AS (VALUES {", ".join(f"({i}, '{o}', '{c}')" for i, (o, c) in enumerate(declared.listed()))})
+        SELECT d.operation_id, d.capability_class AS state, count(*) AS requests FROM events e JOIN d ON e.event_id % {len(declared.listed())} = d.n GROUP BY ALL""",
+)
+def declared_operations(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests against the declared operations of the platforms, with the state they meet without any evidence."""
+    names = [o for o, _ in declared.listed()]
+    operations = declared.operations(spark)
+    none = operations.limit(0).select("operation_id", F.lit(None).cast("string").alias("response_class"))
+    profile = capability.effective_profile(operations, none, baseline="declared")
+    wanted = F.get(F.array(*[F.lit(n) for n in names]), (F.col("event_id") % len(names)).cast("int"))
+    requests = table(spark, folder, "events").select(wanted.alias("operation_id"))
+    decided = capability.guard_decisions(requests, profile)
+    return decided.groupBy("operation_id", "state").agg(F.count(F.lit(1)).alias("requests"))
+
+
 @query(
     "dataset_records",
     """SELECT 'ckan' AS platform, CAST(doc_id AS VARCHAR) AS id, source AS name, lang AS description FROM documents

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegate.operators.profile import column_profile
+from lakegate.operators.profile import SCAN_ROWS, column_profile
 from lakegate.operators.transforms import (
     CastSchema,
     Filter,
@@ -169,7 +169,7 @@ def t_compose(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("preview", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 def preview_orders(spark: SparkSession, folder: str) -> DataFrame:
-    newest = preview(table(spark, folder, "orders"), [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+    newest = preview(table(spark, folder, "orders"), 20, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
     return newest.select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
@@ -227,7 +227,7 @@ def profile_full(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select(
         "doc_id", F.nullif(F.col("lang"), F.lit("en")).alias("lang"), "source", "n_chars"
     )
-    return column_profile(documents, full=True)
+    return column_profile(documents)
 
 
 @query(
@@ -238,7 +238,7 @@ def profile_full(spark: SparkSession, folder: str) -> DataFrame:
        GROUP BY ALL""",
 )
 def profile_bounded(spark: SparkSession, folder: str) -> DataFrame:
-    return column_profile(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus"))
+    return column_profile(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus"), rows=SCAN_ROWS)
 
 
 # --- sources: the tables are written in each format and read back ---------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakegate.functions.base import case
 from lakegate.functions.rules import sanitize_table_name
@@ -18,7 +19,8 @@ from lakegate.operators.transforms import compose, Filter, SelectColumns
 from lakegate.plans.intake import HEADLINE_STEPS
 from lakegate.plans.registry import query, table
 from lakegate.session import scratch_path
-from lakegate.sources import files, sinks
+from lakegate.sources import files, runs, sinks
+from lakegate.sources.state import StateTable
 
 
 def _sql_value(column: str) -> str:
@@ -270,6 +272,36 @@ def materialize_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     return rows
 
 
+@query(
+    "sync_run",
+    """WITH r AS (SELECT l_shipdate, l_orderkey, l_suppkey % 20 AS resource FROM lineitem)
+       SELECT 1 AS run, 'written' AS action, count(DISTINCT resource) AS resources, count(*) AS row_count FROM r
+       UNION ALL SELECT 2, 'unchanged', count(DISTINCT resource), count(*) FROM r
+       UNION ALL SELECT 3, CASE WHEN resource % 7 = 3 THEN 'written' ELSE 'unchanged' END, count(DISTINCT resource), count(*) FROM r GROUP BY 2
+       UNION ALL SELECT 4, 'published', count(DISTINCT resource), count(*) FROM r""",
+)
+def sync_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Twenty resources: a first run writes all, a second none, a third those that changed; what is published is whole."""
+    base = scratch_path(spark, "run")
+    lines = table(spark, folder, "lineitem").select((F.col("l_suppkey") % 20).alias("resource_no"), "l_orderkey", "l_linenumber", "l_quantity")
+    changed = lines.withColumn(
+        "l_quantity", F.when(F.col("resource_no") % 7 == 3, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    )
+    state = StateTable(spark, f"{base}/state", T.StructType.fromDDL(runs.STATE_SCHEMA))
+    parts = []
+    for number, rows in enumerate((lines, lines, changed), 1):
+        done = runs.sync_run(rows, "resource_no", f"{base}/out", f"{base}/manifest", state, "file:///lines")
+        parts.append(
+            done.groupBy(F.lit(number).alias("run"), "action").agg(
+                F.count(F.lit(1)).alias("resources"), F.sum("row_count").alias("row_count")
+            )
+        )
+    newest = sinks.latest_artifacts(spark, f"{base}/manifest")
+    whole = newest.agg(F.count(F.lit(1)).alias("resources"), F.sum("row_count").alias("row_count"))
+    parts.append(whole.select(F.lit(4).alias("run"), F.lit("published").alias("action"), "resources", "row_count"))
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 # --- sync state, derived from orders and customers -------------------------------------------------------------------
 
 

@@ -308,7 +308,7 @@ def _texts(spark: SparkSession, folder: str) -> DataFrame:
     f"SELECT doc_id, left({_sql_scrub('t')}, 256) AS shown FROM (SELECT doc_id, {_SQL_TEXTS} AS t FROM documents)",
 )
 def redact_text(spark: SparkSession, folder: str) -> DataFrame:
-    return _texts(spark, folder).select("doc_id", redact.redact_text("text").alias("shown"))
+    return _texts(spark, folder).select("doc_id", redact.redact_text("text", redact.MAX_TEXT).alias("shown"))
 
 
 @query(
@@ -351,7 +351,7 @@ def redact_report(spark: SparkSession, folder: str) -> DataFrame:
         ],
         F.col("text"),
     )
-    return table(spark, folder, "documents").select("doc_id", redact.redact_report_text(text).alias("shown"))
+    return table(spark, folder, "documents").select("doc_id", redact.redact_report_text(text, redact.MAX_TEXT).alias("shown"))
 
 
 def _props(spark: SparkSession, folder: str) -> DataFrame:
@@ -376,7 +376,7 @@ _SQL_PROPS = """SELECT event_id, props->>'k' AS k, CASE WHEN event_id % 3 = 0 TH
             WHEN event_id % 3 = 0 THEN 'note=basic ***' ELSE 'note=' || v END AS shown FROM ({_SQL_PROPS})""",
 )
 def redact_map(spark: SparkSession, folder: str) -> DataFrame:
-    masked = redact.redact_map("props")
+    masked = redact.redact_map("props", redact.MAX_ENTRIES, redact.MAX_TEXT)
     shown = F.array_join(F.transform(F.map_entries(masked), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return _props(spark, folder).select("event_id", shown.alias("shown"))
 

@@ -69,14 +69,15 @@ def test_text_redaction(spark):
         "éapi_key=1": "éapi_key=***",
         "a" * 300: "a" * 256,
     }
-    assert values(spark, cases, redact.redact_text) == list(cases.values())
+    assert values(spark, cases, lambda c: redact.redact_text(c, redact.MAX_TEXT)) == list(cases.values())
+    assert values(spark, ["a" * 300], redact.redact_text) == ["a" * 300]
     assert values(spark, ["a" * 300], redact.scrub_text) == ["a" * 300]
 
 
 def test_map_redaction_is_bounded(spark):
     many = {f"k{i:02}": "v" for i in range(33)}
     df = spark.createDataFrame([(many,), ({"Private-Key": "x", "note": "t=1"},), (None,)], "m map<string,string>")
-    first, second, third = [r[0] for r in df.select(redact.redact_map("m")).collect()]
+    first, second, third = [r[0] for r in df.select(redact.redact_map("m", redact.MAX_ENTRIES, redact.MAX_TEXT)).collect()]
     assert len(first) == 32 and first[redact.TRUNCATED] == redact.TRUNCATED
     assert second == {"Private-Key": "***", "note": "t=1"} and third is None
     strict = df.select(redact.redact_map_strict("m").alias("m"), redact.strict_map_error("m").alias("e")).collect()

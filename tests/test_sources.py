@@ -349,3 +349,51 @@ def test_unreadable_parquet_is_set_aside(spark, tmp_path):
     found = {r.path.rsplit("/", 1)[1]: (r.column_name, r.problem) for r in findings.collect()}
     assert found["time.parquet"] == ("at", "time of day") and found["nanos.parquet"] == ("ts", "nanosecond timestamp")
     assert found["broken.parquet"][0] is None and len(found) == 3
+
+
+def test_state_is_swapped_once(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from lakegate.errors import StateConflictError
+    from lakegate.sources.state import StateTable
+
+    schema = T.StructType.fromDDL("key string, version string")
+    table = StateTable(spark, str(tmp_path / "state"), schema)
+    rows, number = table.read()
+    assert (rows.count(), number) == (0, 0)
+    one = spark.createDataFrame([("a", "1")], schema)
+    assert table.swap(one, 0) == 1
+    with pytest.raises(StateConflictError):
+        table.swap(one, 0)
+    for n in range(1, 6):
+        assert table.swap(spark.createDataFrame([("a", str(n + 1))], schema), n) == n + 1
+    rows, number = table.read()
+    assert number == 6 and rows.collect()[0].version == "6"
+    assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("snapshot")]) == 3
+
+
+def test_two_sync_runs_at_once(spark, tmp_path):
+    """The run that swaps later raises; its resources are due again, and what the other published stays."""
+    from pyspark.sql import types as T
+
+    from lakegate.errors import StateConflictError
+    from lakegate.sources import runs
+    from lakegate.sources.state import StateTable
+
+    base = str(tmp_path)
+    df = spark.range(100).selectExpr("id % 5 AS r", "id")
+    where = ("r", f"{base}/out", f"{base}/manifest")
+    mine, other = (StateTable(spark, f"{base}/state", T.StructType.fromDDL(runs.STATE_SCHEMA)) for _ in "ab")
+
+    class Late(StateTable):
+        def read(self):
+            found = super().read()
+            runs.sync_run(df, *where, other, "file:///x")  # gets ahead between this run's read and its swap
+            return found
+
+    late = Late(spark, mine.folder, mine.schema)
+    with pytest.raises(StateConflictError):
+        runs.sync_run(df.withColumn("id", F.col("id") + 1), *where, late, "file:///x")
+    again = runs.sync_run(df.withColumn("id", F.col("id") + 1), *where, mine, "file:///x")
+    assert {r.action for r in again.collect()} == {"written"} and mine.read()[1] == 2
+    assert {r.action for r in runs.sync_run(df.withColumn("id", F.col("id") + 1), *where, mine, "file:///x").collect()} == {"unchanged"}
