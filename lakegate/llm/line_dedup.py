@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import arrow_rows, free_names, materialised, sized, text_column
+from lakegate.llm.common import SMALL_ROWS, arrow_rows, free_names, materialised, sized, text_column
 
 BASE = 0x9E3779B97F4A7C15
 LINE = ("id", "no", "h1")  # names a line: its document, its number there, the hash of its form
@@ -99,10 +99,13 @@ def deletion_hashes(form: str) -> tuple[np.ndarray, int]:
 
 
 def _fetched(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """(id, text, nos) of the documents that ``wanted`` (id, ...) names; ``wanted`` is broadcast if it is small."""
+    """(id, text, want) of the documents that ``wanted`` (id, ...) names; broadcast if these are few (and short) rows."""
+    wanted = materialised(wanted, "wanted")
+    few = wanted.count() <= SMALL_ROWS
     grouped = wanted.groupBy("id").agg(F.collect_set(F.struct(*[c for c in wanted.columns if c != "id"])).alias("want"))
     found = docs.select(F.col(id_col).alias("d"), text_column(text_col).alias("text"))
-    return found.join(sized(grouped), F.col("d").eqNullSafe(F.col("id"))).drop("d")
+    grouped = F.broadcast(grouped) if few else grouped
+    return found.join(grouped, F.col("d").eqNullSafe(F.col("id"))).drop("d")
 
 
 def _variants(found: DataFrame, min_chars: int, id_type: str) -> DataFrame:
