@@ -473,7 +473,7 @@ def _watermarks(spark: SparkSession, folder: str) -> DataFrame:
             (kind == 2, F.concat(F.lit('"https://host/'), key, F.lit('"'))),
             (kind == 3, F.lit("Wed, 21 Oct 2015 07:28:00 GMT")),
             (kind == 4, F.concat(F.lit('"token-'), key, F.lit('"'))),
-            (kind == 5, F.substring("text", 1, 40)),
+            (kind == 5, F.col("text")),
         ]
     )
     return table(spark, folder, "documents").select("doc_id", mark.alias("watermark"))
