@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from lakegate.functions.base import case
 from lakegate.functions.rules import sanitize_table_name
-from lakegate.operators import sync
+from lakegate.operators import reports, sync
 from lakegate.operators.catalog import name_collisions as collisions
 from lakegate.operators.catalog import resource_metadata as metadata
 from lakegate.operators.digest import ordered_digest as digest_in_order
@@ -59,30 +59,23 @@ def table_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint(orders, ["o_orderstatus"]).drop("content_digest")
 
 
-@query(
-    "fingerprint_detects",
-    """SELECT true AS same_rows_other_order, false AS one_cell_changed, false AS one_row_twice, false AS other_schema FROM orders LIMIT 1""",
-)
+_SQL_VARIANTS = f"""SELECT v AS variant, count(*) AS row_count, {_sql_lanes("h")} FROM
+    (SELECT v, {_sql_row_digest(["o_orderkey", "o_custkey"])} AS h FROM
+     (SELECT v, o_orderkey, o_custkey + CASE WHEN v = 'one cell' AND o_orderkey = top THEN 1 ELSE 0 END AS o_custkey
+      FROM orders, (VALUES ('as it is'), ('one cell'), ('one row twice')) t(v), (SELECT max(o_orderkey) AS top FROM orders),
+           range(2) r(copy) WHERE copy = 0 OR (v = 'one row twice' AND o_orderkey = top))) GROUP BY v"""
+
+
+@query("fingerprint_detects", _SQL_VARIANTS)
 def fingerprint_detects(spark: SparkSession, folder: str) -> DataFrame:
-    """What the fingerprint must and must not notice, on a whole table."""
+    """A table, the same with one cell changed, and with one row twice, all in another order: one grouped aggregation."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    top = orders.agg(F.max("o_orderkey")).scalar()
-    changed = orders.withColumn(
-        "o_custkey", F.when(F.col("o_orderkey") == top, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
-    )
-    variants = {
-        "same_rows_other_order": orders.orderBy(F.col("o_custkey").desc()),
-        "one_cell_changed": changed,
-        "one_row_twice": orders.unionAll(orders.where(F.col("o_orderkey") == top)),
-        "other_schema": orders.withColumn("o_custkey", F.col("o_custkey").cast("string")),
-    }
-    base = fingerprint(orders).select("content_digest")
-    return base.select(
-        *[
-            (F.col("content_digest") == fingerprint(v).select("content_digest").scalar()).alias(name)
-            for name, v in variants.items()
-        ]
-    )
+    last = F.col("o_orderkey") == orders.agg(F.max("o_orderkey")).scalar()
+    variants = F.array(F.lit("as it is"), F.lit("one cell"), F.lit("one row twice"), F.when(last, F.lit("one row twice")))
+    tagged = orders.select("*", F.explode(F.array_compact(variants)).alias("variant"))
+    changed = F.when((F.col("variant") == "one cell") & last, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    shuffled = tagged.withColumn("o_custkey", changed).repartition("o_custkey")
+    return fingerprint(shuffled, ["variant"]).drop("content_digest")
 
 
 _FAN_IN = 512
@@ -580,6 +573,28 @@ def upgrade_state_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return bad.select("key", "reject_reason")
 
 
+@query(
+    "load_replace",
+    """SELECT c_mktsegment AS segment, count(*) AS row_count, sum(c_custkey)::BIGINT AS key_sum FROM customer WHERE c_custkey % 2 = 0 GROUP BY ALL
+       UNION ALL SELECT 'view', count(*), sum(o_orderkey)::BIGINT FROM orders""",
+)
+def load_replace(spark: SparkSession, folder: str) -> DataFrame:
+    """A table that is loaded twice holds the second load; a view under a checked name is open to SQL."""
+    path = scratch_path(spark, "loads")
+    database = f"loads_{path[-8:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    sinks.load_replace({"_1_customers": customers}, database)
+    sinks.load_replace({"_1_customers": customers.where("c_custkey % 2 = 0")}, database)
+    sinks.register_view(table(spark, folder, "orders"), f"orders_{database}")
+    counted = [F.count(F.lit(1)).alias("row_count")]
+    loaded = spark.table(f"{database}._1_customers").groupBy(F.col("c_mktsegment").alias("segment"))
+    seen = spark.sql(f"SELECT o_orderkey FROM orders_{database}")
+    return loaded.agg(*counted, F.sum("c_custkey").alias("key_sum")).union(
+        seen.agg(F.lit("view").alias("segment"), *counted, F.sum("o_orderkey").alias("key_sum"))
+    )
+
+
 @query(
     "cache_sweep",
     """WITH e AS (SELECT sha256(CAST(event_id AS VARCHAR)) AS digest, event_id, epoch_us(ts) / 1e6 AS fetched,
@@ -668,15 +683,19 @@ def manifest_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return bad.select("key", "reject_reason")
 
 
+_REPORT_SCHEMA = '[["event_type", "string", true], ["event_id", "bigint", true], ["user_id", "bigint", true]]'
+
+
 @query(
     "report_fingerprint",
-    f"""SELECT event_type, count(*) AS row_count, {_sql_lanes("h")} FROM
-        (SELECT event_type, {_sql_row_digest(["event_id", "user_id"])} AS h FROM events) GROUP BY event_type""",
+    f"""SELECT event_type, row_count, sha256(concat_ws('|', sha256('{_REPORT_SCHEMA}'), row_count, lane_0, lane_1, lane_2, lane_3)) AS content_digest FROM
+        (SELECT event_type, count(*) AS row_count, {_sql_lanes("h")} FROM
+         (SELECT event_type, {_sql_row_digest(["event_id", "user_id"])} AS h FROM events) GROUP BY event_type)""",
 )
 def report_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all reports at once, whatever the order of their outcomes."""
     outcomes = table(spark, folder, "events").select("event_type", "event_id", "user_id")
-    return fingerprint(outcomes, ["event_type"]).drop("content_digest")
+    return reports.report_fingerprint(outcomes, ["event_type"])
 
 
 @query("row_digest", f"SELECT o_orderkey, {_sql_row_digest(['o_orderkey', 'priority:text'])} AS digest FROM (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority FROM orders)")

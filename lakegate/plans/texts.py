@@ -381,6 +381,23 @@ def redact_map(spark: SparkSession, folder: str) -> DataFrame:
     return _props(spark, folder).select("event_id", shown.alias("shown"))
 
 
+@query(
+    "redact_map_strict",
+    f"""SELECT event_id, 'k=' || k || ',' || CASE WHEN event_id % 2 = 0 THEN 'X-Auth-Token=***' ELSE 'note=' || v END AS shown, NULL AS error
+        FROM ({_SQL_PROPS}) WHERE event_id % 5 <> 0
+        UNION ALL SELECT event_id, NULL, 'too many entries' FROM events WHERE event_id % 5 = 0""",
+)
+def redact_map_strict(spark: SparkSession, folder: str) -> DataFrame:
+    """Sensitive keys masked, values shown as they are; maps with more than 32 entries are refused."""
+    keys = F.transform(F.sequence(F.lit(0), F.lit(39)), lambda i: F.concat(F.lit("x"), i))
+    many = F.map_from_arrays(keys, F.transform(keys, lambda k: F.lit("v")))
+    entries = F.when(F.col("event_id") % 5 == 0, F.map_concat("props", many)).otherwise(F.col("props"))
+    rows = _props(spark, folder).select("event_id", entries.alias("props"))
+    masked = redact.redact_map_strict("props")
+    shown = F.array_join(F.transform(F.map_entries(masked), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return rows.select("event_id", shown.alias("shown"), redact.strict_map_error("props").alias("error"))
+
+
 @query(
     "redact_json",
     f"""SELECT event_id, '{{"k":' || (props->>'k') || ',"inner":[{{"password":"***","note":"basic ***"}}],"deep":{"[" * 12}"basic ***"{"]" * 12}'
