@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import math
+import re
 import sys
 import types
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -34,12 +39,36 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def per_process(key: str, make: Callable[[], Any]) -> Any:
-    """What ``make`` returns, made once in each Python worker (tasks of one worker share its modules)."""
+def per_process(kind: str, data: bytes, make: Callable[[bytes], Any]) -> Any:
+    """``make(data)``, made once in each Python worker and kept until :func:`release`."""
     store = sys.modules.setdefault("_lakegate_llm_cache", types.ModuleType("_lakegate_llm_cache"))
-    if not hasattr(store, key):
-        setattr(store, key, make())
-    return getattr(store, key)
+    key = (len(data), zlib.crc32(data))
+    if getattr(store, kind, (None,))[0] != key:
+        setattr(store, kind, (key, make(data)))
+    return getattr(store, kind)[1]
+
+
+def release() -> None:
+    """At the end of a task: give back what its worker keeps, as workers outlive tasks and share the executor's memory."""
+    sys.modules.pop("_lakegate_llm_cache", None)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the Arrow batches of its session: texts are far longer than the rows Spark's default expects.
+
+    The bound holds when the plan runs, so it stays in the session; smaller ones that the session has stay as well.
+    """
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 8 << 20)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(re.match(r"-?\d+", conf.get(key)).group())
+        if now <= 0 or now > most:
+            conf.set(key, str(most))
+    return df
 
 
 def arrow_rows(
@@ -50,7 +79,7 @@ def arrow_rows(
     ``rows`` gets the columns of one batch as lists and returns an iterable of tuples in the order of ``schema``.
     Batches are bounded by Spark in rows and bytes.
     """
-    source = df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+    source = small_batches(df).select(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
     target = source.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -63,6 +92,8 @@ def arrow_rows(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(columns_made, arrow, strict=True)], schema=arrow
             )
+            del batch, made, columns_made
+        release()
 
     return source.mapInArrow(run, target)
 

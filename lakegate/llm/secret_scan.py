@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import arrow_rows, per_process, text_column
+from lakegate.llm.common import arrow_rows, per_process, release, small_batches, text_column
 
 # Fixed values.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -105,7 +106,7 @@ def scan(
         for key, text in zip(*columns, strict=True):
             spans, runs = _base(text, text.encode())
             if any(b - a >= min_chars for a, b in runs):
-                encoder = encoder or per_process("encoder", lambda: _encoder(ranks.value))
+                encoder = encoder or per_process("encoder", ranks.value, _encoder)
                 spans = sorted(spans + _random(text, runs, spans, encoder, min_chars, max_chars_per_token))
             yield key, [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans]
 
@@ -123,13 +124,13 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **op
     least, ratio = options.get("min_chars", 20), options.get("max_chars_per_token", 2.2)
 
     @F.pandas_udf("string")
-    def cleaned(texts):
+    def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def clean(text):
             if text is None:
                 return None
             spans, runs = _base(text, text.encode())
             if any(b - a >= least for a, b in runs):
-                encoder = per_process("encoder", lambda: _encoder(ranks.value))
+                encoder = per_process("encoder", ranks.value, _encoder)
                 spans = sorted(spans + _random(text, runs, spans, encoder, least, ratio))
             out, at = [], 0
             for a, _, b in spans:
@@ -138,9 +139,11 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **op
                 at = max(at, b)
             return text if not spans else "".join([*out, text[at:]])
 
-        return texts.map(clean, na_action="ignore")
+        for texts in batches:
+            yield texts.map(clean, na_action="ignore")
+        release()
 
-    return docs.withColumn(text_col, cleaned(F.col(text_col)))
+    return small_batches(docs).withColumn(text_col, cleaned(F.col(text_col)))
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

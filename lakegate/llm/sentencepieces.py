@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import per_process, text_column
+from lakegate.llm.common import per_process, small_batches, text_column
 
 # Fixed values.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -18,9 +19,20 @@ SPACE = "▁"  # how SentencePiece writes a blank
 NORMAL, UNKNOWN, BYTE, UNUSED = 1, 2, 6, 5
 BPE = 2
 
-_CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-GROUP = 1_000_000  # characters of distinct words in one suffix array
-REMEMBERED = 200_000  # words whose pieces a worker remembers
+_CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
+GROUP = 200_000  # characters of distinct words in one suffix array
+SLICE = 1_000_000  # characters of texts that are encoded together
+REMEMBERED = 150_000  # words whose pieces a worker remembers
+
+
+def _words(text: str) -> list[str]:
+    """A text as words that start at blanks, where no piece goes across; the one blank in front is left out of the name."""
+    if not text:
+        return []
+    if "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    chunks = _CHUNK.findall(SPACE + text.replace(" ", SPACE))
+    return [c if c.startswith(SPACE * 2) else c[1:] for c in chunks]
 
 
 class Pieces:
@@ -36,7 +48,8 @@ class Pieces:
             raise ValueError("the model must be BPE with byte fallback")
         if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces:
             raise ValueError("the model must not normalise texts")
-        self.prefix = SPACE if norm.add_dummy_prefix else ""
+        if not norm.add_dummy_prefix:
+            raise ValueError("the model must put a blank in front of texts")
         self.names = [p.piece for p in proto.pieces]
         kinds = [p.type for p in proto.pieces]
         self.score = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
@@ -71,7 +84,12 @@ class Pieces:
         self.high = np.ascontiguousarray(ends).view(kind).ravel()
         self.known_pairs = np.zeros(0, np.int64)
         self.pair_fits = np.zeros(0, bool)
-        self.words: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew: word -> number, and the ids of word i at ``ids[first[i] : first[i + 1]]``."""
+        self.words: dict[str, int] = {}
+        self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def codes(self, text: str) -> np.ndarray:
         return self.code[np.frombuffer(text.encode("utf-32-le"), "<u4")]
@@ -127,12 +145,12 @@ class Pieces:
     def suffixes(self, codes: np.ndarray) -> np.ndarray:
         """Positions in the order of the ``width`` characters from there on, by prefix doubling."""
         rank, step = codes.astype(np.int64), 1
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         while step < self.width:
             behind = np.zeros_like(rank)
             behind[:-step] = rank[step:] if step < len(rank) else 0
             key = rank * (int(rank.max()) + 1) + behind
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             ranked = key[order]
             rank = np.empty_like(key)
             rank[order] = np.concatenate([np.zeros(1, np.int64), np.cumsum(ranked[1:] != ranked[:-1])])
@@ -152,11 +170,12 @@ class Pieces:
         return order[np.repeat(lo, counts) + inside], np.repeat(self.searched, counts)
 
     def learn(self, words: list[str]) -> None:
-        """Encode distinct words: match all pieces, then relax the edges by the position they end at.
+        """Encode distinct words, as :func:`_words` names them: match all pieces, then relax the edges by where they end.
 
         The last piece of a prefix's encoding is the one piece ending there that stays apart from the last piece of the
         prefix before it; so positions are settled from left to right, all words side by side.
         """
+        named, words = words, [w if w.startswith(SPACE) else SPACE + w for w in words]
         joined = "\0".join(words) + "\0"
         codes = self.codes(joined)
         sizes = np.array([len(w) for w in words])
@@ -169,7 +188,7 @@ class Pieces:
         word = np.repeat(np.arange(len(words)), sizes + 1)
         end = at + self.length[piece]
         rounds = end - starts[word[at]]
-        order = np.argsort(rounds, kind="stable")
+        order = np.argsort(rounds.astype(np.uint16) if len(rounds) and rounds.max() < 1 << 16 else rounds, kind="stable")
         at, piece, end, rounds = at[order], piece[order], end[order], rounds[order]
         last = np.full(len(codes) + 1, -1, np.int64)
         last[starts] = no_id + 1
@@ -177,27 +196,42 @@ class Pieces:
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             good = self.fits(last[at[a:b]] * (no_id + 2) + piece[a:b])
             last[end[a:b][good]] = piece[a:b][good]
-        text = joined
-        for w, start, size in zip(words, starts.tolist(), sizes.tolist(), strict=True):
-            ids, place = [], start + size
-            while place > start:
-                token = int(last[place])
-                if token == no_id:
-                    ids.extend(self.bytes_id[x] for x in reversed(text[place - 1].encode()))
-                    place -= 1
-                else:
-                    ids.append(token)
-                    place -= int(self.length[token])
-            self.words[w] = np.array(ids[::-1], np.int32)
+        self._remember(named, joined, last, starts, starts + sizes)
+
+    def _remember(self, words: list[str], joined: str, last: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Walk back from the ends of all words side by side, and keep their ids."""
+        no_id = len(self.names)
+        owner, place, walked = np.arange(len(words)), ends.copy(), []
+        while len(owner):
+            token = last[place]
+            strange = np.flatnonzero(token == no_id)
+            walked.append((owner, token))
+            if len(strange):  # an unknown character is its bytes, the last one first
+                keep = np.ones(len(token), bool)
+                keep[strange] = False
+                walked[-1] = (owner[keep], token[keep])
+                raw = [joined[x - 1].encode()[::-1] for x in place[strange].tolist()]
+                for k in range(max(map(len, raw))):
+                    some = [(w, self.bytes_id[r[k]]) for w, r in zip(owner[strange].tolist(), raw, strict=True) if k < len(r)]
+                    walked.append(tuple(np.array(column, np.int64) for column in zip(*some, strict=True)))
+            place = place - self.length[token]
+            open_ = place > starts[owner]
+            owner, place = owner[open_], place[open_]
+        owners, tokens = (np.concatenate(column)[::-1] for column in zip(*walked, strict=True))
+        order = np.argsort(owners, kind="stable")
+        counts = np.bincount(owners, minlength=len(words))
+        base = len(self.words)
+        self.words.update((w, base + n) for n, w in enumerate(words))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
+        self.ids = np.concatenate([self.ids, tokens[order].astype(np.int32)])
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of all texts of a batch; distinct words that are new are encoded together."""
         if len(self.words) > REMEMBERED:
-            self.words.clear()
-        none = np.zeros(0, np.int32)
-        chunks = [_CHUNK.findall(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
+            self.forget()
+        chunks = [_words(t) for t in texts]
         group, size = [], 0
-        for word in {w for chunk in chunks for w in chunk} - self.words.keys():
+        for word in set(chain.from_iterable(chunks)).difference(self.words):
             if size + len(word) > GROUP and group:
                 self.learn(group)
                 group, size = [], 0
@@ -205,12 +239,16 @@ class Pieces:
             size += len(word) + 1
         if group:
             self.learn(group)
-        get = self.words.__getitem__
-        return [np.concatenate([none, *map(get, chunk)]) for chunk in chunks]
+        total = sum(map(len, chunks))
+        numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(chunks)), np.int64, total)
+        first, counts = self.first[numbers], self.first[numbers + 1] - self.first[numbers]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(first - ends[:-1], counts)]
+        bounds = ends[np.concatenate([[0], np.cumsum([len(c) for c in chunks])]).astype(np.int64)]
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
     def decode(self, ids: list[int]) -> str:
-        raw = b"".join(map(self.plain.__getitem__, ids)).decode("utf-8", "replace")
-        return raw.removeprefix(" ") if self.prefix else raw
+        return b"".join(map(self.plain.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
@@ -227,13 +265,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     data = docs.sparkSession.sparkContext.broadcast(open(model, "rb").read())  # a model file: below 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = per_process("pieces", lambda: Pieces(data.value))
+        pieces = per_process("pieces", data.value, Pieces)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             at = 0
             while at < len(texts):  # slices bound the memory of a batch's ids
                 end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) < 4 * GROUP):
+                while end < len(texts) and (end == at or size + len(texts[end]) < SLICE):
                     size += len(texts[end])
                     end += 1
                 found = pieces.encode_batch(texts[at:end])
@@ -243,7 +281,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
                 at = end
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), text_column(text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return small_batches(docs).select(F.col(id_col), text_column(text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -255,7 +293,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "decoded", m
 
     @F.pandas_udf("string")
     def decoded(lists):
-        pieces = per_process("pieces", lambda: Pieces(data.value))
+        pieces = per_process("pieces", data.value, Pieces)
         return lists.map(lambda ids: pieces.decode(ids.tolist()), na_action="ignore")
 
-    return encoded.withColumn(out_col, decoded(F.col(ids_col)))
+    return small_batches(encoded).withColumn(out_col, decoded(F.col(ids_col)))
