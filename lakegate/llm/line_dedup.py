@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import SMALL_ROWS, arrow_rows, free_names, materialised, sized, text_column
+from lakegate.llm.common import SMALL_ROWS, arrow_rows, free_names, materialised, sized, small_batches, text_column
 
 BASE = 0x9E3779B97F4A7C15
 LINE = ("id", "no", "h1")  # names a line: its document, its number there, the hash of its form
@@ -254,5 +254,5 @@ def dedup(
 
         return texts.combine(numbers, one)
 
-    joined = docs.join(by_doc, F.col(id_col).eqNullSafe(F.col(owner)), "left")
+    joined = small_batches(docs).join(by_doc, F.col(id_col).eqNullSafe(F.col(owner)), "left")
     return joined.withColumn(text_col, rebuilt(F.col(text_col), F.col(keep_col))).select(*docs.columns)

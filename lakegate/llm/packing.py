@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import ceil_div, text_column
+from lakegate.llm.common import ceil_div, release, small_batches, text_column
 
 # Fixed values.
 END = b"\xff"  # closes each document; no byte of UTF-8 text
@@ -141,5 +141,7 @@ def pack(
                 yield pa.RecordBatch.from_pylist(made, schema=arrow)
                 made = []
         yield pa.RecordBatch.from_pylist(made, schema=arrow)
+        del rows, made
+        release()
 
-    return dealt.mapInArrow(run, target)
+    return small_batches(dealt).mapInArrow(run, target)

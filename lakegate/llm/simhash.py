@@ -75,7 +75,9 @@ def links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits must be 0 to 3: of two segments one must differ by at most one bit")
-    members = distinct.select(F.lit(0).cast("long").alias("key"), F.lit(0).alias("low"), "fp")
+    # Each row becomes BITS rows, so short rows are dealt to all tasks first.
+    partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = distinct.repartition(partitions, "fp").select(F.lit(0).cast("long").alias("key"), F.lit(0).alias("low"), "fp")
     width, found = BITS, []
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     while True:

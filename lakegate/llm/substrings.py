@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import arrow_rows, materialised, sized, text_column
+from lakegate.llm.common import arrow_rows, materialised, sized, small_batches, text_column
 
 LOOKUP_ROWS = 4_000_000  # rows of 17 bytes that scans may look up in memory; beyond, joins shuffle the anchors
 GROUP_WINDOWS = 50_000  # windows of one anchor that one task sorts; beyond, their strings are counted one by one
@@ -127,7 +127,7 @@ def _counted(texts: DataFrame, anchors: Anchors, only: np.ndarray | None, with_w
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     names = ["anchor", *(["window"] if with_window else []), "n"]
-    return texts.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return small_batches(texts).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _windows(texts: DataFrame, anchors: Anchors, lookup_rows: int) -> DataFrame:
@@ -247,7 +247,7 @@ def _found(texts: DataFrame, anchors: Anchors, kinds: DataFrame, lookup_rows: in
                     out = []
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    return texts.mapInArrow(run, schema)
+    return small_batches(texts).mapInArrow(run, schema)
 
 
 class Columns:
@@ -341,7 +341,7 @@ def _compared(found: DataFrame, anchors: Anchors) -> DataFrame:
             if waiting:
                 yield ranges(waiting, folder)
 
-    return dealt.mapInArrow(run, "tk long, n_bytes int, start int, end int")
+    return small_batches(dealt).mapInArrow(run, "tk long, n_bytes int, start int, end int")
 
 
 def dedup(
