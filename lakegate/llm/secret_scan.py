@@ -28,7 +28,8 @@ _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _TAGGED = re.compile(r"(?:md5|sha1|sha224|sha256|sha384|sha512)[-_=:]", re.IGNORECASE)
 _SEGMENT = re.compile(r"[+/_=-]+")
-_IDENTIFIER = re.compile(r"[A-Z]?[a-z]+\d{0,4}|[A-Z]+\d{0,4}|\d+|v\d+[a-z]?|(?:[A-Z]?[a-z]+){2,}\d{0,4}")
+# Each character fits one part of an alternative only: time grows with the length, not with the ways to cut it.
+_IDENTIFIER = re.compile(r"[a-z]*(?:[A-Z][a-z]+)*\d{0,4}|[A-Z]+\d{0,4}|\d+|v\d+[a-z]?")
 
 
 def _encoder(ranks: bytes):
