@@ -30,6 +30,7 @@ _TAGGED = re.compile(r"(?:md5|sha1|sha224|sha256|sha384|sha512)[-_=:]", re.IGNOR
 _SEGMENT = re.compile(r"[+/_=-]+")
 # Each character fits one part of an alternative only: time grows with the length, not with the ways to cut it.
 _IDENTIFIER = re.compile(r"[a-z]*(?:[A-Z][a-z]+)*\d{0,4}|[A-Z]+\d{0,4}|\d+|v\d+[a-z]?")
+_VERSION = re.compile(r"v\d+[a-z]?")
 
 
 def _encoder(ranks: bytes):
@@ -39,13 +40,29 @@ def _encoder(ranks: bytes):
     return tiktoken.Encoding("secrets", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
 
 
-def is_known(candidate: str) -> bool:
+def _tokens(text: str, encoder) -> int:
+    """Tokens of a text. Long ones are encoded in slices, which bounds the encoder's time; slices cost a token more at most."""
+    return sum(len(encoder.encode_ordinary(text[k : k + 512])) for k in range(0, len(text), 512))
+
+
+def _plain(segment: str, encoder, ratio: float) -> bool:
+    """Numbers, versions, and words that are one token or that the vocabulary compresses."""
+    if not _IDENTIFIER.fullmatch(segment):
+        return False
+    letters = segment.rstrip("0123456789")
+    if len(letters) < 2 or _VERSION.fullmatch(segment):
+        return True
+    tokens = _tokens(letters, encoder)
+    return tokens == 1 or len(letters) >= ratio * tokens
+
+
+def is_known(candidate: str, encoder, ratio: float) -> bool:
     """Digests, UUIDs, numbers and identifiers put together from plain segments: long, but no secrets."""
     if _UUID.fullmatch(candidate) or _TAGGED.match(candidate):
         return True
     if _ALL_HEX.fullmatch(candidate):
         return len(candidate) in DIGEST_LENGTHS or candidate.isdigit()
-    return all(_IDENTIFIER.fullmatch(s) for s in _SEGMENT.split(candidate) if s)
+    return all(_plain(s, encoder, ratio) for s in _SEGMENT.split(candidate) if s)
 
 
 def _base(text: str, raw: bytes) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
@@ -63,7 +80,7 @@ def _base(text: str, raw: bytes) -> tuple[list[tuple[int, int, int]], list[tuple
 
 
 def _random(text: str, runs, base, encoder, min_chars: int, ratio: float) -> list[tuple[int, int, int]]:
-    """Runs outside base spans with letters and digits, not known, of few characters a token."""
+    """Runs outside base spans, not known, of few characters a token."""
     found, i = [], 0
     for a, b in runs:
         if b - a < min_chars:
@@ -73,11 +90,7 @@ def _random(text: str, runs, base, encoder, min_chars: int, ratio: float) -> lis
         if any(s < b and e > a for s, _, e in base[i : i + 64]):
             continue
         run = text[a:b]
-        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)) or is_known(run):
-            continue
-        # Long runs are encoded in slices, which bounds the encoder's time; slices cost a token more at most.
-        tokens = sum(len(encoder.encode_ordinary(run[k : k + 512])) for k in range(0, len(run), 512))
-        if len(run) < ratio * tokens:
+        if len(run) < ratio * _tokens(run, encoder) and not is_known(run, encoder, ratio):
             found.append((a, 3, b))
     return found
 
@@ -87,14 +100,14 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
     vocabulary: str = VOCABULARY,
-    min_chars: int = 20,
+    min_chars: int = 16,
     max_chars_per_token: float = 2.2,
 ) -> DataFrame:
     """One row per row of ``docs``: its secrets as spans (kind, start, end) in code points, ends exclusive.
 
-    A run of ``min_chars`` or more of ``[0-9A-Za-z+/_=-]`` with letters and digits is random when the vocabulary gets
-    fewer than ``max_chars_per_token`` characters into a token, unless it is a digest, a UUID, a number, an identifier
-    of plain segments, or meets a base span. Everything happens inside one row: no shuffle, any skew is harmless.
+    A run of ``min_chars`` or more (never under 16) of ``[0-9A-Za-z+/_=-]`` is random when the vocabulary gets fewer than
+    ``max_chars_per_token`` characters into a token, unless it is a digest, a UUID, a number, an identifier of plain
+    segments, or meets a base span. Letters are plain if they are one token or reach that many characters a token. Everything happens inside one row: no shuffle, any skew is harmless.
 
     Null ids pass through; null texts count as empty and give no span; repeated rows give repeated rows; an empty table
     gives an empty one; other columns are not read. Result: the id, ``spans`` array of structs ordered by start, then
@@ -122,7 +135,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **op
     Texts without a span, null ones too, stay as they are. Columns pass through whatever their names.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(open(options.get("vocabulary", VOCABULARY), "rb").read())
-    least, ratio = options.get("min_chars", 20), options.get("max_chars_per_token", 2.2)
+    least, ratio = options.get("min_chars", 16), options.get("max_chars_per_token", 2.2)
 
     @F.pandas_udf("string")
     def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -82,3 +82,28 @@ def test_long_words_with_digits_take_no_time():
     code = "from lakegate.llm.secret_scan import _IDENTIFIER as i; print([bool(i.fullmatch('a' * 60 + d)) for d in ('2024', '20240')])"
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=60, check=True)
     assert done.stdout.split("\n")[0] == "[True, False]"
+
+
+def test_letters_alone_and_short_runs_are_found(spark):
+    rng = random.Random(1)
+    made = [
+        "".join(rng.choices(alphabet, k=k))
+        for alphabet, lengths in (
+            (string.ascii_letters, (20, 24, 32, 40)),
+            (string.ascii_lowercase, (20, 24, 32, 40)),
+            (string.ascii_uppercase, (20, 24, 32, 40)),
+            (string.ascii_letters + string.digits, (16, 17, 18, 19)),
+        )
+        for k in lengths * 25
+    ]
+    plain = [
+        "to_be_or_not_to_be", "CONFIGURATION_SETTINGS_MAX", "internationalizations", "unterscheidungsmerkmal", "wissenschaftlichen",
+        "misunderstandings", "1234567890123456", "2024-01-01_2024-12-31", "v1/users/v2/items/3", "sha1-utf8-x-int64-get2",
+    ]
+    rows = [(i, f"see {s} here") for i, s in enumerate(made)] + [(1000 + i, f"see {s} here") for i, s in enumerate(plain)]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(documents(spark, rows)).collect()}
+    hit = [i for i, s in enumerate(made) if [(x["start"], x["end"], x["kind"]) for x in got[i]] == [(4, 4 + len(s), "random")]]
+    assert len(hit) >= 392
+    assert not [(rows[i - 1000 + len(made)], x) for i in got for x in got[i] if i >= 1000 and x["kind"] == "random"]
+    left = {r.doc_id: r.text for r in secret_scan.redact(documents(spark, rows)).collect()}
+    assert all(left[i] == "see [SECRET] here" for i in hit)
