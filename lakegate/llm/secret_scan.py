@@ -24,10 +24,13 @@ _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a run of 18 characters at least; shorter runs hold no longer match
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"[0-9A-Za-z+/_=-]{16,}")  # holds every hexadecimal match and every random candidate
-_UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-_TAGGED = re.compile(r"(?:md5|sha1|sha224|sha256|sha384|sha512)[-_=:]", re.IGNORECASE)
-_SEGMENT = re.compile(r"[+/_=-]+")
+_BASE64 = {"md5": "{22}(?:==)?", "sha1": "{27}=?", "sha224": "{38}(?:==)?", "sha256": "{43}=?", "sha384": "{64}", "sha512": "{86}(?:==)?"}
+_DIGESTS = "|".join(f"(?i:{name})[-_=][0-9A-Za-z+/_-]{length}" for name, length in _BASE64.items())  # tagged, in base64
+_UUID = r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+_WHOLE = re.compile(rf"(?<![0-9A-Za-z])(?:{_DIGESTS}|{_UUID})(?![0-9A-Za-z])")  # known, separators and all
+_SEGMENT = re.compile(rf"{_WHOLE.pattern}|[0-9A-Za-z]+")
+_PADDING = re.compile(r"={1,2}(?![0-9A-Za-z=])")
 # Each character fits one part of an alternative only: time grows with the length, not with the ways to cut it.
 _IDENTIFIER = re.compile(r"[a-z]*(?:[A-Z][a-z]+)*\d{0,4}|[A-Z]+\d{0,4}|\d+|v\d+[a-z]?")
 _VERSION = re.compile(r"v\d+[a-z]?")
@@ -56,13 +59,11 @@ def _plain(segment: str, encoder, ratio: float) -> bool:
     return tokens == 1 or len(letters) >= ratio * tokens
 
 
-def is_known(candidate: str, encoder, ratio: float) -> bool:
-    """Digests, UUIDs, numbers and identifiers put together from plain segments: long, but no secrets."""
-    if _UUID.fullmatch(candidate) or _TAGGED.match(candidate):
+def _known(segment: str, encoder, ratio: float) -> bool:
+    """Digests, UUIDs, numbers and plain words: long, but no secrets."""
+    if _WHOLE.fullmatch(segment) or (_ALL_HEX.fullmatch(segment) and len(segment) in DIGEST_LENGTHS):
         return True
-    if _ALL_HEX.fullmatch(candidate):
-        return len(candidate) in DIGEST_LENGTHS or candidate.isdigit()
-    return all(_plain(s, encoder, ratio) for s in _SEGMENT.split(candidate) if s)
+    return _plain(segment, encoder, ratio)
 
 
 def _base(text: str, raw: bytes) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
@@ -79,19 +80,76 @@ def _base(text: str, raw: bytes) -> tuple[list[tuple[int, int, int]], list[tuple
     return sorted(spans), runs
 
 
+def _pieces(text: str, a: int, b: int, covered: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What spans (in order, apart) leave of a run: neighbouring segments that no span holds as a whole."""
+    if not covered:
+        yield a, b
+        return
+    start, end, i = -1, a, 0
+    for m in _SEGMENT.finditer(text, a, b):
+        while i < len(covered) and covered[i][1] < m.end():
+            i += 1
+        if i < len(covered) and covered[i][0] <= m.start():
+            if start >= 0:
+                yield start, end
+            start = -1
+        else:
+            start, end = m.start() if start < 0 else start, m.end()
+    if start >= 0:
+        yield start, end
+
+
+def _judged(text: str, a: int, b: int, encoder, ratio: float) -> Iterator[tuple[int, int]]:
+    """The piece, if it is random as a whole, else its random segments; neighbours are one string.
+
+    Up to two separators, or a known segment of up to two characters, may stand inside such a string: these lie below the
+    threshold too (a token has a character at least), so the string does.
+    """
+    segments = [(m.start(), m.end(), _known(m.group(), encoder, ratio)) for m in _SEGMENT.finditer(text, a, b)]
+    if all(known for _, _, known in segments):
+        return
+    if b - a < ratio * _tokens(text[a:b], encoder):
+        yield a, b
+        return
+    start = end = last = -1  # the string so far; the end of what may still stand inside it
+    for s, e, known in segments:
+        random = not known and e - s < ratio * _tokens(text[s:e], encoder)
+        if start >= 0 and (s - last > 2 or not (random or (known and e - s <= 2))):
+            yield start, end
+            start = -1
+        if random:
+            start, end = s if start < 0 else start, e
+        last = e
+    if start >= 0:
+        yield start, end
+
+
 def _random(text: str, runs, base, encoder, min_chars: int, ratio: float) -> list[tuple[int, int, int]]:
-    """Runs outside base spans, not known, of few characters a token."""
+    """Random strings of the runs, as far as base spans do not hold them."""
+    united: list[tuple[int, int]] = []
+    for a, _, b in base:
+        if united and a <= united[-1][1]:
+            united[-1] = (united[-1][0], max(b, united[-1][1]))
+        else:
+            united.append((a, b))
     found, i = [], 0
     for a, b in runs:
         if b - a < min_chars:
             continue
-        while i < len(base) and base[i][2] <= a:
+        while i < len(united) and united[i][1] <= a:
             i += 1
-        if any(s < b and e > a for s, _, e in base[i : i + 64]):
-            continue
-        run = text[a:b]
-        if len(run) < ratio * _tokens(run, encoder) and not is_known(run, encoder, ratio):
-            found.append((a, 3, b))
+        k = i
+        while k < len(united) and united[k][0] < b:
+            k += 1
+        for x, y in _pieces(text, a, b, united[i:k]):
+            if y - x < min_chars:
+                continue
+            for s, e in _judged(text, x, y, encoder, ratio):
+                padded = _PADDING.match(text, e, b)
+                e = padded.end() if padded else e
+                if e - s >= min_chars:
+                    found.append((s, 3, e))
+        i = max(i, k - 1)
     return found
 
 
@@ -106,8 +164,10 @@ def scan(
     """One row per row of ``docs``: its secrets as spans (kind, start, end) in code points, ends exclusive.
 
     A run of ``min_chars`` or more (never under 16) of ``[0-9A-Za-z+/_=-]`` is random when the vocabulary gets fewer than
-    ``max_chars_per_token`` characters into a token, unless it is a digest, a UUID, a number, an identifier of plain
-    segments, or meets a base span. Letters are plain if they are one token or reach that many characters a token. Everything happens inside one row: no shuffle, any skew is harmless.
+    ``max_chars_per_token`` characters into a token, unless all its segments between separators are known: digests, UUIDs,
+    numbers, plain words. Letters are plain if they are one token or reach that many characters a token. Of a run that
+    reaches them as a whole, those neighbouring segments are random that do not, with ``min_chars`` in all. What base
+    spans hold is left out first. Everything happens inside one row: no shuffle, any skew is harmless.
 
     Null ids pass through; null texts count as empty and give no span; repeated rows give repeated rows; an empty table
     gives an empty one; other columns are not read. Result: the id, ``spans`` array of structs ordered by start, then

@@ -107,3 +107,28 @@ def test_letters_alone_and_short_runs_are_found(spark):
     assert not [(rows[i - 1000 + len(made)], x) for i in got for x in got[i] if i >= 1000 and x["kind"] == "random"]
     left = {r.doc_id: r.text for r in secret_scan.redact(documents(spark, rows)).collect()}
     assert all(left[i] == "see [SECRET] here" for i in hit)
+
+
+def test_random_strings_behind_paths_and_key_names_are_found(spark):
+    rng = random.Random(2)
+    before = ["src/main/resources/application/production/", "customer-account-verification-link/", "com/services/reset/confirmation/"]
+    before += ["CUSTOMER_VERIFICATION_KEY=", "----------------------------------------", "md5_checksums_of_all_customers/", "0123456789abcdef/"]
+    after = ["", "/internationalization/configuration/overview", "==", "/ab"]
+    alphabet = string.ascii_letters + string.digits
+    rows, where = [], {}
+    for i in range(280):
+        b, value, a = before[i % 7], "".join(rng.choices(alphabet, k=rng.randint(16, 40))), after[i % 4]
+        rows.append((i, f"see {b}{value}{a} here"))
+        where[i] = 4 + len(b), 4 + len(b) + len(value)
+    plain = [
+        "src/main/resources/123e4567-e89b-12d3-a456-426614174000/index", "objects/ab/0123456789ABCDEF0123456789ABCDEF01234567/blob",
+        "dist/integrity/sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", "0123456789abcdef0123456789abcdef/internationalization",
+        "src/main/v1beta2/us/east-1a/resources/application/configuration", "snake_case_name_with_4_parts/of_a_b_c_to_be_or_not",
+    ]
+    rows += [(1000 + i, f"see {s} here") for i, s in enumerate(plain)]
+    got = {r.doc_id: [s for s in r.spans if s["kind"] == "random"] for r in secret_scan.scan(documents(spark, rows)).collect()}
+    assert sum(any(s["start"] <= a and s["end"] >= e for s in got[i]) for i, (a, e) in where.items()) >= 277
+    assert not [(i, s) for i in got for s in got[i] if i >= 1000]
+    # Where the run is plain as a whole, nothing but the string goes; else all of the run does.
+    short = [i for i, (a, e) in where.items() if i % 28 == 0 and e - a < 24]
+    assert short and all([(s["start"], s["end"]) for s in got[i]] == [where[i]] for i in short)
