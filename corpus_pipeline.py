@@ -28,8 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Lines equal to or one edit away from an earlier one leave the texts; every document stays."""
-    return _recounted(line_dedup.dedup(docs))
+    """Lines of 20 characters equal to or one edit away from an earlier one leave the texts; every document stays."""
+    return _recounted(line_dedup.dedup(docs, min_chars=20))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -60,15 +60,16 @@ def _forms(text: str, least: int) -> Iterator[tuple[int, str]]:
             yield number, form
 
 
-def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, no, h1, h2, keys) of every line that takes part."""
+def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_edit_chars: int) -> DataFrame:
+    """(id, no, h1, h2, keys) of every line that takes part; the keys are null if only equal lines are looked for."""
 
     def rows(columns: list[list]) -> Iterator[tuple]:
         from xxhash import xxh64_intdigest
 
         for key, text in zip(*columns, strict=True):
             for number, form in _forms(text, min_chars):
-                yield key, number, hash_of(form), _signed(xxh64_intdigest(form.encode())), *_keys(form)
+                keys = _keys(form) if len(form) >= min_edit_chars else [None] * 4
+                yield key, number, hash_of(form), _signed(xxh64_intdigest(form.encode())), *keys
 
     kind = docs.schema[id_col].dataType.simpleString()
     return arrow_rows(
@@ -214,14 +215,19 @@ def _same(prefix: str, suffix: str, other_prefix: str, other_suffix: str) -> Col
 
 
 def dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1, min_chars: int = 20
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_edits: int = 1,
+    min_chars: int = 1,
+    min_edit_chars: int = 20,
 ) -> DataFrame:
     """``docs`` with the removed lines taken out of ``text_col``; all rows and columns stay.
 
     Lines are cut at newlines and compared with A-Z in lower case and white space as single blanks; lines with fewer
-    than ``min_chars`` characters in that form always stay. Of the others a line goes if an earlier line (by id, then
-    line number) is equal, or, with ``max_edits`` 1, is one inserted, deleted or replaced character away, be that line
-    itself kept or not. Equal lines are reduced to their first place before anything is shuffled by line, so a line that
+    than ``min_chars`` characters in that form always stay; 1 leaves out the blank ones alone. Of the others a line goes if
+    an earlier line (by id, then line number) is equal, or, with ``max_edits`` 1 and both of ``min_edit_chars`` characters
+    or more, is one inserted, deleted or replaced character away, be that line itself kept or not. Equal lines are reduced to their first place before anything is shuffled by line, so a line that
     a third of all documents hold is one row a task.
 
     Null ids come last in order and are one document; null texts stay null; rows under one id are one document given
@@ -229,13 +235,15 @@ def dedup(
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits must be 0 or 1")
-    found = lines(docs, id_col, text_col, min_chars)
+    min_edit_chars = max(min_edit_chars, min_chars)
+    found = lines(docs, id_col, text_col, min_chars, min_edit_chars)
     keys = ["p0", "s0", "p1", "s1"]
     firsts = found.groupBy("h1", "h2").agg(F.min(_place()).alias("place"), *[F.min(k).alias(k) for k in keys])
     firsts = materialised(firsts.select(*[F.col(f"place.{c}").alias(c) for c in LINE], *keys), "firsts")
     kept = firsts.select(*LINE)
     if max_edits:
-        gone = sized(near_lines(docs, firsts, id_col, text_col, min_chars))
+        long = firsts.where("p0 IS NOT NULL")
+        gone = sized(near_lines(docs, long, id_col, text_col, min_edit_chars))
         gone = gone.select(*[F.col(c).alias(f"_{c}") for c in LINE])
         kept = kept.join(gone, _same("", "", "_", ""), "left_anti")
     owner, keep_col = free_names(docs, "kept_id", "kept_lines")

@@ -69,7 +69,7 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("before"))
-    return line_dedup.dedup(docs, max_edits=1, min_chars=20).select(
+    return line_dedup.dedup(docs, max_edits=1, min_chars=1, min_edit_chars=20).select(
         "doc_id",
         F.size(F.split("before", "\n")).alias("n_lines_before"),
         F.length("text").alias("n_chars_kept"),

@@ -93,3 +93,30 @@ def test_empty_table_and_bounds(spark):
     assert line_dedup.dedup(documents(spark, [])).collect() == []
     with pytest.raises(ValueError):
         line_dedup.dedup(documents(spark, []), max_edits=2)
+
+
+def equal_or_near(rows, least):
+    """Brute force: all lines that are not blank take part in equality, those of ``least`` characters in edits."""
+    equal = brute_force(rows, 0, 1)
+    near = [None if t is None else t.split("\n") for _, t in brute_force(rows, 1, least)]
+    out = []
+    for (key, text), lines in zip(equal, near, strict=True):
+        if text is None:
+            out.append((key, None))
+            continue
+        form = lambda x: b" ".join(x.encode().lower().split()).decode()
+        left = {form(x) for x in lines}
+        out.append((key, "\n".join(x for x in text.split("\n") if len(form(x)) < least or form(x) in left)))
+    return out
+
+
+def test_short_lines_that_repeat_go(spark):
+    rng = random.Random(6)
+    short = ["}", "é", "  Yes. ", "yes.", "YES.", "the last line", "the last lines", "", " \t", "nineteen characters", "twenty characters ok"]
+    long = [prose(i, 9) for i in range(8)]
+    pool = [*short, *long, *[edited(x, rng) for x in long]]
+    rows = awkward([(i, "\n".join(rng.choices(pool, k=rng.randint(1, 8)))) for i in rng.sample(range(100, 900), 60)])
+    got = sort([(r.doc_id, r.text) for r in line_dedup.dedup(documents(spark, rows)).collect()])
+    assert got == sort(equal_or_near(rows, 20))
+    kept = [line for _, t in got if t is not None for line in t.split("\n")]
+    assert kept.count("}") == 1 and kept.count("the last line") == kept.count("the last lines") == 1 and kept.count("") > 5
