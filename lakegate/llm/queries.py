@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.llm import license_scan, line_dedup, packing, quality, quotes, secret_scan, sentencepieces, simhash, substrings, topk
+from lakegate.llm import (
+    license_scan,
+    line_dedup,
+    packing,
+    quality,
+    quotes,
+    secret_scan,
+    sentencepieces,
+    simhash,
+    substrings,
+    token_counts,
+    topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +115,10 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.dedup(_table(spark, folder, "documents"), min_bytes=200)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
