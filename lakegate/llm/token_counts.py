@@ -33,13 +33,13 @@ def frequent_words(docs: DataFrame, text_col: str = "text", words: int = 16_384,
     do not feel: it decides where a length is looked up, not what it is.
     """
     word = docs.select(F.explode(F.split(F.col(text_col).cast("string"), " ")).alias("word"))
-    word = word.union(docs.sparkSession.range(1).select(F.lit("the")))  # a sketch of nothing cannot be merged
     short = word.where(F.length("word").between(1, LONGEST_FREQUENT))
     sketches = short.groupBy((F.spark_partition_id() % GROUPS).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("sketch")
     )
-    best = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {words})").alias("best"))
-    return [row["item"] for row in best.first()["best"] or []]
+    best = F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {words})").alias("best")
+    merged = sketches.groupBy(F.lit("all")).agg(best).first()  # grouped, as partitions without a sketch have none to merge
+    return [row["item"] for row in merged["best"]] if merged else []
 
 
 def _tokenizer(definition: bytes):

@@ -57,6 +57,11 @@ def test_small_tables_and_caches_change_no_count(spark):
 def test_frequent_words_are_found_over_all_texts(spark):
     docs = documents(spark, [(i, f"often word{i} often seldom{i}") for i in range(400)]).repartition(7)
     assert token_counts.frequent_words(docs, words=1) == ["often"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # partitions without a sketch
+    try:
+        assert token_counts.frequent_words(docs.where("doc_id < 3").repartition(40), words=1) == ["often"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_empty_tables_and_other_models(spark):
