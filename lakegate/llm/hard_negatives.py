@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,8 +13,9 @@ from pyspark.sql import functions as F
 from lakegate.llm.common import ceil_div, materialised
 from lakegate.llm.topk import quantised
 
-ROWS_AT_ONCE = 64  # anchors whose partial scores are filled together
+ROWS_AT_ONCE = 128  # anchors whose partial scores are filled together
 SLACK = 1 + 1e-9  # norms are rounded; bounds must not be
+POSTINGS_AT_ONCE = 2048  # rows whose postings are gone through while their partial scores are near
 COMPONENTS_AT_ONCE = 1 << 20  # components of the vectors of one block
 POSITIVE_STEPS = (0.75, 0.625, 0.5625, 0.5, 0.0)  # from the least possible score to the largest: cosines 1/2 ... 0, then all
 NEGATIVE_STEPS = (0.5, 0.25, 0.0)  # from the lower end of a window to the upper one
@@ -38,36 +41,49 @@ def _suffix_norms(rows: np.ndarray) -> np.ndarray:
     return np.sqrt(squares)
 
 
-def _joined(anchors: np.ndarray, least: np.ndarray, rows: np.ndarray, norms: np.ndarray, a_norms: np.ndarray):
-    """(anchor, row, score) of all pairs that reach the anchor's threshold: positions in both blocks, ordered by anchor.
+def _joined(
+    anchors: np.ndarray,
+    least: np.ndarray,
+    rows: np.ndarray,
+    norms: np.ndarray,
+    a_norms: np.ndarray,
+    wanted: Callable[[np.ndarray, np.ndarray], np.ndarray],
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, row, score) of all wanted pairs that reach the anchor's threshold: positions in both blocks.
 
     The index holds each row's dimensions up to the place from which on its norm times the anchors' largest cannot reach
-    the lowest threshold: a pair that meets in no indexed dimension cannot either. Partial scores that the norms left over
-    cannot lift to the threshold are pruned; the rest is added for the others.
+    the lowest threshold: a pair that meets in no indexed dimension cannot either. Rows are ordered by that place, so the
+    postings of a dimension are the first rows; they are gone through in blocks, dimension by dimension, each adding its
+    weighted postings to the partial scores. Partial scores that the norms left over cannot lift to the threshold are
+    pruned; the rest is added for the others.
     """
+    width = rows.shape[1]
     covered = norms * (a_norms.max(axis=0) * SLACK) < least.min()
-    cut = np.where(covered.any(axis=1), covered.argmax(axis=1), rows.shape[1])
-    scores = np.zeros((len(anchors), len(rows)), np.int64)
-    for term in range(rows.shape[1]):
-        weights = anchors[:, term]
-        if not weights.any():
-            continue
-        posting = np.flatnonzero((cut > term) & (rows[:, term] != 0))
-        if len(posting) == len(rows):
-            scores += weights[:, None] * rows[:, term]
-        elif len(posting):
-            scores[:, posting] += weights[:, None] * rows[posting, term]
-    room = a_norms[:, cut] * norms[np.arange(len(rows)), cut] * SLACK
-    anchor, row = np.nonzero(scores + room >= least[:, None])
-    exact = scores[anchor, row]
-    open_pairs = np.flatnonzero(cut[row] < rows.shape[1])
-    at_once = max(1, COMPONENTS_AT_ONCE // 2 // rows.shape[1])
-    for at in range(0, len(open_pairs), at_once):
-        pair = open_pairs[at : at + at_once]
-        left = np.arange(rows.shape[1]) >= cut[row[pair]][:, None]
-        exact[pair] += (anchors[anchor[pair]] * np.where(left, rows[row[pair]], 0)).sum(axis=1)
-    reached = exact >= least[anchor]
-    return anchor[reached], row[reached], exact[reached]
+    cut = np.where(covered.any(axis=1), covered.argmax(axis=1), width)
+    order = np.argsort(-cut, kind="stable")
+    by_term = np.ascontiguousarray(anchors.T)
+    found: list[tuple[np.ndarray, ...]] = []
+    for at in range(0, int(np.count_nonzero(cut)) if least.min() > 0 else len(cut), POSTINGS_AT_ONCE):
+        block = order[at : at + POSTINGS_AT_ONCE]
+        place, last = cut[block], int(cut[block[0]])
+        postings = rows[block, :last].T * (np.arange(last)[:, None] < place)
+        scores = np.einsum("ta,tr->ar", by_term[:last], postings)
+        left = norms[block, place] * SLACK
+        anchor, row = np.nonzero(scores >= least[:, None] - a_norms.max(axis=0)[place] * left)
+        near = wanted(anchor, block[row]) & (scores[anchor, row] + a_norms[anchor, place[row]] * left[row] >= least[anchor])
+        anchor, row = anchor[near], row[near]
+        exact = scores[anchor, row]
+        least_place = int(place.min())
+        rest = rows[block, least_place:] * (np.arange(least_place, width) >= place[:, None])  # what the index leaves out
+        at_once = COMPONENTS_AT_ONCE // max(width - least_place, 1) + 1
+        for start in range(0, len(anchor) if least_place < width else 0, at_once):
+            a, r = anchor[start : start + at_once], row[start : start + at_once]
+            exact[start : start + at_once] += np.einsum("pt,pt->p", anchors[a, least_place:], rest[r])
+        reached = exact >= least[anchor]
+        found.append((anchor[reached], block[row[reached]], exact[reached].astype(np.int64)))
+    if not found:
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
 
 
 def _cell(table: pa.Table, same: bool, k: int) -> pa.Table:
@@ -87,15 +103,17 @@ def _cell(table: pa.Table, same: bool, k: int) -> pa.Table:
         dims = np.argsort(-(matrix.astype(np.float64) ** 2).sum(axis=0), kind="stable")
         anchors, matrix = anchors[:, dims], matrix[:, dims]
         norms, a_norms = _suffix_norms(matrix), _suffix_norms(anchors)
+        if norms.max() * a_norms.max() < 2**52:  # no partial score is larger, so floats add up without rounding
+            anchors, matrix = anchors.astype(np.float64), matrix.astype(np.float64)
         a_id, a_part, a_label = (np.asarray(one(asked, c)) for c in ("id", "part", "label"))
         r_id, r_part, r_label, copies = (np.asarray(one(rows, c)) for c in ("id", "part", "label", "n"))
         for at in range(0, len(order), ROWS_AT_ONCE):
             chunk = order[at : at + ROWS_AT_ONCE]
-            anchor, row, score = _joined(anchors[chunk], least[chunk], matrix, norms, a_norms[chunk])
+            wanted = lambda a, r, chunk=chunk: (r_label[r] == a_label[chunk[a]]) == same
+            anchor, row, score = _joined(anchors[chunk], least[chunk], matrix, norms, a_norms[chunk], wanted)
             anchor = chunk[anchor]
             n = copies[row] - ((r_id[row] == a_id[anchor]) & (r_part[row] == a_part[anchor]))  # an anchor is not its own
-            fits = ((r_label[row] == a_label[anchor]) == same) & (n > 0)
-            anchor, row, score, n = anchor[fits], row[fits], score[fits], n[fits]
+            anchor, row, score, n = anchor[n > 0], row[n > 0], score[n > 0], n[n > 0]
             best = np.lexsort((row, -score, anchor))
             anchor, row, score, n = anchor[best], row[best], score[best], n[best]
             for a in np.unique(anchor):
@@ -118,7 +136,8 @@ def _search(rows: DataFrame, anchors: DataFrame, total: int, same: bool, k: int,
     are done; the others come again with a lower threshold, at last the window's lower end.
     """
     done: list[DataFrame] = []
-    blocks = ceil_div(total, at_once[0])
+    busy = min(ceil_div(total, 1024), rows.sparkSession.sparkContext.defaultParallelism)
+    blocks = max(ceil_div(total, at_once[0]), busy)
     key = ["anchor", "part", "slot"]
     for step in steps:
         asked = anchors.count()
@@ -182,8 +201,8 @@ def mine(
     vector_col: str = "embedding",
     label_col: str | Column = "label",
     scale: int = 256,
-    candidates_at_once: int = 4096,
-    anchors_at_once: int = 4096,
+    candidates_at_once: int = 16_384,
+    anchors_at_once: int = 16_384,
 ) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score, positive_rank): hard negatives.
 

@@ -88,10 +88,13 @@ def test_the_index_leaves_dimensions_out_and_loses_no_pair():
     anchors = rows[:20]
     norms, a_norms = hard_negatives._suffix_norms(rows), hard_negatives._suffix_norms(anchors)
     scores = anchors @ rows.T
-    for least in (60_000, 20_000, 1, 0, -5_000):
-        limits = np.full(20, least) + np.arange(20)
-        a, r, s = hard_negatives._joined(anchors, limits, rows, norms, a_norms)
-        wanted = np.nonzero(scores >= limits[:, None])
-        assert a.tolist() == wanted[0].tolist() and r.tolist() == wanted[1].tolist() and s.tolist() == scores[wanted].tolist()
+    for kind in (np.int64, np.float64):
+        for least in (60_000, 20_000, 1, 0, -5_000):
+            limits = np.full(20, least) + np.arange(20)
+            even = lambda a, r: (a + r) % 2 == 0
+            found = hard_negatives._joined(anchors.astype(kind), limits, rows.astype(kind), norms, a_norms, even)
+            a, r = np.nonzero(scores >= limits[:, None])
+            a, r = a[even(a, r)], r[even(a, r)]
+            assert sorted(zip(*map(np.ndarray.tolist, found), strict=True)) == sorted(zip(a.tolist(), r.tolist(), scores[a, r].tolist(), strict=True))
     covered = norms * a_norms.max(axis=0) < 60_000
     assert (covered.argmax(axis=1) < 16).any() and covered[:, 0].any()  # suffixes left out; rows not indexed at all
