@@ -89,17 +89,21 @@ def lane_totals() -> list[Column]:
     return [total(lane) for lane in range(len(LANES))]
 
 
-def table_fingerprint(df: DataFrame, by: Sequence[str] = (), as_stored: bool = False) -> DataFrame:
+def table_fingerprint(
+    df: DataFrame, by: Sequence[str] = (), as_stored: bool = False, body: Sequence[str] | None = None
+) -> DataFrame:
     """Row count and order-free content digest of a frame, or of every group of it.
 
     Duplicates count, order does not, and any changed cell changes the digest. The schema takes part through its
-    own digest; ``as_stored`` describes it as Parquet gives it back, with every column nullable. One pass, no
-    collected rows, no shuffle beyond one short row per task and group.
+    own digest; ``as_stored`` describes it as Parquet gives it back, with every column nullable. ``body`` names the
+    columns that make up the content, if that is not all: the digest then says nothing of the others, not even of ``by``.
+    One pass, no collected rows, no shuffle beyond one short row per task and group.
     """
-    seen = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]) if as_stored else df.schema
+    content = df.schema if body is None else T.StructType([df.schema[c] for c in body])
+    seen = T.StructType([T.StructField(f.name, f.dataType) for f in content.fields]) if as_stored else content
     described = schema_fingerprint(seen)
-    body = T.StructType([f for f in df.schema.fields if f.name not in by])
-    hashed = df.select(*[F.col(quoted(c)) for c in by], row_digest(body).alias("_h"))
+    hashed_fields = T.StructType([f for f in content.fields if body is not None or f.name not in by])
+    hashed = df.select(*[F.col(quoted(c)) for c in by], row_digest(hashed_fields).alias("_h"))
     summed = hashed.groupBy(*[F.col(quoted(c)) for c in by]).agg(
         F.count(F.lit(1)).alias("row_count"), *[c.alias(n) for n, c in lane_sums(F.col("_h")).items()]
     )

@@ -144,7 +144,7 @@ def conditional_merge(current: DataFrame, proposals: DataFrame) -> tuple[DataFra
 
     ``proposals``: the columns of ``current`` plus ``expected`` (NULL: the key must be absent), ``order`` and
     ``deleted``. Of several proposals for one key the first in order wins and the others conflict; two with the same key
-    and order have no first one, so they raise. Proposals are first
+    and order have no first one, so they raise, as does a proposal without a key. Proposals are first
     reduced per (key, expected version), on the map side, and what is left meets the state on both columns: a key with
     most of the proposals is never gathered in one task.
     Returns the new state and the outcome of every proposal.
@@ -177,10 +177,12 @@ def conditional_merge(current: DataFrame, proposals: DataFrame) -> tuple[DataFra
 
 
 def _with_unique_order(proposals: DataFrame) -> DataFrame:
-    """``proposals``, raising where two of them share key and order (counted per key and order, so no key is hot)."""
+    """``proposals``, raising at one without a key and where two share key and order (counted per both: no key is hot)."""
     counted = proposals.groupBy(F.col("key").alias("_k"), F.col("order").alias("_o")).agg(F.count(F.lit(1)).alias("_n"))
-    message = F.concat(F.lit("proposals without an order of their own for key "), F.coalesce("_k", F.lit("NULL")))
-    checked = F.when(F.col("_n") == 1, F.col("order")).otherwise(F.raise_error(message).cast(proposals.schema["order"].dataType))
+    shared = F.concat(F.lit("proposals without an order of their own for key "), F.col("_k").cast("string"))
+    message = F.coalesce(shared, F.lit("a proposal without a key"))
+    good = F.col("_k").isNotNull() & (F.col("_n") == 1)
+    checked = F.when(good, F.col("order")).otherwise(F.raise_error(message).cast(proposals.schema["order"].dataType))
     same = F.col("key").eqNullSafe(F.col("_k")) & F.col("order").eqNullSafe(F.col("_o"))
     joined = proposals.join(counted, same).withColumn("order", checked)
     return joined.select(*proposals.columns)

@@ -74,13 +74,84 @@ class RenameColumns:
 _EXACT_INTEGERS = {"float": 2**24, "double": 2**53}
 
 
-def _fails(value: Column, target: str, reason: str) -> Column:
-    message = F.concat(F.lit(f"unsafe cast to {target} ({reason}): "), value.cast("string"))
-    return F.raise_error(message).cast(target)
+_EXACT_DIGITS = {"float": 6, "double": 15}  # significant digits that always survive
+_DATE = r"^\s*[+-]?\d{4,7}(?:-\d{1,2}){0,2}"
+
+
+def _digits(number: Column) -> Column:
+    """The significant digits of a number's text, without sign, point, exponent and outer zeros."""
+    mantissa = F.regexp_replace(F.split(number, "[eE]")[0], "[^0-9]", "")
+    return F.regexp_replace(mantissa, "^0+|0+$", "")
+
+
+def _kept_text(value: Column, tried: Column, target: T.DataType) -> Column:
+    """Whether a text that can be read as ``target`` holds nothing that the value read from it lacks."""
+    name = target.simpleString()
+    if isinstance(target, T.DateType):
+        return value.rlike(rf"{_DATE}\s*$")
+    if isinstance(target, (T.TimestampType, T.TimestampNTZType)):
+        time = r"[0-9:.]*" if isinstance(target, T.TimestampNTZType) else r".*"  # a wall clock has no zone
+        return value.rlike(rf"{_DATE}(?:[ T]{time})?\s*$") & ~value.rlike(r"\.\d{6}\d*[1-9]")
+    if name in _EXACT_DIGITS:
+        digits = _digits(value)
+        same = (F.length(digits) <= _EXACT_DIGITS[name]) | (digits == _digits(tried.cast("string")))
+        bounded = (tried != 0) & (F.abs(tried) < F.lit(float("inf")).cast(target))
+        return (digits == "") | (same & bounded)
+    if isinstance(target, T.DecimalType):
+        wide = value.try_cast("decimal(38,18)")
+        short = value.rlike(r"^\s*[+-]?\d*\.?\d{0,9}[eE][+-]?\d\s*$")
+        fraction = F.regexp_extract(value, r"\.(\d*?)0*\s*$", 1)
+        return F.when(value.rlike("[eE]"), short & tried.try_cast("decimal(38,18)").eqNullSafe(wide)).otherwise(
+            F.length(fraction) <= target.scale
+        )
+    return F.lit(True)
+
+
+def _scalar_cast(value: Column, source: T.DataType, target: T.DataType) -> tuple[Column | None, Column, str]:
+    """(whether nothing is lost, the cast value, what would be lost) for plain types; NULL always passes.
+
+    The first is None where Spark's own cast loses nothing, or raises.
+    """
+    name = target.simpleString()
+    plain, tried = value.cast(target), value.try_cast(target)
+    if isinstance(source, T.StringType) and not isinstance(target, (T.StringType, T.BinaryType)):
+        return value.isNull() | (tried.isNotNull() & _kept_text(value, tried, target)), tried, "loss"
+    if isinstance(source, T.BinaryType) and isinstance(target, T.StringType):
+        return value.isNull() | F.is_valid_utf8(plain), plain, "no UTF-8"
+    if isinstance(source, T.IntegralType) and isinstance(target, T.FractionalType) and name in _EXACT_INTEGERS:
+        bound = _EXACT_INTEGERS[name]
+        return value.isNull() | value.between(-bound, bound), plain, "precision"
+    if isinstance(source, T.NumericType) and isinstance(target, T.NumericType):
+        if isinstance(source, T.IntegralType) and not isinstance(target, (T.IntegralType, T.DecimalType)):
+            return None, plain, ""
+        kept = tried.isNotNull()
+        if not (isinstance(source, T.IntegralType) and isinstance(target, T.IntegralType)):
+            kept = kept & (tried.cast(source).eqNullSafe(value) | F.isnan(value.cast("double")))
+            if isinstance(target, T.IntegralType):
+                kept = kept & ~F.isnan(value.cast("double"))
+        return value.isNull() | kept, tried, "loss"
+    if isinstance(source, T.NumericType) and isinstance(target, T.BooleanType):
+        return value.isNull() | value.isin(0, 1), plain, "loss"
+    if isinstance(source, T.NumericType) and isinstance(target, T.TimestampType):
+        return value.isNull() | (tried.isNotNull() & tried.try_cast(source).eqNullSafe(value)), tried, "no such instant"
+    if isinstance(source, T.TimestampType) and isinstance(target, T.NumericType):
+        return value.isNull() | plain.cast(T.TimestampType()).eqNullSafe(value), plain, "fraction of a second"
+    if isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(target, T.DateType):
+        return plain.cast(source).eqNullSafe(value), plain, "time of day"
+    return None, plain, ""
+
+
+def _shown(value: Column, source: T.DataType) -> Column:
+    return F.hex(value) if isinstance(source, T.BinaryType) else value.cast("string")
 
 
 def safe_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Cast that raises instead of losing anything: overflow, fractions, precision, unreadable text."""
+    """Cast that raises instead of losing anything: overflow, fractions, precision, zones, unreadable text.
+
+    Texts must hold just what their target can: no time of day for a date, no zone for a wall clock, nothing finer than a
+    microsecond, no digits beyond a decimal's scale or a float's precision, nothing too large or too small for a float.
+    Bytes must be UTF-8 to become text; numbers must be seconds that Spark can tell as an instant.
+    """
     name = target.simpleString()
     if source == target:
         return value
@@ -103,31 +174,34 @@ def safe_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
             for a, b in zip(source.fields, target.fields, strict=True)
         ]
         return F.when(value.isNotNull(), F.struct(*members))
-    plain = value.cast(target)
-    tried = value.try_cast(target)
-    if isinstance(source, T.IntegralType) and isinstance(target, T.FractionalType) and name in _EXACT_INTEGERS:
-        bound = _EXACT_INTEGERS[name]
-        return F.when(value.isNull() | value.between(-bound, bound), plain).otherwise(_fails(value, name, "precision"))
-    lossy = isinstance(source, (T.FractionalType, T.StringType)) or (
-        isinstance(source, T.IntegralType) and isinstance(target, (T.IntegralType, T.DecimalType, T.BooleanType))
-    )
-    if lossy and isinstance(target, T.NumericType):
-        numeric_source = isinstance(source, T.NumericType)
-        kept = tried.isNotNull()
-        if numeric_source and not (isinstance(source, T.IntegralType) and isinstance(target, T.IntegralType)):
-            kept = kept & (tried.cast(source).eqNullSafe(value) | F.isnan(value.cast("double")))
-            if isinstance(target, T.IntegralType):
-                kept = kept & ~F.isnan(value.cast("double"))
-        return F.when(value.isNull(), F.lit(None).cast(target)).when(kept, tried).otherwise(_fails(value, name, "loss"))
-    if isinstance(source, T.NumericType) and isinstance(target, T.BooleanType):
-        return F.when(value.isNull() | value.isin(0, 1), plain).otherwise(_fails(value, name, "loss"))
-    if isinstance(source, T.TimestampType) and isinstance(target, T.NumericType):
-        seconds = plain.cast(T.TimestampType()).eqNullSafe(value)
-        return F.when(value.isNull() | seconds, plain).otherwise(_fails(value, name, "fraction of a second"))
-    if isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(target, T.DateType):
-        midnight = plain.cast(source).eqNullSafe(value)
-        return F.when(midnight, plain).otherwise(_fails(value, name, "time of day"))
-    return plain
+    kept, cast, reason = _scalar_cast(value, source, target)
+    if kept is None:
+        return cast
+    message = F.concat(F.lit(f"unsafe cast to {name} ({reason}): "), _shown(value, source))
+    return F.when(kept, cast).otherwise(F.raise_error(message).cast(target))
+
+
+def cast_rejects(df: DataFrame, schema: T.StructType, key: Sequence[str]) -> DataFrame:
+    """The cells that :class:`CastSchema` would stop at, one row each: ``key`` columns, column_name, target, reason, value.
+
+    All of them are found in one pass without a shuffle, so a load can be cleared of them first. Plain types only.
+    """
+    _require(df, [*key, *schema.names], "columns")
+    checks = []
+    for f in schema.fields:
+        source = df.schema[f.name].dataType
+        if any(isinstance(t, (T.ArrayType, T.MapType, T.StructType)) for t in (source, f.dataType)):
+            raise TransformFailure(f"{f.name!r} is nested; only plain columns can be checked cell by cell")
+        kept, _, reason = _scalar_cast(F.col(quoted(f.name)), source, f.dataType)
+        if source != f.dataType and kept is not None:
+            cell = [f.name, f.dataType.simpleString(), reason]
+            shown = _shown(F.col(quoted(f.name)), source)
+            fault = F.struct(*[F.lit(c).alias(n) for c, n in zip(cell, ("column_name", "target", "reason"), strict=True)], shown.alias("value"))
+            checks.append(F.when(~kept, fault))
+    if not checks:
+        nothing = [F.lit("").alias(n) for n in ("column_name", "target", "reason", "value")]
+        return df.select(*[F.col(quoted(k)) for k in key], *nothing).where(F.lit(False))
+    return df.select(*[F.col(quoted(k)) for k in key], F.inline(F.array_compact(F.array(*checks))))
 
 
 @dataclass(frozen=True)

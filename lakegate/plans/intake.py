@@ -21,6 +21,8 @@ from lakegate.operators.transforms import (
     NormalizeTimestamps,
     RenameColumns,
     SelectColumns,
+    advisory_schema,
+    cast_rejects,
     compose,
     json_lines,
     preview,
@@ -106,6 +108,70 @@ def t_cast_nested(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_LOSSY = {  # column: (target type, reason, every so manieth row is bad, bad text, good text)
+    "to_date": ("date", "loss", 3, "2024-01-0{d} 10:30:00", "2024-01-0{d}"),
+    "to_wall": ("timestamp_ntz", "loss", 4, "2024-01-0{d} 10:30:00+05:00", "2024-01-0{d} 10:30:00"),
+    "to_micros": ("timestamp", "loss", 5, "2024-01-0{d} 10:30:00.123456789Z", "2024-01-0{d} 10:30:00.123456Z"),
+    "to_decimal": ("decimal(5,2)", "loss", 6, "{d}.239", "{d}.2300"),
+    "to_double": ("double", "loss", 7, "1234567890123456789{d}", "{d}.125e3"),
+    "to_finite": ("double", "loss", 8, "{d}e400", "{d}e300"),
+}
+
+
+@query(
+    "t_cast_lossy",
+    "WITH d AS (SELECT o_orderkey, o_orderkey % 8 + 1 AS d FROM orders) "
+    + " UNION ALL ".join(
+        f"SELECT o_orderkey, '{name}' AS column_name, '{kind}' AS target, '{reason}' AS reason, replace('{bad}', '{{d}}', CAST(d AS VARCHAR)) AS value"
+        f" FROM d WHERE o_orderkey % {every} = 0"
+        for name, (kind, reason, every, bad, _) in _LOSSY.items()
+    )
+    + """ UNION ALL SELECT o_orderkey, 'to_text', 'string', 'no UTF-8', 'FF' || hex(CAST(d AS VARCHAR)) FROM d WHERE o_orderkey % 9 = 0
+          UNION ALL SELECT o_orderkey, 'to_instant', 'timestamp', 'no such instant', CAST(9223372036854775807 - d AS VARCHAR) FROM d WHERE o_orderkey % 10 = 0
+          UNION ALL SELECT NULL, 'kept', 'rows', 'nothing lost', CAST(count(*) AS VARCHAR) FROM d WHERE NOT (o_orderkey % 3 = 0 OR o_orderkey % 4 = 0
+            OR o_orderkey % 5 = 0 OR o_orderkey % 7 = 0)""",
+)
+def t_cast_lossy(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight kinds of cells that no cast may take; the rows without any go through the cast itself."""
+    key = F.col("o_orderkey")
+    digit = (key % 8 + 1).cast("string")
+
+    def text(template: str):
+        return F.replace(F.lit(template), F.lit("{d}"), digit)
+
+    cells = {name: F.when(key % every == 0, text(bad)).otherwise(text(good)) for name, (_, _, every, bad, good) in _LOSSY.items()}
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey",
+        *[c.alias(n) for n, c in cells.items()],
+        F.when(key % 9 == 0, F.concat(F.unhex(F.lit("FF")), digit.cast("binary"))).otherwise(F.encode(digit, "UTF-8")).alias("to_text"),
+        F.when(key % 10 == 0, F.lit(2**63 - 1) - (key % 8 + 1)).otherwise(key).alias("to_instant"),
+    )
+    kinds = {name: kind for name, (kind, *_) in _LOSSY.items()} | {"to_text": "string", "to_instant": "timestamp"}
+    target = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in kinds.items()))
+    rejects = cast_rejects(rows, target, ["o_orderkey"])
+    clean = rows.join(rejects.select("o_orderkey").distinct(), "o_orderkey", "left_anti").drop("o_orderkey")
+    kept = CastSchema(target)(clean).agg(F.count_if(F.forall(F.array(*[F.col(c).isNotNull() for c in kinds]), lambda x: x)).alias("n"))
+    label = [F.lit(v).alias(n) for n, v in (("column_name", "kept"), ("target", "rows"), ("reason", "nothing lost"))]
+    return rejects.union(kept.select(F.lit(None).cast("bigint").alias("o_orderkey"), *label, F.col("n").cast("string").alias("value")))
+
+
+@query(
+    "advisory_schema",
+    """SELECT c_custkey, CAST(c_acctbal AS VARCHAR) || '|' || CAST(c_nationkey AS VARCHAR) || '|' || c_name || '|' || c_mktsegment AS shown,
+              'c_custkey bigint, c_acctbal double, c_nationkey bigint, c_name string, c_mktsegment string' AS described FROM customer""",
+)
+def advisory(spark: SparkSession, folder: str) -> DataFrame:
+    """A portal's column descriptions, in any case and with an unknown type, applied to a CSV export."""
+    path = scratch_path(spark, "advised")
+    kinds = {"c_custkey": "Integer", "c_acctbal": "NUMBER", "c_nationkey": "int", "c_name": "text", "c_mktsegment": "geo_point"}
+    customers = table(spark, folder, "customer").select(*kinds)
+    customers.write.option("header", True).csv(path)
+    schema = advisory_schema([{"name": n, "type": t, "nullable": n != "c_custkey"} for n, t in kinds.items()])
+    described = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    shown = F.concat_ws("|", *[F.col(c).cast("string") for c in schema.names[1:]])
+    return readers.read_csv(spark, path, schema).select("c_custkey", shown.alias("shown"), F.lit(described).alias("described"))
+
+
 @query(
     "t_normalize_ts_zone",
     """SELECT event_id, epoch_us(timezone('America/New_York', ts)) AS epoch_micros,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ from lakegate.operators.digest import LANES, row_digest
 from lakegate.operators.transforms import compose, Filter, SelectColumns
 from lakegate.plans.intake import HEADLINE_STEPS
 from lakegate.plans.registry import query, table
-from lakegate.session import scratch_path
+from lakegate.session import remove_path, scratch_path
 from lakegate.sources import files, runs, sinks
 from lakegate.sources.state import StateTable
 
@@ -295,6 +297,87 @@ def sync_run(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
+_ODD_KEYS = ("a/b", "p:q", "50%", "a=b", "..", "x y", "é", "r 8")
+
+
+@query(
+    "sync_run_repair",
+    """WITH r AS (SELECT l_suppkey % 8 AS resource FROM lineitem)
+       SELECT 1 AS run, 'written' AS action, count(DISTINCT resource) AS resources, count(*) AS row_count FROM r
+       UNION ALL SELECT 2, CASE WHEN resource IN (0, 2) THEN 'written' ELSE 'unchanged' END, count(DISTINCT resource), count(*) FROM r GROUP BY 2
+       UNION ALL SELECT 3, 'resumed', count(DISTINCT resource), count(*) FROM r
+       UNION ALL SELECT 4, 'opened', count(DISTINCT resource), count(*) FROM r
+       UNION ALL SELECT 5, 'decoded', count(DISTINCT resource), count(*) FROM r""",
+)
+def sync_run_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Resources with odd keys. One artifact gets lost and one damaged: the next run writes these two and no other; one
+    that resumes leaves changed content alone. Every manifest row can be opened, and survives as an envelope."""
+    base = scratch_path(spark, "run")
+    name = F.element_at(F.array(*[F.lit(k) for k in _ODD_KEYS]), (F.col("l_suppkey") % 8 + 1).cast("int"))
+    lines = table(spark, folder, "lineitem").select(name.alias("resource"), "l_orderkey", "l_linenumber", "l_quantity")
+    state = StateTable(spark, f"{base}/state", T.StructType.fromDDL(runs.STATE_SCHEMA))
+    parts = []
+
+    def run(rows: DataFrame, resume: bool = False) -> None:
+        done = runs.sync_run(rows, "resource", f"{base}/out", f"{base}/manifest", state, "file:///lines", resume)
+        total = [F.count(F.lit(1)).alias("resources"), F.sum("row_count").alias("row_count")]
+        parts.append(done.groupBy(F.lit(len(parts) + 1).alias("run"), "action").agg(*total))
+
+    run(lines)
+    newest = sinks.latest_artifacts(spark, f"{base}/manifest").where(F.col("resource_identity").isin("a/b", "50%"))
+    lost, damaged = (r["uri"] for r in newest.orderBy(F.desc("resource_identity")).collect())
+    remove_path(spark, lost)
+    spark.read.parquet(damaged).limit(1).write.mode("append").parquet(damaged)
+    run(lines)
+    run(lines.withColumn("l_quantity", F.col("l_quantity") + 1), resume=True)
+    newest = sinks.latest_artifacts(spark, f"{base}/manifest")
+    opened = spark.read.parquet(*[r["uri"] for r in newest.select("uri").collect()])
+    decoded, _ = sinks.decode_manifest(sinks.encode_manifest(newest), "document")
+    named = decoded.join(newest.select("uri", "row_count"), "uri")
+    parts.append(opened.agg(F.lit(4).alias("run"), F.lit("opened").alias("action"), F.count_distinct("resource"), F.count(F.lit(1))))
+    parts.append(named.agg(F.lit(5).alias("run"), F.lit("decoded").alias("action"), F.count(F.lit(1)), F.sum("row_count")))
+    return reduce(DataFrame.union, parts)
+
+
+class _Interrupted(StateTable):
+    """A state that lets some swaps through and then breaks off, as if the driver had died."""
+
+    def swap(self, rows: DataFrame, expected: int) -> int:
+        if expected == 1:
+            raise ConnectionError("the driver is gone")
+        return super().swap(rows, expected)
+
+
+@query(
+    "resume_run",
+    """SELECT CAST(l_linenumber % 3 AS VARCHAR) AS key, 'resumed' AS action, count(*) AS row_count, true AS rest_only,
+              sum(l_orderkey)::BIGINT AS key_sum, count(DISTINCT (l_orderkey, l_linenumber)) AS keys FROM lineitem GROUP BY 1""",
+)
+def resume_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A run over three Parquet resources breaks off behind its first wave of row groups; the next one reads the rest."""
+    base = scratch_path(spark, "resume")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    for key in range(3):
+        part = lines.where(F.col("l_linenumber") % 3 == key).repartition(2)
+        part.write.option("parquet.block.size", 64 * 1024).parquet(f"{base}/in/{key}")
+    where = (f"{base}/in", f"{base}/staged", f"{base}/out", f"{base}/manifest")
+    schema = T.StructType.fromDDL(runs.STATE_SCHEMA)
+    try:
+        runs.resume_run(spark, *where, _Interrupted(spark, f"{base}/state", schema), lines.schema, groups_at_once=2)
+    except ConnectionError:
+        pass
+    state = StateTable(spark, f"{base}/state", schema)
+    done = runs.resume_run(spark, *where, state, lines.schema, groups_at_once=2)
+    groups = runs.parquet_resources(spark, f"{base}/in")[0].select("key", "groups")
+    newest = sinks.latest_artifacts(spark, f"{base}/manifest")
+    rows = spark.read.parquet(*[r["uri"] for r in newest.select("uri").collect()])
+    found = rows.groupBy((F.col("l_linenumber") % 3).cast("string").alias("key")).agg(
+        F.sum("l_orderkey").alias("key_sum"), F.count_distinct("l_orderkey", "l_linenumber").alias("keys")
+    )
+    rest = F.col("groups_read") == F.col("groups") - F.least(F.col("groups"), F.lit(2))
+    return done.join(groups, "key").join(found, "key").select("key", "action", "row_count", rest.alias("rest_only"), "key_sum", "keys")
+
+
 # --- sync state, derived from orders and customers -------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from lakegate.plans.governance import _SQL_METRICS, _SQL_NULL_USERS, _SQL_RUNS,
 from lakegate.plans.registry import query, table
 from lakegate.plans.texts import _SQL_PROPS
 from lakegate.errors import IntakeError
-from lakegate.session import remove_path, scratch_path
+from lakegate.session import materialised, remove_path, scratch_path
 from lakegate.streaming import jobs
 
 
@@ -73,6 +73,50 @@ def sync_stream_broken(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "sync_stream_long",
+    """SELECT 'batch 7 is altered in the staging folder' AS refused, count(*) AS row_count, sum(o_orderkey)::BIGINT AS key_sum,
+              2::BIGINT AS published FROM orders""",
+)
+def sync_stream_long(spark: SparkSession, folder: str) -> DataFrame:
+    """Twelve batches, of which the checkpoint keeps the last two: the ledger knows them all, and names an altered one.
+
+    What is published once is not published again with the batches that come later.
+    """
+    base, kept = scratch_path(spark, "sync"), "spark.sql.streaming.minBatchesToRetain"
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    orders.where("o_orderkey % 7 <> 0").repartition(12).write.parquet(f"{base}/in")
+    where = (f"{base}/out", "orders", f"{base}/in", f"{base}/manifest")
+    folders = (f"{base}/staged", f"{base}/checkpoint")
+    usual = spark.conf.get(kept)
+
+    def run() -> None:
+        stream = jobs.file_stream(spark, f"{base}/in", orders.schema, files_per_batch=1)
+        jobs.sync_stream(stream, *folders).awaitTermination()
+
+    try:
+        spark.conf.set(kept, "2")
+        run()
+        batch = f"{folders[0]}/{jobs.STAGED}=7"
+        rows = materialised(spark.read.parquet(batch), "batch")
+        rows.withColumn("o_orderstatus", F.lower("o_orderstatus")).write.mode("overwrite").parquet(batch)
+        try:
+            jobs.publish_staged(spark, *folders, *where)
+            refused = "nothing"
+        except IntakeError as problem:
+            refused = str(problem)
+        rows.write.mode("overwrite").parquet(batch)
+        uris = [jobs.publish_staged(spark, *folders, *where).uri]
+        orders.where("o_orderkey % 7 = 0").repartition(2).write.mode("append").parquet(f"{base}/in")
+        run()
+        uris.append(jobs.publish_staged(spark, *folders, *where).uri)
+    finally:
+        spark.conf.set(kept, usual)
+    whole = spark.read.parquet(*uris).agg(F.count(F.lit(1)).alias("row_count"), F.sum("o_orderkey").alias("key_sum"))
+    published = spark.read.parquet(f"{base}/manifest").agg(F.count_distinct("uri").alias("published"))
+    return whole.select(F.lit(refused).alias("refused"), "row_count", "key_sum", published.scalar().alias("published"))
+
+
 @query(
     "event_metrics_stream",
     f"""WITH {_SQL_METRICS}, w AS (SELECT max(ts) - INTERVAL '10 minutes' AS mark FROM events)

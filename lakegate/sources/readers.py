@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lakegate.errors import DecodeError
+from lakegate.errors import DecodeError, IntakeError
 from lakegate.functions.base import let
 from lakegate.functions.rules import geometry_wkt
 from lakegate.operators.unify import unify
@@ -175,30 +175,45 @@ def read_pending_row_groups(
     Row groups are fixed by the file, whatever the session's split size, so a run stopped inside a file goes on exactly
     there. Only short rows, one per row group, are joined and dealt out; each task then reads its row groups itself, the
     wanted columns of them, so no data is shuffled and finished row groups are not read. Partition columns in folder
-    names are part of ``file_path`` alone. Record a row group as completed with the rows written from it.
+    names are part of ``file_path`` alone. Record a row group as completed with the rows written from it. A completed
+    row group that its file does not have raises; files that are gone do not count.
     """
     schema = spark.read.parquet(*_some_file(spark, path)).schema
     if columns is not None:
         schema = T.StructType([schema[c] for c in columns])
-    names = schema.names
-    target = T.StructType([*schema.fields, T.StructField("file_path", T.StringType()), T.StructField("row_group", T.IntegerType())])
     done = completed.select("file_path", "row_group").distinct()
-    pending = row_groups(spark, path).join(done, ["file_path", "row_group"], "left_anti")
-    arrow = to_arrow_schema(target)
+    listed = row_groups(spark, path).select("file_path", "row_group")
+    known = listed.groupBy("file_path").agg(F.max("row_group").alias("last"))
+    beyond = done.join(known, "file_path").where("row_group < 0 OR row_group > last").first()
+    if beyond is not None:
+        place = f"{beyond['row_group']} in {beyond['file_path']!r}, whose last one is {beyond['last']}"
+        raise IntakeError(f"no such row group: {place}")
+    pending = listed.join(done, ["file_path", "row_group"], "left_anti")
+    return rows_of_row_groups(pending, schema, ["file_path", "row_group"])
+
+
+def rows_of_row_groups(groups: DataFrame, schema: T.StructType, own: Sequence[str] | None = None) -> DataFrame:
+    """The rows of Parquet row groups, each with further columns of its row in ``groups`` (all but its place by default).
+
+    ``groups``: file_path, row_group and further columns, one short row per row group; these are what is dealt out.
+    """
+    carried = [f for f in groups.schema.fields if (f.name in own if own else f.name not in ("file_path", "row_group"))]
+    target = T.StructType([*schema.fields, *carried])
+    names, arrow = schema.names, to_arrow_schema(target)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
         for batch in batches:
-            for name, group in zip(*[c.to_pylist() for c in batch.columns[:2]], strict=True):
-                fs, inner = opened(name)
+            for row in batch.to_pylist():
+                fs, inner = opened(row["file_path"])
                 with fs.open_input_file(inner) as source:
-                    for part in pq.ParquetFile(source).iter_batches(row_groups=[group], columns=names):
-                        own = [pa.array([name] * part.num_rows), pa.array([group] * part.num_rows, pa.int32())]
+                    for part in pq.ParquetFile(source).iter_batches(row_groups=[row["row_group"]], columns=names):
                         cells = [part.column(c).cast(arrow.field(c).type) for c in names]
-                        yield pa.RecordBatch.from_arrays([*cells, *own], schema=arrow)
+                        more = [pa.repeat(pa.scalar(row[f.name], arrow.field(f.name).type), part.num_rows) for f in carried]
+                        yield pa.RecordBatch.from_arrays([*cells, *more], schema=arrow)
 
-    return pending.repartition("file_path", "row_group").mapInArrow(read, target)
+    return groups.repartition("file_path", "row_group").mapInArrow(read, target)
 
 
 def _some_file(spark: SparkSession, path: str) -> list[str]:

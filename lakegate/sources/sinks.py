@@ -7,14 +7,14 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.errors import IntakeError
 from lakegate.functions.rules import valid_identifier
 from lakegate.functions.urls import sanitize_uri
 from lakegate.operators.violations import checked_documents, exactly
-from lakegate.operators.digest import fingerprint_of, lane_sums, lane_totals
+from lakegate.operators.digest import LANES, LIMB_BITS, LIMBS, fingerprint_of, lane_sums, lane_totals, row_digest
 from lakegate.operators.transforms import Steps
 from lakegate.sources.files import file_digests, list_files
 
@@ -80,6 +80,21 @@ def is_healthy(spark: SparkSession, uri: str, content_digest: str, size: int | N
         return False
 
 
+def write_fingerprinted(df: DataFrame, path: str) -> tuple:
+    """Write ``df`` as Parquet in place of what is there; its row count and fingerprint lanes are added up on the way.
+
+    The same numbers that :func:`lakegate.operators.digest.table_fingerprint` gives for the rows, without a pass of their
+    own: metrics of the writing tasks, each of which counts once however often it is tried.
+    """
+    seen, digest = Observation(), "__row_digest"
+    sums = {"row_count": F.count(F.lit(1)), **lane_sums(F.col(digest))}
+    hashed = df.withColumn(digest, row_digest(df.schema)).observe(seen, *[c.alias(n) for n, c in sums.items()])
+    hashed.drop(digest).write.mode("overwrite").parquet(path)
+    found = seen.get
+    lanes = [sum(found[f"_l{i}_{limb}"] << (LIMB_BITS * limb) for limb in range(LIMBS)) for i in range(len(LANES))]
+    return found["row_count"], *map(str, lanes)
+
+
 def materialize(
     df: DataFrame,
     destination: str,

@@ -6,24 +6,31 @@ its own folder and nothing else.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
+from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from lakegate.errors import IntakeError
 from lakegate.functions.redact import redact_map
+from lakegate.operators.digest import table_fingerprint
 from lakegate.operators.health import FAILURE_THRESHOLD, health_log, retry_metrics
 from lakegate.operators.transforms import Steps
-from lakegate.session import remove_path, scratch_scope
-from lakegate.sources.files import list_files
-from lakegate.sources.sinks import Published, materialize
+from lakegate.session import materialised, remove_path, scratch_scope
+from lakegate.sources.sinks import Published, materialize, write_fingerprinted
 
 STAGED = "__staged_batch"  # partition of the staging folder
+LEDGER_SCHEMA = f"{STAGED} bigint, row_count bigint, lane_0 string, lane_1 string, lane_2 string, lane_3 string"
+PUBLISHED_SCHEMA = f"{STAGED} bigint, uri string"
+STATE_STORE = {  # what keyed state with an expiry needs
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
 
 
 def file_stream(
@@ -43,27 +50,57 @@ def _start(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _rows_below(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame:
+    """The Parquet rows below ``folder``; none if it is not there yet."""
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _ledger(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-ledger"
+
+
 def sync_stream(stream: DataFrame, staging: str, checkpoint: str, steps: Steps | None = None) -> StreamingQuery:
-    """Stage a resource batch by batch; an interrupted run goes on after the last finished batch."""
+    """Stage a resource batch by batch; an interrupted run goes on after the last finished batch.
+
+    Every batch has an entry in a ledger beside the checkpoint: its number, its rows and the fingerprint lanes that were
+    added up while it was written. Entries are only ever added. A batch that is staged again after a crash must be the one
+    that its entry describes; a checkpoint that was started anew over an old ledger is refused at that point.
+    """
+    ledger = _ledger(checkpoint)
 
     def stage(batch: DataFrame, batch_id: int) -> None:
         shaped = steps(batch) if steps else batch
         if STAGED in shaped.columns:
             raise IntakeError(f"a column cannot be named {STAGED!r}")
-        shaped.write.mode("overwrite").parquet(f"{staging}/{STAGED}={batch_id}")
+        found = write_fingerprinted(shaped, f"{staging}/{STAGED}={batch_id}")
+        place = f"{ledger}/staged/{STAGED}={batch_id}"
+        entry = T.StructType(T.StructType.fromDDL(LEDGER_SCHEMA).fields[1:])
+        known = _rows_below(batch.sparkSession, place, entry).first()
+        if known is None:
+            batch.sparkSession.createDataFrame([found], entry).coalesce(1).write.mode("overwrite").parquet(place)
+        elif tuple(known) != found:
+            raise IntakeError(f"batch {batch_id} is in the ledger with other rows: it belongs to another run of the stream")
 
     return _start(stream.writeStream.foreachBatch(stage), checkpoint)
 
 
-def _numbers(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Batch numbers in the names of the files below ``folder``; none if it is not there."""
-    try:
-        listed = list_files(spark, folder).select(F.regexp_extract("path", pattern, 1).alias("n"))
-        return listed.where("n <> ''").select(F.col("n").cast("long").alias("batch")).distinct()
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "batch long")
+def _staged_faults(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Batches whose rows in the staging folder are not those that the ledger has, and what is wrong with them."""
+    lanes = [f"lane_{i}" for i in range(4)]
+    both = entries.select(STAGED, F.struct("row_count", *lanes).alias("entry")).join(
+        found.select(STAGED, F.struct("row_count", *lanes).alias("rows")), STAGED, "full"
+    )
+    fault = (
+        F.when(F.col("entry").isNull(), F.lit("staged without an entry in the ledger"))
+        .when(F.col("rows").isNull() & (F.col("entry.row_count") > 0), F.lit("lost from the staging folder"))
+        .when(F.col("rows").isNotNull() & (F.col("entry") != F.col("rows")), F.lit("altered in the staging folder"))
+    )
+    return both.select(STAGED, fault.alias("fault")).where("fault IS NOT NULL")
 
 
 def publish_staged(
@@ -78,21 +115,41 @@ def publish_staged(
 ) -> Published:
     """Publish everything staged as one artifact, with its manifest row, then remove the staged batches.
 
-    The batches that the stream's checkpoint has committed must all be there and no others; else nothing is published. A
-    stream that saw no files is published as a table without rows, with the columns of ``schema``.
+    The ledger beside the checkpoint says what must be there, however long ago it was staged: its entries have no gaps, and
+    the rows and fingerprint of each staged batch are those of its entry; else the first wrong batch is named and nothing
+    is published. Published batches are recorded in the ledger, so a batch that a restarted stream stages once more is not
+    published twice. A stream that saw no files is published as a table without rows, with the columns of ``schema``.
     """
-    committed = _numbers(spark, f"{checkpoint}/commits", r"/commits/(\d+)$")
-    staged = _numbers(spark, staging, rf"/{STAGED}=(\d+)/")
-    both = committed.withColumn("committed", F.lit(True)).join(staged.withColumn("staged", F.lit(True)), "batch", "full")
-    wrong = both.where("committed IS NULL OR staged IS NULL").orderBy("batch").first()
+    ledger = _ledger(checkpoint)
+    entries = _rows_below(spark, f"{ledger}/staged", LEDGER_SCHEMA)
+    done = materialised(_rows_below(spark, f"{ledger}/published", PUBLISHED_SCHEMA).select(STAGED).distinct(), "published")
+    count, last = entries.agg(F.count(F.lit(1)), F.max(STAGED)).first()
+    if count and count != last + 1:
+        numbers = spark.range(last + 1).withColumnRenamed("id", STAGED)
+        missing = numbers.join(entries, STAGED, "left_anti").agg(F.min(STAGED)).first()[0]
+        raise IntakeError(f"batch {missing} has no entry in the ledger")
+    due = materialised(entries.join(done, STAGED, "left_anti"), "due")
+    try:  # rows of damaged files are missing, and so noticed
+        rows = spark.read.option("ignoreCorruptFiles", "true").parquet(staging)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        rows = spark.createDataFrame([], f"{STAGED} bigint")
+    found = table_fingerprint(rows.withColumn(STAGED, F.col(STAGED).cast("bigint")), [STAGED])
+    wrong = _staged_faults(due, found.join(done, STAGED, "left_anti")).orderBy(STAGED).first()
     if wrong is not None:
-        state = "lost from the staging folder" if wrong["committed"] else "staged without being committed"
-        raise IntakeError(f"batch {wrong['batch']} is {state}")
-    if staged.isEmpty():
+        raise IntakeError(f"batch {wrong[STAGED]} is {wrong['fault']}")
+    if due.isEmpty():
+        if count:
+            raise IntakeError("nothing was staged since the last publication")
         if schema is None:
             raise IntakeError("nothing was staged, and no schema says what an empty table looks like")
         return materialize(spark.createDataFrame([], schema), destination, identity, source_locator, manifest)
-    published = materialize(spark.read.parquet(staging).drop(STAGED), destination, identity, source_locator, manifest)
+    staged = spark.read.parquet(staging)
+    if not done.isEmpty():
+        staged = staged.join(done, STAGED, "left_anti")
+    published = materialize(staged.drop(STAGED), destination, identity, source_locator, manifest)
+    due.select(STAGED, F.lit(published.uri).alias("uri")).write.mode("append").parquet(f"{ledger}/published")
     remove_path(spark, staging)
     return published
 
@@ -115,6 +172,43 @@ def event_metrics_stream(
     return _start(flat.writeStream.format("parquet").option("path", output).outputMode("append"), checkpoint)
 
 
+class _RunsBefore(StatefulProcessor):
+    """What was known of a key before each batch; its state is one row (run, failures), with an expiry if one is given."""
+
+    def __init__(self, keys: Sequence[str], expire_ms: int | None):
+        self.keys, self.expire_ms = list(keys), expire_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getValueState("counts", "run bigint, failures bigint", self.expire_ms)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        run, failures = self.counts.get() or (0, 0)
+        before = []
+        for row in sorted(rows, key=lambda r: r["batch_id"]):  # one row for each batch of the key
+            named = {k: row[k] for k in self.keys}
+            before.append(Row(**named, batch_id=row["batch_id"], run=run, failure_count=failures))
+            failures = row["failure_count"] + (failures if row["run"] == 0 else 0)
+            run += row["run"]
+        self.counts.update((run, failures))
+        return iter(before)
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session while a query starts, which keeps them."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def health_stream(
     events: DataFrame,
     output: str,
@@ -125,56 +219,72 @@ def health_stream(
     failure: Callable[[], Column],
     reset: Callable[[], Column],
     threshold: int = FAILURE_THRESHOLD,
+    expire_ms: int | None = None,
 ) -> StreamingQuery:
     """Failure runs over a stream whose batches arrive in order.
 
-    Inside a batch the same block-wise pass as in the batch operator runs, so a key with most of the events does not
-    end up in one task. Between batches only (run, failures) per key is kept, in one folder per batch: batch n reads
-    the state of batch n - 1 and writes its own, so a replay repeats the same result. Once batch n has begun, batch
-    n - 1 is committed, so older states go; so do the scratch tables of the pass. NULL is a key like any other.
+    Two queries follow each other. The first runs the block-wise pass of the batch operator over each batch, so a key with
+    most of the events does not end up in one task, and leaves one row per batch and key. The second carries (run,
+    failures) over those rows in keyed state: one state row per key, changed only for the keys of the batch, and dropped
+    ``expire_ms`` of processing time after its last change, when the key starts anew. It joins what was known before to
+    the events of the batch and writes them to ``output``, in one folder per batch, so a replay repeats the same result.
+    What the first query left in ``state`` goes when the second has committed it. NULL is a key like any other.
     """
-    key_types = {f.name: f.dataType for f in events.schema.fields if f.name in keys}
-    state_schema = T.StructType(
-        [T.StructField(k, key_types[k]) for k in keys]
-        + [T.StructField("run", T.LongType()), T.StructField("failure_count", T.LongType())]
-    )
+    spark = events.sparkSession
+    fields = {f.name: f.dataType for f in events.schema.fields}
+    counts = [T.StructField("run", T.LongType()), T.StructField("failure_count", T.LongType())]
+    number = T.StructField("batch_id", T.LongType())
+    key_fields = [T.StructField(k, fields[k]) for k in keys]
+    log_schema = T.StructType([*events.schema.fields, *counts, T.StructField("open", T.BooleanType()), number])
 
-    def same(prefix: str) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
-
-    def advance(batch: DataFrame, batch_id: int) -> None:
+    def reduced(batch: DataFrame, batch_id: int) -> None:
         with scratch_scope(batch.sparkSession):
-            _advance(batch, batch_id)
-        if batch_id > 1:
-            remove_path(batch.sparkSession, f"{state}/v={batch_id - 2}")
-
-    def _advance(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = (
-            spark.read.schema(state_schema).parquet(f"{state}/v={batch_id - 1}")
-            if batch_id
-            else spark.createDataFrame([], state_schema)
-        )
-        log = health_log(batch, keys, order, failure(), reset(), threshold)
-        carried = before.select(
-            *[F.col(k).alias(f"_c_{k}") for k in keys], F.col("run").alias("_run"), F.col("failure_count").alias("_failures")
-        )
-        joined = log.join(carried, same("_c_"), "left")
+            log = health_log(batch, keys, order, failure(), reset(), threshold)
+            log.write.mode("overwrite").parquet(f"{state}/events/batch_id={batch_id}")
+        written = batch.sparkSession.read.schema(log.schema).parquet(f"{state}/events/batch_id={batch_id}")
+        last = F.max_by(F.struct("run", "failure_count"), F.struct(*order))
+        latest = written.groupBy(*keys).agg(last.alias("s")).select(*keys, "s.run", "s.failure_count")
+        latest.write.mode("overwrite").parquet(f"{state}/keys/batch_id={batch_id}")
+
+    def finished(before: DataFrame, batch_id: int) -> None:
+        spark = before.sparkSession
+        if batch_id:  # the batch ahead of this one is committed
+            settled = spark.read.parquet(f"{state}/before/{batch_id - 1}").select("batch_id").distinct()
+            for row in settled.collect():
+                remove_path(spark, f"{state}/events/batch_id={row['batch_id']}")
+                remove_path(spark, f"{state}/keys/batch_id={row['batch_id']}")
+            if batch_id > 1:
+                remove_path(spark, f"{state}/before/{batch_id - 2}")
+        place = f"{state}/before/{batch_id}"
+        before.write.mode("overwrite").parquet(place)
+        names = {**{k: f"_c_{k}" for k in keys}, "batch_id": "_batch", "run": "_run", "failure_count": "_failures"}
+        carried = spark.read.schema(before.schema).parquet(place).withColumnsRenamed(names)
+        numbers = [r["_batch"] for r in carried.select("_batch").distinct().collect()]
+        log = spark.read.schema(log_schema).parquet(f"{state}/events").where(F.col("batch_id").isin(numbers))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys])
         count = F.col("failure_count") + F.when(F.col("run") == 0, F.coalesce("_failures", F.lit(0))).otherwise(0)
-        full = joined.select(
-            *batch.columns,
+        full = log.join(carried, same & (F.col("batch_id") == F.col("_batch")), "left").select(
+            *events.columns,
             (F.col("run") + F.coalesce("_run", F.lit(0))).alias("run"),
             count.alias("failure_count"),
             (count >= threshold).alias("open"),
+            "batch_id",
         )
-        full.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
-        written = spark.read.schema(full.schema).parquet(f"{output}/batch_id={batch_id}")
-        last = F.max_by(F.struct("run", "failure_count"), F.struct(*order))
-        latest = written.groupBy(*keys).agg(last.alias("s")).select(*keys, "s.run", "s.failure_count")
-        kept = before.join(latest.select(*[F.col(k).alias(f"_n_{k}") for k in keys]), same("_n_"), "left_anti")
-        latest.unionByName(kept).write.mode("overwrite").parquet(f"{state}/v={batch_id}")
+        writer = full.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch_id").parquet(output)
 
-    return _start(events.writeStream.foreachBatch(advance), checkpoint)
+    _start(events.writeStream.foreachBatch(reduced), checkpoint).awaitTermination()
+    per_key = T.StructType([*key_fields, *counts, number])
+    nothing = spark.createDataFrame([], T.StructType([*key_fields, *counts]))
+    nothing.write.mode("ignore").parquet(f"{state}/keys/batch_id=-1")  # a stream needs a folder to look into
+    mode = "None" if expire_ms is None else "ProcessingTime"
+    carried = (
+        file_stream(spark, f"{state}/keys", per_key)
+        .groupBy(*keys)
+        .transformWithState(_RunsBefore(keys, expire_ms), T.StructType([*key_fields, number, *counts]), "Append", mode)
+    )
+    with _settings(spark, STATE_STORE):
+        return _start(carried.writeStream.outputMode("append").foreachBatch(finished), f"{checkpoint}-keys")
 
 
 def redact_stream(events: DataFrame, column: str, output: str, checkpoint: str) -> StreamingQuery:
