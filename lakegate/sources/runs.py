@@ -39,9 +39,9 @@ def _folder_name(key: Column) -> Column:
 
 
 def _with_keys(rows: DataFrame, key: str) -> DataFrame:
-    """``rows``, raising at a NULL key: nothing could name such a resource again."""
-    missing = F.raise_error(F.lit(f"a resource without a key ({key} is NULL)")).cast("string")
-    return rows.withColumn(KEY, F.coalesce(F.col(key).cast("string"), missing))
+    """``rows``, raising at a key that is NULL or empty: nothing could name such a resource again."""
+    missing = F.raise_error(F.lit(f"a resource without a key: {key} is NULL or empty")).cast("string")
+    return rows.withColumn(KEY, F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), missing))
 
 
 def manifest_rows(spark: SparkSession, manifest: str) -> DataFrame:
@@ -229,7 +229,7 @@ def sync_run(
     digest of the key; then the manifest gets a row for each, then the state is merged by compare-and-swap on each
     resource's version and swapped as a whole. A source that changes while it is read stops the run. A run that breaks off
     leaves files that nothing refers to, or manifest rows that the state does not name; of two runs at once the later swap
-    raises and its resources are due again. A NULL key raises.
+    raises and its resources are due again. A key that is NULL or empty raises.
     """
     stored, number = state.read()
     columns = rows.columns

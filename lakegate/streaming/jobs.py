@@ -28,8 +28,9 @@ from lakegate.sources.sinks import Published, materialize, write_fingerprinted
 STAGED = "__staged_batch"  # partition of the staging folder
 LEDGER_SCHEMA = f"{STAGED} bigint, row_count bigint, lane_0 string, lane_1 string, lane_2 string, lane_3 string"
 PUBLISHED_SCHEMA = f"{STAGED} bigint, uri string"
-STATE_STORE = {  # what keyed state with an expiry needs
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = {  # what keyed state with an expiry needs; with one, batches without data would follow each other for ever
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 

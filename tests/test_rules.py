@@ -104,6 +104,34 @@ def test_json_redaction(spark):
     assert redact.TRUNCATED in nested and broken is None
 
 
+def test_json_redaction_keeps_what_it_does_not_mask(spark):
+    deep = "[" * 30_000 + '"basic abcdefgh"' + "]" * 30_000
+    texts = [
+        '{"a":1.0000000000000000000001,"a":2,"":{"k":"u=1&token=abc"}}',
+        deep,
+        deep[:-1],
+        '{"to\\u006ben": [1, {"x": "]"}], "n": 1E400}',
+        "NaN",
+        '{"a":01}',
+        None,
+    ]
+    whole = values(spark, texts, redact.redact_json)
+    assert whole[0] == '{"a":1.0000000000000000000001,"a":2,"":{"k":"u=1&token=***"}}'
+    assert whole[1] == deep.replace("abcdefgh", "***") and whole[3] == '{"to\\u006ben":"***","n":1E400}'
+    assert [whole[i] for i in (2, 4, 5, 6)] == [None] * 4
+    bounded = values(spark, texts, lambda c: redact.redact_json(c, 2, 3, 5))
+    assert bounded[0] == '{"a":1.0000000000000000000001,"a":2}' and bounded[1] == '[["[TRUNCATED]"]]'
+    assert [bounded[i] for i in (2, 4, 5, 6)] == [None] * 4
+    for text in ('["a",1,2]', "[1,2,3,4]", '{"a":1,"b":2,"c":3,"d":4}', "[[],{},[1,2,3,4,5],1]", " [ 1 , 2 , [ ] , 3 ] ", "7"):
+        got, node = redact.bounded_document(text, 9, 3, 9), json.loads(text)
+        want = node if not isinstance(node, (dict, list)) or len(node) <= 3 else None
+        assert want is None or json.loads(got) == want
+        if want is None:
+            shown = json.loads(got)
+            assert list(shown)[:2] == [x if x != [1, 2, 3, 4, 5] else [1, 2, redact.TRUNCATED] for x in list(node)[:2]] and len(shown) == 3
+            assert list(shown)[2] == redact.TRUNCATED
+
+
 def test_audit_entries(spark):
     df = spark.createDataFrame(
         [("note", "token=abc"), ("note", "token=***"), ("x-Cookie", "1"), ("note", "plain")], "k string, v string"

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import os
+import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakegate.errors import IntakeError
 from lakegate.operators.health import health_log, retry_metrics
@@ -47,6 +50,96 @@ def test_interrupted_sync_publishes_every_row_once(spark, tmp_path):
     assert out.columns == ["id"] and out.count() == 400 and out.distinct().count() == 400
 
 
+def test_long_streams_publish_and_name_wrong_batches(spark, tmp_path):
+    """More batches than the checkpoint remembers; what is lost, altered or damaged is named; nothing comes twice."""
+    base, kept = str(tmp_path), "spark.sql.streaming.minBatchesToRetain"
+    spark.range(600).selectExpr("id", "id % 7 AS v").repartition(30).write.parquet(f"{base}/in")
+    schema = spark.read.parquet(f"{base}/in").schema
+    folders = (f"{base}/staged", f"{base}/checkpoint")
+    where = (f"{base}/out", "r", base, f"{base}/manifest")
+
+    def run():
+        stream = jobs.file_stream(spark, f"{base}/in", schema, files_per_batch=1)
+        jobs.sync_stream(stream, *folders).awaitTermination()
+
+    usual = spark.conf.get(kept)
+    try:
+        spark.conf.set(kept, "2")
+        run()
+    finally:
+        spark.conf.set(kept, usual)
+    assert len(os.listdir(f"{base}/checkpoint/commits")) < 30
+    batch = f"{folders[0]}/{jobs.STAGED}=11"
+    os.rename(batch, f"{base}/kept")
+    for rows, fault in ((None, "lost"), (spark.range(20).selectExpr("id", "id AS v"), "altered")):
+        if rows is not None:
+            rows.write.parquet(batch)
+        with pytest.raises(IntakeError, match=f"batch 11 is {fault}"):
+            jobs.publish_staged(spark, *folders, *where)
+    shutil.rmtree(batch)
+    shutil.copytree(f"{base}/kept", batch)
+    for name in os.listdir(batch):
+        if name.endswith(".parquet"):
+            open(f"{batch}/{name}", "wb").write(b"PAR1 no more")
+            if os.path.exists(f"{batch}/.{name}.crc"):
+                os.remove(f"{batch}/.{name}.crc")
+    with pytest.raises(IntakeError, match="batch 11 is (lost|altered)"):
+        jobs.publish_staged(spark, *folders, *where)
+    shutil.rmtree(batch)
+    os.rename(f"{base}/kept", batch)
+    entry = f"{folders[1]}-ledger/staged/{jobs.STAGED}=5"
+    os.rename(entry, f"{base}/entry")
+    with pytest.raises(IntakeError, match="batch 5 has no entry"):
+        jobs.publish_staged(spark, *folders, *where)
+    os.rename(f"{base}/entry", entry)
+    shutil.copytree(folders[0], f"{base}/again")
+    first = jobs.publish_staged(spark, *folders, *where)
+    assert spark.read.parquet(first.uri).distinct().count() == first.row_count == 600
+    with pytest.raises(IntakeError, match="since the last publication"):
+        jobs.publish_staged(spark, *folders, *where)
+    os.rename(f"{base}/again", folders[0])  # batches staged once more after they were published
+    spark.range(600, 610).selectExpr("id", "id % 7 AS v").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    run()
+    second = jobs.publish_staged(spark, *folders, *where)
+    assert sorted(r.id for r in spark.read.parquet(second.uri).collect()) == list(range(600, 610))
+
+
+def test_a_ledger_of_another_stream_is_refused(spark, tmp_path):
+    base = str(tmp_path)
+    spark.range(10).coalesce(1).write.parquet(f"{base}/a")
+    spark.range(20).coalesce(1).write.parquet(f"{base}/b")
+    schema = spark.read.parquet(f"{base}/a").schema
+    jobs.sync_stream(jobs.file_stream(spark, f"{base}/a", schema), f"{base}/s", f"{base}/c").awaitTermination()
+    shutil.rmtree(f"{base}/c")
+    with pytest.raises(Exception, match="another run of the stream"):
+        jobs.sync_stream(jobs.file_stream(spark, f"{base}/b", schema), f"{base}/s", f"{base}/c").awaitTermination()
+    shutil.rmtree(f"{base}/c")
+    jobs.sync_stream(jobs.file_stream(spark, f"{base}/a", schema), f"{base}/s", f"{base}/c").awaitTermination()
+
+
+def test_expired_keys_leave_no_state(spark, tmp_path, monkeypatch):
+    """Every run brings new keys; with an expiry only those of the last runs are kept, and a key that comes again is new."""
+    base = str(tmp_path)
+    schema = "k long, ts long, kind string"
+    rows = {}
+    monkeypatch.setitem(jobs.STATE_STORE, "spark.sql.shuffle.partitions", "2")
+    for expire in (None, 1):
+        for run in range(3):
+            events = spark.range(40).selectExpr(f"CASE WHEN id = 0 THEN NULL ELSE id + {run * 100} END AS k", f"id + {run} * 1000 AS ts", "'fail' AS kind")
+            events.coalesce(1).write.mode("append").parquet(f"{base}/in-{expire}")
+            query = jobs.health_stream(
+                jobs.file_stream(spark, f"{base}/in-{expire}", T.StructType.fromDDL(schema)), f"{base}/out-{expire}", f"{base}/state-{expire}",
+                f"{base}/check-{expire}", ["k"], ["ts"], lambda: F.col("kind") == "fail", lambda: F.col("kind") == "reset", 3, expire,
+            )
+            query.awaitTermination()
+            time.sleep(0.05)
+        rows[expire] = query.lastProgress.stateOperators[0].numRowsTotal
+        out = spark.read.parquet(f"{base}/out-{expire}")
+        again = sorted(r.failure_count for r in out.where("k IS NULL").collect())
+        assert again == ([1, 2, 3] if expire is None else [1, 1, 1]) and out.count() == 120
+    assert rows[None] == 3 * 39 + 1 and rows[1] <= 80
+
+
 def test_replayed_health_batch_changes_nothing(spark, tmp_path):
     """The same input through many batches, with a crash between output and state, equals one batch pass."""
     base = str(tmp_path)

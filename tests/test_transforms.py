@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import re
 
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -18,6 +19,7 @@ from lakegate.operators.transforms import (
     RenameColumns,
     SelectColumns,
     advisory_schema,
+    cast_rejects,
     compose,
     zone_irregularities,
 )
@@ -72,6 +74,24 @@ def test_steps_see_the_live_schema(people):
         (1.239, T.DoubleType(), T.DecimalType(6, 2)),
         (1e9, T.DoubleType(), T.DecimalType(6, 2)),
         (datetime(2024, 1, 1, 5), T.TimestampNTZType(), T.DateType()),
+        ("2024-01-01 10:30:00", T.StringType(), T.DateType()),
+        ("2024-01-01T00:00:00", T.StringType(), T.DateType()),
+        ("2024-01-01 10:30:00 +05:00", T.StringType(), T.TimestampNTZType()),
+        ("2024-01-01T10:30:00Z", T.StringType(), T.TimestampNTZType()),
+        ("2024-01-01 10:30:00 Europe/Paris", T.StringType(), T.TimestampNTZType()),
+        ("10:30", T.StringType(), T.TimestampType()),
+        ("2024-01-01 10:30:00.1234567", T.StringType(), T.TimestampType()),
+        (bytearray(b"\xffA"), T.BinaryType(), T.StringType()),
+        ("1.239", T.StringType(), T.DecimalType(5, 2)),
+        ("1239e-3", T.StringType(), T.DecimalType(5, 2)),
+        ("123456789012345678901", T.StringType(), T.DoubleType()),
+        ("1.23456789", T.StringType(), T.FloatType()),
+        ("1e400", T.StringType(), T.DoubleType()),
+        ("1e-400", T.StringType(), T.DoubleType()),
+        ("12.5", T.StringType(), T.LongType()),
+        ("maybe", T.StringType(), T.BooleanType()),
+        (2**63 - 1, T.LongType(), T.TimestampType()),
+        (float("inf"), T.DoubleType(), T.TimestampType()),
     ],
 )
 def test_lossy_casts_raise(spark, value, source, target):
@@ -89,6 +109,19 @@ def test_lossy_casts_raise(spark, value, source, target):
         (None, T.LongType(), T.IntegerType(), None),
         ("42", T.StringType(), T.LongType(), 42),
         (float("nan"), T.DoubleType(), T.FloatType(), "nan"),
+        (" 2024-01-02 ", T.StringType(), T.DateType(), date(2024, 1, 2)),
+        ("2024-01-02 10:30:00.120000000", T.StringType(), T.TimestampNTZType(), datetime(2024, 1, 2, 10, 30, 0, 120000)),
+        (None, T.StringType(), T.DateType(), None),
+        (bytearray("é".encode()), T.BinaryType(), T.StringType(), "é"),
+        ("1.2300", T.StringType(), T.DecimalType(5, 2), Decimal("1.23")),
+        ("123e-2", T.StringType(), T.DecimalType(5, 2), Decimal("1.23")),
+        ("0.1", T.StringType(), T.DoubleType(), 0.1),
+        ("1200000000000000000000", T.StringType(), T.DoubleType(), 1.2e21),
+        ("0.30000000000000004", T.StringType(), T.DoubleType(), 0.1 + 0.2),
+        ("-0.0", T.StringType(), T.DoubleType(), 0.0),
+        ("Infinity", T.StringType(), T.DoubleType(), float("inf")),
+        ("NaN", T.StringType(), T.DoubleType(), "nan"),
+        ("yes", T.StringType(), T.BooleanType(), True),
     ],
 )
 def test_exact_casts_pass(spark, value, source, target, want):
@@ -97,6 +130,16 @@ def test_exact_casts_pass(spark, value, source, target, want):
     assert str(got) == "nan" if want == "nan" else got == want
 
 
+def test_rejects_are_the_cells_that_raise(spark):
+    df = spark.createDataFrame([(1, "7", "2024-01-01"), (2, "x", None), (3, None, "2024-01-01 05:00")], "id int, n string, d string")
+    target = T.StructType.fromDDL("n int, d date")
+    found = sorted(map(tuple, cast_rejects(df, target, ["id"]).collect()))
+    assert found == [(2, "n", "int", "loss", "x"), (3, "d", "date", "loss", "2024-01-01 05:00")]
+    assert cast_rejects(df, T.StructType.fromDDL("n string"), ["id"]).collect() == []
+    with pytest.raises(TransformFailure, match="nested"):
+        cast_rejects(df.withColumn("a", F.array("n")), T.StructType.fromDDL("a array<int>"), ["id"])
+
+
 def test_cast_needs_the_same_names(people):
     with pytest.raises(TransformFailure):
         cast(people, id=T.LongType())
