@@ -38,12 +38,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @_query
 def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return secret_scan.digest(secret_scan.scan(_table(spark, folder, "documents")))
+    found = secret_scan.digest(secret_scan.scan(_table(spark, folder, "documents")))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
 @_query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"), max_trusted=20_000)
+    scored = quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"), max_trusted=20_000)
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return scored.select("doc_id", *measures, "base_failed", "kept", "llr", "threshold")
 
 
 @_query
