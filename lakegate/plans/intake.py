@@ -542,6 +542,36 @@ def src_json_odd_keys(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_any(spark, path, "json").select("VOID", "VARIANT", "OBJECT", "`a, VOID>`")
 
 
+@query(
+    "src_mixed_folder",
+    """SELECT c_mktsegment, count(*) AS row_count, sum(c_custkey)::BIGINT AS key_sum, count(*) FILTER (c_custkey % 4 = 1) AS lines
+       FROM customer GROUP BY c_mktsegment""",
+)
+def src_mixed_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """One folder with CSV, JSON lines, a JSON array and compressed CSV, in files whose names say nothing."""
+    base = scratch_path(spark, "mixed")
+    customers = table(spark, folder, "customer").select(
+        (F.col("c_custkey") % 4).alias("bucket"),
+        F.concat_ws(",", "c_custkey", "c_mktsegment").alias("cells"),
+        F.to_json(F.struct("c_custkey", "c_mktsegment", (F.col("c_custkey") % 4).alias("bucket"))).alias("object"),
+    )
+    texts = customers.groupBy("bucket").agg(F.collect_list("cells").alias("cells"), F.collect_list("object").alias("objects"))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import gzip
+
+        for batch in batches:
+            for bucket, cells, objects in zip(batch["bucket"], batch["cells"], batch["objects"], strict=True):
+                csv = "c_custkey,c_mktsegment\n" + "\n".join(cells) + "\n"
+                body = [csv.encode(), "\n".join(objects).encode(), gzip.compress(csv.encode()), f"[{','.join(objects)}]".encode()]
+                yield pd.DataFrame([(f"feed{bucket}", body[bucket])], columns=["name", "content"])
+
+    _write_binary(texts.mapInPandas(pack, "name string, content binary"), base)
+    return readers.read_any(spark, base).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("c_custkey").alias("key_sum"), F.count_if(F.col("bucket") == 1).alias("lines")
+    )
+
+
 @query(
     "src_packed",
     """SELECT k.kind, c.c_mktsegment, count(*) AS row_count, sum(c_custkey)::BIGINT AS key_sum

@@ -7,6 +7,7 @@ Tasks then stream each file through a small buffer, so neither file size nor fil
 from __future__ import annotations
 
 import bz2
+import codecs
 import hashlib
 import io
 import re
@@ -130,6 +131,42 @@ def sniff_json(files: DataFrame) -> DataFrame:
     return heads.select("path", kind.alias("json_kind"), "error")
 
 
+def _format_of_content(start: bytes) -> str | None:
+    """Format by the first decoded bytes: Parquet by its mark, JSON by its first character, other text is CSV."""
+    text = start.removeprefix(b"\xef\xbb\xbf").lstrip()
+    if start.startswith(b"PAR1"):
+        return "PARQUET"
+    if b"\0" in text or text.startswith(b"<"):
+        return None
+    try:
+        codecs.getincrementaldecoder("utf-8")().decode(text)  # the last character may be cut
+    except UnicodeDecodeError:
+        return None
+    return "JSON" if text[:1] in (b"{", b"[") else "CSV"
+
+
+def sniff_formats(files: DataFrame) -> DataFrame:
+    """Format of every file by its content, decoded if it is compressed; NULL where none is recognised."""
+
+    def sniff(path: str) -> dict[str, object]:
+        fs, inner = opened(path)
+        with fs.open_input_file(inner) as source:
+            return {"format": _format_of_content(next(_chunks(_packing(source.read(4)), _rewound(source)), b""))}
+
+    return files.select("path").mapInPandas(
+        _per_file(sniff, ["path", "format", "error"]), "path string, format string, error string"
+    )
+
+
+def _packing(head: bytes) -> str:
+    return next((kind for kind, magic in MAGIC.items() if head.hex().upper().startswith(magic)), "none")
+
+
+def _rewound(source: io.IOBase) -> io.IOBase:
+    source.seek(0)
+    return source
+
+
 def file_digests(files: DataFrame) -> DataFrame:
     """Size, SHA-256 and MD5 of every file, streamed."""
 
@@ -274,8 +311,7 @@ def decompress_files(files: DataFrame, stage: str, extension: str) -> DataFrame:
     def decode(path: str) -> dict[str, object]:
         fs, inner = opened(path)
         with fs.open_input_stream(inner, compression=None) as probe:
-            head = probe.read(4).hex().upper()
-        kind = next((k for k, magic in MAGIC.items() if head.startswith(magic)), "none")
+            kind = _packing(probe.read(4))
         target = f"{root}/{hashlib.sha256(path.encode()).hexdigest()}.{extension}"
         size = 0
 

@@ -22,6 +22,7 @@ from lakegate.sources.files import (
     list_files,
     opened,
     sniff_compression,
+    sniff_formats,
     sniff_json,
     unsupported_parquet,
 )
@@ -266,13 +267,42 @@ _PACKED = {"GZ", "GZIP", "BZ2", "ZST", "ZSTD", "ZIP"}
 _TEXT_FORMATS = {"CSV", "JSON", "JSONL", "NDJSON", "GEOJSON"}
 
 
-def format_of(path: str) -> str:
-    """Format by the extension, that of a compressed file by the one before it; a name without one is CSV."""
+def format_of(path: str) -> str | None:
+    """Format by the extension, that of a compressed file by the one before it; None for a name without one."""
     name = [p for p in path.split("/") if p][-1:]
     parts = name[0].lstrip(".").split(".") if name else []
     while len(parts) > 1 and parts[-1].upper() in _PACKED:
         parts.pop()
-    return parts[-1].upper() if len(parts) > 1 else "CSV"
+    return parts[-1].upper() if len(parts) > 1 else None
+
+
+def _known(fmt: str, path: str = "") -> str:
+    if fmt not in READERS:
+        raise ValueError(f"unknown format {fmt!r}{f' of {path!r}' if path else ''}; known: {', '.join(sorted(READERS))}")
+    return fmt
+
+
+def formats_below(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Formats of the files below ``path``, each with its files, or with ``path`` alone if there is one format only.
+
+    A file's extension decides, and without one its content, decoded if it is compressed. A file that is of no known
+    format is an error that names it.
+    """
+    listed = list_files(spark, path)
+    packed = "|".join(sorted(_PACKED)).lower()
+    name = F.regexp_replace(F.lower(F.regexp_extract("path", r"([^/]*)$", 1)), rf"^\.+|(\.({packed}))+$", "")
+    named = listed.select("path", F.upper(F.regexp_extract(name, r"\.([^.]+)$", 1)).alias("format"))
+    by_content = sniff_formats(named.where("format = ''")).select("path", F.coalesce("format", F.lit("")).alias("format"))
+    found = materialised(named.where("format <> ''").union(by_content), "formats")
+    per_format = {r["format"]: r["path"] for r in found.groupBy("format").agg(F.min("path").alias("path")).collect()}
+    for fmt, example in sorted(per_format.items(), key=lambda item: item[1]):
+        _known(fmt, example)
+    if not per_format:
+        raise DecodeError(f"no files below {path!r}")
+    if len(per_format) == 1:
+        return {fmt: [path] for fmt in per_format}
+    files = {fmt: found.where(F.col("format") == fmt).select("path").collect() for fmt in per_format}  # as the scan's own lists
+    return {fmt: [r["path"] for r in rows] for fmt, rows in files.items()}
 
 
 def unpacked(spark: SparkSession, path: Paths, extension: str) -> Paths:
@@ -292,12 +322,19 @@ def unpacked(spark: SparkSession, path: Paths, extension: str) -> Paths:
 
 
 def read_any(spark: SparkSession, path: Paths, fmt: str | None = None) -> DataFrame:
-    """Read by format name in any case; without one the extension decides, and a name without extension is CSV.
+    """Read by format name in any case; without one by the extension, and without that by what lies there.
 
-    Text formats may be compressed with gzip, bzip2, zstd or zip. An unknown format or extension is an error.
+    A folder may hold files of several formats, and a list of paths too: each is read by its own, and the rows are united
+    by name. Text formats may be compressed with gzip, bzip2, zstd or zip. An unknown format or extension is an error.
     """
-    wanted = (fmt or format_of(path if isinstance(path, str) else path[0])).upper()
-    reader = READERS.get(wanted)
-    if reader is None:
-        raise ValueError(f"unknown format {wanted!r}; known: {', '.join(sorted(READERS))}")
-    return reader(spark, unpacked(spark, path, wanted) if wanted in _TEXT_FORMATS else path)
+    by_format: dict[str, list[str]] = {}
+    for place in [path] if isinstance(path, str) else path:
+        named = fmt.upper() if fmt else format_of(place)
+        found = {_known(named): [place]} if named else formats_below(spark, place)
+        for kind, paths in found.items():
+            by_format.setdefault(kind, []).extend(paths)
+    frames = []
+    for kind, paths in sorted(by_format.items()):
+        where: Paths = paths[0] if len(paths) == 1 else paths
+        frames.append(READERS[kind](spark, unpacked(spark, where, kind) if kind in _TEXT_FORMATS else where))
+    return frames[0] if len(frames) == 1 else unify(frames)

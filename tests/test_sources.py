@@ -239,6 +239,30 @@ def test_unknown_extensions_and_broken_archives(spark, tmp_path):
         readers.read_any(spark, put(tmp_path, "r.json.gz", gzip.compress(b'{"a":1}' * 9000)[:-30]))
 
 
+def test_folders_are_read_by_what_lies_in_them(spark, tmp_path):
+    for name in ("json", "mixed", "bad", "none"):
+        (tmp_path / name).mkdir()
+    put(tmp_path / "json", "a.json", b'{"a":1}\n{"a":2}\n')
+    put(tmp_path / "json", "b.json", b'{"a":3}')
+    assert rows(readers.read_any(spark, str(tmp_path / "json"))) == [(1,), (2,), (3,)]
+    put(tmp_path / "mixed", "one", b"a,b\n1,x\n")
+    put(tmp_path / "mixed", "two", gzip.compress(b' [{"a":2,"c":true}]'))
+    put(tmp_path / "mixed", "three.jsonl.bz2", bz2.compress(b'{"a":3}\n{"a":4}\n'))
+    spark.range(5, 6).selectExpr("id AS a").coalesce(1).write.parquet(str(tmp_path / "written"))
+    part = next((tmp_path / "written").glob("*.parquet"))
+    put(tmp_path / "mixed", "four", part.read_bytes())
+    mixed = readers.read_any(spark, str(tmp_path / "mixed"))
+    assert {r.a: (r.b, r.c) for r in mixed.collect()} == {1: ("x", None), 2: (None, True), 3: (None, None), 4: (None, None), 5: (None, None)}
+    listed = [str(tmp_path / "mixed" / "one"), str(tmp_path / "json" / "b.json"), str(part)]
+    assert sorted(r.a for r in readers.read_any(spark, listed).collect()) == [1, 3, 5]
+    put(tmp_path / "bad", "fine", b"a\n1\n")
+    put(tmp_path / "bad", "picture", b"\x89PNG\0\0")
+    with pytest.raises(ValueError, match="picture"):
+        readers.read_any(spark, str(tmp_path / "bad"))
+    with pytest.raises(DecodeError, match="no files"):
+        readers.read_any(spark, str(tmp_path / "none"))
+
+
 def test_one_target_for_two_sources(spark, tmp_path):
     paths = [put(tmp_path, n, n.encode()) for n in ("a", "b", "c")]
     listed = spark.createDataFrame([(f"file:{p}", "same" if p[-1] < "c" else "own") for p in paths], "path string, name string")
