@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
-from itertools import chain
+from functools import cached_property
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,7 @@ _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*")
 GROUP = 200_000  # characters of distinct words in one suffix array
 SLICE = 1_000_000  # characters of texts that are encoded together
 REMEMBERED = 150_000  # words whose pieces a worker remembers
+SEEN = 1 << 18  # pairs of pieces that a worker remembers
 
 
 def _words(text: str) -> list[str]:
@@ -35,6 +38,25 @@ def _words(text: str) -> list[str]:
     return [c if c.startswith(SPACE * 2) else c[1:] for c in chunks]
 
 
+def _apart(left: int, right: int, made: dict[tuple[int, int], int], halves: list, rank: list[int]) -> bool:
+    """Whether merging best pairs first, the leftmost of equal ones, leaves two neighbouring pieces apart.
+
+    The merges that made the two are undone, the latest first. A merge across the border comes first if it is better than
+    what was undone last; if it is equal, the one that lies further left comes first.
+    """
+    limit = len(rank)
+    while True:
+        across = made.get((left, right))
+        if across is not None and rank[across] < limit:
+            return False
+        if max(rank[left], rank[right]) < 0:
+            return True
+        if rank[left] > rank[right]:
+            limit, left = rank[left], halves[left][1]
+        else:
+            limit, right = rank[right] + 1, halves[right][0]
+
+
 class Pieces:
     """A BPE model with byte fallback: its pieces, how pairs of them behave, and the words encoded so far."""
 
@@ -69,96 +91,150 @@ class Pieces:
         self.unknown = len(letters) + 1
         self.code = np.full(0x110000, self.unknown, np.uint16)
         self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
-        # A piece that the model itself would not encode as one piece is on no path.
-        reachable = {name: i for name, i in number.items() if self.survives(name, len(name))}
-        self.searched = np.array(list(reachable.values()), np.int64)
+        self.number = number
         self.length = np.ones(len(self.names) + 2, np.int64)
-        self.length[self.searched] = [len(self.names[i]) for i in self.searched]
-        self.width = max(map(len, reachable))
-        packed = np.zeros((len(reachable), self.width), ">u2")
-        for row, name in enumerate(reachable):
-            packed[row, : len(name)] = self.codes(name)
+        self.forget()
+
+    @cached_property
+    def searched(self) -> np.ndarray:
+        """Ids of the pieces that are on a path: the others are none that the model would make of their characters.
+
+        Filled in beside them: the last merge of each (``halves``), its rank, and the pairs that are merged. A piece is
+        made of two pieces of better rank that the merges before it leave apart; there is one such pair at most.
+        """
+        size = len(self.names) + 2
+        self.rank = np.full(size, -1, np.int64)  # single characters are there from the start, and are never merged into
+        self.halves = np.repeat(np.arange(size), 2).reshape(size, 2)
+        halves = self.halves.tolist()
+        made: dict[tuple[int, int], int] = {}
+        found: dict[str, int] = {name: i for name, i in self.number.items() if len(name) == 1}
+        order = sorted((n for n in self.number if len(n) > 1), key=lambda n: (-self.score[n], self.number[n]))
+        ranks = [-1] * size
+        for rank, name in enumerate(order):
+            i = self.number[name]
+            for k in range(1, len(name)):
+                left, right = found.get(name[:k]), found.get(name[k:])
+                if left is not None and right is not None and _apart(left, right, made, halves, ranks):
+                    found[name], made[left, right], halves[i], ranks[i] = i, i, [left, right], rank
+                    break
+            else:
+                if self.survives(name):
+                    raise ValueError("pieces must be made of pieces with better scores")
+        self.halves, self.rank = np.array(halves, np.int64), np.array(ranks, np.int64)
+        merged = np.array(sorted((a * size + b, ranks[i]) for (a, b), i in made.items()), np.int64).reshape(-1, 2)
+        self.merged, self.merged_rank = np.append(merged[:, 0], size * size), np.append(merged[:, 1], size)
+        self.seen_pair, self.seen_fits = np.full(SEEN, -1, np.int64), np.zeros(SEEN, bool)
+        searched = np.array([i for _, i in sorted((list(self.codes(n)), i) for n, i in found.items())], np.int64)
+        self.length[searched] = [len(self.names[i]) for i in searched]
+        self.width = int(self.length.max())
+        packed = np.zeros((len(searched), self.width), ">u2")
+        for row, i in enumerate(searched):
+            packed[row, : self.length[i]] = self.codes(self.names[i])
         kind = f"S{2 * self.width}"
         self.low = packed.view(kind).ravel()
-        ends = np.where(np.arange(self.width) < self.length[self.searched, None], packed, 0xFFFF).astype(">u2")
+        ends = np.where(np.arange(self.width) < self.length[searched, None], packed, 0xFFFF).astype(">u2")
         self.high = np.ascontiguousarray(ends).view(kind).ravel()
-        self.known_pairs = np.zeros(0, np.int64)
-        self.pair_fits = np.zeros(0, bool)
-        self.forget()
+        return searched
 
     def forget(self) -> None:
-        """Start anew: word -> number, and the ids of word i at ``ids[first[i] : first[i + 1]]``."""
+        """Start anew: word -> number, the ids of word i at ``ids[first[i] : first[i + 1]]``, how often it was met."""
         self.words: dict[str, int] = {}
         self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.int64)
+
+    def forget_rare(self) -> None:
+        """Keep the words that were met most, half of what is remembered at most, and none that was met once only."""
+        kept = np.argsort(-self.met, kind="stable")[: REMEMBERED // 2]
+        kept = np.sort(kept[self.met[kept] > 1])
+        names = list(self.words)  # in the order of their numbers
+        self.words = {names[i]: n for n, i in enumerate(kept.tolist())}
+        first, counts = self.first[kept], self.first[kept + 1] - self.first[kept]
+        self.first = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+        self.ids = self.ids[np.arange(self.first[-1]) + np.repeat(first - self.first[:-1], counts)]
+        self.met = self.met[kept] >> 1
 
     def codes(self, text: str) -> np.ndarray:
         return self.code[np.frombuffer(text.encode("utf-32-le"), "<u4")]
 
-    def survives(self, text: str, border: int) -> bool:
-        """Whether merging ``text`` from its characters, best pair first, ends with the pieces on both sides of ``border``.
-
-        With the border at the end: whether it ends as one piece.
-        """
+    def survives(self, text: str) -> bool:
+        """Whether merging ``text`` from its characters, best pair first, ends with one piece."""
         score, parts = self.score, list(text)
         while len(parts) > 1:
-            best, where = None, -1
-            for i in range(len(parts) - 1):
-                value = score.get(parts[i] + parts[i + 1])
-                if value is not None and (best is None or value > best):
-                    best, where = value, i
-            if best is None:
-                break
-            parts[where : where + 2] = [parts[where] + parts[where + 1]]
-            done = 0
-            for part in parts:
-                done += len(part)
-                if done >= border:
-                    break
-            if done > border:
+            values = [score.get(a + b, -math.inf) for a, b in pairwise(parts)]
+            best = max(values)
+            if best == -math.inf:
                 return False
-        return len(parts) == (1 if border == len(text) else 2)
+            where = values.index(best)
+            parts[where : where + 2] = [parts[where] + parts[where + 1]]
+        return True
 
     def fits(self, pairs: np.ndarray) -> np.ndarray:
-        """Whether the model leaves the two pieces of each pair (left * size + right) apart when they meet."""
+        """Whether the model leaves the two pieces of each pair (left * size + right) apart when they meet.
+
+        What is found is remembered in a table of fixed size, where a pair replaces the one before it.
+        """
+        slots = (pairs * 0x9E3779B97F4A7C1 >> 17) & (SEEN - 1)
+        good = self.seen_fits[slots]
+        new = np.flatnonzero(self.seen_pair[slots] != pairs)
+        if len(new):
+            unknown, back = np.unique(pairs[new], return_inverse=True)
+            found = self._apart(unknown)
+            good[new] = found[back]
+            slots = (unknown * 0x9E3779B97F4A7C1 >> 17) & (SEEN - 1)
+            kept = np.unique(slots, return_index=True)[1]
+            self.seen_pair[slots[kept]], self.seen_fits[slots[kept]] = unknown[kept], found[kept]
+        return good
+
+    def _apart(self, pairs: np.ndarray) -> np.ndarray:
+        """:func:`_apart` for all pairs side by side."""
         size = len(self.names) + 2
-        distinct, back = np.unique(pairs, return_inverse=True)
-        at = np.searchsorted(self.known_pairs, distinct)
-        known = at < len(self.known_pairs)
-        known[known] = self.known_pairs[at[known]] == distinct[known]
-        if not known.all():
-            new = distinct[~known]
-            found = []
-            for pair in new.tolist():
-                left, right = divmod(pair, size)
-                if left >= size - 2 or right >= size - 2:  # the start of a word, or an unknown character
-                    found.append(True)
-                else:
-                    a, b = self.names[left], self.names[right]
-                    found.append(self.survives(a + b, len(a)))
-            self.known_pairs = np.concatenate([self.known_pairs, new])
-            self.pair_fits = np.concatenate([self.pair_fits, np.array(found, bool)])
-            order = np.argsort(self.known_pairs, kind="stable")
-            self.known_pairs, self.pair_fits = self.known_pairs[order], self.pair_fits[order]
-            at = np.searchsorted(self.known_pairs, distinct)
-        return self.pair_fits[at][back]
+        result = np.ones(len(pairs), bool)
+        left, right = np.divmod(pairs, size)
+        open_ = np.flatnonzero((left < size - 2) & (right < size - 2))  # else the start of a word, an unknown character
+        left, right = left[open_], right[open_]
+        limit = np.full(len(open_), size)
+        while len(open_):
+            pair = left * size + right
+            at = np.searchsorted(self.merged, pair)
+            crossed = (self.merged[at] == pair) & (self.merged_rank[at] < limit)
+            result[open_[crossed]] = False
+            lr, rr = self.rank[left], self.rank[right]
+            undo_left = lr > rr
+            limit = np.where(undo_left, lr, rr + 1)
+            going = ~crossed & (np.maximum(lr, rr) >= 0)
+            left, right = np.where(undo_left, self.halves[left, 1], left), np.where(undo_left, right, self.halves[right, 0])
+            open_, left, right, limit = open_[going], left[going], right[going], limit[going]
+        return result
 
     def suffixes(self, codes: np.ndarray) -> np.ndarray:
         """Positions in the order of the ``width`` characters from there on, by prefix doubling."""
-        rank, step = codes.astype(np.int64), 1
-        order = np.argsort(rank)
+        ahead = np.concatenate([codes, np.zeros(3, codes.dtype)]).astype(np.uint64)
+        key, step = ahead[:-3], 4  # four characters of 16 bits to start from
+        for k in range(1, 4):
+            key = key << np.uint64(16) | ahead[k : len(codes) + k]
+        order = np.argsort(key)
+        rank = self._ranked(key, order)
         while step < self.width:
             behind = np.zeros_like(rank)
             behind[:-step] = rank[step:] if step < len(rank) else 0
             key = rank * (int(rank.max()) + 1) + behind
             order = np.argsort(key)
-            ranked = key[order]
-            rank = np.empty_like(key)
-            rank[order] = np.concatenate([np.zeros(1, np.int64), np.cumsum(ranked[1:] != ranked[:-1])])
             step *= 2
+            if step < self.width:
+                rank = self._ranked(key, order)
         return order
 
+    @staticmethod
+    def _ranked(key: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """The ranks of keys, which ``order`` sorts; equal ones share theirs."""
+        ranked = key[order]
+        rank = np.zeros(len(key), np.int64)
+        rank[order[1:]] = np.cumsum(ranked[1:] != ranked[:-1])
+        return rank
+
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, piece) of every occurrence of every piece: a range of the suffix array each."""
+        searched = self.searched
         order = self.suffixes(codes)
         padded = np.concatenate([codes, np.zeros(self.width, codes.dtype)]).astype(">u2")
         windows = np.lib.stride_tricks.sliding_window_view(padded, self.width)
@@ -167,7 +243,7 @@ class Pieces:
         counts = hi - lo
         total = int(counts.sum())
         inside = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
-        return order[np.repeat(lo, counts) + inside], np.repeat(self.searched, counts)
+        return order[np.repeat(lo, counts) + inside], np.repeat(searched, counts)
 
     def learn(self, words: list[str]) -> None:
         """Encode distinct words, as :func:`_words` names them: match all pieces, then relax the edges by where they end.
@@ -228,7 +304,7 @@ class Pieces:
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of all texts of a batch; distinct words that are new are encoded together."""
         if len(self.words) > REMEMBERED:
-            self.forget()
+            self.forget_rare()
         chunks = [_words(t) for t in texts]
         group, size = [], 0
         for word in set(chain.from_iterable(chunks)).difference(self.words):
@@ -241,6 +317,7 @@ class Pieces:
             self.learn(group)
         total = sum(map(len, chunks))
         numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(chunks)), np.int64, total)
+        self.met = np.bincount(numbers, minlength=len(self.words)) + np.append(self.met, np.zeros(len(self.words) - len(self.met), np.int64))
         first, counts = self.first[numbers], self.first[numbers + 1] - self.first[numbers]
         ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
         ids = self.ids[np.arange(ends[-1]) + np.repeat(first - ends[:-1], counts)]
