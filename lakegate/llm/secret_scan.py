@@ -6,6 +6,7 @@ import base64
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ _PADDING = re.compile(r"={1,2}(?![0-9A-Za-z=])")
 # Each character fits one part of an alternative only: time grows with the length, not with the ways to cut it.
 _IDENTIFIER = re.compile(r"[a-z]*(?:[A-Z][a-z]+)*\d{0,4}|[A-Z]+\d{0,4}|\d+|v\d+[a-z]?")
 _VERSION = re.compile(r"v\d+[a-z]?")
+_SHORT_WORD = re.compile(r"(?<![^\W\d_])[^\W\d_]{1,15}(?![^\W\d_])")  # too short to be tested
+LIKE_WORDS = 0.5  # by how much the letters of the text must explain a string better than chance does
 
 
 def _encoder(ranks: bytes):
@@ -59,8 +62,35 @@ def _plain(segment: str, encoder, ratio: float) -> bool:
     return tokens == 1 or len(letters) >= ratio * tokens
 
 
-def _known(segment: str, encoder, ratio: float) -> bool:
-    """Digests, UUIDs, numbers and plain words: long, but no secrets."""
+class _Letters:
+    """How the short words of a text follow letter upon letter; counted once the first long word asks for it."""
+
+    def __init__(self, text: str):
+        self.text, self.log = text, None
+
+    @staticmethod
+    def _numbers(text: str) -> np.ndarray:
+        numbers = np.frombuffer(text.lower().encode("utf-32-le"), "<u4").astype(np.int64) - 97
+        return np.where((numbers >= 0) & (numbers < 26), numbers, 26)
+
+    def explain(self, segment: str) -> bool:
+        """Whether a string of the letters A to Z is a word of this text, long or compound, and not a random string.
+
+        That is, whether its pairs of letters are more likely among the text's words than by chance: by ``LIKE_WORDS``, in
+        the mean of the logarithms. Random letters stay near 0 or below; words of the text's language are at 1 or above.
+        """
+        if self.log is None:
+            at = self._numbers(" ".join(_SHORT_WORD.findall(self.text)))
+            counts = np.bincount(at[:-1] * 27 + at[1:], minlength=27 * 27).reshape(27, 27)[:26, :26]
+            self.log = np.log(26 * (counts + 1) / (counts.sum(1, keepdims=True) + 26))
+        at = self._numbers(segment)
+        return float(self.log[at[:-1], at[1:]].mean()) >= LIKE_WORDS
+
+
+def _known(segment: str, encoder, ratio: float, letters: _Letters) -> bool:
+    """Digests, UUIDs, numbers, plain words and words like those of the text: long, but no secrets."""
+    if len(segment) >= 16 and segment.isalpha() and letters.explain(segment):
+        return True
     if _WHOLE.fullmatch(segment) or (_ALL_HEX.fullmatch(segment) and len(segment) in DIGEST_LENGTHS):
         return True
     return _plain(segment, encoder, ratio)
@@ -99,13 +129,13 @@ def _pieces(text: str, a: int, b: int, covered: list[tuple[int, int]]) -> Iterat
         yield start, end
 
 
-def _judged(text: str, a: int, b: int, encoder, ratio: float) -> Iterator[tuple[int, int]]:
+def _judged(text: str, a: int, b: int, encoder, ratio: float, letters: _Letters) -> Iterator[tuple[int, int]]:
     """The piece, if it is random as a whole, else its random segments; neighbours are one string.
 
     Up to two separators, or a known segment of up to two characters, may stand inside such a string: these lie below the
     threshold too (a token has a character at least), so the string does.
     """
-    segments = [(m.start(), m.end(), _known(m.group(), encoder, ratio)) for m in _SEGMENT.finditer(text, a, b)]
+    segments = [(m.start(), m.end(), _known(m.group(), encoder, ratio, letters)) for m in _SEGMENT.finditer(text, a, b)]
     if all(known for _, _, known in segments):
         return
     if b - a < ratio * _tokens(text[a:b], encoder):
@@ -132,7 +162,7 @@ def _random(text: str, runs, base, encoder, min_chars: int, ratio: float) -> lis
             united[-1] = (united[-1][0], max(b, united[-1][1]))
         else:
             united.append((a, b))
-    found, i = [], 0
+    found, i, letters = [], 0, _Letters(text)
     for a, b in runs:
         if b - a < min_chars:
             continue
@@ -144,7 +174,7 @@ def _random(text: str, runs, base, encoder, min_chars: int, ratio: float) -> lis
         for x, y in _pieces(text, a, b, united[i:k]):
             if y - x < min_chars:
                 continue
-            for s, e in _judged(text, x, y, encoder, ratio):
+            for s, e in _judged(text, x, y, encoder, ratio, letters):
                 padded = _PADDING.match(text, e, b)
                 e = padded.end() if padded else e
                 if e - s >= min_chars:
@@ -165,9 +195,10 @@ def scan(
 
     A run of ``min_chars`` or more (never under 16) of ``[0-9A-Za-z+/_=-]`` is random when the vocabulary gets fewer than
     ``max_chars_per_token`` characters into a token, unless all its segments between separators are known: digests, UUIDs,
-    numbers, plain words. Letters are plain if they are one token or reach that many characters a token. Of a run that
-    reaches them as a whole, those neighbouring segments are random that do not, with ``min_chars`` in all. What base
-    spans hold is left out first. Everything happens inside one row: no shuffle, any skew is harmless.
+    numbers, plain words. Letters are plain if they are one token or reach that many characters a token, and, from 16 on,
+    if they follow each other as in the text's own short words (``_Letters``). Of a run that reaches them as a whole, those
+    neighbouring segments are random that do not, with ``min_chars`` in all. What base spans hold is left out first.
+    Everything happens inside one row: no shuffle, any skew is harmless; time and memory grow with the text's length.
 
     Null ids pass through; null texts count as empty and give no span; repeated rows give repeated rows; an empty table
     gives an empty one; other columns are not read. Result: the id, ``spans`` array of structs ordered by start, then

@@ -132,3 +132,22 @@ def test_random_strings_behind_paths_and_key_names_are_found(spark):
     # Where the run is plain as a whole, nothing but the string goes; else all of the run does.
     short = [i for i, (a, e) in where.items() if i % 28 == 0 and e - a < 24]
     assert short and all([(s["start"], s["end"]) for s in got[i]] == [where[i]] for i in short)
+
+
+def test_long_words_of_the_text_stay_and_random_letters_among_them_are_found(spark):
+    rng = random.Random(4)
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r.text}
+    rows, where = [], {}
+    for i, text in texts.items():
+        alphabet = (string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters)[i % 3]
+        value = "".join(rng.choices(alphabet, k=rng.randint(16, 40)))
+        at = text.find(" ") + 1
+        where[i] = at, at + len(value)
+        rows.append((i, f"{text[:at]}{value} {text[at:]}"))
+    plain = {r.doc_id: r.spans for r in secret_scan.scan(documents(spark, list(texts.items()))).collect()}
+    assert not [s for spans in plain.values() for s in spans if s["kind"] == "random"]
+    got = {r.doc_id: [(s["start"], s["end"]) for s in r.spans if s["kind"] == "random"] for r in secret_scan.scan(documents(spark, rows)).collect()}
+    assert sum(got[i] == [where[i]] for i in where) >= 0.98 * len(where)
+    # Without other words, or among words of another script, there is nothing to compare with.
+    alone = [(1, "Schpfgegebeunger"), (2, "слово Schpfgegebeunger слово"), (3, "Schpfgegebeunger " * 3)]
+    assert [len(r.spans) for r in secret_scan.scan(documents(spark, alone)).orderBy("doc_id").collect()] == [1, 1, 3]
