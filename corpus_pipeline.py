@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, folder of the input tables) and returns a DataFrame; it is written as Parquet and read
 again as the documents of the next stage. All but the last return the columns of ``documents``.
+
+Null texts fail the first stage, as empty ones do. A null id is an id like any other, last in order, and never trusted.
+Ties go to the smallest id and line; repeated rows stay repeated until near-duplicates are grouped. Extra columns pass
+through whatever their names; an empty table gives no sequences.
 """
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Lines of 20 characters equal to or one edit away from an earlier one leave the texts; every document stays."""
-    return _recounted(line_dedup.dedup(docs, min_chars=20))
+    """Lines equal to an earlier one, or of 20 characters and one edit away, leave the texts; every document stays."""
+    return _recounted(line_dedup.dedup(docs))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
