@@ -62,19 +62,24 @@ def duplicate_plan_items(plan: DataFrame) -> DataFrame:
     )
 
 
+def prefix_ends(receipts: DataFrame) -> DataFrame:
+    """(plan_id, last_index): where each plan's run of indices from 0 on ends; -1 if it does not begin. Others don't count."""
+    present = receipts.select("plan_id", "item_index").where("item_index >= 0")
+    successors = present.select("plan_id", (F.col("item_index") - 1).alias("item_index"))
+    ends = present.join(successors, ["plan_id", "item_index"], "left_anti")
+    prefix = ends.unionAll(
+        present.groupBy("plan_id").agg(F.min("item_index").alias("first")).where("first > 0").select("plan_id", F.lit(-1))
+    )
+    return prefix.groupBy("plan_id").agg(F.min("item_index").alias("last_index"))
+
+
 def contiguous_prefix(receipts: DataFrame) -> DataFrame:
     """Receipts that may be released: indices 0, 1, 2, ... up to the first hole, per plan.
 
     The prefix ends at the smallest index whose successor is missing, found by an anti join on (plan, index) and a
     ``min``; no window runs over a plan.
     """
-    present = receipts.select("plan_id", "item_index")
-    successors = present.select("plan_id", (F.col("item_index") - 1).alias("item_index"))
-    ends = present.join(successors, ["plan_id", "item_index"], "left_anti").where("item_index >= 0")
-    prefix = ends.unionAll(
-        present.groupBy("plan_id").agg(F.min("item_index").alias("first")).where("first > 0").select("plan_id", F.lit(-1))
-    )
-    last = prefix.groupBy("plan_id").agg(F.min("item_index").alias("last_index"))
+    last = prefix_ends(receipts)
     return receipts.join(last, "plan_id").where(F.col("item_index").between(0, F.col("last_index"))).drop("last_index")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.operators.transforms import SelectColumns, compose
-from lakegate.plans.governance import _SQL_METRICS, _SQL_NULL_USERS, _SQL_RUNS, metric_events
+from lakegate.plans.governance import _SQL_BULK, _SQL_METRICS, _SQL_NULL_USERS, _SQL_RUNS, _receipts, metric_events
 from lakegate.plans.registry import query, table
 from lakegate.plans.texts import _SQL_PROPS
 from lakegate.errors import IntakeError
@@ -160,6 +160,41 @@ def health_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("event_id", "run", "failure_count", "open")
 
 
+_ARRIVAL = "CASE WHEN item_index % 50 = 49 THEN 2 WHEN item_index % 20 = 19 THEN 1 ELSE 0 END"
+
+
+@query(
+    "prefix_stream",
+    f"""WITH {_SQL_BULK}, s AS (SELECT unnest([0, 1, 2]) AS stage),
+             n AS (SELECT stage, r.*, row_number() OVER (PARTITION BY stage, plan_id ORDER BY item_index) - 1 AS rn
+                   FROM receipts r, s WHERE {_ARRIVAL} <= stage)
+        SELECT stage, plan_id, count(*) AS released, max(item_index)::BIGINT AS last_index,
+               count(*) FILTER (outcome = 'failed') AS failed FROM n WHERE rn = item_index GROUP BY ALL""",
+)
+def prefix_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Receipts arrive in three runs with gaps; after each run that is released which the batch operator releases."""
+    base = scratch_path(spark, "prefix")
+    receipts = _receipts(spark, folder)
+    stages = []
+    for stage in range(3):
+        receipts.where(f"{_ARRIVAL} = {stage}").repartition(2).write.mode("append").parquet(f"{base}/in")
+        stream = jobs.file_stream(spark, f"{base}/in", receipts.schema, files_per_batch=1)
+        jobs.prefix_stream(stream, f"{base}/out", f"{base}/state", f"{base}/checkpoint").awaitTermination()
+        stages.append(
+            materialised(
+                spark.read.parquet(f"{base}/out")
+                .groupBy(F.lit(stage).alias("stage"), "plan_id")
+                .agg(
+                    F.count(F.lit(1)).alias("released"),
+                    F.max("item_index").cast("long").alias("last_index"),
+                    F.count_if(F.col("outcome") == "failed").alias("failed"),
+                ),
+                "stage",
+            )
+        )
+    return stages[0].union(stages[1]).union(stages[2])
+
+
 @query(
     "redact_stream",
     f"""SELECT event_id, 'k=' || k || ',' || CASE WHEN event_id % 2 = 0 THEN 'X-Auth-Token=***'

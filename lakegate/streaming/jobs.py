@@ -19,6 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulP
 
 from lakegate.errors import IntakeError
 from lakegate.functions.redact import redact_map
+from lakegate.operators.bulk import prefix_ends
 from lakegate.operators.digest import table_fingerprint
 from lakegate.operators.health import FAILURE_THRESHOLD, health_log, retry_metrics
 from lakegate.operators.transforms import Steps
@@ -288,6 +289,52 @@ def health_stream(
         return _start(carried.writeStream.outputMode("append").foreachBatch(finished), f"{checkpoint}-keys")
 
 
+def prefix_stream(receipts: DataFrame, output: str, state: str, checkpoint: str) -> StreamingQuery:
+    """Release receipts in the order of their plans, whatever the order they arrive in.
+
+    A receipt (``plan_id``, ``item_index``) goes to ``output`` once all indices of its plan from 0 up to its own have
+    arrived; until then it waits in ``state``. After each batch ``output`` holds what the batch operator
+    (``contiguous_prefix``) gives for all receipts so far, one folder per batch. A second receipt of a released index is
+    released at once. Receipts without a plan or with an index that is NULL or negative can never be released, and go.
+
+    State is the index that each plan has reached and the receipts behind a gap. Both are tables, joined to the batch on
+    equal keys, so a plan with most of the receipts is no single task. A batch reads the state of the batch before it and
+    writes its own; a replay repeats the same result. Lost state is an error.
+    """
+
+    def release(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        reached_schema = T.StructType([batch.schema["plan_id"], T.StructField("reached", T.LongType())])
+        if batch_id:
+            waiting = spark.read.schema(batch.schema).parquet(f"{state}/waiting/{batch_id - 1}")
+            reached = spark.read.schema(reached_schema).parquet(f"{state}/reached/{batch_id - 1}")
+        else:
+            waiting, reached = spark.createDataFrame([], batch.schema), spark.createDataFrame([], reached_schema)
+        with scratch_scope(spark):
+            fresh = batch.where("plan_id IS NOT NULL AND item_index >= 0")
+            rows = materialised(waiting.unionByName(fresh), "receipts")
+            ahead = rows.join(reached, "plan_id", "left").select(
+                "plan_id", (F.col("item_index") - F.coalesce("reached", F.lit(-1)) - 1).alias("item_index")
+            )
+            ends = prefix_ends(ahead.where("item_index >= 0"))
+            now = reached.join(ends, "plan_id", "full").select(
+                "plan_id",
+                (F.coalesce("reached", F.lit(-1)) + 1 + F.coalesce("last_index", F.lit(-1))).cast("long").alias("reached"),
+            )
+            now.write.mode("overwrite").parquet(f"{state}/reached/{batch_id}")
+            now = spark.read.schema(reached_schema).parquet(f"{state}/reached/{batch_id}")
+            # Every plan with a receipt has a row by now.
+            both = rows.join(now, "plan_id")
+            due = F.col("item_index") <= F.col("reached")
+            both.where(~due).select(*batch.columns).write.mode("overwrite").parquet(f"{state}/waiting/{batch_id}")
+            both.where(due).select(*batch.columns).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        if batch_id > 1:  # the batch ahead of this one is committed, so nothing goes back behind its state
+            remove_path(spark, f"{state}/waiting/{batch_id - 2}")
+            remove_path(spark, f"{state}/reached/{batch_id - 2}")
+
+    return _start(receipts.writeStream.foreachBatch(release), checkpoint)
+
+
 def redact_stream(events: DataFrame, column: str, output: str, checkpoint: str) -> StreamingQuery:
     """Mask a metadata map of every event on its way through; no state."""
     masked = events.withColumn(column, redact_map(column))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 import shutil
 import time
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegate.errors import IntakeError
+from lakegate.operators.bulk import contiguous_prefix
 from lakegate.operators.health import health_log, retry_metrics
 from lakegate.operators.transforms import SelectColumns, compose
 from lakegate.streaming import jobs
@@ -197,3 +199,36 @@ def test_closed_windows_equal_the_batch_metrics(spark, tmp_path):
     assert sorted(map(str, got.select(columns).collect())) == sorted(
         map(str, batch.where(F.col("window_start") <= last).select(columns).collect())
     )
+
+
+def test_receipts_are_released_as_the_batch_operator_has_them(spark, tmp_path):
+    """Random order, gaps, second receipts, indices that cannot be; a restart after every batch and one that fails."""
+    rng, base = random.Random(3), str(tmp_path)
+    sizes = {1: 60, 2: 8, 3: 1, 4: 12}
+    rows = [(plan, i, f"{plan}-{i}") for plan, n in sizes.items() for i in range(n) if (plan, i) not in ((2, 5), (4, 0))]
+    rows += [(1, 7, "again"), (1, 3, "again"), (2, 6, "again"), (None, 0, "no plan"), (1, None, "no index"), (1, -1, "negative")]
+    rng.shuffle(rows)
+    schema, so_far = "plan_id long, item_index int, note string", []
+
+    def run():
+        stream = jobs.file_stream(spark, f"{base}/in", T.StructType.fromDDL(schema))
+        jobs.prefix_stream(stream, f"{base}/out", f"{base}/state", f"{base}/checkpoint").awaitTermination()
+
+    for k in range(0, len(rows), 18):
+        so_far += rows[k : k + 18]
+        spark.createDataFrame(rows[k : k + 18], schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        run()
+        if k == 36:  # as if the last batch had not been committed
+            number = max(int(f) for f in os.listdir(f"{base}/checkpoint/commits") if f.isdigit())
+            for name in (f"{number}", f".{number}.crc"):
+                os.remove(f"{base}/checkpoint/commits/{name}")
+            run()
+        got = spark.read.schema(schema).parquet(f"{base}/out").select("plan_id", "item_index", "note").collect()
+        have = {(p, i) for p, i, _ in so_far}
+        want = [r for r in so_far if r[0] is not None and (r[1] or 0) >= 0 and r[1] is not None
+                and all((r[0], i) in have for i in range(r[1] + 1))]
+        assert sorted(map(tuple, got)) == sorted(want)
+        batch = contiguous_prefix(spark.createDataFrame(so_far, schema)).select("plan_id", "item_index", "note")
+        assert sorted(map(tuple, batch.collect())) == sorted(want)
+    left = spark.read.parquet(f"{base}/state/waiting/{len(os.listdir(f'{base}/out')) - 1}").collect()
+    assert {r.plan_id for r in left} == {2, 4} and len(os.listdir(f"{base}/state/waiting")) == 2
