@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -182,8 +183,8 @@ def read_pending_row_groups(
     schema = spark.read.parquet(*_some_file(spark, path)).schema
     if columns is not None:
         schema = T.StructType([schema[c] for c in columns])
-    done = completed.select("file_path", "row_group").distinct()
-    listed = row_groups(spark, path).select("file_path", "row_group")
+    done = materialised(completed.select("file_path", "row_group").distinct(), "completed")
+    listed = materialised(row_groups(spark, path).select("file_path", "row_group"), "row-groups")
     known = listed.groupBy("file_path").agg(F.max("row_group").alias("last"))
     beyond = done.join(known, "file_path").where("row_group < 0 OR row_group > last").first()
     if beyond is not None:
@@ -196,7 +197,9 @@ def read_pending_row_groups(
 def rows_of_row_groups(groups: DataFrame, schema: T.StructType, own: Sequence[str] | None = None) -> DataFrame:
     """The rows of Parquet row groups, each with further columns of its row in ``groups`` (all but its place by default).
 
-    ``groups``: file_path, row_group and further columns, one short row per row group; these are what is dealt out.
+    ``groups``: file_path, row_group and further columns, one short row per row group; these are what is dealt out, by a
+    fixed number of ranges: their bytes say nothing of the work behind them. A task has neighbouring row groups and opens
+    each of its files once, as a footer grows with the row groups of its file.
     """
     carried = [f for f in groups.schema.fields if (f.name in own if own else f.name not in ("file_path", "row_group"))]
     target = T.StructType([*schema.fields, *carried])
@@ -205,16 +208,21 @@ def rows_of_row_groups(groups: DataFrame, schema: T.StructType, own: Sequence[st
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                fs, inner = opened(row["file_path"])
-                with fs.open_input_file(inner) as source:
-                    for part in pq.ParquetFile(source).iter_batches(row_groups=[row["row_group"]], columns=names):
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for name, places in groupby(rows, lambda row: row["file_path"]):
+            fs, inner = opened(name)
+            with fs.open_input_file(inner) as source:
+                file = pq.ParquetFile(source)
+                for row in places:
+                    for part in file.iter_batches(row_groups=[row["row_group"]], columns=names):
                         cells = [part.column(c).cast(arrow.field(c).type) for c in names]
                         more = [pa.repeat(pa.scalar(row[f.name], arrow.field(f.name).type), part.num_rows) for f in carried]
                         yield pa.RecordBatch.from_arrays([*cells, *more], schema=arrow)
 
-    return groups.repartition("file_path", "row_group").mapInArrow(read, target)
+    place = ["file_path", "row_group"]
+    spark = groups.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return groups.repartitionByRange(tasks, *place).sortWithinPartitions(*place).mapInArrow(read, target)
 
 
 def _some_file(spark: SparkSession, path: str) -> list[str]:

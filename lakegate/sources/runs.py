@@ -302,9 +302,11 @@ def resume_run(
     One row per resource: key, action, row_count, groups_read (row groups that this run read). Each file or folder in
     ``source`` is a resource; all have the columns of ``schema``.
 
-    A run goes in waves. A wave reads the next ``groups_at_once`` row groups of every due resource in one job, stages
-    them in a folder for each row group, and then advances each resource's cursor in the state: one compare-and-swap
-    snapshot for the whole wave. A run that was stopped goes on behind the last finished wave; row groups before a cursor
+    A run goes in waves. A wave reads the next row groups of every due resource in one job, stages them in a folder for
+    each row group, and then advances each resource's cursor in the state: one compare-and-swap snapshot for the whole
+    wave. The first wave reads ``groups_at_once`` row groups of a resource, each further one as many as those before it
+    together, so waves are few however long the resources are, and a run that breaks off loses no more than it keeps
+    (or one first wave). A run that was stopped goes on behind the last finished wave; row groups before a cursor
     are not read again, and those of the broken wave replace what it staged. When the cursors are at the end, staged
     rows are published like those of :func:`sync_run` and the staging folder goes.
 
@@ -341,9 +343,11 @@ def resume_run(
     if beyond is not None:
         raise IntakeError(f"the cursor of {beyond['key']!r} is at {beyond['start']}, of {beyond['groups']} row groups")
     longest = due.agg(F.max(F.col("groups") - F.col("start"))).first()[0] or 0
-    for wave in range(-(-longest // groups_at_once)):
-        first = F.col("start") + wave * groups_at_once
-        end = F.least(first + groups_at_once, F.col("groups"))
+    wave, behind = 0, 0  # row groups of a resource that the waves before this one read
+    while behind < longest:
+        ahead = groups_at_once << wave
+        first = F.col("start") + behind
+        end = F.least(F.col("start") + ahead, F.col("groups"))
         window = due.where(first < F.col("groups")).select("*", first.alias("first"), end.alias("end"))
         chosen = positions.join(window.select("key", "first", "end", "source_version"), "key").where(
             "position >= first AND position < end"
@@ -369,6 +373,7 @@ def resume_run(
         }
         _merge(window, values, stored, number, state)
         stored, number = state.read()
+        wave, behind = wave + 1, ahead
     if not due.isEmpty():
         live, _ = parquet_resources(spark, source)
         live = live.select("key", F.col("source_version").alias("live_version"))

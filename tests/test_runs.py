@@ -116,6 +116,18 @@ def test_a_stopped_run_goes_on_behind_its_cursors(spark, tmp_path):
     assert set(actions(runs.resume_run(spark, *where, state(spark, base), schema)).values()) == {"resumed"}
 
 
+def test_waves_are_few_however_long_a_resource_is(spark, tmp_path):
+    base = str(tmp_path)
+    schema = parquet_source(spark, base, ("a",))
+    where = (f"{base}/in", f"{base}/staged", f"{base}/out", f"{base}/manifest")
+    groups = runs.parquet_resources(spark, where[0])[0].first().groups
+    done = runs.resume_run(spark, *where, state(spark, base), schema, groups_at_once=1).first()
+    assert groups > 4 and done.groups_read == groups and done.row_count == 30_000
+    assert state(spark, base).read()[1] == 1 + (groups - 1).bit_length() + 1  # 1, 1, 2, 4, ... row groups, and the end
+    rows = spark.read.parquet(newest(spark, base)["a"].uri)
+    assert rows.count() == rows.distinct().count() == 30_000
+
+
 def test_changed_damaged_and_empty_resources(spark, tmp_path):
     base = str(tmp_path)
     schema = parquet_source(spark, base, ("a", "b"))

@@ -396,6 +396,18 @@ def test_state_is_swapped_once(spark, tmp_path):
     assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("snapshot")]) == 3
 
 
+def test_row_groups_are_read_by_many_tasks_each_file_once_a_task(spark, tmp_path):
+    path = f"{tmp_path}/p"
+    spark.range(60_000).coalesce(1).write.option("parquet.block.size", 32 * 1024).parquet(path)
+    assert readers.row_groups(spark, path).count() > 8
+    rows = readers.read_pending_row_groups(spark, path, spark.createDataFrame([], "file_path string, row_group int"))
+    placed = rows.withColumn("task", F.spark_partition_id()).groupBy("task").agg(
+        F.min("row_group").alias("first"), F.max("row_group").alias("last"), F.count_distinct("row_group").alias("groups")
+    ).collect()
+    assert len(placed) > 2 and all(r["last"] - r["first"] + 1 == r["groups"] for r in placed)
+    assert rows.select("id").distinct().count() == rows.count() == 60_000
+
+
 def test_two_sync_runs_at_once(spark, tmp_path):
     """The run that swaps later raises; its resources are due again, and what the other published stays."""
     from pyspark.sql import types as T
