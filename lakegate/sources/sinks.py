@@ -14,7 +14,17 @@ from lakegate.errors import IntakeError
 from lakegate.functions.rules import valid_identifier
 from lakegate.functions.urls import sanitize_uri
 from lakegate.operators.violations import checked_documents, exactly
-from lakegate.operators.digest import LANES, LIMB_BITS, LIMBS, fingerprint_of, lane_sums, lane_totals, row_digest
+from lakegate.operators.digest import (
+    LANES,
+    LIMB_BITS,
+    LIMBS,
+    fingerprint_of,
+    lane_parts,
+    lane_sums,
+    lane_totals,
+    limb_sums,
+    row_digest,
+)
 from lakegate.operators.transforms import Steps
 from lakegate.sources.files import file_digests, list_files
 
@@ -87,8 +97,8 @@ def write_fingerprinted(df: DataFrame, path: str) -> tuple:
     own: metrics of the writing tasks, each of which counts once however often it is tried.
     """
     seen, digest = Observation(), "__row_digest"
-    sums = {"row_count": F.count(F.lit(1)), **lane_sums(F.col(digest))}
-    hashed = df.withColumn(digest, row_digest(df.schema)).observe(seen, *[c.alias(n) for n, c in sums.items()])
+    sums = {"row_count": F.count(F.lit(1)), **limb_sums([F.col(f"{digest}.p{lane}") for lane in range(len(LANES))])}
+    hashed = df.withColumn(digest, lane_parts(row_digest(df.schema))).observe(seen, *[c.alias(n) for n, c in sums.items()])
     hashed.drop(digest).write.mode("overwrite").parquet(path)
     found = seen.get
     lanes = [sum(found[f"_l{i}_{limb}"] << (LIMB_BITS * limb) for limb in range(LIMBS)) for i in range(len(LANES))]

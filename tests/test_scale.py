@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lakegate.operators import bulk, health
+from lakegate.operators import bulk, digest, health
 from lakegate.operators.digest import digest_tree, ordered_digest, table_fingerprint
 from lakegate.operators.ordering import ordered_blocks, with_row_number
 from lakegate.operators.transforms import Filter, NormalizeTimestamps, SelectColumns, compose
+from lakegate.plans import QUERIES, intake
+from lakegate.streaming import jobs
 
 FOLDER = "/root/testdata/sf0.001"
 ORDERS = f"{FOLDER}/orders.parquet"
@@ -152,3 +154,37 @@ def test_no_registered_plan_is_cartesian(spark):
         text = plan_of(plan(spark, FOLDER))
         assert "CartesianProduct" not in text, name
         assert "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_digest_lanes_from_bytes_are_those_from_text(spark):
+    rows = spark.range(0, 5000, 1, 3).select((F.col("id") % 7).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    parts = [F.col(f"p.p{lane}") for lane in range(4)]
+    for some in (rows, rows.where("k < 0")):
+        fast = some.select("k", digest.lane_parts(F.col("h")).alias("p"))
+        got = fast.groupBy("k").agg(*[c.alias(n) for n, c in digest.limb_sums(parts).items()])
+        want = some.groupBy("k").agg(*[c.alias(n) for n, c in digest.lane_sums(F.col("h")).items()])
+        assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+    plan = digest.table_fingerprint(rows, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "conv(" not in plan
+
+
+def test_a_batch_of_one_row_group_is_staged_by_many_tasks(spark, tmp_path):
+    spark.range(600_000).selectExpr("id", "uuid() AS u").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, files_per_batch=1)
+    jobs.sync_stream(stream, f"{tmp_path}/staged", f"{tmp_path}/checkpoint").awaitTermination()
+    staged = spark.read.parquet(f"{tmp_path}/staged")
+    assert len(staged.inputFiles()) > 2 and staged.select("id").distinct().count() == staged.count() == 600_000
+
+
+@pytest.mark.parametrize("name", ["src_mixed_folder", "src_packed"])
+def test_packed_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch, name):
+    spark.range(1, 201).selectExpr("id AS c_custkey", "'s' || id % 3 AS c_mktsegment").coalesce(1).write.parquet(
+        f"{tmp_path}/tables/customer.parquet"
+    )
+    monkeypatch.setattr(intake, "FILE_ROWS", 60, raising=False)
+    monkeypatch.setattr(intake, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    rows = QUERIES[name](spark, f"{tmp_path}/tables").collect()
+    kinds = 1 if name == "src_mixed_folder" else 4
+    assert sum(r.row_count for r in rows) == 200 * kinds and sum(r.key_sum for r in rows) == 20100 * kinds
+    assert len([p for p in tmp_path.rglob("*") if p.is_file() and p.name.startswith(("feed", "part")) and "-" in p.name
+                and "tables" not in p.parts and "." not in p.name]) == 16 * kinds
