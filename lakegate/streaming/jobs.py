@@ -66,6 +66,15 @@ def _ledger(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}-ledger"
 
 
+def _dealt(batch: DataFrame) -> DataFrame:
+    """The rows of a batch dealt out to all tasks: a batch may be one file, and that one row group, which one task reads.
+
+    Adaptive execution leaves a small batch in one part.
+    """
+    place = "__place"
+    return batch.withColumn(place, F.monotonically_increasing_id()).repartition(place).drop(place)
+
+
 def sync_stream(stream: DataFrame, staging: str, checkpoint: str, steps: Steps | None = None) -> StreamingQuery:
     """Stage a resource batch by batch; an interrupted run goes on after the last finished batch.
 
@@ -79,7 +88,7 @@ def sync_stream(stream: DataFrame, staging: str, checkpoint: str, steps: Steps |
         shaped = steps(batch) if steps else batch
         if STAGED in shaped.columns:
             raise IntakeError(f"a column cannot be named {STAGED!r}")
-        found = write_fingerprinted(shaped, f"{staging}/{STAGED}={batch_id}")
+        found = write_fingerprinted(_dealt(shaped), f"{staging}/{STAGED}={batch_id}")
         place = f"{ledger}/staged/{STAGED}={batch_id}"
         entry = T.StructType(T.StructType.fromDDL(LEDGER_SCHEMA).fields[1:])
         known = _rows_below(batch.sparkSession, place, entry).first()
