@@ -9,7 +9,7 @@ from functools import reduce
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -450,6 +450,14 @@ def _sheet(rows: list[list[object]]) -> bytes:
     return buffer.getvalue()
 
 
+FILE_ROWS = 200_000  # rows that are packed into files together
+
+
+def _file_number() -> Column:
+    """The number of the file that a row goes to: rows of one split that follow one another, ``FILE_ROWS`` at most."""
+    return F.floor(F.monotonically_increasing_id() / FILE_ROWS).alias("number")
+
+
 def _write_binary(rows: DataFrame, path: str) -> None:
     """Write (name, content) rows as files."""
 
@@ -554,19 +562,25 @@ def src_mixed_folder(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("c_custkey") % 4).alias("bucket"),
         F.concat_ws(",", "c_custkey", "c_mktsegment").alias("cells"),
         F.to_json(F.struct("c_custkey", "c_mktsegment", (F.col("c_custkey") % 4).alias("bucket"))).alias("object"),
+        _file_number(),
     )
-    texts = customers.groupBy("bucket").agg(F.collect_list("cells").alias("cells"), F.collect_list("object").alias("objects"))
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(key: tuple[int, int], rows: pd.DataFrame) -> pd.DataFrame:
         import gzip
 
-        for batch in batches:
-            for bucket, cells, objects in zip(batch["bucket"], batch["cells"], batch["objects"], strict=True):
-                csv = "c_custkey,c_mktsegment\n" + "\n".join(cells) + "\n"
-                body = [csv.encode(), "\n".join(objects).encode(), gzip.compress(csv.encode()), f"[{','.join(objects)}]".encode()]
-                yield pd.DataFrame([(f"feed{bucket}", body[bucket])], columns=["name", "content"])
+        bucket, number = key
+        csv = "c_custkey,c_mktsegment\n" + "\n".join(rows["cells"]) + "\n"
+        body = [
+            lambda: csv.encode(),
+            lambda: "\n".join(rows["object"]).encode(),
+            lambda: gzip.compress(csv.encode()),
+            lambda: f"[{','.join(rows['object'])}]".encode(),
+        ]
+        name = f"feed{bucket}-{number}"
+        files.publish_file(f"{base}/{name}", lambda sink: sink.write(body[bucket]()))
+        return pd.DataFrame([(name,)], columns=["name"])
 
-    _write_binary(texts.mapInPandas(pack, "name string, content binary"), base)
+    customers.groupBy("bucket", "number").applyInPandas(pack, "name string").count()
     return readers.read_any(spark, base).groupBy("c_mktsegment").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("c_custkey").alias("key_sum"), F.count_if(F.col("bucket") == 1).alias("lines")
     )
@@ -581,29 +595,29 @@ def src_packed(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows in four codecs, in files without a telling name, read without a hint."""
     base = scratch_path(spark, "packed")
     lines = table(spark, folder, "customer").select(
-        (F.col("c_custkey") % 4).alias("bucket"), F.concat_ws(",", "c_custkey", "c_mktsegment").alias("line")
+        (F.col("c_custkey") % 4).alias("bucket"), F.concat_ws(",", "c_custkey", "c_mktsegment").alias("line"), _file_number()
     )
-    texts = lines.groupBy("bucket").agg(F.collect_list("line").alias("lines"))
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(key: tuple[int, int], rows: pd.DataFrame) -> pd.DataFrame:
         import bz2
         import gzip
 
         import zstandard
 
-        for batch in batches:
-            for bucket, rows in zip(batch["bucket"], batch["lines"], strict=True):
-                body = ("c_custkey,c_mktsegment\n" + "\n".join(rows) + "\n").encode()
-                archive = io.BytesIO()
-                with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as book:
-                    book.writestr("rows.csv", body)
-                packed = {
-                    "gzip": gzip.compress(body), "bzip2": bz2.compress(body),
-                    "zstd": zstandard.compress(body), "zip": archive.getvalue(),
-                }
-                yield pd.DataFrame([(f"{k}/part{bucket}", v) for k, v in packed.items()], columns=["name", "content"])
-
-    _write_binary(texts.mapInPandas(pack, "name string, content binary"), base)
+        bucket, number = key
+        body = ("c_custkey,c_mktsegment\n" + "\n".join(rows["line"]) + "\n").encode()
+        archive = io.BytesIO()
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as book:
+            book.writestr("rows.csv", body)
+        packed = {
+            "gzip": gzip.compress(body), "bzip2": bz2.compress(body),
+            "zstd": zstandard.compress(body), "zip": archive.getvalue(),
+        }
+        for kind, content in packed.items():
+            files.publish_file(f"{base}/{kind}/part{bucket}-{number}", lambda sink, content=content: sink.write(content))
+        return pd.DataFrame([(f"part{bucket}-{number}",)], columns=["name"])
+
+    lines.groupBy("bucket", "number").applyInPandas(pack, "name string").count()
     read = [
         readers.read_any(spark, f"{base}/{kind}").withColumn("kind", F.lit(kind)) for kind in ("gzip", "bzip2", "zstd", "zip")
     ]
