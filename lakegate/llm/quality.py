@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,11 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.llm.common import arrow_rows, release, small_batches, text_column, words_of
+from lakegate.operators.ordering import with_row_number
+from lakegate.session import materialised
 
 # Fixed values.
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 8
+SENT = 5_000_000  # trusted ids that every executor may hold
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -68,26 +71,36 @@ def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
     return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
-def trusted_ids(labels: DataFrame, id_col: str, label_col: str, most: int) -> list[int]:
-    """At most ``most`` ids labelled 1 and never 0, by the order of their hashes."""
+def trusted_rows(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """All ids labelled 1 and never 0."""
     good = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("_least"))
-    picked = good.where("_least = 1").select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(most)
+    return good.where("_least = 1").select(id_col)
+
+
+def trusted_ids(labels: DataFrame, id_col: str, label_col: str, most: int) -> list[int]:
+    """At most ``most`` trusted ids, by the order of their hashes: to look at some. Counts and threshold take all."""
+    picked = trusted_rows(labels, id_col, label_col).orderBy(F.xxhash64(id_col), id_col).limit(most)
     return [r[0] for r in picked.collect()]
 
 
-def ngram_counts(docs: DataFrame, trusted: list[int], id_col: str, text_col: str, bits: int) -> DataFrame:
+def with_trust(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, how: str = "left") -> DataFrame:
+    """Ids and texts of ``docs`` and whether they are ``_trusted``. Ids are sent to all tasks up to ``SENT``, joined beyond."""
+    sent = F.broadcast(trusted) if trusted.count() <= SENT else trusted
+    joined = docs.select(id_col, text_col).join(sent.withColumn("_trusted", F.lit(True)), id_col, how)
+    return joined.withColumn("_trusted", F.col("_trusted").isNotNull())
+
+
+def ngram_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, bits: int) -> DataFrame:
     """(bucket, raw, target): counts over all texts and over the trusted ones, added up inside each task first."""
     size = 1 << bits
-    ids = docs.sparkSession.sparkContext.broadcast(np.array(sorted(trusted), np.int64))  # bounded by trusted_ids
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target, hashes = np.zeros(size, np.int64), np.zeros(size, np.int64), WordHashes()
-        good = set(ids.value.tolist())
         for batch in batches:
-            for key, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for good, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 found = np.bincount(buckets_of(hashes.array(text.encode()), bits), minlength=size)
                 raw += found
-                if key in good:
+                if good:
                     target += found
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
@@ -95,7 +108,8 @@ def ngram_counts(docs: DataFrame, trusted: list[int], id_col: str, text_col: str
         )
         release()
 
-    parts = small_batches(docs).select(F.col(id_col), text_column(text_col)).mapInArrow(count, "bucket long, raw long, target long")
+    marked = with_trust(small_batches(docs), trusted, id_col, text_col)
+    parts = marked.select("_trusted", text_column(text_col)).mapInArrow(count, "bucket long, raw long, target long")
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -126,6 +140,19 @@ def ratio_without(found: np.ndarray, raw: np.ndarray, target: np.ndarray) -> flo
     return float((np.log(q / p) * own).sum() / len(found))
 
 
+def percentiles(values: DataFrame, column: str, shares: Sequence[float]) -> list[float] | None:
+    """Exact percentiles, interpolated between neighbours, by one ordered pass: no task holds all values. None of no rows."""
+    numbered = with_row_number(values.select(column), [column])
+    total = numbered.count()
+    if not total:
+        return None
+    places = [share * (total - 1) for share in shares]
+    wanted = {edge for place in places for edge in (int(place), -int(-place // 1))}
+    at = {r["row_index"]: r[column] for r in numbered.where(F.col("row_index").isin(*wanted)).collect()}  # two a share
+    edges = [(place, int(place), -int(-place // 1)) for place in places]
+    return [at[low] if low == high else (high - place) * at[low] + (place - low) * at[high] for place, low, high in edges]
+
+
 def measures(text: str, hashes: WordHashes, ratios: np.ndarray, bits: int) -> tuple[int, int, int, int, int, float]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and llr of one text."""
     found = hashes.array(text.encode())
@@ -170,19 +197,15 @@ def fitted(
     text_col: str,
     label_col: str,
     bits: int,
-    max_trusted: int,
     spread: float,
     min_words: int,
     max_repeat_percent: int,
 ) -> tuple[np.ndarray, float]:
     """The ratios of all buckets and the threshold, see :func:`score`."""
     spark = docs.sparkSession
-    trusted = trusted_ids(labels, id_col, label_col, max_trusted)
+    trusted = materialised(trusted_rows(labels, id_col, label_col), "trusted")
     raw, target = bucket_counts(ngram_counts(docs, trusted, id_col, text_col, bits), bits)
     ratios = log_ratios(raw, target)
-    if not trusted:
-        return ratios, float("-inf")
-    few = F.broadcast(spark.createDataFrame([(key,) for key in trusted], labels.select(id_col).schema))  # max_trusted rows
     table = spark.sparkContext.broadcast((raw, target))  # 2 ** bits numbers each
 
     def rows(columns: list[list]) -> Iterator[tuple]:
@@ -192,12 +215,15 @@ def fitted(
             if len(found) >= min_words and 100 * repeated_words(found) <= max_repeat_percent * len(found):
                 yield key, ratio_without(buckets_of(found, bits), *table.value) if len(found) else 0.0
 
-    texts = docs.select(id_col, text_col).join(few, id_col)
+    texts = with_trust(docs, trusted, id_col, text_col, "inner")
     kind = docs.schema[id_col].dataType.simpleString()
     good = arrow_rows(texts, [F.col(id_col), text_column(text_col)], rows, f"`{id_col}` {kind}, llr double")
     each = good.groupBy(id_col).agg(F.min("llr").alias("llr"))
-    low, middle = each.agg(F.percentile("llr", F.lit(0.01)), F.median("llr")).first()
-    return ratios, float("-inf") if middle is None else middle - spread * (middle - low)
+    found = percentiles(each, "llr", (0.01, 0.5))
+    if found is None:
+        return ratios, float("-inf")
+    low, middle = found
+    return ratios, middle - spread * (middle - low)
 
 
 def score(
@@ -207,7 +233,6 @@ def score(
     text_col: str = "text",
     label_col: str = "quality",
     bits: int = 14,
-    max_trusted: int = 20_000,
     spread: float = 2.0,
     min_words: int = 20,
     max_repeat_percent: int = 30,
@@ -215,8 +240,8 @@ def score(
     """One row per row of ``docs``: the rules' measures, ``base_failed``, ``llr``, ``threshold`` and ``kept``.
 
     ``llr`` is the mean, over all words and pairs of neighbours, of the log-likelihood ratio of their hashed buckets
-    between the multinomial of trusted texts (ids of ``labels`` with ``label_col`` 1; at most ``max_trusted``, picked
-    by hash order) and that of all texts. Every trusted text that the rules pass is also scored by the counts of the
+    between the multinomial of trusted texts (all ids of ``labels`` with ``label_col`` 1 and never 0) and that of all
+    texts. Every trusted text that the rules pass is also scored by the counts of the
     others, without its own; with m the median of these scores and q the first percentile, the threshold is
     m - ``spread`` * (m - q), however many there are. A document is kept if it has ``min_words`` words, not more than
     ``max_repeat_percent`` % of them repeated in windows of eight, and a ``llr`` of the threshold or more: one test for
@@ -227,7 +252,7 @@ def score(
     an empty table gives an empty one; other columns are not read. Memory grows with the longest text.
     """
     ratios, threshold = fitted(
-        docs, labels, id_col, text_col, label_col, bits, max_trusted, spread, min_words, max_repeat_percent
+        docs, labels, id_col, text_col, label_col, bits, spread, min_words, max_repeat_percent
     )
     return (
         _scored(docs, id_col, text_col, ratios, bits)
@@ -244,7 +269,6 @@ def keep(
     text_col: str = "text",
     label_col: str = "quality",
     bits: int = 14,
-    max_trusted: int = 20_000,
     spread: float = 2.0,
     min_words: int = 20,
     max_repeat_percent: int = 30,
@@ -254,7 +278,7 @@ def keep(
     Repeated rows stay or go together; an empty table gives an empty one; columns pass through whatever their names.
     """
     ratios, threshold = fitted(
-        docs, labels, id_col, text_col, label_col, bits, max_trusted, spread, min_words, max_repeat_percent
+        docs, labels, id_col, text_col, label_col, bits, spread, min_words, max_repeat_percent
     )
     table = docs.sparkSession.sparkContext.broadcast(ratios)  # 2 ** bits numbers
 

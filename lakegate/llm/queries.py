@@ -44,7 +44,7 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    scored = quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"), max_trusted=20_000)
+    scored = quality.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return scored.select("doc_id", *measures, "base_failed", "kept", "llr", "threshold")
 

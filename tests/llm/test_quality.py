@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lakegate.llm import quality
 from tests.llm.helpers import awkward, documents, prose
@@ -98,6 +99,29 @@ def test_few_labels_give_a_threshold_too(spark):
     assert {r.threshold for r in rows} == {0.0} and {r.doc_id for r in rows if r.kept} >= {1}
 
 
+def test_all_trusted_texts_count_and_set_the_threshold(spark, monkeypatch):
+    texts = [(key, prose(key, 30)) for key in range(1, 41)]
+    texts.append((50_000, "zebra quagga okapi " * 20))
+    labels = spark.range(1, 50_001).selectExpr("id AS doc_id", "IF(id IN (1, 2), 0, 1) AS quality")
+    trusted = quality.trusted_rows(labels, "doc_id", "quality")
+    assert trusted.count() == 49_998  # more than the 20 000 that were picked before
+    docs = documents(spark, texts)
+    raw, target = quality.bucket_counts(quality.ngram_counts(docs, trusted, "doc_id", "text", 10), 10)
+    words = {key: len(text.split()) for key, text in texts}
+    assert target.sum() == sum(2 * n - 1 for key, n in words.items() if key > 2)
+    assert raw.sum() == sum(2 * n - 1 for n in words.values())
+    sent = quality.score(docs, labels, bits=10).orderBy("doc_id").collect()
+    monkeypatch.setattr(quality, "SENT", 0)  # joined instead
+    assert quality.score(docs, labels, bits=10).orderBy("doc_id").collect() == sent
+
+
+def test_percentiles_are_exact(spark):
+    values = spark.range(1001).selectExpr("cast(xxhash64(id) % 500 AS double) / 7 AS v")
+    low, middle = values.agg(F.percentile("v", F.lit(0.01)), F.median("v")).first()
+    assert quality.percentiles(values, "v", (0.01, 0.5)) == [low, middle]
+    assert quality.percentiles(values.where("v > 1e9"), "v", (0.01, 0.5)) is None
+
+
 def test_trusted_ids_are_bounded(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(100)], "doc_id long, quality int")
     some = quality.trusted_ids(labels, "doc_id", "quality", 7)
