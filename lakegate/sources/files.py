@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import bz2
 import codecs
+import ctypes
 import hashlib
 import io
+import math
 import re
 import uuid
 import zipfile
@@ -23,9 +25,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.functions.base import ColumnOrName, case, col
+from lakegate.session import materialised
 
 # Fixed values.
 CHUNK = 1 << 20
+PIECE = 1 << 27  # bytes of a file that fit into one cell
+STRIDE = 4  # pieces of a file that one task digests
 MAGIC = {"gzip": "1F8B", "bzip2": "425A68", "zstd": "28B52FFD", "zip": "504B0304"}
 ENCODINGS = {
     "gzip": ("gzip", "x-gzip"),
@@ -167,23 +172,157 @@ def _rewound(source: io.IOBase) -> io.IOBase:
     return source
 
 
-def file_digests(files: DataFrame) -> DataFrame:
-    """Size, SHA-256 and MD5 of every file, streamed."""
+class ResumableDigest:
+    """SHA-256 or MD5 whose state can be handed to another task, which ``hashlib`` does not let out.
+
+    The state is the context of the OpenSSL below ``hashlib``; every update starts from its bytes and leaves bytes.
+    """
+
+    FUNCTIONS = {"sha256": ("SHA256", 32), "md5": ("MD5", 16)}
+    ROOM = 256  # contexts take 112 and 92 bytes
+
+    def __init__(self, name: str, state: bytes | None = None):
+        import _hashlib
+
+        prefix, self.length = self.FUNCTIONS[name]
+        library = ctypes.CDLL(_hashlib.__file__)
+        self.init, self.add, self.final = (getattr(library, f"{prefix}_{part}") for part in ("Init", "Update", "Final"))
+        self.state = state
+        if not state:
+            context = ctypes.create_string_buffer(self.ROOM)
+            self._call(self.init, context)
+            self.state = context.raw
+
+    def _call(self, function: Callable[..., int], *args: object) -> None:
+        if function(*args) != 1:
+            raise RuntimeError("OpenSSL refused a digest")
+
+    def update(self, chunk: bytes) -> None:
+        context = ctypes.create_string_buffer(self.state, self.ROOM)
+        self._call(self.add, context, chunk, ctypes.c_size_t(len(chunk)))
+        self.state = context.raw
+
+    def hexdigest(self) -> str:
+        out = ctypes.create_string_buffer(self.length)
+        self._call(self.final, out, ctypes.create_string_buffer(self.state, self.ROOM))
+        return out.raw.hex()
+
+
+def _plain_digests() -> list:
+    return [hashlib.sha256(), hashlib.md5(usedforsecurity=False)]
+
+
+def _resumable_digests(sha256: bytes | None = None, md5: bytes | None = None) -> list:
+    return [ResumableDigest("sha256", sha256), ResumableDigest("md5", md5)]
+
+
+def _digest_pieces(
+    source: io.IOBase, start: int, whole: list, fresh: Callable[[], list] | None, most: float
+) -> tuple[int, list[str]]:
+    """Add what follows in ``source`` to the digests ``whole``, up to ``most`` pieces.
+
+    Returns the bytes read and, if asked for by ``fresh``, the digests of each piece of its own.
+    """
+    size, pieces, count = 0, [], 0
+    while count < most:
+        own, length = fresh() if fresh else [], 0
+        while length < PIECE and (chunk := source.read(min(CHUNK, PIECE - length))):
+            for digest in (*whole, *own):
+                digest.update(chunk)
+            length += len(chunk)
+        if fresh and (length or start + size == 0):
+            pieces.append(":".join(map(str, (start + size, length, *(digest.hexdigest() for digest in own)))))
+        size, count = size + length, count + 1
+        if length < PIECE:
+            break
+    return size, pieces
+
+
+def file_digests(files: DataFrame, pieces: bool = False) -> DataFrame:
+    """Size, SHA-256 and MD5 of every file, streamed; one task reads ``STRIDE`` pieces of a file at most.
+
+    Larger files are read in waves: a task goes on from the state of the digest that the task before it left in a table.
+    Where OpenSSL does not give that state out, one task reads the whole file. With ``pieces`` there is a column with
+    ``start:length:sha256:md5`` of every piece of ``PIECE`` bytes, taken on the same way.
+    """
+    extra = ["pieces"] if pieces else []
+    columns = ["path", "size", "sha256", "md5", *extra, "error"]
+    schema = f"path string, size bigint, sha256 string, md5 string, {'pieces array<string>, ' if pieces else ''}error string"
+    states = ["path", "size", "sha256_state", "md5_state", "sha256", "md5", "pieces", "error"]
 
     def digest(path: str) -> dict[str, object]:
         fs, inner = opened(path)
-        sha, md5, size = hashlib.sha256(), hashlib.md5(usedforsecurity=False), 0
+        whole = _plain_digests()
         with fs.open_input_stream(inner, compression=None) as source:
-            while chunk := source.read(CHUNK):
-                sha.update(chunk)
-                md5.update(chunk)
-                size += len(chunk)
-        return {"size": size, "sha256": sha.hexdigest(), "md5": md5.hexdigest()}
+            size, own = _digest_pieces(source, 0, whole, _plain_digests if pieces else None, math.inf)
+        return {"size": size, "sha256": whole[0].hexdigest(), "md5": whole[1].hexdigest(), **dict.fromkeys(extra, own)}
 
-    return files.select("path").mapInPandas(
-        _per_file(digest, ["path", "size", "sha256", "md5", "error"]),
-        "path string, size bigint, sha256 string, md5 string, error string",
-    )
+    def wave(row: pd.Series) -> dict[str, object]:
+        start, most, fresh = int(row["size"]), STRIDE, _resumable_digests
+        try:
+            whole = _resumable_digests(row["sha256_state"], row["md5_state"])
+        except (AttributeError, ImportError, OSError, RuntimeError):  # no state is given out: all, from the start
+            start, most, fresh, whole = 0, math.inf, _plain_digests, _plain_digests()
+        fs, inner = opened(row["path"])
+        with fs.open_input_file(inner) as source:
+            source.seek(start)
+            size, own = _digest_pieces(source, start, whole, fresh if pieces else None, most)
+        out = {"size": start + size, "pieces": [*(row["pieces"] if start else ()), *own]}
+        if size == most * PIECE:
+            return {**out, "sha256_state": whole[0].state, "md5_state": whole[1].state}
+        return {**out, "sha256": whole[0].hexdigest(), "md5": whole[1].hexdigest()}
+
+    def go_on(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(len(batch)):
+                yield from _per_file(lambda _, row=batch.iloc[i]: wave(row), states)(iter([batch.iloc[[i]]]))
+
+    sized = _with_size(files)
+    large = F.coalesce(F.col("size"), F.lit(0)) > STRIDE * PIECE
+    small = sized.where(~large).select("path").mapInPandas(_per_file(digest, columns), schema)
+    if sized.where(large).isEmpty():
+        return small
+    begun = {
+        "size": F.lit(0).cast("bigint"),
+        **dict.fromkeys(["sha256_state", "md5_state"], F.lit(b"")),
+        **dict.fromkeys(["sha256", "md5", "error"], F.lit(None).cast("string")),
+        "pieces": F.array().cast("array<string>"),
+    }
+    state = materialised(sized.where(large).withColumns(begun).select(*states), "digest-states")
+    under_way = F.col("sha256_state").isNotNull()
+    while count := state.where(under_way).count():
+        dealt = state.where(under_way).repartitionByRange(count, "path")  # one file a task
+        state = materialised(state.where(~under_way).unionAll(dealt.mapInPandas(go_on, state.schema)), "digest-states")
+    return small.unionAll(state.select(*columns))
+
+
+def _with_size(files: DataFrame) -> DataFrame:
+    """Path and size; files that come without it are asked for it, and have none where they cannot be read."""
+
+    def size(path: str) -> dict[str, object]:
+        fs, inner = opened(path)
+        return {"size": fs.get_file_info(inner).size}
+
+    if "size" in files.columns:
+        return files.select("path", "size")
+    return files.select("path").mapInPandas(_per_file(size, ["path", "size"]), "path string, size bigint")
+
+
+def file_pieces(files: DataFrame) -> DataFrame:
+    """Start and content of every piece of ``PIECE`` bytes of the files (path, size): one piece a task."""
+    count = files.agg(F.sum(F.ceil(F.col("size") / PIECE))).first()[0] or 1
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(PIECE).cast("bigint")))
+    dealt = files.where("size > 0").select("path", starts.alias("start")).repartitionByRange(count, "path", "start")
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, start in zip(batch["path"], batch["start"], strict=True):
+                fs, inner = opened(path)
+                with fs.open_input_file(inner) as source:
+                    source.seek(start)
+                    yield pd.DataFrame({"path": [path], "start": [start], "content": [source.read(PIECE)]})
+
+    return dealt.mapInPandas(read, "path string, start bigint, content binary")
 
 
 def source_version(files: DataFrame) -> DataFrame:

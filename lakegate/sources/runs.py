@@ -66,7 +66,7 @@ def artifact_contents(artifacts: DataFrame, destination: str, schema: T.StructTy
     named = materialised(artifacts.select("uri", place.alias("place")).where("place <> ''").distinct(), "artifacts")
     inside = F.regexp_extract("path", f"({_PLACE})/[^/]+$", 1)
     try:
-        listed = list_files(spark, destination, "*.parquet").select("path", inside.alias("place"))
+        listed = list_files(spark, destination, "*.parquet").select("path", "size", inside.alias("place"))
         stored = T.StructType([*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(RESOURCE, T.StringType())])
         rows = spark.read.schema(stored).option("ignoreCorruptFiles", "true").parquet(destination)
     except AnalysisException as problem:
@@ -75,7 +75,7 @@ def artifact_contents(artifacts: DataFrame, destination: str, schema: T.StructTy
         return spark.createDataFrame([], "uri string, size bigint, row_count bigint, content_digest string, blob_digest string")
     wanted = listed.join(named, "place", "left_semi")
     blobs = (
-        file_digests(wanted.select("path"))
+        file_digests(wanted)
         .withColumn("place", inside)
         .groupBy("place")
         .agg(

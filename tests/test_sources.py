@@ -2,16 +2,20 @@ from __future__ import annotations
 
 import bz2
 import gzip
+import hashlib
 import io
+import random
 import zipfile
 
 import pytest
 import zstandard
+from pyspark import TaskContext
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakegate.errors import DecodeError, IntakeError
 from lakegate.operators.digest import fingerprint_of
+from lakegate.plans import QUERIES
 from lakegate.sources import files, readers, sinks
 from lakegate.sources.xlsx import read_workbooks, unique_headers
 
@@ -433,3 +437,134 @@ def test_two_sync_runs_at_once(spark, tmp_path):
     again = runs.sync_run(df.withColumn("id", F.col("id") + 1), *where, mine, "file:///x")
     assert {r.action for r in again.collect()} == {"written"} and mine.read()[1] == 2
     assert {r.action for r in runs.sync_run(df.withColumn("id", F.col("id") + 1), *where, mine, "file:///x").collect()} == {"unchanged"}
+
+
+def small_pieces(monkeypatch, piece=1000, stride=2, chunk=300):
+    for name, value in (("PIECE", piece), ("STRIDE", stride), ("CHUNK", chunk)):
+        monkeypatch.setattr(files, name, value, raising=False)
+
+
+def digest_files(folder):
+    """Sizes around every bound of 1 000 bytes a piece and two pieces a task."""
+    folder.mkdir()
+    rng = random.Random(4)
+    return {
+        f"file:{put(folder, f'{size}.bin', content)}": content
+        for size in (1, 999, 1000, 1001, 1999, 2000, 2001, 3000, 4000, 4001, 6000, 9137)
+        for content in [rng.randbytes(size)]
+    }
+
+
+@pytest.mark.parametrize("resumable", [True, False])
+@pytest.mark.parametrize("sized", [True, False])
+def test_digests_taken_in_waves_are_those_of_the_whole_file(spark, tmp_path, monkeypatch, sized, resumable):
+    small_pieces(monkeypatch)
+    if not resumable:
+        def refused(*states):
+            raise AttributeError("no such function")
+
+        monkeypatch.setattr(files, "_resumable_digests", refused)
+    contents = digest_files(tmp_path / "in")
+    listed = files.list_files(spark, str(tmp_path / "in"))
+    listed = listed if sized else listed.select("path")
+    got = {r.path: r for r in files.file_digests(listed, pieces=True).collect()}
+    assert got.keys() == contents.keys()
+    for path, content in contents.items():
+        parts = [(i, content[i : i + 1000]) for i in range(0, len(content), 1000)]
+        want = [f"{i}:{len(p)}:{hashlib.sha256(p).hexdigest()}:{hashlib.md5(p).hexdigest()}" for i, p in parts]
+        row = got[path]
+        assert (row.size, row.sha256, row.md5, row.pieces, row.error) == (
+            len(content), hashlib.sha256(content).hexdigest(), hashlib.md5(content).hexdigest(), want, None
+        )
+    plain = files.file_digests(listed)
+    assert plain.columns == ["path", "size", "sha256", "md5", "error"]
+    assert {r.path: r.sha256 for r in plain.collect()} == {path: r.sha256 for path, r in got.items()}
+
+
+def test_a_task_reads_a_bounded_part_of_a_file(spark, tmp_path, monkeypatch):
+    small_pieces(monkeypatch)
+    contents, log, opened = digest_files(tmp_path / "in"), tmp_path / "log", files.opened
+    log.mkdir()
+
+    def counted(path):
+        class Stream:
+            def __init__(self, source):
+                self.source = source
+
+            def __enter__(self):
+                return self
+
+            def __exit__(self, *problem):
+                self.source.close()
+
+            def seek(self, place):
+                self.source.seek(place)
+
+            def read(self, length):
+                content = self.source.read(length)
+                with open(f"{log}/{TaskContext.get().taskAttemptId()}", "a") as sink:
+                    sink.write(f"{path} {len(content)}\n")
+                return content
+
+        class Files:
+            def open_input_stream(self, inner, compression=None):
+                return Stream(opened(path)[0].open_input_stream(inner, compression=compression))
+
+            def open_input_file(self, inner):
+                return Stream(opened(path)[0].open_input_file(inner))
+
+        return Files(), opened(path)[1]
+
+    monkeypatch.setattr(files, "opened", counted)
+    listed = files.list_files(spark, str(tmp_path / "in"))
+    assert files.file_digests(listed).select("error").distinct().collect() == [(None,)]
+    read = {}
+    for task in log.iterdir():
+        for line in task.read_text().splitlines():
+            path, length = line.split()
+            read.setdefault(path, {}).setdefault(task.name, []).append(int(length))
+    for path, content in contents.items():
+        tasks = [sum(lengths) for lengths in read[path].values()]
+        assert max(tasks) <= 2000 and sum(tasks) == len(content)
+    in_waves = [task for path, content in contents.items() if len(content) > 2000 for task in read[path]]
+    assert len(in_waves) == len(set(in_waves))  # none reads of two such files
+    cut = files.file_pieces(listed).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in cut}) == len(cut) == sum(-(-len(content) // 1000) for content in contents.values())
+    assert all(r.content == contents[r.path][r.start : r.start + 1000] for r in cut)
+
+
+def test_digests_of_repeated_lost_and_unsized_files(spark, tmp_path, monkeypatch):
+    small_pieces(monkeypatch)
+    path = f"file:{put(tmp_path, 'a.bin', b'x' * 5000)}"
+    listed = spark.createDataFrame([(path, 5000), (path, 5000), ("file:/none", 5000), ("file:/none", None)], "path string, size bigint")
+    got = files.file_digests(listed).collect()
+    assert [r.sha256 for r in got if r.path == path] == [hashlib.sha256(b"x" * 5000).hexdigest()] * 2
+    lost = [r for r in got if r.path != path]
+    assert len(lost) == 2 and all(r.error and r.sha256 is None for r in lost)
+    assert [r.size for r in files.file_digests(listed.select("path").distinct()).collect() if r.path == path] == [5000]
+    nothing = spark.createDataFrame([(f"file:{put(tmp_path, 'empty.bin', b'')}",)], "path string")
+    [row] = files.file_digests(nothing, pieces=True).collect()
+    assert (row.size, row.pieces) == (0, [f"0:0:{hashlib.sha256().hexdigest()}:{hashlib.md5().hexdigest()}"])
+
+
+def test_a_file_too_large_for_a_cell_is_compared_by_pieces(spark, tmp_path, monkeypatch):
+    small_pieces(monkeypatch, piece=4000)
+    spark.range(5000).select(F.col("id").alias("o_orderkey")).coalesce(1).write.parquet(f"{tmp_path}/in/orders.parquet")
+    monkeypatch.setattr("lakegate.plans.publication.table", lambda spark, folder, name: spark.read.parquet(f"{folder}/{name}.parquet"))
+    assert max(p.stat().st_size for p in (tmp_path / "in").rglob("*.parquet") if p.is_file()) > 8000
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "4000")
+    try:
+        assert QUERIES["file_digests"](spark, f"{tmp_path}/in").collect() == [(5000, True, True)]
+        digests = files.file_digests
+
+        def wrong(listed, pieces=False):
+            got = digests(listed, pieces)
+            if not pieces:
+                return got
+            return got.withColumn("pieces", F.transform("pieces", lambda p: F.regexp_replace(p, "^4000:4000:.", "4000:4000:x")))
+
+        monkeypatch.setattr(files, "file_digests", wrong)
+        assert QUERIES["file_digests"](spark, f"{tmp_path}/in").collect() == [(5000, False, True)]
+    finally:
+        spark.conf.unset(limit)
